@@ -4,18 +4,78 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .byte_bpe import encode_decode, read_ranks
+from .chat_format import format_turns, read_back, text_turns
 from .common import read_table
+from .learned_ann import nearest_neighbours
+from .mixing import mix
 from .ngram_join import ngram_classes
+from .pii import find_spans
+from .quality_qda import quality_scores
+from .quality_rules import quality_rules
+from .toxicity import toxicity_scores
+from .warc import round_trip
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(read_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), is_query="vec_id % 100 = 0", k=10)
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"), weights=(1, 2, 3)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return encode_decode(read_table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast(rows.schema["conv_id"].dataType).alias("conv_id"), F.col("id").cast(rows.schema["turn"].dataType).alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return read_back(format_turns(text_turns(rows.unionByName(extra))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_join": op2_ngram_join,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_source_mixing": op4_source_mixing,
+    "op5_toxicity": op5_toxicity,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op7_warc": op7_warc,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_personal_data": op9_personal_data,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {}
