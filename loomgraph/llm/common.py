@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -33,20 +34,43 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, which outlives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a Parquet table in the shared folder and read it back: compressed, and columns can be pruned."""
+    """Write a Parquet table in the shared folder and read it back.
+
+    It cuts the lineage and outlives lost executors like a reliable checkpoint, but is
+    compressed and can be read by columns, and its size is that of its files. A
+    checkpoint hands on the size estimate of its plan instead; in loops with joins the
+    estimates multiply until they are numbers of millions of digits.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def durable(df: DataFrame) -> DataFrame:
+    return shared_table(df, "step")
+
+
+_cleaned: set[str] = set()
+
+
+def own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it goes when Python ends, if the session still runs then."""
+    sc = spark.sparkContext
+    folder = f"{shared_dir(spark).rstrip('/')}/loomgraph-{sc.applicationId}"
+    if folder not in _cleaned:
+        _cleaned.add(folder)
+
+        def clean() -> None:
+            if sc._jsc is not None:
+                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+        atexit.register(clean)
+    return folder
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

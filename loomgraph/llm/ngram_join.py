@@ -33,7 +33,8 @@ from .components import connected_components
 
 FLUSH = 1_500_000
 BITMAP_WORDS = 8
-CHUNK = 128
+CHUNK = 256
+SMALL = 32
 
 
 def shingle_set(text: str | bytes | None, width: int) -> np.ndarray:
@@ -207,10 +208,21 @@ def _split_keys(members: DataFrame) -> DataFrame:
     return members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
 
 
-def _tiles(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
-    """Pairs of different classes within a key, from tiles of at most about two chunks of members, kept where the bitmaps allow a link."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    rows = members.join(sizes, "key").join(sets.select("node", "size", "bits"), "node")
+def _uncompared(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """Pairs of different classes that share a key and may not have been compared with each other yet.
+
+    Keys with the same members count once, and keys with two members not at all: their
+    one pair has been compared. Small keys are joined with themselves, larger ones in
+    tiles of two chunks of members, kept where the bitmaps allow a link.
+    """
+    h, g = F.xxhash64("node"), F.xxhash64("node", F.lit(1))
+    keys = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("h"), F.bit_xor(g).alias("g"))
+    keys = durable(keys.where("n > 2").groupBy("n", "h", "g").agg(F.min("key").alias("key")).select("key", "n"))
+    few = members.join(keys.where(F.col("n") <= SMALL).select("key"), "key")
+    other = few.select("key", F.col("node").alias("v"), F.col("root").alias("rv"))
+    near = few.join(other, "key").where("node < v and root <> rv").select(F.col("node").alias("u"), "v").distinct()
+    many = keys.where(F.col("n") > SMALL).select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    rows = members.join(many, "key").join(sets.select("node", "size", "bits"), "node")
     rows = rows.withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumns({"lo": F.least("c", "o"), "hi": F.greatest("c", "o")})
@@ -228,7 +240,7 @@ def _tiles(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
                 out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], axis=1))
         return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), dtype=np.int64), columns=["u", "v"])
 
-    return rows.groupBy("key", "lo", "hi").applyInPandas(run, "u long, v long").distinct()
+    return near.union(rows.groupBy("key", "lo", "hi").applyInPandas(run, "u long, v long").distinct())
 
 
 def ngram_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -281,7 +293,7 @@ def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFr
             roots = connected_components(links)
             open_ = _labelled(open_.select("key", "node"), roots)
             open_ = durable(open_.join(_split_keys(open_), "key", "left_semi"))
-        rest = _tiles(open_, percent, sets).join(done.select("u", "v"), ["u", "v"], "left_anti")
+        rest = _uncompared(open_, percent, sets).join(done.select("u", "v"), ["u", "v"], "left_anti")
         rest = durable(rest)
         if rest.head(1):
             last = verify(rest, sets, percent).where("linked").select("u", "v")

@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, shared_table
+from .common import own_folder, shared_table
 
 GAP = 1 << 16
 READ = 1 << 23
@@ -167,5 +167,5 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 
 def round_trip(pages: DataFrame, least: int = 100) -> DataFrame:
     """Write the archives of all pages into the shared folder and read every record back."""
-    folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = f"{own_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     return read_records(write_archives(pages, folder, least), folder)
