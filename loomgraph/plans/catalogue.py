@@ -1,14 +1,346 @@
-"""Registered queries over the driver tables, and the SQL that checks them."""
+"""Registered queries over the driver tables, and the SQL that checks them.
+
+Triple sources: `rel` from customers, nations and orders; `part` from parts; `doc` by
+rule extraction from documents. Each is plain SQL on both engines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.text import chunk_documents, edge_text, json_in_answer, node_size, preprocess
+from ..operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
+from ..sources.corpus import table
+from ..sources.providers import OfflineProvider
+from .pipeline import run_metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: An eigenvalue list for each branch of the choice of components.
+SPECTRA = {"gap": [6.0, 3.0, 1.0], "late_gap": [3.0, 2.9, 1.0, 0.9, 0.8], "tie": [4.0, 4.0, 1.0, 1.0], "cumulative": [2.4, 2.0, 2.0, 2.0, 2.0, 2.0], "flat": [2.0, 2.0, 2.0, 2.0], "two": [5.0, 1.0]}
+
+
+def rel(spark: SparkSession, d: str) -> DataFrame:
+    o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return j.select(F.col("o_orderkey").alias("ord"), F.col("c_name").alias("subject"), F.col("o_orderpriority").alias("predicate"), F.col("n_name").alias("object"), F.col("c_mktsegment").alias("theme_association"))
+
+
+def part(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_brand").alias("subject"), F.lit("has type").alias("predicate"), F.col("p_type").alias("object"), F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("theme_association"))
+
+
+def doc(spark: SparkSession, d: str) -> DataFrame:
+    return triples.rule_triples(table(spark, d, "documents"))
+
+
+REL = "rel as (select o_orderkey ord, c_name subject, o_orderpriority predicate, n_name object, c_mktsegment theme from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"
+PART = "part_t as (select p_partkey ord, p_brand subject, 'has type' predicate, p_type object, 'size ' || p_size theme from part)"
+DOC = r"""sent as (select doc_id, source, unnest(string_split_regex(text, '[.\n]')) sentence, generate_subscripts(string_split_regex(text, '[.\n]'), 1) - 1 sent_idx from documents),
+sw as (select *, list_filter(string_split_regex(sentence, '\s+'), lambda x: x <> '') w from sent),
+doc as (select doc_id * 1000000 + sent_idx ord, w[1] subject, w[2] predicate, w[len(w)] object, sentence source_quote, source theme from sw where len(w) >= 3)"""
+ITEMS = "items as (select ord, 0 role_pos, 'subject' role, subject item from doc where subject <> '' union all select ord, 1, 'predicate', predicate from doc where predicate <> '' union all select ord, 2, 'object', object from doc where object <> '')"
+CLEAN = r"trim(regexp_replace(lower(regexp_replace(replace({0}, '_', ' '), '[<>/\\|\[\]{{}}]', '', 'g')), '\s+', ' ', 'g'))"
+MEMBERS = "members as (select distinct entity, theme from (select subject entity, theme from part_t union all select object, theme from part_t))"
+GIVEN = "given as (select c_name node, n_regionkey::bigint community from customer join nation on c_nationkey = n_nationkey union select n_name, n_regionkey::bigint from nation)"
+EDGES = "edges as (select subject src, object dst, count(*)::double weight from rel where subject <> '' and object <> '' group by 1, 2)"
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query(
+    r"""with w as (select doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') ws from documents),
+k as (select doc_id, ws, unnest(generate_series(0, greatest(0, ceil((len(ws) - 200) / 150.0)::bigint))) chunk_idx from w where len(ws) > 0)
+select doc_id, chunk_idx::int chunk_idx, array_to_string(ws[chunk_idx * 150 + 1 : chunk_idx * 150 + 200], ' ') chunk from k"""
+)
+def chunk_documents_200_50(spark, d):
+    return chunk_documents(table(spark, d, "documents"), 200, 50)
+
+
+@query(f"select doc_id, {CLEAN.format('text')} normalized from documents")
+def preprocess_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", preprocess(F.col("text")).alias("normalized"))
+
+
+@query(f"with {DOC} select ord, subject, predicate, object, source_quote, 1.0::double certainty_score, theme theme_association from doc")
+def triples_rule_extract(spark, d):
+    return doc(spark, d)
+
+
+@query(
+    """select event_id, 0 elem_idx, 'user ' || user_id subject, event_type predicate, cast(value as varchar) object, case when event_id % 3 = 0 then 'Other' else event_type end theme_association
+from events where event_id % 7 <> 0 and event_id % 5 <> 0 and event_id % 11 <> 0"""
+)
+def triples_json_validated(spark, d):
+    e = table(spark, d, "events")
+    subject = F.when(F.col("event_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" user "), F.col("user_id").cast("string"), F.lit("\t")))
+    score = F.when(F.col("event_id") % 5 == 0, F.lit("bad")).when(F.col("event_id") % 11 == 0, F.lit("1.5")).otherwise(F.lit(" 0.5 "))
+    theme = F.when(F.col("event_id") % 3 != 0, F.col("event_type"))
+    good = F.to_json(F.struct(subject.alias("subject"), F.col("event_type").alias("predicate"), F.col("value").cast("string").alias("object"), F.lit("q").alias("source_quote"), score.alias("certainty_score"), theme.alias("theme_association")))
+    payload = F.concat(F.lit('{"triples": ['), good, F.lit(', 7, {"subject": 3}]}'))
+    return triples.parse_triples(e.select("event_id", payload.alias("payload"))).select("event_id", "elem_idx", "subject", "predicate", "object", "theme_association")
+
+
+def _themes(spark, d):
+    t = table(spark, d, "documents")
+    title = F.when(F.col("doc_id") % 3 == 0, F.upper("source")).otherwise(F.concat(F.lit(" "), F.col("source")))
+    return t.select(F.col("doc_id").alias("ord"), title.alias("title"), F.col("lang").alias("description"), F.concat(F.lit("seen in "), F.col("doc_id").cast("string")).alias("reasoning"))
+
+
+THEMES = "themes as (select doc_id ord, case when doc_id % 3 = 0 then upper(source) else ' ' || source end title, lang description, 'seen in ' || doc_id reasoning from documents), freq as (select lower(trim(title)) as key, count(*) freq, min(ord) first_ord, arg_min(title, ord) title, arg_min(description, ord) description, arg_min(reasoning, ord) reasoning from themes group by 1)"
+
+
+@query(f"with {THEMES} select * from freq")
+def theme_frequency(spark, d):
+    return themes.theme_frequency(_themes(spark, d))
+
+
+@query(f"with {THEMES} select string_agg('Title: ' || title || ' (Frequency: ' || freq || ')' || chr(10) || 'Description: ' || description || chr(10) || 'Reasoning: ' || reasoning, chr(10) || chr(10) order by freq desc, first_ord) blocks, count(*) n_themes from freq")
+def theme_blocks(spark, d):
+    return themes.theme_blocks(themes.theme_frequency(_themes(spark, d)))
+
+
+@query(f"with {THEMES} select arg_min(trim(title), (-freq, first_ord)) master_domain, string_agg(trim(title), '|' order by freq desc, first_ord) master_themes from freq")
+def theme_consolidation(spark, d):
+    return themes.consolidate(themes.theme_frequency(_themes(spark, d))).withColumn("master_themes", F.array_join("master_themes", "|"))
+
+
+@query(f"with {DOC}, {ITEMS} select role, item original, {CLEAN.format('item')} normalized, min(ord) first_ord, item <> {CLEAN.format('item')} was_changed from items group by role, item")
+def normalization_details(spark, d):
+    return normalize.normalization_details(doc(spark, d))
+
+
+@query(f"with {DOC}, {ITEMS}, t as (select distinct role, item from items) select role, item, ((row_number() over (partition by role order by item) - 1) // 50)::int batch from t")
+def token_batches(spark, d):
+    return normalize.token_batches(triples.role_items(doc(spark, d)))
+
+
+@query(f"with {DOC}, {ITEMS} select role, item, count(*) n, min(ord) first_ord from items group by role, item")
+def role_item_counts(spark, d):
+    return triples.item_counts(triples.role_items(doc(spark, d)))
+
+
+@query(
+    f"""with {DOC}, seen as (select doc_id, entity, min(ord * 2 + pos) first from (select ord // 1000000 doc_id, ord, 0 pos, subject entity from doc union all select ord // 1000000, ord, 1, object from doc) group by 1, 2),
+r as (select doc_id, entity, (row_number() over (partition by doc_id order by first desc))::int as rank from seen) select * from r where rank <= 100"""
+)
+def recent_entities(spark, d):
+    return normalize.recent_entities(doc(spark, d).withColumn("doc_id", F.floor(F.col("ord") / 1_000_000)))
+
+
+def _labels(t: DataFrame) -> DataFrame:
+    items = triples.role_items(t).select("role", F.col("item").alias("member")).distinct()
+    return items.where(F.length("member") % 2 == 0).select("role", "member", F.concat(F.upper("role"), F.lit(":"), F.substring("member", 1, 3)).alias("label"))
+
+
+@query(
+    f"""with {DOC}, {ITEMS}, m as (select distinct role, item member, upper(role) || ':' || substr(item, 1, 3) label from items where length(item) % 2 = 0)
+select doc.ord, coalesce(a.label, subject) subject, coalesce(b.label, predicate) predicate, coalesce(c.label, object) object, (a.label is not null or b.label is not null or c.label is not null) hit from doc
+left join m a on a.role = 'subject' and a.member = subject left join m b on b.role = 'predicate' and b.member = predicate left join m c on c.role = 'object' and c.member = object"""
+)
+def map_lookup_resolve(spark, d):
+    t = triples.rule_triples(table(spark, d, "documents"))
+    return normalize.resolve_names(t, _labels(t)).select("ord", "subject", "predicate", "object", "hit")
+
+
+EDGE_COLUMNS = "subject src, object dst, count(*)::double weight, arg_min(predicate, ord) predicate, string_agg(distinct predicate, '|' order by predicate) predicates"
+
+
+def _edges(t: DataFrame) -> DataFrame:
+    return graph.edges(t).select("src", "dst", "weight", "predicate", F.array_join("predicates", "|").alias("predicates"))
+
+
+@query(f"with {REL} select {EDGE_COLUMNS} from rel group by 1, 2")
+def edges_weighted(spark, d):
+    return _edges(rel(spark, d))
+
+
+@query(f"with {DOC} select {EDGE_COLUMNS} from doc group by 1, 2")
+def edges_weighted_doc(spark, d):
+    return _edges(doc(spark, d))
+
+
+@query(f"with {REL}, {EDGES} select src || ' -[' || (select arg_min(predicate, ord) from rel r where r.subject = src and r.object = dst) || ']-> ' || dst line, weight from edges")
+def edge_lines(spark, d):
+    return graph.edges(rel(spark, d)).select(edge_text(F.col("src"), F.col("predicate"), F.col("dst")).alias("line"), "weight")
+
+
+@query(f"with {REL}, {EDGES} select node, count(*) degree, least(greatest(5 * count(*), 15), 50)::bigint size from (select src node from edges union all select dst from edges) group by 1")
+def node_degree(spark, d):
+    return graph.node_degree(graph.edges(rel(spark, d))).withColumn("size", node_size(F.col("degree")).cast("long"))
+
+
+@query(f"with {PART} select distinct subject entity, 'out' direction, object other, predicate from part_t union select distinct object, 'in', subject, predicate from part_t")
+def entity_neighborhoods(spark, d):
+    return graph.entity_neighborhoods(part(spark, d))
+
+
+@query(f"with {REL} select theme, string_agg(predicate, '|' order by ord, predicate) predicates, count(*) n from rel group by 1")
+def theme_predicates(spark, d):
+    return graph.theme_predicates(rel(spark, d)).withColumn("predicates", F.array_join("predicates", "|"))
+
+
+@query(f"with {PART}, {MEMBERS} select entity, theme, (dense_rank() over (order by entity) - 1)::bigint entity_idx, (dense_rank() over (order by theme) - 1)::bigint theme_idx, 1.0::double as value from members")
+def incidence_matrix(spark, d):
+    return hypergraph.incidence(hypergraph.memberships(part(spark, d)))
+
+
+@query(f"with {PART}, {MEMBERS} select entity, count(*) degree from members group by 1")
+def entity_theme_degree(spark, d):
+    return hypergraph.entity_degree(hypergraph.memberships(part(spark, d)))
+
+
+@query(f"with {PART}, {MEMBERS} select a.entity as row, b.entity col, -count(*)::double as value from members a join members b using (theme) where a.entity <> b.entity group by 1, 2")
+def laplacian_entries(spark, d):
+    return hypergraph.laplacian(hypergraph.memberships(part(spark, d)))
+
+
+OVERLAP = "overlap_t as (select a.theme theme_a, b.theme theme_b, count(*) shared from members a join members b using (entity) group by 1, 2)"
+
+
+@query(f"with {PART}, {MEMBERS}, {OVERLAP} select * from overlap_t")
+def theme_overlap(spark, d):
+    return hypergraph.theme_overlap(hypergraph.memberships(part(spark, d)))
+
+
+@query(f"with {PART}, {MEMBERS}, {OVERLAP} select o.theme_a parent, o.theme_b child, o.shared, round(o.shared / s.shared, 6) share from overlap_t o join overlap_t s on s.theme_a = o.theme_b and s.theme_b = o.theme_b where o.theme_a <> o.theme_b and o.shared / s.shared >= 0.8")
+def theme_inheritance(spark, d):
+    return hypergraph.theme_inheritance(hypergraph.memberships(part(spark, d)), 0.8).withColumn("share", F.round("share", 6))
+
+
+@query(f"with {PART}, {MEMBERS}, v as (select 'entity' kind, entity label, count(*) degree from members group by 2 union all select 'theme', theme, count(*) from members group by 2) select kind, label, round(degree / ((select count(*) from v) - 1), 6) centrality from v")
+def degree_centrality(spark, d):
+    return hypergraph.degree_centrality(hypergraph.memberships(part(spark, d))).withColumn("centrality", F.round("centrality", 6))
+
+
+def _given(spark, d):
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    a = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_name").alias("node"), F.col("n_regionkey").cast("long").alias("community"))
+    return a.union(n.select("n_name", F.col("n_regionkey").cast("long"))).distinct()
+
+
+@query(f"with {REL}, {EDGES}, {GIVEN} select a.community, src, dst, weight from edges join given a on a.node = src join given b on b.node = dst where a.community = b.community")
+def community_internal_edges(spark, d):
+    return graph.internal_edges(graph.edges(rel(spark, d)), _given(spark, d)).select("community", "src", "dst", "weight")
+
+
+@query(f"with {GIVEN} select community, count(*) size from given group by 1")
+def community_sizes(spark, d):
+    return graph.community_sizes(_given(spark, d))
+
+
+@query(
+    f"""with {REL}, {EDGES}, {GIVEN}, e as (select a.community ca, b.community cb, weight from edges join given a on a.node = src join given b on b.node = dst),
+p as (select c, sum(i) i, sum(o) o, sum(k) k from (select ca c, case when ca = cb then weight else 0 end i, weight o, 0 k from e union all select cb, 0, 0, weight from e) group by 1)
+select round(sum(i) - sum(o * k) / sum(o), 6) objective, round((sum(i) - sum(o * k) / sum(o)) / sum(o), 6) modularity from p"""
+)
+def modularity_given_partition(spark, d):
+    q = graph.modularity(graph.edges(rel(spark, d)), _given(spark, d))
+    return q.select(F.round("objective", 6).alias("objective"), F.round("modularity", 6).alias("modularity"))
+
+
+@query("select a.vec_id a, b.vec_id b, round(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) distance from embeddings a join embeddings b on a.vec_id < b.vec_id where 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) < 0.65")
+def cosine_pairs_below(spark, d):
+    p = table(spark, d, "embeddings").select(F.lit("all").alias("role"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return embedding.close_pairs(p, 0.65, "role", "vec_id").select("a", "b", F.round("distance", 4).alias("distance"))
+
+
+@query(
+    """with x as (select label, vec_id, unnest(embedding::double[]) v, generate_subscripts(embedding, 1) i from embeddings), m as (select label, i, avg(v) m from x group by 1, 2),
+s as (select x.label, vec_id, round(1 - sum(v * m) / (sqrt(sum(v * v)) * sqrt(sum(m * m))), 12) dist from x join m using (label, i) group by 1, 2)
+select label, arg_min(vec_id, (dist, vec_id)) center, round(min(dist), 6) distance from s group by 1"""
+)
+def embedding_centroid(spark, d):
+    m = table(spark, d, "embeddings").select("label", F.col("vec_id").alias("item_idx"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return embedding.centroids(m, "label", "vec_id").withColumn("distance", F.round("distance", 6))
+
+
+SPECTRUM_ROWS = ", ".join(f"('{n}', {k}, {v}::double)" for n, vs in SPECTRA.items() for k, v in enumerate(vs, 1))
+
+
+@query(
+    f"""with s(role, k, ev) as (values {SPECTRUM_ROWS}), w as (select *, ev - lead(ev) over (partition by role order by k) gap, sum(ev) over (partition by role order by k) / sum(ev) over (partition by role) cum, count(*) over (partition by role) n from s),
+g as (select role, max(n) total, arg_max(k, (gap, -k)) filter (gap is not null) kg, min(case when cum >= 0.85 then k end) kc from w group by 1)
+select g.role, (case when total <= 2 then total when w.cum < 0.5 then kc else kg end)::int components from g join w on w.role = g.role and w.k = g.kg"""
+)
+def explained_variance_select(spark, d):
+    rows = spark.createDataFrame([(n, k, v) for n, vs in SPECTRA.items() for k, v in enumerate(vs, 1)], "role string, k int, ev double")
+    by = Window.partitionBy("role").orderBy("k")
+    w = rows.withColumns({"gap": F.col("ev") - F.lead("ev").over(by), "cum": F.sum("ev").over(by) / F.sum("ev").over(Window.partitionBy("role"))})
+    g = w.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.max_by("k", F.when(F.col("gap").isNotNull(), F.struct("gap", -F.col("k")))).alias("kg"), F.min(F.when(F.col("cum") >= 0.85, F.col("k"))).alias("kc"))
+    at = w.select("role", F.col("k").alias("kg"), "cum")
+    return g.join(at, ["role", "kg"]).select("role", F.when(F.col("n") <= 2, F.col("n")).when(F.col("cum") < 0.5, F.col("kc")).otherwise(F.col("kg")).cast("int").alias("components"))
+
+
+@query("select doc_id, '{\"id\": ' || doc_id || '}' answer from documents")
+def answer_json(spark, d):
+    body = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit("}"))
+    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("so {x} Output:\n"), body)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("here:\n```json\n"), body, F.lit("\n``` done"))).otherwise(F.concat(F.lit("I say "), body, F.lit(" only")))
+    return table(spark, d, "documents").select("doc_id", json_in_answer(raw).alias("answer"))
+
+
+@query(
+    f"""with {DOC} select (select count(*) from documents) documents, (select sum(length(text))::bigint from documents) characters, count(*) triples,
+count(distinct subject) subjects_before, count(distinct predicate) predicates_before, count(distinct object) objects_before,
+count(distinct {CLEAN.format('subject')}) subjects_after, count(distinct {CLEAN.format('predicate')}) predicates_after, count(distinct {CLEAN.format('object')}) objects_after, count(distinct theme) themes from doc"""
+)
+def run_metrics_doc(spark, d):
+    docs = table(spark, d, "documents")
+    raw = triples.rule_triples(docs)
+    return run_metrics(docs, raw, normalize.normalize_triples(raw))
+
+
+def _points(spark, d):
+    p = table(spark, d, "part")
+    names = p.groupBy(F.lit("subject").alias("role"), F.col("p_name").alias("item")).agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first_ord"))
+    return embedding.encode(names)
+
+
+@query()
+def cluster_agglomerative(spark, d):
+    return cluster.cluster_items(_points(spark, d), 0.3, "none")
+
+
+@query()
+def cluster_centered_pca(spark, d):
+    return cluster.cluster_items(_points(spark, d), 0.15)
+
+
+@query()
+def communities_detected(spark, d):
+    return community.detect_communities(graph.edges(rel(spark, d)))
+
+
+@query()
+def registry_extract(spark, d):
+    return model_calls.extract_triples(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider()).select("ord", "doc_id", "subject", "predicate", "object", "theme_association")
+
+
+@query()
+def schema_synthesis(spark, d):
+    e = graph.edges(rel(spark, d))
+    return model_calls.synthesize_schemas(graph.hierarchy(e, _given(spark, d), 4), OfflineProvider(), "trade").select("community", "title", "summary", "core_theme")
+
+
+@query()
+def hypernym_mapping(spark, d):
+    points = _points(spark, d)
+    groups = cluster.cluster_items(points, 0.3, "none")
+    return model_calls.taxonomic_lift(model_calls.validate_clusters(groups, OfflineProvider(), "parts"), points, OfflineProvider(), "parts")
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["edges_weighted_doc"](spark, sf_dir)
+    """Edges of the graph that the rules find in the documents, with weights and predicates."""
+    return edges_weighted_doc(spark, sf_dir)
