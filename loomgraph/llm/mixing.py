@@ -121,3 +121,12 @@ def _settle(k: DataFrame, rounds: int = 3) -> DataFrame:
         on = F.col("k.source").eqNullSafe(F.col("p.source")) & F.col("k.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("k.size") == F.col("p.size"))
         k = durable(k.alias("k").join(p.alias("p"), on, "left").select("k.doc_id", "k.source", "k.size", "n", "source_size", "target", "rate", (F.col("copies") + F.coalesce("step", F.lit(0))).alias("copies"), "dice"))
     return k
+
+
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """The rows of docs, each repeated by its copies, with their columns."""
+    copies = durable(mix(docs, weights).select("doc_id", "source", "size", "copies").distinct()).where("copies > 0").alias("k")
+    sized = docs.withColumn("__size", word_count(F.col("text"))).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("d.source").eqNullSafe(F.col("k.source")) & (F.col("d.__size") == F.col("k.size"))
+    rows = sized.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("k.copies").cast("int"))))
+    return rows.select(*(F.col(f"d.{c}") for c in docs.columns))
