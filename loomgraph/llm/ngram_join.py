@@ -33,7 +33,7 @@ from .components import connected_components
 
 FLUSH = 1_500_000
 BITMAP_WORDS = 8
-CHUNK = 256
+CHUNK = 512
 SMALL = 32
 
 
@@ -221,18 +221,36 @@ def _uncompared(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
     few = members.join(keys.where(F.col("n") <= SMALL).select("key"), "key")
     other = few.select("key", F.col("node").alias("v"), F.col("root").alias("rv"))
     near = few.join(other, "key").where("node < v and root <> rv").select(F.col("node").alias("u"), "v").distinct()
-    many = keys.where(F.col("n") > SMALL).select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    rows = members.join(many, "key").join(sets.select("node", "size", "bits"), "node")
-    rows = rows.withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.withColumns({"lo": F.least("c", "o"), "hi": F.greatest("c", "o")})
+    # In a larger key most members tend to be of one class. These are not compared with
+    # each other, so they are dealt by chunks to the chunks of the rest, and only the
+    # rest is dealt in pairs of chunks.
+    large = members.join(keys.where(F.col("n") > SMALL), "key")
+    most = large.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+    most = most.groupBy("key").agg(F.max(F.struct("m", "root")).alias("b"), F.max("n").alias("n"))
+    chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    most = most.select("key", F.col("b.root").alias("bulk_root"), chunks(F.col("b.m")).alias("bulk_chunks"), chunks(F.col("n") - F.col("b.m")).alias("rest_chunks"))
+    rows = large.select("key", "node", "root").join(most, "key").join(sets.select("node", "size", "bits"), "node")
+    rows = rows.withColumn("bulk", F.col("root") == F.col("bulk_root"))
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("node"), F.when(F.col("bulk"), F.col("bulk_chunks")).otherwise(F.col("rest_chunks"))).cast("int"))
+    tile = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    across = F.transform(upto("rest_chunks"), lambda r: tile(0, F.col("c"), r))
+    down = F.transform(upto("bulk_chunks"), lambda q: tile(0, q, F.col("c")))
+    aside = F.transform(upto("rest_chunks"), lambda r: tile(1, F.least(F.col("c"), r), F.greatest(F.col("c"), r)))
+    rows = rows.withColumn("tile", F.explode(F.when(F.col("bulk"), across).otherwise(F.concat(down, aside))))
+    rows = rows.select("key", "tile.kind", "tile.x", "tile.y", "node", "root", "size", "bits", "bulk", "c")
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        bits, size, node, root, c = np.array(p["bits"].tolist(), dtype=np.int64).view(np.uint64), p["size"].to_numpy(), p["node"].to_numpy(), p["root"].to_numpy(), p["c"].to_numpy()
+        bits, size, node, root = np.array(p["bits"].tolist(), dtype=np.int64).view(np.uint64), p["size"].to_numpy(), p["node"].to_numpy(), p["root"].to_numpy()
+        across = p["kind"].iloc[0] == 0
+        side = p["bulk"].to_numpy() if across else p["c"].to_numpy() == p["x"].iloc[0]
+        within = not across and p["x"].iloc[0] == p["y"].iloc[0]
+        one = np.flatnonzero(side)
+        two = one if within else np.flatnonzero(~side)
         out = []
-        same = p["lo"].iloc[0] == p["hi"].iloc[0]
-        for i in range(len(p)):
-            j = np.flatnonzero((root != root[i]) & ((np.arange(len(p)) > i) if same else (c > c[i])))
+        for i in one if len(one) <= len(two) else two:
+            j = two if len(one) <= len(two) else one
+            j = j[(root[j] != root[i]) & ((j > i) | (not within))]
             differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1).astype(np.int64)
             most = (size[j] + size[i] - differ) // 2
             j = j[100 * most >= percent * (size[j] + size[i] - most)]
@@ -240,7 +258,7 @@ def _uncompared(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
                 out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], axis=1))
         return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), dtype=np.int64), columns=["u", "v"])
 
-    return near.union(rows.groupBy("key", "lo", "hi").applyInPandas(run, "u long, v long").distinct())
+    return near.union(rows.groupBy("key", "kind", "x", "y").applyInPandas(run, "u long, v long").distinct())
 
 
 def ngram_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -306,3 +324,10 @@ def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFr
     classes = classes.join(least, "root").select("node", "component_id")
     out = nodes.join(classes, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of docs that stand for their class: those with its smallest doc_id, one of each. Rows without doc_id stay."""
+    first = ngram_classes(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
