@@ -110,7 +110,8 @@ def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str
         if p["lo"].iloc[0] != p["hi"].iloc[0]:
             near &= c[:, None] != c[None, :]
         i, j = np.nonzero(near)
-        return pd.DataFrame({by: [p[by].iloc[0]] * len(i), "a": k[i], "b": k[j], "distance": d[i, j]})
+        out = pd.DataFrame({by: [p[by].iloc[0]] * len(i), "a": k[i], "b": k[j], "distance": d[i, j]})
+        return out if len(out) else p[[by, key, key]].iloc[:0].set_axis([by, "a", "b"], axis=1).assign(distance=pd.Series(dtype="float64"))
 
     return rows.groupBy(by, "lo", "hi").applyInPandas(run, f"{by} {kinds[by]}, a {kinds[key]}, b {kinds[key]}, distance double")
 

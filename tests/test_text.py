@@ -1,0 +1,59 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from loomgraph.functions import text as T
+
+TEN = " ".join(f"w{i}" for i in range(1, 11))
+
+
+def span(a, b):
+    return " ".join(f"w{i}" for i in range(a, b + 1))
+
+
+@pytest.mark.parametrize(
+    "m, o, ranges",
+    [
+        (4, 1, [(1, 4), (4, 7), (7, 10)]),
+        (4, 2, [(1, 4), (3, 6), (5, 8), (7, 10)]),
+        (3, 3, [(1, 3), (4, 6), (7, 9), (10, 10)]),
+        (10, 2, [(1, 10)]),
+        (9, 2, [(1, 9), (8, 10)]),
+        (4, 5, [(1, 4), (5, 8), (9, 10)]),
+    ],
+)
+def test_chunks(spark, m, o, ranges):
+    docs = spark.createDataFrame([(1, TEN), (2, ""), (3, " \n\t"), (4, None)], "doc_id long, text string")
+    got = T.chunk_documents(docs, m, o).orderBy("chunk_idx").collect()
+    assert [(r.doc_id, r.chunk) for r in got] == [(1, span(a, b)) for a, b in ranges]
+
+
+def test_chunk_size_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        T.chunk_documents(spark.createDataFrame([], "doc_id long, text string"), 0)
+
+
+def test_preprocess(spark):
+    cases = {"<PERSON>": "person", "and/or": "andor", "snake_case_name": "snake case name", "[]": "", "  A\\B {c}|d \t \n E ": "ab cd e", "İstanbul": "i̇stanbul", "a b\x1cc": "a b c"}
+    rows = spark.createDataFrame(list(cases.items()), "x string, want string")
+    assert rows.where(T.preprocess(F.col("x")) != F.col("want")).count() == 0
+
+
+def test_strip_and_default(spark):
+    r = spark.createDataFrame([("  a \x1f", "", None)], "a string, b string, c string")
+    assert r.select(T.strip(F.col("a")), T.theme_or_other(F.col("b")), T.theme_or_other(F.col("c"))).head()[:] == ("a", "Other", "Other")
+
+
+def test_context_bound():
+    assert [T.context_bound(*x) for x in ((0, 8000), (3999, 8000), (4000, 8000), (10, 500))] == [8000, 2000, 8000, 500]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text("ab", min_size=1, max_size=3), min_size=1, max_size=40), st.integers(2, 12), st.integers(0, 12))
+def test_chunks_rebuild_the_words(spark, words, m, o):
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    chunks = [r.chunk.split(" ") for r in T.chunk_documents(docs, m, o).orderBy("chunk_idx").collect()]
+    step = m - o if m > o else m
+    rebuilt = chunks[0] + [w for c in chunks[1:] for w in c[m - step :]]
+    assert rebuilt == words
