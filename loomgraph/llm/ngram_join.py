@@ -165,6 +165,8 @@ def node_sets(docs: DataFrame, width: int) -> DataFrame:
         for b in batches:
             for i in range(0, len(b), 200):
                 sets = [s for t in b["text"].iloc[i : i + 200] if len(s := shingle_set(t, width))]
+                if not sets:
+                    continue
                 yield pd.DataFrame({"node": [set_hash(s) for s in sets], "size": [len(s) for s in sets], "bits": [bitmap(s) for s in sets], "shingles": [s.tobytes() for s in sets]}, columns=["node", "size", "bits", "shingles"])
 
     return docs.select("text").mapInPandas(run, "node long, size long, bits array<long>, shingles binary")

@@ -1,0 +1,49 @@
+"""The pipeline's rows against a plain version of its stages, and what each stage must keep and drop."""
+
+import hashlib
+import os
+from collections import Counter
+
+import pytest
+
+pytest.importorskip("public_tokenizers")
+import corpus_pipeline as P
+from loomgraph.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    tables = [docs]
+    for name, stage in P.STAGES:
+        tables.append(P.shared_table(stage(spark, tables[-1], FOLDER), f"test-{name}"))
+        if name != "bpe":
+            assert tables[-1].columns == columns and tables[-1].dtypes == docs.dtypes
+    rows = [{(r.doc_id): r for r in t.collect()} for t in tables]
+    toxic = {r.doc_id for r in QUERIES["op5_toxicity"](spark, FOLDER).where("predicted = 1").collect()}
+    assert set(rows[1]) == set(rows[0]) - toxic
+    classes = P.keep_one(tables[1]).select("doc_id").collect()
+    assert set(rows[2]) == {r.doc_id for r in classes} <= set(rows[1])
+    assert set(rows[3]) == set(rows[2])
+    copies = Counter(r.doc_id for r in tables[4].select("doc_id").collect())
+    assert set(copies) <= set(rows[3]) and max(copies.values()) <= 3
+    from loomgraph.llm.mixing import mix
+
+    assert copies == Counter({r.doc_id: r.copies for r in mix(tables[3]).collect() if r.copies})
+    assert all(r.decoded_sha256 == hashlib.sha256(rows[4][r.doc_id].text.encode()).hexdigest() for r in tables[5].collect())
+    final = Counter((r.doc_id, r.ids_sha256) for r in P.run(spark, FOLDER).collect())
+    assert final == Counter((r.doc_id, r.ids_sha256) for r in tables[5].collect())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_registered_queries(spark, name):
+    got = QUERIES[name](spark, FOLDER)
+    table = {"op3_": "embeddings", "op7_": "pages", "op10": "conversations"}.get(name[:4], "documents")
+    n = spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    if table == "documents" or table == "pages":
+        assert got.count() == n
+    else:
+        assert 0 < got.count()
