@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_folder, shared_table
+from .common import durable, own_folder, shared_table
 
 GAP = 1 << 16
 READ = 1 << 23
@@ -92,7 +92,8 @@ def classify(pages: DataFrame, least: int = 100) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     groups = rows.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where("n > 1").select("digest", "first")
+    # As a table its size is known: few groups are broadcast and no payload is shuffled, many are joined by sorting.
+    groups = durable(groups.where("n > 1").select("digest", "first"))
     rows = rows.join(groups, "digest", "left")
     return rows.select("page_id", "url", "html", "digest", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
