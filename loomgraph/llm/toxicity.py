@@ -17,7 +17,6 @@ trained on, with variants of the positive words.
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -32,37 +31,54 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 
-TRAIN_DOCS = 4_000
-LANDMARKS = 128
-DECAY = 0.7
+TRAIN_DOCS = 3_000
+LANDMARKS = 256
+DECAY = 0.5
 WIDTH, STRIDE = 24, 12
+NARROW = (10, 2)
 MEMORY = 300_000
-LETTERS, GAP = 30, 30
+LETTERS, GAP = 33, 33
+START, END, MARK = 31, 32, 1
 
 #: Signs that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
 def _letter(c: str) -> int:
-    c = LOOKALIKES.get(c, c)
-    base = unicodedata.normalize("NFKD", c)[:1].lower()
-    if "a" <= base <= "z":
-        return ord(base) - ord("a")
-    return 26 + ord(c) % 4 if c.isalnum() else GAP
+    c = LOOKALIKES.get(c, c).lower()[:1]
+    if "a" <= c <= "z":
+        return ord(c) - ord("a")
+    return 26 + ord(c) % 5 if c.isalnum() else GAP
 
 
 _LOW = np.array([_letter(chr(i)) for i in range(0x250)], dtype=np.uint8)
 
 
-def letters(word: str) -> np.ndarray:
-    """Letter codes of a lower-case word; GAP for signs inside it, none at its ends."""
-    points = np.frombuffer(word.encode("utf-32-le", "replace"), dtype=np.uint32)
+def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letter codes of lower-case words on end, and each word's start and length in them; GAP for signs inside a word, its ends without signs."""
+    joined = "".join(f"{chr(MARK)}{w}{chr(MARK)}\n" for w in (w.replace("\n", " ") for w in words))
+    points = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
     codes = _LOW[np.minimum(points, 0x24F)]
-    high = points >= 0x250
-    if high.any():
-        codes[high] = [_letter(chr(p)) for p in points[high]]
-    real = np.flatnonzero(codes != GAP)
-    return codes[real[0] : real[-1] + 1] if len(real) else codes[:0]
+    high = np.flatnonzero(points >= 0x250)
+    if len(high):
+        kinds, which = np.unique(points[high], return_inverse=True)
+        codes[high] = np.array([_letter(chr(p)) for p in kinds], dtype=np.uint8)[which]
+    ends = np.flatnonzero(points == 10)
+    real = np.flatnonzero((codes != GAP) & (points != MARK))
+    own = np.searchsorted(ends, real)
+    first, last = np.zeros(len(words), dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
+    first[own[::-1]] = real[::-1]
+    last[own] = real
+    some = last >= 0
+    first[some] -= 1
+    last[some] += 1
+    codes[first[some]], codes[last[some]] = START, END
+    return codes, first, np.where(some, last - first + 1, 0)
+
+
+def letters(word: str) -> np.ndarray:
+    codes, first, length = _spelled([word])
+    return codes[first[0] : first[0] + length[0]]
 
 
 @lru_cache(maxsize=64)
@@ -99,20 +115,23 @@ def _cells(codes: np.ndarray) -> np.ndarray:
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(index of the word, letter codes) for windows of equal length; a word of many letters has many windows, so all of it is read."""
-    groups: dict[int, tuple[list[int], list[np.ndarray]]] = {}
-    for i, w in enumerate(words):
-        codes = letters(w)
-        for at in range(0, max(1, len(codes) - WIDTH + STRIDE), STRIDE):
-            part = codes[at : at + WIDTH]
-            if len(part) >= 3:
-                index, rows = groups.setdefault(len(part), ([], []))
-                index.append(i)
-                rows.append(part)
-    for n, (index, rows) in groups.items():
-        step = max(1, 2_000_000 // max(1, len(_triples(n)[0])))
-        for at in range(0, len(rows), step):
-            yield np.array(index[at : at + step]), np.stack(rows[at : at + step])
+    """(index of the word, letter codes) for windows of equal length: a word itself, or of a long word wide and narrow overlapping windows that cover all of it."""
+    codes, first, length = _spelled(words)
+    for n in range(3, WIDTH + 1):
+        own = np.flatnonzero(length == n)
+        yield from _blocks(own, codes[first[own][:, None] + np.arange(n)])
+    for i in np.flatnonzero(length > WIDTH):
+        word = codes[first[i] : first[i] + length[i]]
+        for width, stride in ((WIDTH, STRIDE), NARROW):
+            view = np.lib.stride_tricks.sliding_window_view(word, width)
+            at = np.unique(np.append(np.arange(0, len(view), stride), len(view) - 1))
+            yield from _blocks(np.full(len(at), i), view[at])
+
+
+def _blocks(own: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    step = max(1, 500_000 // len(_triples(rows.shape[1])[0]))
+    for at in range(0, len(rows), step):
+        yield own[at : at + step], rows[at : at + step]
 
 
 def embed(words: list[str]) -> np.ndarray:
@@ -169,6 +188,10 @@ def _variants(word: str) -> list[str]:
     return [".".join(word), "x".join(word), word[: len(word) // 2] + "*" + word[len(word) // 2 :], word[: len(word) // 2] + "h" + word[len(word) // 2 :]]
 
 
+def _all_values(machine: Machine, words: list[str]) -> dict[str, float]:
+    return {w: v for i in range(0, len(words), 20_000) for w, v in zip(words[i : i + 20_000], machine.values(words[i : i + 20_000]).tolist())}
+
+
 def train(docs: list[tuple[int, list[str]]], rounds: int = 4, landmarks: int = LANDMARKS) -> Machine | None:
     """docs: (label, distinct words). None if a class is missing."""
     toxic = [w for y, w in docs if y == 1 and w]
@@ -177,10 +200,18 @@ def train(docs: list[tuple[int, list[str]]], rounds: int = 4, landmarks: int = L
         return None
     seen, harmless = Counter(x for w in toxic for x in w), Counter(x for w in clean for x in w)
     lift = {x: (n / len(toxic)) / ((harmless[x] + 0.2) / len(clean)) * np.sqrt(n) for x, n in seen.items()}
+    # Words that toxic documents have far beyond chance, by the log likelihood ratio.
+    q = len(toxic) / (len(toxic) + len(clean))
+    marked = set()
+    for x, n in seen.items():
+        r = n / (n + harmless[x])
+        if r > q and n * np.log(r / q) + (harmless[x] * np.log((1 - r) / (1 - q)) if harmless[x] else 0.0) >= 10:
+            marked.add(x)
     chosen = Counter(max(w, key=lambda x: (lift[x], x)) for w in toxic)
+    chosen.update({x: seen[x] for x in marked})
     common = sorted(harmless, key=lambda x: (-harmless[x], x))
     negative = common[:1_500] + sorted(common[1_500:], key=hash_of)[:4_500]
-    pool, machine = None, None
+    pool, machine, tough = None, None, set()
     for _ in range(rounds):
         positive = sorted(chosen, key=lambda x: (-chosen[x], x))[:400]
         marks = list(dict.fromkeys(positive[: landmarks // 2] + common[: landmarks // 2]))
@@ -190,29 +221,31 @@ def train(docs: list[tuple[int, list[str]]], rounds: int = 4, landmarks: int = L
         root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-6))) @ vec.T
         extra = [v for x in positive[:100] for v in _variants(x)]
         rows = positive + extra + negative
-        k = np.vstack([embed(rows[i : i + 500]) @ base.T for i in range(0, len(rows), 500)])
+        k = np.vstack([embed(rows[i : i + 100]) @ base.T for i in range(0, len(rows), 100)])
         y = np.array([1.0] * (len(positive) + len(extra)) + [-1.0] * len(negative))
-        share = np.array([min(chosen[x], 50) for x in positive] + [1.0] * len(extra), dtype=np.float64)
-        weight = np.concatenate([share * (len(negative) / 4 / share.sum()), np.ones(len(negative))])
+        share = np.array([min(chosen[x], 400) for x in positive] + [1.0] * len(extra), dtype=np.float64)
+        weight = np.concatenate([share * (len(negative) / 3 / share.sum()), np.array([(4.0 if x in tough else 1.0) for x in negative])])
         v, bias = _svm(k @ root, y, weight)
         machine = Machine((base.T @ (root @ v)), bias)
         if pool is None:
             pool = list(set(seen) | set(harmless))
-        value = dict(zip(pool, machine.values(pool)))
+        value = _all_values(machine, pool)
         # The worst word of each toxic document, where clean documents don't have it too.
         chosen = Counter(max(w, key=lambda x: (value[x] + 0.25 * np.log(lift[x]), x)) for w in toxic)
+        chosen.update({x: seen[x] for x in marked})
         hard = sorted((x for x in harmless if value[x] > -0.8), key=lambda x: (-value[x], x))[:2_000]
         negative = list(dict.fromkeys(negative + hard))
-    value = dict(zip(pool, machine.values(pool)))
+        tough |= {x for x in hard if value[x] > 0 and harmless[x] > 1}
+    value = _all_values(machine, pool)
     worst = np.array([max(value[x] for x in w) for w in toxic] + [max(value[x] for x in w) for w in clean])
     y = np.array([1.0] * len(toxic) + [0.0] * len(clean))
     a, c = 2.0, 0.0
-    for _ in range(200):  # Platt's sigmoid
+    for _ in range(300):  # Platt's sigmoid, by damped steps with a weak prior
         p = 1 / (1 + np.exp(-np.clip(a * worst + c, -50, 50)))
-        g = np.array([((p - y) * worst).mean() + 1e-3 * (a - 2), (p - y).mean()])
+        g = np.array([((p - y) * worst).mean() + 2e-3 * (a - 4), (p - y).mean()])
         h = p * (1 - p)
-        hess = np.array([[(h * worst * worst).mean(), (h * worst).mean()], [(h * worst).mean(), h.mean()]]) + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, g)
+        hess = np.array([[(h * worst * worst).mean(), (h * worst).mean()], [(h * worst).mean(), h.mean()]]) + 2e-3 * np.eye(2)
+        step = np.clip(np.linalg.solve(hess, g), -0.5, 0.5)
         a, c = a - step[0], c - step[1]
         if abs(step).max() < 1e-8:
             break
@@ -254,7 +287,8 @@ def training_docs(docs: DataFrame, labels: DataFrame, limit: int) -> list[tuple[
             yield pd.DataFrame({"toxic": b["toxic"], "words": [sorted(words_of(t)) for t in b["text"]]})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("doc_id", "text").mapInPandas(run, "toxic int, words array<string>")
-    return [(int(y), list(w)) for y, w in rows.toPandas().itertuples(index=False)]
+    one: dict[str, str] = {}  # equal words are one object
+    return [(int(r["toxic"]), [one.setdefault(w, w) for w in r["words"]]) for r in rows.toLocalIterator()]
 
 
 def _scorer(machine: Machine | None, memory: dict[str, float], texts: pa.Array) -> np.ndarray:
@@ -266,8 +300,8 @@ def _scorer(machine: Machine | None, memory: dict[str, float], texts: pa.Array)
     if len(memory) + len(new) > MEMORY:
         memory.clear()
         new = list(set().union(*found))
-    for i in range(0, len(new), 100_000):
-        memory.update(zip(new[i : i + 100_000], machine.values(new[i : i + 100_000]).tolist()))
+    for i in range(0, len(new), 20_000):
+        memory.update(zip(new[i : i + 20_000], machine.values(new[i : i + 20_000]).tolist()))
     look = memory.__getitem__
     return machine.probability(np.array([max(map(look, w)) if w else machine.bias for w in found], dtype=np.float64))
 
