@@ -1,13 +1,17 @@
 import itertools
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from loomgraph.operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
 from loomgraph.operators.components import connected_components
 from loomgraph.sources.providers import OfflineProvider, answer_json, call
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this module
+
 ROWS = [
     (1, "adhd", "affects", "attention", "Clinical"),
     (2, "adhd", "impairs", "attention", "Clinical"),
