@@ -80,6 +80,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most limit rows, those with the smallest hash of key. A threshold from the number of rows comes first, so that tasks together send little more than the limit, however many they are."""
+    space = 1 << 40
+    df = df.withColumn("__h", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(space)))
+    n = df.count()
+    if n > limit:
+        df = df.where(F.col("__h") < int(space * min(1.0, (1.2 * limit + 100) / n)))
+    return df.orderBy("__h", key).limit(limit).drop("__h")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: each input bit reaches each output bit."""
     x = np.asarray(x, dtype=np.uint64).copy()

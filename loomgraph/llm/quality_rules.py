@@ -15,9 +15,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import hash_sample, shared_table
 from .docstats import COUNTS, FEATURES, document_stats, feature_matrix
 from .quality_qda import labelled
 
@@ -113,7 +112,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, tr
     rules.
     """
     stats = shared_table(document_stats(docs), "stats")
-    sample = labelled(stats, labels, "quality").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").select("features", "label").limit(train_rows).toPandas()
+    sample = hash_sample(labelled(stats, labels, "quality"), "doc_id", train_rows).select("features", "label").toPandas()
     x, y = feature_matrix(sample["features"]), sample["label"].to_numpy(dtype=np.float64)
     model = Trees().fit(x, y) if 0 < y.sum() < len(y) else None
 
