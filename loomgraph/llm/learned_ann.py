@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, shared_table
+from .common import durable, hash_sample, shared_table
 
 SAMPLE_ROWS = 16_384
 PART_ROWS = 1_500
@@ -152,7 +152,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k
     parts = 1
     while parts < MOST_PARTS and rows / (2 * parts) >= PART_ROWS:
         parts *= 2
-    sample = _matrix(points.orderBy(F.xxhash64("vid"), "vid").select("v").limit(sample_rows).toPandas()["v"])
+    sample = _matrix(hash_sample(points, "vid", sample_rows).select("v").toPandas()["v"])
     router = fit_router(sample, parts)
     asked = durable(good.where(is_query).select("vec_id", "v"))
     queries = asked.groupBy("v").agg(F.min("vec_id").alias("qid"))
