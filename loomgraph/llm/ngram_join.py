@@ -107,15 +107,19 @@ def segment_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def document_nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, node) for each row."""
+    """(doc_id, n_shingles, node, text_hash) for each row. Ids pass as they are: as pandas numbers, large ones beside a null would be rounded."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t, width) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [len(s) for s in sets], "node": [set_hash(s) if len(s) else 0 for s in sets]})
+            sizes, nodes = [], []
+            for t in b.column(2).cast(pa.binary()):
+                s = shingle_set(t.as_py(), width)
+                sizes.append(len(s))
+                nodes.append(set_hash(s) if len(s) else 0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), b.column(1)], ["doc_id", "n_shingles", "node", "text_hash"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, text_hash long")
 
 
 def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -271,6 +275,11 @@ def ngram_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFra
     doc_id is never chosen as a class id while the class has another. component_id is
     the smallest doc_id that links reach.
     """
+    return _classes(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """ngram_classes with text_hash and the root of each row's class, null where there are no shingles."""
     nodes = shared_table(document_nodes(docs, width), "nodes")
     met = meetings(docs, width, percent)
     # One shuffle. Each map task sends one head a key at most; its other members carry
@@ -288,10 +297,16 @@ def ngram_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFra
 
 def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     wanted = durable(members.select("node").union(members.select("mine")).union(members.select("rep")).distinct())
-    chosen = nodes.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node").select("doc_id").distinct()
-    sets = node_sets(docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi"), width)
+    # A node's set is read from the row of its smallest doc_id, or by the hash of its text where no row has one.
+    chosen = nodes.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash")).join(wanted, "node")
+    named = docs.select("doc_id", "text").join(chosen.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    nameless = docs.where("doc_id is null").select(F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(["text_hash"])
+    nameless = nameless.join(chosen.where("doc_id is null").select("text_hash"), "text_hash", "left_semi")
+    sets = node_sets(named.select("text").union(nameless.select("text")), width)
     sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
     sets = shared_table(sets, "sets")
+    if (got := sets.count()) != (want := wanted.count()):
+        raise RuntimeError(f"{want - got} of {want} sets to compare are missing")
     done = verify(pairs, sets, percent)
     links = done.where("linked").select("u", "v")
     roots = connected_components(links)
@@ -323,13 +338,13 @@ def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFr
     classes = nodes.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "root").select("node", "component_id")
+    classes = classes.join(least, "root").select("node", "root", "component_id")
     out = nodes.join(classes, "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "n_shingles", "text_hash", "root", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of docs that stand for their class: those with its smallest doc_id, one of each. Rows without doc_id stay."""
-    first = ngram_classes(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """The rows of docs that stand for their class: of those with its smallest doc_id, one. Rows without doc_id stay, and of rows without shingles one of each doc_id."""
+    first = _classes(docs, width, percent).where("doc_id = component_id").groupBy("doc_id", "root").agg(F.min("text_hash").alias("__text")).select("doc_id", "__text").distinct()
+    kept = docs.withColumn("__text", F.xxhash64("text")).join(first, ["doc_id", "__text"], "left_semi").dropDuplicates(["doc_id", "__text"])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))

@@ -91,6 +91,33 @@ def test_empty_table_and_clashing_columns(spark):
     assert sorted((r.doc_id or 0) for r in N.keep_one(docs).collect()) == [0, 1]
 
 
+def test_rows_without_id_keep_their_links(spark):
+    """Originals without doc_id, each with edited copies; ids so large that a rounded one is another."""
+    rng = np.random.default_rng(6)
+    word = lambda: "n" + str(rng.integers(0, 10**6))
+    rows, high = [], 2**60
+    for g in range(12):
+        base = [word() for _ in range(120)]
+        rows.append((2 * high + g, " ".join(base)))
+        for i in range(2):
+            copy = list(base)
+            copy[20 + 60 * i] = copy[30 + 60 * i] = word()
+            rows.append((high + 3 * g + i, " ".join(copy)))
+    want = brute(rows)
+    assert len({c for _, c in want.values()}) == 12
+    hidden = lambda i: None if i >= 2 * high else i
+    docs = spark.createDataFrame([(hidden(i), t) for i, t in rows], "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in N.ngram_classes(docs).collect())
+    assert got == sorted((hidden(i) or 0, n, c) for i, (n, c) in want.items())
+
+
+def test_one_row_of_each_class_stays_where_ids_repeat(spark):
+    a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, c), (3, a), (3, a.upper()), (4, None), (4, ""), (4, c)], "doc_id long, text string")
+    kept = sorted((r.doc_id, (r.text or "").lower()) for r in N.keep_one(docs).collect())
+    assert kept == [(1, a), (1, b), (3, c), (4, "")]
+
+
 @pytest.mark.parametrize("percent", [50, 85, 95])
 def test_bands_and_bitmaps_lose_nothing(percent):
     bands, rng = N.Bands(percent), np.random.default_rng(percent)
