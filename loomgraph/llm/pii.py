@@ -218,14 +218,14 @@ class Tagger:
 
 
 _SPELT = re.compile(r"(?i)[\[( ]at[\]) ]")
+_DOT = re.compile(r"(?i)\.|[\[( ]dot[\]) ]")
 
 
 def window_starts(text: str, codes: np.ndarray) -> np.ndarray:
     """Starts of overlapping windows that cover every place near a digit or an at sign, spelt out too."""
     signal = ((codes >= 26) & (codes <= 36)).copy()  # digits and the at sign
-    if "[at]" in text or "(at)" in text or " dot " in text:
-        for m in _SPELT.finditer(text):
-            signal[m.start() : m.end()] = True
+    for m in _SPELT.finditer(text):
+        signal[m.start() : m.end()] = True
     at = np.flatnonzero(signal)
     if not len(at):
         return at
@@ -238,7 +238,7 @@ def window_starts(text: str, codes: np.ndarray) -> np.ndarray:
 def plausible(kind: str, s: str) -> bool:
     digits = _digits(s)
     if kind == "email":
-        return ("@" in s or bool(_SPELT.search(s))) and ("." in s or " dot " in s.lower()) and sum(c.isalnum() for c in s) >= 5
+        return ("@" in s or bool(_SPELT.search(s))) and bool(_DOT.search(s)) and sum(c.isalnum() for c in s) >= 5
     if kind == "ip":
         parts = re.findall("[0-9]+", s)
         return len(parts) == 4 and _octets(".".join(parts))
@@ -247,6 +247,13 @@ def plausible(kind: str, s: str) -> bool:
     return PHONE_DIGITS[0] <= len(digits) <= PHONE_DIGITS[1] and not any(c.isalpha() for c in s)
 
 
+def name_start(s: str) -> int:
+    """Where the name of a found address starts: it holds no space, so words before it are not its."""
+    at = min((m.start() for m in (re.search("@", s), _SPELT.search(s)) if m), default=0)
+    name = s[:at].rstrip()
+    return max(name.rfind(c) for c in " \n\t") + 1
+
+
 def read_off(tags: np.ndarray, offset: int = 0) -> list[Span]:
     """Spans of a tag sequence."""
     out: list[Span] = []
@@ -289,6 +296,8 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger, batch:
                     a += 1
                 while b > a and not text[b - 1].isalnum():
                     b -= 1
+                if k == "email":
+                    a += name_start(text[a:b])
                 if a < b and plausible(k, text[a:b]) and not any(x < b and a < y for _, x, y in base[i]):
                     out[i].append((k, a, b))
         rows.clear(), owner.clear(), start.clear()
@@ -321,7 +330,7 @@ def write_span(rng: random.Random) -> tuple[str, str]:
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     if kind == "email":
         name = word(2, 8) + rng.choice(["", ".", "_", "-"]) + word(1, 6) + rng.choice(["", number(2)])
-        at, dot = rng.choice([("@", "."), ("@", "."), (" [at] ", " dot "), (" (at) ", "."), (" @ ", " . "), (" at ", " dot ")])
+        at, dot = rng.choice([("@", "."), ("@", "."), (" [at] ", " dot "), (" (at) ", "."), (" @ ", " . "), (" at ", " dot "), (" at ", "."), (" [at] ", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "(dot)")])
         return kind, name + at + word(3, 9) + dot + rng.choice(["com", "org", "net", "de", "fr", "example", "es"])
     if kind == "ip":
         return kind, rng.choice([".", ".", "[.]", " . "]).join(str(rng.randint(0, 255)) for _ in range(4))

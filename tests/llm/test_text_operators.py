@@ -216,6 +216,13 @@ def test_tagger_finds_made_spans(tagger):
     assert all(k == "phone" for k, _, _ in found)
 
 
+def test_spelt_out_addresses(spark, tagger):
+    made = ["JOHN [AT] EXAMPLE.COM", "Jomar (At) Mailer.org", "john [at] example [dot] com", "john.doe (AT) example (DOT) com", "jomar at mailer.org", "john[at]example[dot]com"]
+    docs = spark.createDataFrame([(i, f"the an ing or {t} the st ou") for i, t in enumerate(made)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_spans(docs, tagger).collect()}
+    assert got == {i: f"email:14:{14 + len(t)}" for i, t in enumerate(made)}
+
+
 def test_spans_and_masks(spark, tagger):
     text = "é a.b@c.org, 10.0.0.1; 4111 1111 1111 1111 +49 30 12345678"
     rows = EDGES + [(9, text)]
