@@ -49,7 +49,7 @@ class Pipeline:
         found = self._stage("original_themes", lambda: model_calls.discover_themes(chunk_documents(docs, c.theme_chunk_words, c.overlap_words), p))
         master = self._stage("distilled_themes", lambda: themes.consolidate(themes.theme_frequency(found), c.default_domain))
         first = master.head()
-        domain, titles = first["master_domain"], ", ".join(first["master_themes"][:50])
+        domain, titles = first["master_domain"], ", ".join(first["master_themes"])
         raw = self._stage("original_triplets", lambda: model_calls.extract_triples(chunk_documents(docs, c.triple_chunk_words, c.overlap_words), p, domain, titles, c.registry_entities))
         out = {"original_themes": found, "distilled_themes": master, "original_triplets": raw}
         if not raw.head(1):
@@ -70,7 +70,7 @@ class Pipeline:
         tree = self._stage("extracted_hierarchy", lambda: graph.hierarchy(edges, parts, c.min_community_size))
         members = self._stage("memberships", lambda: hypergraph.memberships(mapped))
         down = self._stage("theme_inheritance", lambda: hypergraph.theme_inheritance(members, c.overlap_threshold))
-        told = "; ".join(f"{r['child']} is part of {r['parent']}" for r in down.orderBy("parent", "child").limit(50).collect())
+        told = "; ".join(f"{r['child']} is part of {r['parent']}" for r in down.orderBy("parent", "child").collect())
         schemas = self._stage("schemas", lambda: model_calls.synthesize_schemas(tree, p, domain, told))
         out |= {"clusters_identified": groups, "verified_clusters": checked, "hypernym_mapping": names, "mapped_triplets": mapped, "edges": edges, "modularity_partition": parts, "extracted_hierarchy": tree, "memberships": members, "theme_inheritance": down, "schemas": schemas, "metrics": run_metrics(docs, raw, mapped)}
         self.log.info("done in %.1f s", time.time() - began)

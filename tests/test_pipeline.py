@@ -1,6 +1,7 @@
 from loomgraph.config import Config, load_config
 from loomgraph.plans.pipeline import Pipeline
 from loomgraph.sources import corpus, sinks
+from loomgraph.sources.providers import OfflineProvider
 
 TEXTS = ["The clinic treats patients.\nThe clinic helps families.\nDoctors advise the clinic", "Doctors treat patients. The school helps families", ""]
 
@@ -21,6 +22,27 @@ def test_run_and_resume(spark, tmp_path):
     assert p.export(out, tmp_path / "export").exists()
 
 
+def test_providers_get_all_themes_and_inheritance(spark, tmp_path):
+    class Telling(OfflineProvider):
+        """Answers with the context it was given; all themes share their entities."""
+
+        name = "telling"
+
+        def triples(self, text, domain, themes, entities):
+            return {"triples": [{"subject": "one", "predicate": "knows", "object": "two", "source_quote": themes, "certainty_score": 1.0, "theme_association": f"T{int(text.split()[1]) % 9}"}]}
+
+        def schema(self, community, domain, inheritance):
+            return OfflineProvider.schema(self, community, domain, inheritance) | {"core_theme": inheritance}
+
+    docs = corpus.in_memory(spark, [f"theme{i:02} {i} text" for i in range(60)])
+    out = Pipeline(spark, f"file://{tmp_path}/s", Config(min_community_size=1), Telling()).run(docs)
+    for r in out["original_triplets"].collect():
+        assert sorted(r.source_quote.split(", ")) == [f"theme{i:02}" for i in range(60)]
+    told = {f"T{a} is part of T{b}" for a in range(9) for b in range(9) if a != b}
+    found = out["schemas"].collect()
+    assert found and all(set(r.core_theme.split("; ")) == told for r in found)
+
+
 def test_no_triples(spark, tmp_path):
     out = Pipeline(spark, f"file://{tmp_path}/s").run(corpus.in_memory(spark, ["", "one two"]))
     assert out["original_triplets"].count() == 0 and "edges" not in out
