@@ -19,12 +19,19 @@ from .embedding import choose_components, close_pairs, project, spectrum, weight
 MOST_ITEMS = 6_000
 
 
-def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
-    """Cluster numbers by first member. Nearest-neighbour chains with the averaging update; merges strictly below the threshold."""
+def average_linkage(x: np.ndarray, threshold: float, most: int = MOST_ITEMS) -> np.ndarray:
+    """Cluster numbers by first member. Nearest-neighbour chains with the averaging update; merges strictly below the threshold.
+
+    Up to `most` items have a matrix of distances. For more, distances come from each
+    cluster's mean of unit vectors: the average of 1 - u.v over all pairs of two clusters
+    is 1 - the product of their means. Memory then grows with the items, not their square.
+    """
     n = len(x)
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    d = 1 - unit @ unit.T
-    np.fill_diagonal(d, np.inf)
+    d = None
+    if n <= most:
+        d = 1 - unit @ unit.T
+        np.fill_diagonal(d, np.inf)
     size, alive, parent = np.ones(n), np.ones(n, dtype=bool), np.arange(n)
     chain: list[int] = []
     frozen = np.zeros(n, dtype=bool)
@@ -35,7 +42,8 @@ def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
                 break
             chain = [int(left[0])]
         a = chain[-1]
-        row = np.where(alive, d[a], np.inf)
+        # Products summed row by row, so that both ends of a pair see the same distance.
+        row = np.where(alive, d[a] if d is not None else 1 - (unit * unit[a]).sum(axis=1), np.inf)
         row[a] = np.inf
         b = int(np.argmin(row))
         if len(chain) > 1 and row[chain[-2]] <= row[b]:
@@ -48,9 +56,11 @@ def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
         if len(chain) > 1 and b == chain[-2]:
             chain = chain[:-2]
             keep, gone = min(a, b), max(a, b)
-            d[keep] = (size[keep] * d[keep] + size[gone] * d[gone]) / (size[keep] + size[gone])
-            d[:, keep] = d[keep]
-            d[keep, keep] = np.inf
+            near = d if d is not None else unit
+            near[keep] = (size[keep] * near[keep] + size[gone] * near[gone]) / (size[keep] + size[gone])
+            if d is not None:
+                d[:, keep] = d[keep]
+                d[keep, keep] = np.inf
             size[keep] += size[gone]
             alive[gone] = False
             parent[gone] = keep
@@ -64,12 +74,13 @@ def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
     return np.array([order[r] for r in root])
 
 
-def cluster_items(points: DataFrame, threshold: float = 0.15, projection: str = "centered_pca") -> DataFrame:
+def cluster_items(points: DataFrame, threshold: float = 0.15, projection: str = "centered_pca", most: int = MOST_ITEMS) -> DataFrame:
     """points(role, item, n, first_ord, v) -> role, cluster_id, item_idx, item; clusters and members by first appearance.
 
     With centered_pca, items are centred by their weighted mean and projected on the
     chosen components first; an item that then is zero puts its whole role into one
-    cluster. A component of more than MOST_ITEMS items raises.
+    cluster. A component of more than `most` items is clustered without a matrix of
+    distances; its vectors are still one task's.
     """
     points = stage_table(points.select("role", "item", "n", "first_ord", "v"), "points")
     if projection == "centered_pca":
@@ -91,10 +102,8 @@ def cluster_items(points: DataFrame, threshold: float = 0.15, projection: str =
         p = p.sort_values(["first_ord", "item"], kind="stable")
         if len(p) == 1 or bool(p["whole"].iloc[0]):
             label = np.zeros(len(p), dtype=int)
-        elif len(p) > MOST_ITEMS:
-            raise ValueError(f"a component of {len(p)} items is more than one task clusters exactly; lower the threshold")
         else:
-            label = average_linkage(np.array(p["v"].tolist()), threshold)
+            label = average_linkage(np.array(p["v"].tolist()), threshold, most)
         first = p["node"].to_numpy()[[int(np.flatnonzero(label == k)[0]) for k in label]]
         return pd.DataFrame({"role": p["role"], "head": first, "item": p["item"], "first_ord": p["first_ord"]})
 

@@ -119,6 +119,18 @@ def test_two_centred_items_never_merge(spark, counts):
     assert _groups(cluster.cluster_items(_points(spark, [(1, 0), (1, 1e-4)], counts), 0.15)) == [["a"], ["b"]]
 
 
+def test_large_components_are_clustered_alike(spark):
+    rng = np.random.default_rng(7)
+    for threshold in (0.1, 0.4, 0.8):
+        x = rng.normal(size=(120, 4))
+        x = np.concatenate([x, x[:20]])
+        want = cluster.average_linkage(x, threshold)
+        assert 1 < want.max() and cluster.average_linkage(x, threshold, 10).tolist() == want.tolist()
+    p = _points(spark, [tuple(v) for v in x[:40].tolist()])
+    whole, parts = (_groups(cluster.cluster_items(p, 0.4, "none", most)) for most in (6_000, 2))
+    assert whole == parts and max(map(len, whole)) > 2
+
+
 def test_equal_vectors_are_one_cluster(spark):
     assert _groups(cluster.cluster_items(_points(spark, [(1, 0), (1, 0), (1, 0)]), 0.15)) == [["a", "b", "c"]]
 
