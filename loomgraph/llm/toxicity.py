@@ -9,10 +9,13 @@ landmarks enter linearly, they fold into one table over letter triples, and a wo
 value is a sum over its own triples, divided by its kernel norm. This is the same value
 as through the landmarks, at a cost that doesn't depend on their number.
 
-A sentence is as toxic as its worst word window, a document as its worst sentence.
-Training sentences: all of clean documents are negative; of each toxic document the
-worst sentence is positive, chosen anew after each fit. Inserted characters are also
-trained on, with variants of the positive words.
+The machine works on single words, not on sentences: a word is as toxic as its worst
+window, a document as its worst word, and words that are toxic only together are not
+found. Training rows are words of labelled documents. Positive are the worst word of each
+toxic document, chosen anew after each fit, and words that toxic documents have beyond
+chance, 400 at most; negative are the 1,500 commonest words of clean documents, 4,500
+others and up to 2,000 hard ones a round. Inserted characters are also trained on, with
+variants of the positive words.
 """
 
 from __future__ import annotations
