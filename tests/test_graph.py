@@ -91,6 +91,19 @@ def test_hypergraph(facts):
     assert hypergraph.theme_inheritance(m, 0.8).count() == 0
 
 
+def test_distributed_rounds_go_on_until_nothing_moves(spark):
+    """A ring: pairs and triples of neighbours must be joined again, level by level."""
+    n = 60
+    edges = spark.createDataFrame([(f"n{i:02}", f"n{(i + 1) % n:02}", 1.0) for i in range(n)], "src string, dst string, weight double")
+
+    def modularity(limit):
+        part = {r.node: r.community for r in community.detect_communities(edges, local_edges=limit).collect()}
+        inner = sum(part[f"n{i:02}"] == part[f"n{(i + 1) % n:02}"] for i in range(n))
+        return inner / n - sum(list(part.values()).count(c) ** 2 for c in set(part.values())) / n**2
+
+    assert modularity(1) > 0.95 * modularity(1000)
+
+
 @pytest.mark.parametrize("values, k", [([6, 3, 1], 1), ([3, 2.9, 1, 0.9, 0.8], 2), ([4, 4, 1, 1], 2), ([2.4, 2, 2, 2, 2, 2], 6), ([2, 2, 2, 2], 4), ([5, 1], 2)])
 def test_component_choice(values, k):
     assert embedding.choose_components(np.array(values, dtype=float)) == k
