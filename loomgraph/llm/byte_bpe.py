@@ -16,7 +16,7 @@ from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -162,13 +162,14 @@ def encode_decode(docs: DataFrame, tokens: list[bytes], pattern: str, keep_ids:
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(tokens))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _tokenizer(shared.value, pattern)
         for b in batches:
             for at in range(0, len(b), 500):
+                part = b.slice(at, 500)
                 n, sha, back, ids_out, decoded_out = [], [], [], [], []
-                for text in b["text"].iloc[at : at + 500]:
-                    ids = bpe.encode(text)
+                for text in part.column(1):
+                    ids = bpe.encode(text.as_py())
                     decoded = bpe.decode(ids)
                     n.append(len(ids))
                     sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
@@ -176,8 +177,10 @@ def encode_decode(docs: DataFrame, tokens: list[bytes], pattern: str, keep_ids:
                     if keep_ids:
                         ids_out.append(ids.astype(np.int64))
                         decoded_out.append(decoded)
-                out = {"doc_id": b["doc_id"].iloc[at : at + 500].reset_index(drop=True), "n_tokens": n, "ids_sha256": sha, "decoded_sha256": back}
-                yield pd.DataFrame(out | ({"ids": ids_out, "decoded": decoded_out} if keep_ids else {}))
+                out = {"doc_id": part.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha, pa.string()), "decoded_sha256": pa.array(back, pa.string())}
+                if keep_ids:
+                    out |= {"ids": pa.array(ids_out, pa.list_(pa.int64())), "decoded": pa.array(decoded_out, pa.binary())}
+                yield pa.RecordBatch.from_pydict(out)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInPandas(run, schema + (", ids array<long>, decoded binary" if keep_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<long>, decoded binary" if keep_ids else ""))

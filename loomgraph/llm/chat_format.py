@@ -15,7 +15,7 @@ import re
 from collections.abc import Iterator
 from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +29,8 @@ _UNESCAPE = re.compile(rf"([<\[])\\(\\*)(?={CONTROL})")
 PARTS = "array<struct<kind:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>>"
 SEGMENT = "conv_id {id}, seq long, role string, segment string, loss_start int, loss_end int, attachments array<struct<ordinal:int,kind:string,uri:string,tokens:long>>, n_tokens long"
 
+_SEGMENT = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.struct([("ordinal", pa.int32()), ("kind", pa.string()), ("uri", pa.string()), ("tokens", pa.int64())])), pa.int64())
+
 
 def escape(text: str) -> str:
     return _ESCAPE.sub(r"\1\\\2", text)
@@ -100,12 +102,11 @@ def format_turns(turns: DataFrame, **sizes: int) -> DataFrame:
     parts = max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = turns.select("conv_id", "turn", "role", "parts").repartition(parts, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "parts")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, seq = object(), 0
         for b in batches:
             out = []
-            for conv, role, content in zip(b["conv_id"], b["role"], b["parts"]):
-                conv = None if pd.isna(conv) else conv
+            for conv, _, role, content in zip(*(c.to_pylist() for c in b.columns)):
                 if conv != now:
                     now, seq = conv, 0
                 role = role or ""
@@ -115,14 +116,12 @@ def format_turns(turns: DataFrame, **sizes: int) -> DataFrame:
                 head = f"{BEGIN}{escape_role(role)}\n"
                 body = visitor.body
                 mask = (len(head), len(head) + len(body)) if role == "assistant" else (None, None)
-                out.append((conv, seq, role, f"{head}{body}{END}\n", *mask, [dict(zip(("ordinal", "kind", "uri", "tokens"), a)) for a in visitor.attachments], visitor.tokens))
+                out.append((seq, role, f"{head}{body}{END}\n", *mask, [dict(zip(("ordinal", "kind", "uri", "tokens"), a)) for a in visitor.attachments], visitor.tokens))
                 seq += 1
-            frame = pd.DataFrame(out, columns=["conv_id", "seq", "role", "segment", "loss_start", "loss_end", "attachments", "n_tokens"])
-            frame = frame.astype({"loss_start": "Int32", "loss_end": "Int32"})
-            yield frame.astype({"conv_id": "Int64"}) if kind in ("bigint", "int") else frame
+            if out:
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(zip(*out), _SEGMENT))], ["conv_id", "seq", "role", "segment", "loss_start", "loss_end", "attachments", "n_tokens"])
 
-    kind = turns.schema["conv_id"].dataType.simpleString()
-    return rows.mapInPandas(run, SEGMENT.format(id=kind))
+    return rows.mapInArrow(run, SEGMENT.format(id=turns.schema["conv_id"].dataType.simpleString()))
 
 
 def parse_segment(segment: str) -> tuple[str, str]:
@@ -138,12 +137,11 @@ def parse_segment(segment: str) -> tuple[str, str]:
 def read_back(segments: DataFrame) -> DataFrame:
     """The result of format_turns, as it comes -> conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from the segments and their masks alone."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, row = object(), None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, row, kind = object(), None, None
         for b in batches:
-            done = []
-            for conv, segment, low, high in zip(b["conv_id"], b["segment"], b["loss_start"], b["loss_end"]):
-                conv = None if pd.isna(conv) else conv
+            done, kind = [], b.column(0).type
+            for conv, segment, low, high in zip(*(c.to_pylist() for c in b.columns)):
                 if row is None or conv != now:
                     if row is not None:
                         done.append(finish(now, row))
@@ -151,25 +149,24 @@ def read_back(segments: DataFrame) -> DataFrame:
                 role, text = parse_segment(segment)
                 row[0] += 1
                 row[1].update(f"{role}\n{text}\n".encode("utf-8", "replace"))
-                if not pd.isna(low):
-                    learned = unescape(segment[int(low) : int(high)])
+                if low is not None:
+                    learned = unescape(segment[low:high])
                     row[2] += len(learned)
                     row[3].update(learned.encode("utf-8", "replace"))
                 row[4] += len(segment)
             if done:
-                yield frame(done)
+                yield batch(done, kind)
         if row is not None:
-            yield frame([finish(now, row)])
+            yield batch([finish(now, row)], kind)
 
     def finish(conv, row):
         return conv, row[0], row[1].hexdigest(), row[2], row[3].hexdigest(), row[4]
 
-    def frame(rows):
-        f = pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-        return f.astype({"conv_id": "Int64"}) if kind in ("bigint", "int") else f
+    def batch(rows, kind):
+        kinds = (kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    kind = segments.schema["conv_id"].dataType.simpleString()
-    return segments.select("conv_id", "segment", "loss_start", "loss_end").mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return segments.select("conv_id", "segment", "loss_start", "loss_end").mapInArrow(run, f"conv_id {segments.schema['conv_id'].dataType.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def text_turns(conversations: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -102,5 +101,5 @@ def document_stats(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, features array<double>")
 
 
-def feature_matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
+def feature_matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, len(FEATURES))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +90,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     moments = _moments(labelled(stats, labels, "quality"))
     model = Discriminant(moments) if set(moments) == {0, 1} else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = model.score(feature_matrix(b["features"])) if model and len(b) else np.full(len(b), 0.5)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": score, "predicted": (score >= threshold).astype("int32")})
+            score = model.score(feature_matrix(b.column(2))) if model and len(b) else np.full(len(b), 0.5)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "features").mapInPandas(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "features").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")

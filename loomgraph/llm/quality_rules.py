@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import hash_sample, shared_table
@@ -99,8 +99,8 @@ class Trees:
         return 1 / (1 + np.exp(-(self.start + self.value[trees, node].sum(axis=1))))
 
 
-def base_failed(counts: pd.DataFrame) -> pd.Series:
-    return (counts["n_words"] < 10) | (100 * counts["n_repeat_words"] > 20 * counts["n_words"])
+def base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
+    return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -112,15 +112,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, tr
     rules.
     """
     stats = shared_table(document_stats(docs), "stats")
-    sample = hash_sample(labelled(stats, labels, "quality"), "doc_id", train_rows).select("features", "label").toPandas()
-    x, y = feature_matrix(sample["features"]), sample["label"].to_numpy(dtype=np.float64)
+    sample = hash_sample(labelled(stats, labels, "quality"), "doc_id", train_rows).select("features", "label").toArrow().combine_chunks()
+    x, y = feature_matrix(sample["features"].combine_chunks()), sample["label"].to_numpy().astype(np.float64)
     model = Trees().fit(x, y) if 0 < y.sum() < len(y) else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = model.score(feature_matrix(b["features"])) if model and len(b) else np.ones(len(b))
-            failed = base_failed(b)
-            yield b[["doc_id", *COUNTS]].assign(base_failed=failed, score=score, kept=~failed & (score >= threshold))
+            score = model.score(feature_matrix(b.column("features"))) if model and len(b) else np.ones(len(b))
+            failed = base_failed(b.column("n_words").to_numpy(), b.column("n_repeat_words").to_numpy())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold))], ["doc_id", *COUNTS, "base_failed", "score", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stats.select("doc_id", *COUNTS, "features").mapInPandas(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, base_failed boolean, score double, kept boolean")
+    return stats.select("doc_id", *COUNTS, "features").mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, base_failed boolean, score double, kept boolean")

@@ -16,7 +16,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +28,20 @@ READ = 1 << 23
 STRETCH = 1 << 26
 ROLL = 1 << 30
 INDEX = "file string, offset long, length long, page_id long, url string, digest string, record_type string, refers_to long"
+RECORD = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 #: Fixed value: the header block's lines end so, and two of them end a record.
 EOL = b"\r\n"
 
 
+_ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as Arrow columns of a Spark schema. Ids stay integers: as pandas numbers, large ones beside a null would be rounded."""
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[kind]) for c, (_, kind) in zip(zip(*rows) if rows else [[]] * len(fields), fields)], [name for name, _ in fields])
+
+
 def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's URI and the path in it."""
     if folder.startswith("file:"):
@@ -105,15 +115,14 @@ def write_archives(pages: DataFrame, folder: str, least: int = 100) -> DataFrame
     reachable from every executor.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(folder)
         store.create_dir(path, recursive=True)
         out, name, at = None, "", 0
         try:
             for b in batches:
                 rows = []
-                for page, url, html, digest, refers in b.itertuples(index=False):
-                    page, refers = (None if pd.isna(x) else int(x) for x in (page, refers))
+                for page, url, html, digest, refers in (tuple(x.as_py() for x in row) for row in zip(*b.columns)):
                     if out is None or at >= ROLL:
                         if out is not None:
                             out.close()
@@ -123,13 +132,12 @@ def write_archives(pages: DataFrame, folder: str, least: int = 100) -> DataFrame
                     out.write(member)
                     rows.append((name, at, len(member), page, url, digest, "response" if refers is None else "revisit", refers))
                     at += len(member)
-                frame = pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _batch(rows, INDEX)
         finally:
             if out is not None:
                 out.close()
 
-    return shared_table(classify(pages, least).mapInPandas(run, INDEX), "warc-index")
+    return shared_table(classify(pages, least).mapInArrow(run, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -138,32 +146,32 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     parts = max(1, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     chosen = index.select("file", "offset", "length").repartition(parts, "file", stretch).sortWithinPartitions("file", "offset")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = filesystem(folder)
         for b in batches:
-            start, rows = 0, list(b.itertuples(index=False))
+            start, rows = 0, list(zip(*(c.to_pylist() for c in b.columns)))
             while start < len(rows):
-                file, low, high, end = rows[start].file, rows[start].offset, rows[start].offset + rows[start].length, start + 1
-                while end < len(rows) and rows[end].file == file and rows[end].offset - high <= GAP and rows[end].offset + rows[end].length - low <= READ:
-                    high = max(high, rows[end].offset + rows[end].length)
+                (file, low, length), end = rows[start], start + 1
+                high = low + length
+                while end < len(rows) and rows[end][0] == file and rows[end][1] - high <= GAP and rows[end][1] + rows[end][2] - low <= READ:
+                    high = max(high, rows[end][1] + rows[end][2])
                     end += 1
                 with store.open_input_file(file) as f:
                     f.seek(low)
                     data = io.BytesIO(f.read(high - low)).getbuffer()
                 found = []
-                for r in rows[start:end]:
-                    fields, body = parse(bytes(data[r.offset - low : r.offset - low + r.length]))
+                for _, offset, length in rows[start:end]:
+                    fields, body = parse(bytes(data[offset - low : offset - low + length]))
                     kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha256:")
                     if kind == "response" and hashlib.sha256(body).hexdigest() != digest:
-                        raise ValueError(f"payload and digest differ in {file} at {r.offset}")
+                        raise ValueError(f"payload and digest differ in {file} at {offset}")
                     refers = page_of(fields["warc-refers-to"]) if kind == "revisit" else None
                     size = len(body) if kind == "response" else int(fields["x-payload-length"])
                     found.append((page_of(fields["warc-record-id"]), re.sub("%(25|0D|0A)", lambda m: chr(int(m[1], 16)), fields["warc-target-uri"]), body if kind == "response" else None, size, digest, kind, refers))
-                frame = pd.DataFrame(found, columns=["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _batch(found, RECORD)
                 start = end
 
-    return chosen.mapInPandas(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return chosen.mapInArrow(run, RECORD)
 
 
 def round_trip(pages: DataFrame, least: int = 100) -> DataFrame:

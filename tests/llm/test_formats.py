@@ -234,3 +234,21 @@ def test_balanced_parts():
     x = rng.normal(size=(1000, 8))
     part = learned_ann.balanced_parts(x, learned_ann.neighbour_graph(x), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1.15 * 125) and set(part) == set(range(8))
+
+
+HIGH = [2**60 + 1, 2**60 + 2, None]
+
+
+def test_large_ids_beside_a_null(spark, both):
+    """Ids that a double can't hold, in one batch with a null: none is rounded, no two rows become one."""
+    ids = [0, *HIGH[:2]]
+    one = lambda rows, schema: spark.createDataFrame(rows, schema).coalesce(1)
+    docs = one([(i, f"text {k}") for k, i in enumerate(HIGH)], "doc_id long, text string")
+    assert sorted(r.doc_id or 0 for r in byte_bpe.encode_decode(docs, both[0].tokens, tokenizers.PATTERN).collect()) == ids
+    pages = one([(i, "u", "y" * 200) for i in HIGH], "page_id long, url string, html string")
+    assert sorted((r.page_id or 0, r.refers_to) for r in warc.round_trip(pages).collect()) == [(0, HIGH[0]), (HIGH[0], None), (HIGH[1], HIGH[0])]
+    turns = one([(i, 0, "user", f"t{k}") for k, i in enumerate(HIGH)], "conv_id long, turn long, role string, text string")
+    got = chat_format.read_back(chat_format.format_turns(chat_format.text_turns(turns))).collect()
+    assert sorted((r.conv_id or 0, r.n_turns) for r in got) == [(i, 1) for i in ids]
+    sources = docs.withColumn("source", F.lit("s"))
+    assert sorted(r.doc_id or 0 for r in mixing.mix(sources).collect()) == ids
