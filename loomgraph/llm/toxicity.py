@@ -1,153 +1,198 @@
-"""Toxicity: a support vector machine with a subsequence string kernel.
-
-Method: two words are alike by the subsequences of three letters that they share, each
-weighed by decay ** span on both sides, so gaps cost but don't hide a match. Marks and
-signs inside a word take up room and match nothing, look-alike digits and accented
-letters count as their letters, and runs of single letters count as one word. The
-machine works on the Nystroem features of a bounded set of landmark words. As all
-landmarks enter linearly, they fold into one table over letter triples, and a word's
-value is a sum over its own triples, divided by its kernel norm. This is the same value
-as through the landmarks, at a cost that doesn't depend on their number.
-
-The machine works on single words, not on sentences: a word is as toxic as its worst
-window, a document as its worst word, and words that are toxic only together are not
-found. Training rows are words of labelled documents. Positive are the worst word of each
-toxic document, chosen anew after each fit, and words that toxic documents have beyond
-chance, 400 at most; negative are the 1,500 commonest words of clean documents, 4,500
-others and up to 2,000 hard ones a round. Inserted characters are also trained on, with
-variants of the positive words.
+"""Toxicity: a support vector machine on sentences, with a subsequence string kernel.
+
+Method: texts fall into sentences. Two strings are alike by the subsequences of three
+letters that they share, each weighed by decay ** span on both sides, so gaps cost but
+don't hide a match. Signs inside a word take up room and match nothing, look-alike
+digits and accented letters count as their letters, the gap between two words is a
+letter of its own, and runs of single letters are one word. A sentence enters the kernel
+by its runs of one or two words (stretches of a longer word): its value is that of its
+worst run, a document's that of its worst sentence. Words that are toxic only side by
+side are thus seen, and a long sentence doesn't dilute them.
+
+The machine works on the Nystroem features of a bounded set of landmarks, which are
+runs of labelled sentences. As all landmarks enter linearly, they fold into one table
+over letter triples, and a run's value is a sum over its own triples divided by its
+norm: the same value as through the landmarks, at a cost that doesn't depend on their
+number. The norm is that of a run no triple of which occurs twice.
+
+Training: labels are those of documents, instances their sentences. All sentences of
+clean documents are negative; of a toxic one the worst sentence is positive, chosen anew
+after each fit, weighed by how far its run is beyond chance. Positive runs also enter
+with inserted characters. Every bound on training is a parameter of `Bounds`.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out
 
-TRAIN_DOCS = 3_000
-LANDMARKS = 256
 DECAY = 0.5
-WIDTH, STRIDE = 24, 12
-NARROW = (10, 2)
-MEMORY = 300_000
-LETTERS, GAP = 33, 33
-START, END, MARK = 31, 32, 1
+SPAN = 8
+WIDTH, STRIDE = 24, 8
+WORDS = 2
+BLOCK, OVERLAP = 1 << 20, 256
+LETTERS = 34
+BETWEEN, GAP = 31, 33
 
 #: Signs that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What the machine is trained on, at most: labelled documents, half of each class and none longer than doc_chars, chars of them in all; distinct positive runs, variants of the commonest, negative runs drawn at first and hard ones added a round; landmarks."""
+
+    docs: int = 3_000
+    doc_chars: int = 20_000
+    chars: int = 6_000_000
+    positive: int = 600
+    variants: int = 100
+    negative: int = 5_000
+    hard: int = 2_000
+    landmarks: int = 256
+    rounds: int = 4
+
+
 def _letter(c: str) -> int:
-    c = LOOKALIKES.get(c, c).lower()[:1]
+    c = unicodedata.normalize("NFKD", LOOKALIKES.get(c, c))[:1].lower()[:1]
     if "a" <= c <= "z":
         return ord(c) - ord("a")
     return 26 + ord(c) % 5 if c.isalnum() else GAP
 
 
 _LOW = np.array([_letter(chr(i)) for i in range(0x250)], dtype=np.uint8)
+_WHITE = np.array([chr(i).isspace() for i in range(0x250)])
+_STOPS = np.array([ord(c) for c in ".!?"], dtype=np.uint32)
 
 
-def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letter codes of lower-case words on end, and each word's start and length in them; GAP for signs inside a word, its ends without signs."""
-    joined = "".join(f"{chr(MARK)}{w}{chr(MARK)}\n" for w in (w.replace("\n", " ") for w in words))
-    points = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
-    codes = _LOW[np.minimum(points, 0x24F)]
+def spelled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Letter codes of all texts, and the number of the text of each code. A run of other characters is one code, BETWEEN words or GAP inside one; after a sentence and a text come SPAN of GAP."""
+    points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "replace"), dtype=np.uint32)
+    low = np.minimum(points, 0x24F)
+    codes, white = _LOW[low], _WHITE[low]
     high = np.flatnonzero(points >= 0x250)
     if len(high):
         kinds, which = np.unique(points[high], return_inverse=True)
         codes[high] = np.array([_letter(chr(p)) for p in kinds], dtype=np.uint8)[which]
-    ends = np.flatnonzero(points == 10)
-    real = np.flatnonzero((codes != GAP) & (points != MARK))
-    own = np.searchsorted(ends, real)
-    first, last = np.zeros(len(words), dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
-    first[own[::-1]] = real[::-1]
-    last[own] = real
-    some = last >= 0
-    first[some] -= 1
-    last[some] += 1
-    codes[first[some]], codes[last[some]] = START, END
-    return codes, first, np.where(some, last - first + 1, 0)
-
-
-def letters(word: str) -> np.ndarray:
-    codes, first, length = _spelled([word])
-    return codes[first[0] : first[0] + length[0]]
+        white[high] = np.array([chr(p).isspace() for p in kinds])[which]
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    sort = white.astype(np.uint8)  # 0 inside a word, 1 between words, 2 between sentences
+    stop = np.isin(points[:-1], _STOPS) & white[1:]
+    sort[:-1][stop] = 2
+    sort[ends] = 2
+    letter = codes != GAP
+    starts = np.flatnonzero(~letter & np.concatenate(([True], letter[:-1])))
+    sort = np.maximum.reduceat(np.where(letter, 0, sort), starts)
+    codes[starts] = np.where(sort == 0, GAP, BETWEEN)
+    copies = letter.astype(np.int64)
+    copies[starts] = np.where(sort == 2, SPAN + 1, 1)
+    at = np.cumsum(copies) - copies
+    out = np.repeat(codes, copies)
+    cut = starts[sort == 2]
+    out[(at[cut][:, None] + np.arange(1, SPAN + 1)).ravel()] = GAP
+    owner = np.repeat(np.searchsorted(ends, np.arange(len(points))), copies)
+    # Each sentence also begins between words; the first code has no place before it.
+    out[at[cut] + SPAN] = BETWEEN
+    owner[at[cut] + SPAN] = np.minimum(owner[at[cut] + SPAN] + np.isin(cut + 1, ends + 1), len(texts) - 1)
+    out, owner = np.concatenate(([BETWEEN], out)).astype(np.uint8), np.concatenate(([0], owner))
+    # Single letters: what stands between three or more of them is inside a word.
+    gap = np.flatnonzero(out == BETWEEN)
+    if len(gap) > 3:
+        single = (np.diff(gap) == 2) & (out[gap[:-1] + 1] < 26)
+        run = np.concatenate(([False], single, [False]))
+        inner = run[:-1] & run[1:]
+        beside = np.concatenate(([False], inner[:-1])) | np.concatenate((inner[1:], [False]))
+        out[gap[inner & beside]] = GAP
+    return out, owner
+
+
+def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of 1 to WORDS words, with what stands before and after them; of a word longer than WIDTH overlapping stretches that cover all of it. No run leaves its sentence."""
+    gap = np.flatnonzero(codes == BETWEEN)
+    first, last = [], []
+    for n in range(1, WORDS + 1):
+        a, b = gap[:-n], gap[n:] + 1
+        inside = codes[a + 1] != GAP  # not the end of a sentence
+        for i in range(1, n):
+            inside &= codes[np.minimum(gap[i : len(gap) - n + i] + 1, len(codes) - 1)] != GAP
+        a, b = a[inside & (b - a >= 3)], b[inside & (b - a >= 3)]
+        if n > 1:
+            a, b = a[b - a <= WIDTH], b[b - a <= WIDTH]
+        else:
+            pieces = np.maximum(1, -(-(b - a - WIDTH) // STRIDE) + 1)
+            place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            a, b = np.repeat(a, pieces), np.repeat(b, pieces)
+            a = np.where(b - a > WIDTH, np.minimum(a + STRIDE * place, b - WIDTH), a)
+            b = np.minimum(a + WIDTH, b)
+        first.append(a)
+        last.append(b)
+    return np.concatenate(first), np.concatenate(last)
+
+
+_PLAIN = np.sqrt([max(1e-9, sum((n - k) * (k - 1) * DECAY ** (2 * (k + 1)) for k in range(2, min(SPAN, n)))) for n in range(WIDTH + 1)])
+
+
+def norms(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The norm of each run, as if no triple occurred twice in it. Only runs with a GAP need a look at their codes."""
+    out = _PLAIN[last - first]
+    gaps = np.concatenate(([0], np.cumsum(codes == GAP)))
+    some = np.flatnonzero(gaps[last] > gaps[first])
+    for at in range(0, len(some), 50_000):
+        i = some[at : at + 50_000]
+        place = first[i][:, None] + np.arange(WIDTH + SPAN)
+        real = (place < last[i][:, None]) & (codes[np.minimum(place, len(codes) - 1)] != GAP)
+        total = np.zeros(len(i))
+        for k in range(2, SPAN):
+            ends = real[:, :WIDTH] & real[:, k : k + WIDTH]
+            for j in range(1, k):
+                total += DECAY ** (2 * (k + 1)) * (ends & real[:, j : j + WIDTH]).sum(axis=1)
+        out[i] = np.sqrt(np.maximum(total, 1e-9))
+    return out
 
 
 @lru_cache(maxsize=64)
 def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
-    at = np.array(list(combinations(range(n), 3)), dtype=np.int64).reshape(-1, 3)
+    """Places and weights of the triples within SPAN of a run of n codes."""
+    at = np.array([(i, i + j, i + k) for k in range(2, min(SPAN, n)) for j in range(1, k) for i in range(n - k)], dtype=np.int64).reshape(-1, 3)
     return at, (DECAY ** (at[:, 2] - at[:, 0] + 1)).astype(np.float32)
 
 
-@lru_cache(maxsize=64)
-def _decay(n: int) -> np.ndarray:
-    i = np.arange(n)
-    apart = i[:, None] - i[None, :] - 1
-    return np.where(apart >= 0, DECAY ** np.maximum(apart, 0), 0.0).astype(np.float32)
-
-
-def norms(codes: np.ndarray) -> np.ndarray:
-    """Square roots of the kernel of each row of letter codes with itself."""
-    n = codes.shape[1]
-    match = ((codes[:, :, None] == codes[:, None, :]) & (codes != GAP)[:, :, None]).astype(np.float32) * np.float32(DECAY**2)
-    t = _decay(n)
-    s = match
-    for _ in range(2):
-        s = match * (t @ (s @ t.T))
-    return np.sqrt(s.sum(axis=(1, 2)))
-
-
-_SIDE = LETTERS + 1
-
-
-def _cells(codes: np.ndarray) -> np.ndarray:
-    at, _ = _triples(codes.shape[1])
-    c = codes.astype(np.int32)
-    return (c[:, at[:, 0]] * _SIDE + c[:, at[:, 1]]) * _SIDE + c[:, at[:, 2]]
-
-
-def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(index of the word, letter codes) for windows of equal length: a word itself, or of a long word wide and narrow overlapping windows that cover all of it."""
-    codes, first, length = _spelled(words)
-    for n in range(3, WIDTH + 1):
-        own = np.flatnonzero(length == n)
-        yield from _blocks(own, codes[first[own][:, None] + np.arange(n)])
-    for i in np.flatnonzero(length > WIDTH):
-        word = codes[first[i] : first[i] + length[i]]
-        for width, stride in ((WIDTH, STRIDE), NARROW):
-            view = np.lib.stride_tricks.sliding_window_view(word, width)
-            at = np.unique(np.append(np.arange(0, len(view), stride), len(view) - 1))
-            yield from _blocks(np.full(len(at), i), view[at])
-
-
-def _blocks(own: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    step = max(1, 500_000 // len(_triples(rows.shape[1])[0]))
-    for at in range(0, len(rows), step):
-        yield own[at : at + step], rows[at : at + step]
-
-
-def embed(words: list[str]) -> np.ndarray:
-    """Normalised kernel features of a bounded list of words, each from its first window: a row over all letter triples."""
-    out = np.zeros((len(words), _SIDE**3), dtype=np.float32)
-    for i, w in enumerate(words):
-        codes = letters(w)[:WIDTH]
-        if len(codes) < 3:
-            continue
-        real = (codes[_triples(len(codes))[0]] != GAP).all(axis=1)
-        np.add.at(out[i], _cells(codes[None])[0][real], _triples(len(codes))[1][real])
-        if norm := float(np.sqrt((out[i] ** 2).sum())):
-            out[i] /= norm
+def _by_length(pieces: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(index of the run, cells of its triples, their weights over the norm) in blocks of at most `most` runs of one length. A triple with a GAP weighs nothing."""
+    length = np.array([len(c) for c in pieces])
+    for n in np.unique(length):
+        at, weight = _triples(int(n))
+        which = np.flatnonzero(length == n)
+        for i in range(0, len(which), most):
+            c = np.stack([pieces[j] for j in which[i : i + most]])
+            ends = np.arange(1, len(c) + 1) * n
+            real = (c[:, at] != GAP).all(axis=2)
+            x = c[:, at].astype(np.int64)
+            yield which[i : i + most], (x[:, :, 0] * LETTERS + x[:, :, 1]) * LETTERS + x[:, :, 2], real * weight / norms(c.ravel(), ends - n, ends)[:, None].astype(np.float32)
+
+
+def embed(pieces: list[np.ndarray]) -> np.ndarray:
+    """Kernel features of a bounded list of runs: a column over all letter triples for each."""
+    out = np.zeros((LETTERS**3, len(pieces)), dtype=np.float32)
+    for index, cells, weight in _by_length(pieces, 256):
+        np.add.at(out, (cells, index[:, None]), weight)
+    return out
+
+
+def kernel(pieces: list[np.ndarray], base: np.ndarray) -> np.ndarray:
+    """The kernel of each run with each landmark; base is embed() of these."""
+    out = np.empty((len(pieces), base.shape[1]), dtype=np.float32)
+    for index, cells, weight in _by_length(pieces, 32):
+        out[index] = np.matmul(weight[:, None, :], base[cells])[:, 0]
     return out
 
 
@@ -157,21 +202,48 @@ class Machine:
     def __init__(self, table: np.ndarray, bias: float, slope: float = 1.0, shift: float = 0.0):
         self.table, self.bias, self.slope, self.shift = table.astype(np.float32), bias, slope, shift
 
-    def values(self, words: list[str]) -> np.ndarray:
-        """The largest value over each word's windows; the bias for words too short for the kernel."""
-        out = np.full(len(words), -np.inf, dtype=np.float64)
-        for index, codes in _by_length(words):
-            _, weight = _triples(codes.shape[1])
-            norm = norms(codes)
-            dot = self.table[_cells(codes)] @ weight
-            np.maximum.at(out, index, np.where(norm > 0, dot / np.maximum(norm, 1e-12), 0.0) + self.bias)
-        return np.where(np.isfinite(out), out, self.bias)
+    def run_values(self, codes: np.ndarray, first: np.ndarray, last: np.ndarray, norm: np.ndarray | None = None) -> np.ndarray:
+        """The value of each run: a sum over the triples inside it, by running sums over the text for each distance of a triple's ends."""
+        c = np.concatenate([codes, np.full(SPAN, GAP, dtype=np.uint8)]).astype(np.int32)
+        n = len(codes)
+        heads = {j: (c[:n] * LETTERS + c[j : n + j]) * LETTERS for j in range(1, SPAN - 1)}
+        total = np.zeros(len(first))
+        for k in range(2, SPAN):
+            here = sum(self.table.take(heads[j] + c[k : n + k]) for j in range(1, k))
+            upto = np.concatenate(([0.0], np.cumsum(here, dtype=np.float64)))
+            total += DECAY ** (k + 1) * np.where(last - k > first, upto[np.maximum(last - k, 0)] - upto[first], 0.0)
+        return total / (norms(codes, first, last) if norm is None else norm) + self.bias
+
+    def values(self, texts: list[str | None]) -> np.ndarray:
+        """The value of the worst run of the worst sentence of each whole text; the bias where there is none. Texts go in blocks; a longer text is cut into blocks that overlap."""
+        out = np.full(len(texts), self.bias, dtype=np.float64)
+        seen = np.full(len(texts), -np.inf)
+        block, own, size = [], [], 0
+
+        def settle() -> None:
+            codes, owner = spelled(block)
+            first, last = runs(codes)
+            if len(first):
+                np.maximum.at(seen, np.array(own)[owner[last - 1]], self.run_values(codes, first, last))
+
+        for i, text in enumerate(texts):
+            for at in range(0, len(text or ""), BLOCK):
+                piece = text[max(0, at - OVERLAP) : at + BLOCK]
+                block.append(piece)
+                own.append(i)
+                size += len(piece)
+                if size >= BLOCK:
+                    settle()
+                    block, own, size = [], [], 0
+        if block:
+            settle()
+        return np.where(np.isfinite(seen), seen, out)
 
     def probability(self, value: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * value + self.shift, -50, 50)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 20) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3, steps: int = 20) -> tuple[np.ndarray, float]:
     """Squared hinge by Newton steps over the rows inside the margin; y is -1 or 1."""
     z = np.hstack([x, np.ones((len(x), 1))])
     v = np.zeros(z.shape[1])
@@ -187,63 +259,22 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2,
     return v[:-1], float(v[-1])
 
 
-def _variants(word: str) -> list[str]:
-    return [".".join(word), "x".join(word), word[: len(word) // 2] + "*" + word[len(word) // 2 :], word[: len(word) // 2] + "h" + word[len(word) // 2 :]]
-
-
-def _all_values(machine: Machine, words: list[str]) -> dict[str, float]:
-    return {w: v for i in range(0, len(words), 20_000) for w, v in zip(words[i : i + 20_000], machine.values(words[i : i + 20_000]).tolist())}
+def _variants(run: np.ndarray) -> list[np.ndarray]:
+    """A run with signs or a letter set between all its letters, or one sign in the middle."""
+    inner = run[1:-1]
+    gap = np.full(len(inner), GAP, dtype=np.uint8)
+    out = []
+    for between in (gap, np.full(len(inner), ord("x") - ord("a"), dtype=np.uint8)):
+        mixed = np.stack([inner, between], axis=1).ravel()[:-1]
+        out.append(np.concatenate([run[:1], mixed, run[-1:]])[:WIDTH])
+    half = len(run) // 2
+    return [*out, np.concatenate([run[:half], gap[:1], run[half:]])[:WIDTH]]
 
 
-def train(docs: list[tuple[int, list[str]]], rounds: int = 4, landmarks: int = LANDMARKS) -> Machine | None:
-    """docs: (label, distinct words). None if a class is missing."""
-    toxic = [w for y, w in docs if y == 1 and w]
-    clean = [w for y, w in docs if y == 0 and w]
-    if not toxic or not clean:
-        return None
-    seen, harmless = Counter(x for w in toxic for x in w), Counter(x for w in clean for x in w)
-    lift = {x: (n / len(toxic)) / ((harmless[x] + 0.2) / len(clean)) * np.sqrt(n) for x, n in seen.items()}
-    # Words that toxic documents have far beyond chance, by the log likelihood ratio.
-    q = len(toxic) / (len(toxic) + len(clean))
-    marked = set()
-    for x, n in seen.items():
-        r = n / (n + harmless[x])
-        if r > q and n * np.log(r / q) + (harmless[x] * np.log((1 - r) / (1 - q)) if harmless[x] else 0.0) >= 10:
-            marked.add(x)
-    chosen = Counter(max(w, key=lambda x: (lift[x], x)) for w in toxic)
-    chosen.update({x: seen[x] for x in marked})
-    common = sorted(harmless, key=lambda x: (-harmless[x], x))
-    negative = common[:1_500] + sorted(common[1_500:], key=hash_of)[:4_500]
-    pool, machine, tough = None, None, set()
-    for _ in range(rounds):
-        positive = sorted(chosen, key=lambda x: (-chosen[x], x))[:400]
-        marks = list(dict.fromkeys(positive[: landmarks // 2] + common[: landmarks // 2]))
-        base = embed(marks)
-        gram = base @ base.T + 1e-4 * np.eye(len(marks))
-        val, vec = np.linalg.eigh(gram)
-        root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-6))) @ vec.T
-        extra = [v for x in positive[:100] for v in _variants(x)]
-        rows = positive + extra + negative
-        k = np.vstack([embed(rows[i : i + 100]) @ base.T for i in range(0, len(rows), 100)])
-        y = np.array([1.0] * (len(positive) + len(extra)) + [-1.0] * len(negative))
-        share = np.array([min(chosen[x], 400) for x in positive] + [1.0] * len(extra), dtype=np.float64)
-        weight = np.concatenate([share * (len(negative) / 3 / share.sum()), np.array([(4.0 if x in tough else 1.0) for x in negative])])
-        v, bias = _svm(k @ root, y, weight)
-        machine = Machine((base.T @ (root @ v)), bias)
-        if pool is None:
-            pool = list(set(seen) | set(harmless))
-        value = _all_values(machine, pool)
-        # The worst word of each toxic document, where clean documents don't have it too.
-        chosen = Counter(max(w, key=lambda x: (value[x] + 0.25 * np.log(lift[x]), x)) for w in toxic)
-        chosen.update({x: seen[x] for x in marked})
-        hard = sorted((x for x in harmless if value[x] > -0.8), key=lambda x: (-value[x], x))[:2_000]
-        negative = list(dict.fromkeys(negative + hard))
-        tough |= {x for x in hard if value[x] > 0 and harmless[x] > 1}
-    value = _all_values(machine, pool)
-    worst = np.array([max(value[x] for x in w) for w in toxic] + [max(value[x] for x in w) for w in clean])
-    y = np.array([1.0] * len(toxic) + [0.0] * len(clean))
+def _platt(worst: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """A sigmoid from values to probabilities, by damped steps with a weak prior."""
     a, c = 2.0, 0.0
-    for _ in range(300):  # Platt's sigmoid, by damped steps with a weak prior
+    for _ in range(300):
         p = 1 / (1 + np.exp(-np.clip(a * worst + c, -50, 50)))
         g = np.array([((p - y) * worst).mean() + 2e-3 * (a - 4), (p - y).mean()])
         h = p * (1 - p)
@@ -252,94 +283,157 @@ def train(docs: list[tuple[int, list[str]]], rounds: int = 4, landmarks: int = L
         a, c = a - step[0], c - step[1]
         if abs(step).max() < 1e-8:
             break
-    machine.slope, machine.shift = float(a), float(c)
+    return float(a), float(c)
+
+
+class _Instances:
+    """The sentences' runs of labelled texts, in blocks: own[i] is the text of run i, kind[i] the number of its spelling, at[k] a run of kind k."""
+
+    def __init__(self, texts: list[str]):
+        self.blocks, own, mark = [], [], []
+        begin = 0
+        while begin < len(texts):
+            end, size = begin, 0
+            while end < len(texts) and size < BLOCK:
+                size += len(texts[end])
+                end += 1
+            codes, owner = spelled(texts[begin:end])
+            first, last = runs(codes)
+            self.blocks.append((codes, first.astype(np.int32), last.astype(np.int32), norms(codes, first, last).astype(np.float32)))
+            own.append((owner[last - 1] + begin).astype(np.int32))
+            m = np.zeros(len(first), dtype=np.uint64)
+            for j in range(WIDTH):
+                on = np.flatnonzero(last - first > j)
+                m[on] = m[on] * np.uint64(0x9E3779B97F4A7C15) + codes[first[on] + j] + np.uint64(1)
+            mark.append(m)
+            begin = end
+        self.starts = np.cumsum([0, *(len(m) for m in mark)])
+        self.own = np.concatenate([np.empty(0, np.int32), *own])
+        _, self.at, kind = np.unique(np.concatenate([np.empty(0, np.uint64), *mark]), return_index=True, return_inverse=True)
+        self.kind = kind.astype(np.int32)
+
+    def piece(self, k: int) -> np.ndarray:
+        b = int(np.searchsorted(self.starts, self.at[k], side="right")) - 1
+        codes, first, last, _ = self.blocks[b]
+        i = self.at[k] - self.starts[b]
+        return codes[first[i] : last[i]]
+
+    def values(self, machine: Machine) -> np.ndarray:
+        return np.concatenate([machine.run_values(*b).astype(np.float32) for b in self.blocks])
+
+
+def train(docs: list[tuple[int, str]], bounds: Bounds = Bounds()) -> Machine | None:
+    """docs: (label, text). None if a class is missing."""
+    label = np.array([y for y, t in docs if t], dtype=np.int64)
+    rows = _Instances([t for _, t in docs if t])
+    own, kind = rows.own, rows.kind
+    toxic = label[own] == 1
+    n1, n0 = len(np.unique(own[toxic])), len(np.unique(own[~toxic]))
+    if not n1 or not n0:
+        return None
+    pairs = np.unique(kind.astype(np.int64) * len(label) + own)
+    in_toxic = np.bincount(pairs // len(label), weights=label[pairs % len(label)] == 1)
+    in_clean = np.bincount(pairs // len(label), weights=label[pairs % len(label)] == 0)
+    del pairs
+    rate1, rate0 = in_toxic / n1, in_clean / n0
+    lift = np.log(np.maximum(in_toxic, 1e-9) ** 1.5 / n1 / ((in_clean + 0.2) / n0))
+    beyond = np.clip(1 - rate0 / np.maximum(rate1, 1e-9), 0, 1) + 1e-6
+    rng = np.random.default_rng(0)
+    clean_kinds = np.flatnonzero(in_clean)
+    negative = rng.choice(clean_kinds, min(bounds.negative, len(clean_kinds)), replace=False)
+    hard, tough = np.empty(0, np.int64), np.empty(0, np.int64)
+    toxic_at = np.flatnonzero(toxic)
+
+    def choose(score: np.ndarray) -> np.ndarray:
+        """The kind of the worst run of the worst sentence of each toxic document."""
+        worst = np.full(len(label), -1, dtype=np.int64)
+        at = toxic_at[np.lexsort((kind[toxic_at], score))]
+        worst[own[at]] = at
+        return kind[worst[worst >= 0]]
+
+    chosen, machine, value = choose(lift[kind[toxic_at]]), None, None
+    for _ in range(bounds.rounds):
+        positive, count = np.unique(chosen, return_counts=True)
+        top = np.lexsort((positive, -count * beyond[positive]))[: bounds.positive]
+        positive, count = positive[top], (count * beyond[positive])[top]
+        negative = np.unique(negative)
+        half = bounds.landmarks // 2
+        others = np.concatenate([hard[: half // 2], rng.choice(negative, min(len(negative), half - min(len(hard), half // 2)), replace=False)])
+        base = embed([rows.piece(k) for k in [*positive[:half], *others]])
+        val, vec = np.linalg.eigh(base.T @ base + 1e-4 * np.eye(base.shape[1]))
+        root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-6))) @ vec.T
+        extra = [v for k in positive[: bounds.variants] for v in _variants(rows.piece(k))]
+        weight = np.concatenate([count, np.repeat(count[: bounds.variants] / 3, 3)])
+        x = kernel([*(rows.piece(k) for k in positive), *extra, *(rows.piece(k) for k in negative)], base) @ root
+        y = np.concatenate([np.ones(len(weight)), -np.ones(len(negative))])
+        against = np.minimum(1 + np.log2(np.maximum(in_clean[negative], 1)), 6.0) * np.where(np.isin(negative, tough), 3, 1)
+        v, bias = _svm(x, y, np.concatenate([weight * (against.sum() / 4 / weight.sum()), against]))
+        machine = Machine(base @ (root @ v), bias)
+        value = rows.values(machine)
+        chosen = choose(value[toxic_at] + 0.25 * np.clip(lift[kind[toxic_at]], -3, 3))
+        high = np.flatnonzero(~toxic & (value > -0.8))
+        hard, at = np.unique(kind[high], return_index=True)
+        hard = hard[np.lexsort((hard, -value[high[at]]))][: bounds.hard]
+        negative = np.concatenate([negative, hard])
+        tough = np.union1d(tough, kind[high[value[high] > 0]])
+    worst = np.full(len(label), -np.inf)
+    np.maximum.at(worst, own, value)
+    machine.slope, machine.shift = _platt(np.where(np.isfinite(worst), worst, machine.bias), label.astype(np.float64))
     return machine
 
 
-def hash_of(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "replace"))
-
-
-def words_of(text: str | None) -> set[str]:
-    """Distinct lower-case words of the whole text, and runs of three or more single letters joined."""
-    if not text:
-        return set()
-    words = text.lower().split()
-    out = set(words)
-    single = [i for i, w in enumerate(words) if len(w) == 1]
-    if len(single) >= 3:
-        run = [single[0]]
-        for i in [*single[1:], -1]:
-            if i == run[-1] + 1:
-                run.append(i)
-            else:
-                if len(run) >= 3:
-                    out.add("".join(words[j] for j in run))
-                run = [i]
-    return out
-
-
-def training_docs(docs: DataFrame, labels: DataFrame, limit: int) -> list[tuple[int, list[str]]]:
-    """Distinct words of at most limit labelled documents, half of each class, none held out: those with the smallest hash of doc_id. The list of ids that is joined has the limit's size."""
+def training_docs(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds()) -> list[tuple[int, str]]:
+    """(label, text) of labelled documents, none held out, within the bounds: those with the smallest hash of doc_id. Of a doc_id with several texts the least counts; labels other than 0 and 1 are left out, of several the largest counts. The list of ids that is joined has the bound's size."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    half = [known.where(f"toxic = {y}").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(limit // 2) for y in (0, 1)]
+    dice = F.xxhash64(F.col("doc_id").cast("string"))
+    half = [known.where(f"toxic = {y}").orderBy(dice, "doc_id").limit(bounds.docs // 2) for y in (0, 1)]
     some = half[0].unionByName(half[1])
+    rows = docs.select("doc_id", "text").where(F.length("text").between(1, bounds.doc_chars)).join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    left, out = [bounds.chars // 2, bounds.chars // 2], []
+    for r in rows.orderBy(dice, "doc_id").select("toxic", "text").toLocalIterator():
+        y = int(r["toxic"])
+        if left[y] >= len(r["text"]):
+            left[y] -= len(r["text"])
+            out.append((y, r["text"]))
+    return out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"toxic": b["toxic"], "words": [sorted(words_of(t)) for t in b["text"]]})
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("doc_id", "text").mapInPandas(run, "toxic int, words array<string>")
-    one: dict[str, str] = {}  # equal words are one object
-    return [(int(r["toxic"]), [one.setdefault(w, w) for w in r["words"]]) for r in rows.toLocalIterator()]
+def _scores(machine: Machine | None, texts: pa.Array) -> np.ndarray:
+    """Probabilities of a slice of texts."""
+    if machine is None:
+        return np.zeros(len(texts))
+    return machine.probability(machine.values([t.as_py() for t in texts]))
 
 
-def _scorer(machine: Machine | None, memory: dict[str, float], texts: pa.Array) -> np.ndarray:
-    """Probabilities of a slice of texts; words met before are answered from a bounded memory."""
-    found = [words_of(t.as_py()) for t in texts]
-    if machine is None:
-        return np.zeros(len(found))
-    new = list(set().union(*found).difference(memory))
-    if len(memory) + len(new) > MEMORY:
-        memory.clear()
-        new = list(set().union(*found))
-    for i in range(0, len(new), 20_000):
-        memory.update(zip(new[i : i + 20_000], machine.values(new[i : i + 20_000]).tolist()))
-    look = memory.__getitem__
-    return machine.probability(np.array([max(map(look, w)) if w else machine.bias for w in found], dtype=np.float64))
-
-
-def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, bounds: Bounds = Bounds()) -> DataFrame:
     """docs(doc_id, text, ...), labels(doc_id, toxic, ...) -> doc_id, held_out, score, predicted; a row per row.
 
-    Null, empty and blank texts have no words and get the score of a document without
-    any toxic word. Without labelled rows of both classes every score is 0. Other
-    columns are not read.
+    Null, empty and blank texts have no sentence and get the score of a document without
+    any toxic one. Without labelled rows of both classes every score is 0. Each row is
+    scored by itself, repeated ones alike. Other columns are not read.
     """
-    machine = train(training_docs(docs, labels, train_docs))
+    machine = train(training_docs(docs, labels, bounds), bounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, float] = {}
         for b in batches:
             for at in range(0, len(b), 500):
                 part = b.slice(at, 500)
-                score = _scorer(machine, memory, part.column(2))
+                score = _scores(machine, part.column(2))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """The rows of docs that are not predicted toxic, with all their columns."""
-    machine = train(training_docs(docs, labels, train_docs))
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, bounds: Bounds = Bounds()) -> DataFrame:
+    """The rows of docs that are not predicted toxic, with all their columns. Null, empty and blank texts stay, as do rows without doc_id whose text is clean; repeated rows go or stay together."""
+    machine = train(training_docs(docs, labels, bounds), bounds)
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, float] = {}
         for b in batches:
             for at in range(0, len(b), 500):
                 part = b.slice(at, 500)
-                yield part.filter(pa.array(_scorer(machine, memory, part.column(text)) < threshold))
+                yield part.filter(pa.array(_scores(machine, part.column(text)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
