@@ -90,6 +90,17 @@ def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.orderBy("__h", key).limit(limit).drop("__h")
 
 
+def id_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most limit distinct values of key, those with the smallest hash, nulls left out; repeated ones count once. A threshold from the number of rows comes first, as in hash_sample."""
+    space = 1 << 40
+    dice = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(space))
+    ids = df.select(key).where(F.col(key).isNotNull())
+    n = ids.count()
+    if n > limit:
+        ids = ids.where(dice < int(space * min(1.0, (1.2 * limit + 100) / n)))
+    return ids.distinct().orderBy(dice, key).limit(limit)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: each input bit reaches each output bit."""
     x = np.asarray(x, dtype=np.uint64).copy()

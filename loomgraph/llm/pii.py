@@ -1,13 +1,13 @@
 """Personal data: base patterns, and spans added by a bidirectional LSTM with CRF transitions.
 
-Method: a character tagger over windows of fixed length, trained in numpy on the driver
-from labelled spans: those that the base patterns find in a bounded sample of documents,
-and spans written in other manners (an address spelt out, a number grouped in another
-way) set into text of the sample. Windows are laid, overlapping, around every digit, at
-sign and spelt-out at sign of the whole text; without one of these no span of the four
-kinds can be. Each window is decoded by Viterbi; for every character the window in
-which it lies deepest decides, over the whole document, and spans are read off the
-merged tags. A found span must be plausible for its kind and clear of all base spans.
+Method: a character tagger, trained in numpy on the driver from labelled spans: those
+that the base patterns find in a bounded sample of documents, and spans written in other
+manners (an address spelt out, a number grouped in another way) set into text of the
+sample. Overlapping windows cover every character of the whole text, and each is decoded
+by Viterbi; the way back is only followed where the best path is not the one outside
+all spans. For every character the window in which it lies deepest decides, over the
+whole document, and spans are read off the merged tags and widened to whole numbers and
+names. A found span must be plausible for its kind and clear of all base spans.
 """
 
 from __future__ import annotations
@@ -15,21 +15,29 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_sample
+
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 600
-WINDOW, STRIDE, REACH = 64, 32, 24
+SAMPLE_DOCS, SAMPLE_PLACES = 600, 8
+TRAIN_WINDOW = 64
+LEAN = 2.0
+WINDOW, STRIDE = 512, 448
 
 #: The base patterns and their limits.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP_RUN = re.compile(r"[0-9][0-9.]{6,}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (12, 19), (9, 15)
@@ -65,7 +73,8 @@ def base_spans(text: str) -> list[Span]:
             out.append(("email", low, m.end()))
             end = m.end()
         at = text.find("@", max(at + 1, end))
-    out += [("ip", *m.span()) for m in IP.finditer(text) if _octets(m[0])]
+    # An address lies in a run of digits and points; the pattern for runs skips other text faster.
+    out += [("ip", *m.span()) for r in IP_RUN.finditer(text) for m in IP.finditer(text, *r.span()) if _octets(m[0])]
     out += [("card", *m.span()) for m in CARD.finditer(text) if CARD_DIGITS[0] <= len(d := _digits(m[0])) <= CARD_DIGITS[1] and luhn(d)]
     out += [("phone", *m.span()) for m in PHONE.finditer(text) if PHONE_DIGITS[0] <= len(_digits(m[0])) <= PHONE_DIGITS[1]]
     return ordered(out)
@@ -80,7 +89,7 @@ def written(spans: list[Span]) -> str:
 
 
 #: Characters with a code of their own.
-_OWN = "abcdefghijklmnopqrstuvwxyz0123456789@.-_+() /:,%[]\n"
+_OWN = "abcdefghijklmnopqrstuvwxyz0123456789@.-_+() /:,%[]{}<>\n"
 _OTHER, _ALNUM = len(_OWN), len(_OWN) + 1
 CODES = len(_OWN) + 2
 TAGS = 1 + 2 * len(KINDS)
@@ -97,14 +106,10 @@ def char_codes(text: str) -> np.ndarray:
     return np.where(points < 0x10000, _CODE[np.minimum(points, 0xFFFF)], _OTHER).astype(np.int16)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Tagger:
-    """Emissions from two LSTMs of `hidden` units, transitions of a linear-chain CRF."""
+    """Emissions from two LSTMs of `hidden` units, transitions of a linear-chain CRF. The gates are input, forget, output and cell; a sigmoid is (1 + tanh(x / 2)) / 2."""
 
-    def __init__(self, hidden: int = 20, seed: int = 5):
+    def __init__(self, hidden: int = 16, seed: int = 5):
         rng = np.random.default_rng(seed)
         n = 4 * hidden
         self.hidden = hidden
@@ -115,76 +120,105 @@ class Tagger:
         self.bar = np.zeros((TAGS, TAGS), dtype=np.float32)  # tags that can't follow one another
         for to in range(2, TAGS, 2):
             self.bar[[i for i in range(TAGS) if i not in (to - 1, to)], to] = -1e4
+            self.bar[1:, to - 1] = -1e4  # a span doesn't touch the one before
 
-    def _lstm(self, d: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        n, w = self.hidden, self.w
-        h = c = np.zeros((x.shape[1], n), dtype=np.float32)
-        out = np.empty((*x.shape, n), dtype=np.float32)
-        for t in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
-            a = w[d + "x"][x[t]] + h @ w[d + "h"] + w[d + "b"]
-            s = _sigmoid(a[:, : 3 * n])
-            i, f, o, g = s[:, :n], s[:, n : 2 * n], s[:, 2 * n :], np.tanh(a[:, 3 * n :])
-            before, last = c, h
-            c = f * before + i * g
-            squashed = np.tanh(c)
-            h = o * squashed
-            out[t] = h
-            if keep is not None:
-                keep.append((t, i, f, o, g, before, last, squashed))
+    def _gates(self, name: str) -> np.ndarray:
+        """Weights of both directions as (2, 4, rows, hidden), a block for each gate."""
+        return np.stack([self.w[d + name].reshape(-1, 4, self.hidden).transpose(1, 0, 2) for d in "fb"])
+
+    def _lstm(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """x (length, batch) -> outputs (2, length, batch, hidden). Both directions go in step, the second from the end."""
+        length, size = x.shape
+        half = np.array([0.5, 0.5, 0.5, 1.0], dtype=np.float32)[:, None, None]
+        table, turn = (self._gates("x") + self._gates("b")) * half, self._gates("h") * half
+        h, c = (np.zeros((2, size, self.hidden), dtype=np.float32) for _ in range(2))
+        a, more = (np.empty((2, 4, size, self.hidden), dtype=np.float32) for _ in range(2))
+        out = np.empty((2, length, size, self.hidden), dtype=np.float32)
+        for t in range(length):
+            np.take(table[0], x[t], axis=1, out=a[0], mode="clip")
+            np.take(table[1], x[length - 1 - t], axis=1, out=a[1], mode="clip")
+            a += np.matmul(h[:, None], turn, out=more)
+            np.tanh(a, out=a)
+            s = a[:, :3]
+            s *= 0.5
+            s += 0.5
+            if keep is None:
+                c *= s[:, 1]
+            else:
+                keep.append((a.copy(), c, h))
+                c = c * s[:, 1]
+            c += s[:, 0] * a[:, 3]
+            h = s[:, 2] * np.tanh(c)
+            out[0, t], out[1, length - 1 - t] = h
         return out
 
-    def _back(self, d: str, x: np.ndarray, keep: list, grad: np.ndarray, to: dict) -> None:
-        n, w = self.hidden, self.w
-        dh = dc = np.zeros((x.shape[1], n), dtype=np.float32)
-        for t, i, f, o, g, before, last, squashed in reversed(keep):
-            h = grad[t] + dh
+    def _back(self, x: np.ndarray, keep: list, grad: np.ndarray, to: dict) -> None:
+        """grad: (2, length, batch, hidden), of the outputs."""
+        n, (length, size) = self.hidden, x.shape
+        turn = self._gates("h").transpose(0, 1, 3, 2)
+        dh, dc = (np.zeros((2, size, n), dtype=np.float32) for _ in range(2))
+        gates = np.empty((length, 2, 4, size, n), dtype=np.float32)
+        before = np.empty((length, 2, size, n), dtype=np.float32)
+        for t in range(length - 1, -1, -1):
+            a, c0, h0 = keep[t]
+            i, f, o, g = a[:, 0], a[:, 1], a[:, 2], a[:, 3]
+            squashed = np.tanh(f * c0 + i * g)
+            h = dh + np.stack([grad[0, t], grad[1, length - 1 - t]])
             c = dc + h * o * (1 - squashed * squashed)
-            a = np.concatenate([c * g * i * (1 - i), c * before * f * (1 - f), h * squashed * o * (1 - o), c * i * (1 - g * g)], axis=1)
-            np.add.at(to[d + "x"], x[t], a)
-            to[d + "h"] += last.T @ a
-            to[d + "b"] += a.sum(axis=0)
-            dh, dc = a @ w[d + "h"].T, c * f
+            z = gates[t]
+            z[:, 0], z[:, 1], z[:, 2], z[:, 3] = c * g * i * (1 - i), c * c0 * f * (1 - f), h * squashed * o * (1 - o), c * i * (1 - g * g)
+            before[t] = h0
+            dh = np.matmul(z, turn).sum(axis=1)
+            dc = c * f
+        for k, (d, codes) in enumerate((("f", x), ("b", x[::-1]))):
+            z = gates[:, k].transpose(0, 2, 1, 3).reshape(-1, 4 * n)
+            to[d + "h"] += before[:, k].reshape(-1, n).T @ z
+            to[d + "b"] += z.sum(axis=0)
+            to[d + "x"] += np.eye(CODES, dtype=np.float32)[codes.ravel()].T @ z
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._lstm("f", x), self._lstm("b", x)], axis=2) @ self.w["o"] + self.w["ob"]
+        """(TAGS, length, batch)"""
+        h, n = self._lstm(x), self.hidden
+        e = self.w["o"][:n].T @ h[0].reshape(-1, n).T
+        e += self.w["o"][n:].T @ h[1].reshape(-1, n).T
+        e += self.w["ob"][:, None]
+        return e.reshape(TAGS, *x.shape)
 
     def loss_and_gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """x, y: (length, batch) codes and tags. The mean negative log likelihood a window."""
-        keep = {"f": [], "b": []}
-        h = np.concatenate([self._lstm(d, x, keep[d]) for d in "fb"], axis=2)
+        """x, y: (length, batch) codes and tags. The mean negative log likelihood a window; sums over paths are scaled at each place."""
+        keep, n = [], self.hidden
+        h = self._lstm(x, keep)
+        h = np.concatenate([h[0], h[1]], axis=2)
         e = (h @ self.w["o"] + self.w["ob"]).astype(np.float64)
         trans = (self.w["t"] + self.bar).astype(np.float64)
         length, size = x.shape
-
-        def lse(v, axis):
-            m = v.max(axis=axis, keepdims=True)
-            return np.squeeze(m, axis) + np.log(np.exp(v - m).sum(axis=axis))
-
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0]
-        for t in range(1, length):
-            alpha[t] = e[t] + lse(alpha[t - 1][:, :, None] + trans, 1)
+        top = e.max(axis=2, keepdims=True)
+        p, step = np.exp(e - top), np.exp(trans)
+        alpha, beta, scale = np.empty_like(e), np.ones_like(e), np.empty((length, size, 1))
+        for t in range(length):
+            a = p[t] * (alpha[t - 1] @ step) if t else p[t]
+            scale[t] = a.sum(axis=1, keepdims=True)
+            alpha[t] = a / scale[t]
         for t in range(length - 2, -1, -1):
-            beta[t] = lse(trans + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        z = lse(alpha[-1], 1)
+            beta[t] = (p[t + 1] * beta[t + 1] / scale[t + 1]) @ step.T
+        z = (np.log(scale) + top).sum(axis=(0, 2))
         rows = np.arange(size)
         path = e[np.arange(length)[:, None], rows, y].sum(axis=0) + trans[y[:-1], y[1:]].sum(axis=0)
         grad = {k: np.zeros_like(v) for k, v in self.w.items()}
-        de = np.exp(alpha + beta - z[:, None])
+        de = alpha * beta
         de[np.arange(length)[:, None], rows, y] -= 1
-        pairs = np.exp(alpha[:-1][:, :, :, None] + trans + (e[1:] + beta[1:])[:, :, None, :] - z[:, None, None])
-        dt = pairs.sum(axis=(0, 1))
+        later = p[1:] * beta[1:] / scale[1:]
+        dt = step * (alpha[:-1].reshape(-1, TAGS).T @ later.reshape(-1, TAGS))
         np.add.at(dt, (y[:-1], y[1:]), -1)
         de = (de / size).astype(np.float32)
         grad["t"] = (dt / size).astype(np.float32)
         grad["o"] = np.tensordot(h, de, axes=([0, 1], [0, 1]))
         grad["ob"] = de.sum(axis=(0, 1))
         dh = de @ self.w["o"].T
-        for d, part in zip("fb", (dh[:, :, : self.hidden], dh[:, :, self.hidden :])):
-            self._back(d, x, keep[d], part, grad)
+        self._back(x, keep, np.stack([dh[:, :, :n], dh[:, :, n:]]), grad)
         return float((z - path).mean()), grad
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 320, batch: int = 64, rate: float = 0.015, seed: int = 3) -> Tagger:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 1000, batch: int = 64, rate: float = 0.03, seed: int = 3) -> Tagger:
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v = {k: np.zeros_like(a) for k, a in self.w.items()}
@@ -200,39 +234,46 @@ class Tagger:
                 self.w[k] = self.w[k] - (step * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
         return self
 
+    def ways(self) -> np.ndarray:
+        """Transitions for decoding."""
+        out = self.w["t"] + self.bar
+        out[0, 1::2] += LEAN
+        return out
+
     def decode(self, x: np.ndarray) -> np.ndarray:
-        """Most probable tags; x and the result are (batch, length)."""
-        e = self.emissions(x.T)
-        trans = self.w["t"] + self.bar
-        score, back = e[0], []
-        for t in range(1, len(e)):
-            all_ = score[:, :, None] + trans
-            back.append(all_.argmax(axis=1))
-            score = all_.max(axis=1) + e[t]
-        tags = np.empty(x.shape, dtype=np.int8)
-        tags[:, -1] = score.argmax(axis=1)
-        rows = np.arange(len(x))
-        for t in range(len(e) - 2, -1, -1):
-            tags[:, t] = back[t][rows, tags[:, t + 1]]
+        """Most probable tags, the way into a span given LEAN more, as implausible spans go anyway; x and the result are (batch, length). Scores are those above the path outside all spans, which so has 0; of ways that score alike the first counts."""
+        e = self.emissions(np.ascontiguousarray(x.T))
+        e[1:] -= e[0]
+        trans = self.ways()
+        trans = trans - trans[0, 0]
+        into, on, stay = trans[0, 1::2, None], trans[np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)][:, None], np.diag(trans)[2::2, None]
+        out_first, out_later = trans[1::2, 0, None], trans[2::2, 0, None]
+        length, size = e.shape[1:]
+        score = np.empty((length, TAGS, size), dtype=np.float32)
+        score[0, 0], score[0, 1::2], score[0, 2::2] = 0.0, e[1::2, 0], e[2::2, 0]
+        for t in range(1, length):
+            first, later, new = score[t - 1, 1::2], score[t - 1, 2::2], score[t]
+            np.add(score[t - 1, 0], into, out=new[1::2])
+            new[1::2] += e[1::2, t]
+            np.maximum(first + on, later + stay, out=new[2::2])
+            new[2::2] += e[2::2, t]
+            ends = np.maximum(first + out_first, later + out_later)
+            best = np.maximum(np.maximum(ends[0], ends[1]), np.maximum(ends[2], ends[3]))
+            np.maximum(score[t - 1, 0], best, out=new[0])
+        tags = np.zeros(x.shape, dtype=np.int8)
+        some = np.flatnonzero(score[-1].max(axis=0) > 0)
+        if len(some):
+            score, ways = np.ascontiguousarray(score[:, :, some]), np.ascontiguousarray(trans.T)
+            now = score[-1].argmax(axis=0)
+            tags[some, -1] = now
+            for t in range(length - 1, 0, -1):
+                now = (score[t - 1] + ways[now].T).argmax(axis=0)
+                tags[some, t - 1] = now
         return tags
 
 
-_SPELT = re.compile(r"(?i)[\[( ]at[\]) ]")
-_DOT = re.compile(r"(?i)\.|[\[( ]dot[\]) ]")
-
-
-def window_starts(text: str, codes: np.ndarray) -> np.ndarray:
-    """Starts of overlapping windows that cover every place near a digit or an at sign, spelt out too."""
-    signal = ((codes >= 26) & (codes <= 36)).copy()  # digits and the at sign
-    for m in _SPELT.finditer(text):
-        signal[m.start() : m.end()] = True
-    at = np.flatnonzero(signal)
-    if not len(at):
-        return at
-    breaks = np.flatnonzero(np.diff(at) > 2 * REACH)
-    lows = np.maximum(at[np.concatenate(([0], breaks + 1))] - REACH, 0)
-    highs = np.minimum(at[np.concatenate((breaks, [len(at) - 1]))] + REACH + 1, len(codes))
-    return np.concatenate([np.arange(a, max(a + 1, b - WINDOW + STRIDE), STRIDE) for a, b in zip(lows, highs)])
+_SPELT = re.compile(r"(?i)[\[({< ]at[\])}> ]")
+_DOT = re.compile(r"(?i)\.|[\[({< ]dot[\])}> ]")
 
 
 def plausible(kind: str, s: str) -> bool:
@@ -241,10 +282,10 @@ def plausible(kind: str, s: str) -> bool:
         return ("@" in s or bool(_SPELT.search(s))) and bool(_DOT.search(s)) and sum(c.isalnum() for c in s) >= 5
     if kind == "ip":
         parts = re.findall("[0-9]+", s)
-        return len(parts) == 4 and _octets(".".join(parts))
+        return len(parts) == 4 and _octets(".".join(parts)) and not any(c.isalpha() for c in s)
     if kind == "card":
-        return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits)
-    return PHONE_DIGITS[0] <= len(digits) <= PHONE_DIGITS[1] and not any(c.isalpha() for c in s)
+        return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits) and not any(c.isalpha() for c in s)
+    return PHONE_DIGITS[0] <= len(digits) <= PHONE_DIGITS[1] and not any(c.isalpha() for c in s) and (s[0] in "+(0" or any(c not in "0123456789" for c in s))
 
 
 def name_start(s: str) -> int:
@@ -254,67 +295,104 @@ def name_start(s: str) -> int:
     return max(name.rfind(c) for c in " \n\t") + 1
 
 
-def read_off(tags: np.ndarray, offset: int = 0) -> list[Span]:
-    """Spans of a tag sequence."""
-    out: list[Span] = []
-    kind, low = -1, 0
-    for i, t in enumerate([*tags.tolist(), 0]):
-        k = (t - 1) // 2 if t else -1
-        if kind >= 0 and (k != kind or t % 2 == 1):
-            out.append((KINDS[kind], low + offset, i + offset))
-            kind = -1
-        if k >= 0 and kind < 0:
-            kind, low = k, i
-    return out
+def name_end(s: str) -> int:
+    """Where a found address ends: with the word after its last full stop, written or spelt."""
+    stop = max((m.end() for m in _DOT.finditer(s)), default=0)
+    word = re.search(r"\S+", s[stop:])
+    return stop + word.end() if stop and word else len(s)
+
 
+MOST_LONGER = 64
 
-def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger, batch: int = 1024) -> list[list[Span]]:
-    """What the tagger adds to the base spans of each text."""
-    out: list[list[Span]] = [[] for _ in texts]
-    rows, owner, start = [], [], []
-
-    def settle() -> None:
-        if not rows:
-            return
-        tags = np.concatenate([tagger.decode(np.stack(rows[i : i + batch])) for i in range(0, len(rows), batch)])
-        own, at = np.array(owner), np.array(start)
-        for i in np.unique(own):
-            mine = np.flatnonzero(own == i)
-            low, high = int(at[mine].min()), int(at[mine].max()) + WINDOW
-            merged = np.zeros(high - low, dtype=np.int8)
-            depth = np.zeros(high - low, dtype=np.int16)
-            inside = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.int16)
-            for j in mine:
-                a = at[j] - low
-                deeper = inside > depth[a : a + WINDOW]
-                merged[a : a + WINDOW][deeper] = tags[j][deeper]
-                depth[a : a + WINDOW][deeper] = inside[deeper]
-            text = texts[i]
-            for k, a, b in read_off(merged, low):
-                b = min(b, len(text))
-                while a < b and not (text[a].isalnum() or text[a] in "(+"):
-                    a += 1
-                while b > a and not text[b - 1].isalnum():
-                    b -= 1
-                if k == "email":
-                    a += name_start(text[a:b])
-                if a < b and plausible(k, text[a:b]) and not any(x < b and a < y for _, x, y in base[i]):
-                    out[i].append((k, a, b))
-        rows.clear(), owner.clear(), start.clear()
 
+def widened(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
+    """A found span on whole numbers or names, without signs at its ends but for an opening parenthesis or plus. No plausible span is MOST_LONGER off."""
+    if kind == "email":
+        joined, low, high = LOCAL.__contains__, max(0, a - MOST_LONGER), min(len(text), b + MOST_LONGER)
+    else:
+        joined, low, high = "0123456789".__contains__, max(0, a - MOST_LONGER), min(len(text), b + MOST_LONGER)
+    while a > low and joined(text[a - 1]) and joined(text[a]):
+        a -= 1
+    while b < high and joined(text[b]) and joined(text[b - 1]):
+        b += 1
+    while a < b and not (text[a].isalnum() or text[a] in "(+"):
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    if kind == "phone" and a and text[a - 1] in "(+":
+        a -= 1
+    if kind == "email":
+        a += name_start(text[a:b])
+        b = a + name_end(text[a:b])
+        while b > a and not text[b - 1].isalnum():
+            b -= 1
+    return a, b
+
+
+def read_off(tags: np.ndarray) -> list[Span]:
+    """Spans of a tag sequence."""
+    at = np.flatnonzero(tags)
+    if not len(at):
+        return []
+    kind = (tags[at].astype(np.int64) - 1) // 2
+    new = np.concatenate(([True], (np.diff(at) > 1) | (np.diff(kind) != 0) | (tags[at[1:]] % 2 == 1)))
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(at)) - 1
+    return [(KINDS[k], a, b + 1) for k, a, b in zip(kind[starts].tolist(), at[starts].tolist(), at[ends].tolist())]
+
+
+def merged_tags(texts: list[str], tagger: Tagger, batch: int = 512) -> list[np.ndarray]:
+    """A tag for each character of each text, from windows over all of it. Last windows are as long as the rest of their text asks, in eighths of a window; a text's tags don't depend on other texts."""
+    step, lead = WINDOW // 8, (WINDOW - STRIDE) // 2
+    rows: list[np.ndarray] = []
+    spot = np.zeros((0, 3), dtype=np.int64)  # text, start, length of each window
+    parts = [spot]
     for i, text in enumerate(texts):
-        if not text:
-            continue
-        codes = char_codes(text)
-        starts = window_starts(text, codes)
-        if len(starts):
-            padded = np.concatenate([codes, np.full(WINDOW, _OTHER, dtype=np.int16)])
-            rows += [padded[s : s + WINDOW] for s in starts]
-            owner += [i] * len(starts)
-            start += starts.tolist()
-        if len(rows) >= 16 * batch:
-            settle()
-    settle()
+        n = len(text)
+        rows.append(np.concatenate([char_codes(text), np.full(WINDOW, _OTHER, dtype=np.int16)]))
+        count = max(1, -(-(n - WINDOW) // STRIDE) + 1) if n else 0
+        starts = np.arange(count) * STRIDE
+        length = np.full(count, WINDOW)
+        if count:
+            length[-1] = min(WINDOW, max(step, -(-(n - starts[-1]) // step) * step))
+        parts.append(np.stack([np.full(count, i), starts, length], axis=1))
+    spot = np.concatenate(parts)
+    out = [np.zeros(len(t), dtype=np.int8) for t in texts]
+    begin = np.cumsum([0, *(len(r) for r in rows)])
+    codes = np.concatenate([np.empty(0, np.int16), *rows])
+    for length in np.unique(spot[:, 2]):
+        mine = spot[spot[:, 2] == length]
+        for at in range(0, len(mine), batch):
+            some = mine[at : at + batch]
+            tags = tagger.decode(codes[(begin[some[:, 0]] + some[:, 1])[:, None] + np.arange(length)])
+            for j in np.flatnonzero(tags.any(axis=1)):
+                i, start, _ = some[j]
+                # The middle of an overlap is where the deeper window changes.
+                low = lead if start else 0
+                high = min(len(out[i]) - start, length if start + WINDOW >= len(out[i]) else STRIDE + lead)
+                out[i][start + low : start + high] = tags[j, low:high]
+    return out
+
+
+def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> list[list[Span]]:
+    """What the tagger adds to the base spans of each text: clear of these and of one another."""
+    out: list[list[Span]] = []
+    for text, known, tags in zip(texts, base, merged_tags(texts, tagger)):
+        found: list[Span] = []
+        taken = sorted((a, b) for _, a, b in known)
+        starts = [a for a, _ in taken]
+        furthest = list(accumulate((b for _, b in taken), max))
+        end = 0
+        for kind, a, b in read_off(tags):
+            a, b = widened(text, kind, a, b)
+            if a >= max(b, end) or a < end or not plausible(kind, text[a:b]):
+                continue
+            before = bisect_left(starts, b)
+            if before and furthest[before - 1] > a:
+                continue
+            found.append((kind, a, b))
+            end = b
+        out.append(found)
     return out
 
 
@@ -323,112 +401,148 @@ def _luhn_number(rng: random.Random, n: int) -> str:
     return next(head + d for d in "0123456789" if luhn(head + d))
 
 
+#: Manners of writing: what stands for the at sign and for the full stop, between parts of a number, and a phone's groups of digits.
+ATS = ("@", "@", " [at] ", " (at) ", " {at} ", " <at> ", " @ ", " at ", " at ", "[at]", "(at)", "{at}")
+DOTS = (".", ".", ".", " dot ", " dot ", " . ", " [dot] ", " (dot) ", "[dot]", "(dot)", " {dot} ", "[.]")
+CARD_SEPARATORS = ("", " ", "-", ".", "/", "  ", "_", " - ")
+PHONE_SEPARATORS = (" ", "-", ".", "/", " - ", " / ")
+
+
 def write_span(rng: random.Random) -> tuple[str, str]:
-    """A kind and a made-up example in one of several manners, base ones among them."""
+    """A kind and a made-up example in one of many manners, base ones among them."""
     kind = rng.choice(KINDS)
     word = lambda a, b: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(a, b)))
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     if kind == "email":
-        name = word(2, 8) + rng.choice(["", ".", "_", "-"]) + word(1, 6) + rng.choice(["", number(2)])
-        at, dot = rng.choice([("@", "."), ("@", "."), (" [at] ", " dot "), (" (at) ", "."), (" @ ", " . "), (" at ", " dot "), (" at ", "."), (" [at] ", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "(dot)")])
-        return kind, name + at + word(3, 9) + dot + rng.choice(["com", "org", "net", "de", "fr", "example", "es"])
+        name = word(2, 9) + rng.choice(["", ".", "_", "-"]) + word(1, 7) + rng.choice(["", "", number(2)])
+        at, dot = rng.choice(((" at ", "."), (" at ", " dot "), (" [at] ", " [dot] "), (" (at) ", " (dot) "))) if rng.random() < 0.4 else (rng.choice(ATS), rng.choice(DOTS))
+        host = [word(3, 10)] + [word(2, 6)] * (rng.random() < 0.2) + [rng.choice(["com", "org", "net", "de", "fr", "example", "es", "io", word(2, 3)])]
+        made = name + at + dot.join(host)
+        return kind, made.upper() if rng.random() < 0.15 else made
     if kind == "ip":
-        return kind, rng.choice([".", ".", "[.]", " . "]).join(str(rng.randint(0, 255)) for _ in range(4))
+        return kind, rng.choice([".", ".", "[.]", " . ", "(.)"]).join(str(rng.randint(0, 255)) for _ in range(4))
     if kind == "card":
-        d, sep = _luhn_number(rng, rng.choice([13, 15, 16, 16, 16, 19])), rng.choice(["", " ", "-", ".", "/", "  "])
-        return kind, sep.join(d[i : i + 4] for i in range(0, len(d), 4))
-    return kind, rng.choice(
-        [
-            f"+{number(2)} {number(3)} {number(7)}",
-            f"+{number(1)}-{number(3)}-{number(3)}-{number(4)}",
-            f"+{number(2)} ({number(2)}) {number(4)}.{number(3)}",
-            f"+{number(11)}",
-            f"({number(3)}) {number(3)}-{number(4)}",
-            f"{number(3)}-{number(3)}-{number(4)}",
-            f"00{number(2)} {number(3)} {number(3)} {number(3)}",
-            f"0{number(3)} {number(3)} {number(4)}",
-        ]
-    )
+        d, sep = _luhn_number(rng, rng.choice([13, 15, 16, 16, 16, 19])), rng.choice(CARD_SEPARATORS)
+        cuts = rng.choice([(4, 8, 12, 16), (4, 8, 12, 16), (4, 10), (5, 10, 15), (2, 4, 6, 8, 10, 12, 14, 16, 18)])
+        return kind, sep.join(d[a:b] for a, b in zip((0, *cuts), (*cuts, len(d))) if a < len(d))
+    sep = rng.choice(PHONE_SEPARATORS)
+    groups = [number(rng.randint(2, 5)) for _ in range(rng.randint(2, 4))]
+    start = rng.choice(["+" + number(rng.randint(1, 3)), "+" + number(2), "00" + number(2), "0" + number(rng.randint(2, 4)), number(3), f"({number(3)})", f"(0{number(2)})", f"+{number(2)} ({number(2)})", f"(+{number(2)}) {number(2)}"])
+    made = start + (rng.choice([" ", " ", sep]) if start[-1] == ")" else sep) + sep.join(groups)
+    if not PHONE_DIGITS[0] <= len(_digits(made)) <= PHONE_DIGITS[1]:
+        made = "+" + number(rng.randint(10, 12)) if rng.random() < 0.3 else f"0{number(2)}{sep}{number(3)}{sep}{number(4)}"
+    return kind, made
 
 
 def write_other(rng: random.Random) -> str:
     """A made-up string with digits or signs that is no personal data."""
     n = lambda a, b: str(rng.randint(a, b))
+    word = lambda a, b: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(a, b)))
     return rng.choice(
         [
             f"{n(1950, 2040)}-{n(1, 12):0>2}-{n(1, 31):0>2}",
+            f"{n(1, 31):0>2}.{n(1, 12):0>2}.{n(1950, 2040)}",
+            f"{n(1, 12)}/{n(1, 31)}/{n(1950, 2040)}",
             f"v{n(0, 9)}.{n(0, 40)}.{n(0, 40)}",
+            f"{n(0, 9)}.{n(0, 40)}.{n(0, 40)}",
             f"{n(0, 23):0>2}:{n(0, 59):0>2}:{n(0, 59):0>2}",
             "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([16, 32, 40]))),
             "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)),
             f"{n(1, 99999)}",
+            f"{n(10000000, 99999999)}",
             f"${n(1, 999)}.{n(10, 99)}",
+            f"{n(1, 999)},{n(100, 999)},{n(100, 999)}",
+            f"{n(0, 9)}.{n(1000, 99999999)}",
             f"@{rng.choice(['user', 'name', 'home'])}{n(1, 99)}",
             f"{n(100000, 999999)}/{n(1, 99)}",
             f"ISBN {n(100, 999)}-{n(0, 9)}-{n(10000, 99999)}",
+            f"{n(1, 40)}-{n(41, 99)}",
+            f"{n(1, 9)}, {n(1, 9)}, {n(1, 9)}, {n(10, 99)}",
+            f"{word(2, 6)} at {word(3, 8)} {word(2, 6)}",
+            f"{word(2, 6)} at {n(1, 12)}.{n(10, 59)}",
+            f"{word(2, 6)} at the {word(3, 8)}. {word(3, 8)}",
+            f"{word(3, 6)}@{word(2, 6)}",
+            f"({n(1, 9)}) {word(2, 6)} [{n(1, 99)}]",
+            f"{word(3, 8)} dot {word(3, 8)}",
         ]
     )
 
 
-def training_windows(texts: list[str], count: int = 4000, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and tags of windows from the sample, half of them with made-up strings set in."""
+def training_windows(texts: list[str], count: int = 10_000, seed: int = 11, length: int = TRAIN_WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and tags of windows from the sample, most of them with made-up strings set in."""
     rng = random.Random(seed)
     texts = [t for t in texts if t] or ["a b c d e f g h"]
     spans = {i: base_spans(t) for i, t in enumerate(texts)}
     marked = [(i, s) for i, found in spans.items() for s in found]
     x, y = [], []
     while len(x) < count:
-        if marked and rng.random() < 0.35:
+        if marked and rng.random() < 0.2:
             i, (_, a, b) = rng.choice(marked)
             text, found = texts[i], spans[i]
-            low = max(0, rng.randint(b - WINDOW, a) if b - a < WINDOW else a - rng.randint(0, STRIDE))
+            low = max(0, rng.randint(b - length, a) if b - a < length else a - rng.randint(0, length // 2))
         else:
-            i = rng.randrange(len(texts))
-            text, found = texts[i], []
-            at = rng.randint(0, max(0, len(text) - 2 * WINDOW))
-            piece = text[at : at + 2 * WINDOW]
-            found = [s for s in base_spans(piece)]
-            if rng.random() < 0.85:
-                cut = rng.randint(0, min(len(piece), WINDOW))
+            text = texts[rng.randrange(len(texts))]
+            at = rng.randint(0, max(0, len(text) - 2 * length))
+            piece = text[at : at + 2 * length]
+            found = base_spans(piece)
+            if rng.random() < 0.9:
                 if found:
                     continue
-                kind, made = write_span(rng) if rng.random() < 0.6 else ("", write_other(rng))
-                lead, tail = piece[:cut] + rng.choice([" ", " ", ": ", "\n"]), rng.choice([" ", ". ", ", ", "\n"]) + piece[cut:]
+                cut = rng.randint(0, min(len(piece), length))
+                kind, made = write_span(rng) if rng.random() < 0.65 else ("", write_other(rng))
+                lead, tail = piece[:cut] + rng.choice([" ", " ", ": ", "\n"]), rng.choice([" ", " ", ". ", ", ", "\n"]) + piece[cut:]
                 text = lead + made + tail
                 found = [(kind, len(lead), len(lead) + len(made))] if kind else base_spans(text)
             else:
                 text = piece
-            low = max(0, min(rng.randint(0, WINDOW), len(text) - WINDOW // 2))
-        tags = np.zeros(len(text) + WINDOW, dtype=np.int64)
+            low = max(0, min(rng.randint(0, length), len(text) - length // 2))
+        tags = np.zeros(len(text) + length, dtype=np.int64)
         for k, a, b in sorted(found, key=lambda s: s[1] - s[2]):
             tags[a] = 1 + 2 * KINDS.index(k)
             tags[a + 1 : b] = 2 + 2 * KINDS.index(k)
-        codes = np.concatenate([char_codes(text[low : low + WINDOW]), np.full(WINDOW, _OTHER, dtype=np.int16)])[:WINDOW]
-        x.append(codes)
-        tag = tags[low : low + WINDOW].copy()
+        tag = tags[low : low + length].copy()
         # Overlapping spans may leave an inner tag without its start: it starts there.
-        for j in range(1, WINDOW):
+        for j in range(1, length):
             if tag[j] and tag[j] % 2 == 0 and tag[j - 1] not in (tag[j], tag[j] - 1):
                 tag[j] -= 1
+        if ((tag[:-1] > 0) & (tag[1:] % 2 == 1)).any():  # spans that touch
+            continue
+        x.append(np.concatenate([char_codes(text[low : low + length]), np.full(length, _OTHER, dtype=np.int16)])[:length])
         y.append(tag)
     return np.stack(x).astype(np.int64), np.stack(y)
 
 
-def fit_tagger(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Tagger:
-    """A tagger trained on at most sample_docs documents, those with the smallest hash of doc_id; of each, places with base spans and one other, as long as a few windows."""
+def fit_tagger(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, places: int = SAMPLE_PLACES) -> Tagger:
+    """A tagger trained on at most sample_docs documents, those with the smallest hash of doc_id (of a repeated one the least text); of each, at most `places` base spans spread over it and its middle, as long as a few windows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text in b["text"]:
+            for text in b.column(0).to_pylist():
                 text = text or ""
-                places = [(s[1] + s[2]) // 2 for s in base_spans(text)[:8]] + [len(text) // 2]
-                rows += [text[max(0, p - 2 * WINDOW) : p + 2 * WINDOW] for p in places]
-            yield pd.DataFrame({"piece": rows})
+                found = base_spans(text)
+                some = [found[i] for i in sorted({round(j * (len(found) - 1) / max(1, places - 1)) for j in range(min(places, len(found)))})]
+                rows += [text[max(0, p - 2 * TRAIN_WINDOW) : p + 2 * TRAIN_WINDOW] for p in [*((a + e) // 2 for _, a, e in some), len(text) // 2]]
+            yield pa.RecordBatch.from_pydict({"piece": pa.array(rows, pa.string())})
 
-    few = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample_docs)
-    pieces = docs.select("doc_id", "text").join(F.broadcast(few.distinct()), "doc_id").mapInPandas(run, "piece string")
-    return Tagger().fit(*training_windows(sorted(pieces.toPandas()["piece"])))
+    few = id_sample(docs, "doc_id", sample_docs)
+    texts = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return Tagger().fit(*training_windows(sorted(r["piece"] for r in texts.select("text").mapInArrow(run, "piece string").toLocalIterator())))
+
+
+def _slices(b: pa.RecordBatch, text: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about `most` bytes of text, one row at least."""
+    size = np.asarray(pc.fill_null(pc.binary_length(b.column(text)), 0), dtype=np.int64)
+    group = (np.cumsum(size) - size) // most
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(b)]
+    for low, high in zip(cuts, cuts[1:]):
+        if high > low:
+            yield b.slice(low, high - low)
+
+
+def _all_spans(texts: list[str], tagger: Tagger) -> tuple[list[list[Span]], list[list[Span]]]:
+    base = [base_spans(t) for t in texts]
+    return base, [ordered(x + y) for x, y in zip(base, added_spans(texts, base, tagger))]
 
 
 def find_spans(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
@@ -436,24 +550,22 @@ def find_spans(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
 
     The counts and base_sha256 are of the base spans; spans lists these and the added
     ones. Offsets are in code points, ends exclusive. Null and empty texts have no
-    spans. Other columns are not read.
+    spans, repeated rows the same ones. Other columns are not read.
     """
     tagger = tagger or fit_tagger(docs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), 500):
-                texts = [t or "" for t in b["text"].iloc[at : at + 500]]
-                base = [base_spans(t) for t in texts]
-                more = added_spans(texts, base, tagger)
-                out = {"doc_id": b["doc_id"].iloc[at : at + 500].reset_index(drop=True)}
-                out |= {f"n_{k}": [sum(s[0] == k for s in found) for found in base] for k in KINDS}
-                out["base_sha256"] = [hashlib.sha256(written(found).encode()).hexdigest() for found in base]
-                out["spans"] = [written(ordered(x + y)) for x, y in zip(base, more)]
-                yield pd.DataFrame(out)
+            for part in _slices(b, 1):
+                base, both = _all_spans([t or "" for t in part.column(1).to_pylist()], tagger)
+                out = {"doc_id": part.column(0)}
+                out |= {f"n_{k}": pa.array([sum(s[0] == k for s in found) for found in base], pa.int64()) for k in KINDS}
+                out["base_sha256"] = pa.array([hashlib.sha256(written(found).encode()).hexdigest() for found in base], pa.string())
+                out["spans"] = pa.array([written(found) for found in both], pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -471,18 +583,17 @@ def mask(text: str, spans: list[Span]) -> str:
 
 
 def mask_documents(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
-    """docs with personal data in text masked; all columns and rows stay, null texts too. A column n_chars is set to the new length where docs has one."""
+    """docs with personal data in text masked; all columns and rows stay, null and empty texts and repeated rows too. A column n_chars is set to the new length where docs has one."""
     tagger = tagger or fit_tagger(docs)
+    text = docs.columns.index("text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), 500):
-                texts = [t or "" for t in b["text"].iloc[at : at + 500]]
-                base = [base_spans(t) for t in texts]
-                more = added_spans(texts, base, tagger)
-                part = b.iloc[at : at + 500].reset_index(drop=True)
-                part["text"] = [mask(t, ordered(x + y)) if x or y else old for t, x, y, old in zip(texts, base, more, part["text"])]
-                yield part
-
-    out = docs.mapInPandas(run, docs.schema)
+            for part in _slices(b, text):
+                old = part.column(text).to_pylist()
+                _, both = _all_spans([t or "" for t in old], tagger)
+                new = pa.array([mask(t, spans) if spans else t for t, spans in zip(old, both)], part.column(text).type)
+                yield pa.RecordBatch.from_arrays([*part.columns[:text], new, *part.columns[text + 1 :]], part.schema.names)
+
+    out = docs.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) if "n_chars" in docs.columns else out
