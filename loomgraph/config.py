@@ -22,8 +22,22 @@ class Config:
     min_community_size: int = 4
     default_domain: str = "General"
     provider: str = "offline"
+    base_url: str = ""
+    model: str = ""
+    context: int = 8192
+    project: str = ""
+    location: str = ""
+    endpoint: str = ""
+    max_concurrent: int = 3
+    encoder: str = "offline"
 
     def __post_init__(self) -> None:
+        if self.provider not in ("offline", "http", "predict"):
+            raise ValueError("provider must be offline, http or predict")
+        if self.provider != "offline" and not (self.base_url or self.endpoint):
+            raise ValueError("this provider needs base_url, or an endpoint")
+        if self.max_concurrent <= 0:
+            raise ValueError("max_concurrent must be positive")
         if min(self.theme_chunk_words, self.triple_chunk_words, self.token_batch) <= 0:
             raise ValueError("chunk and batch sizes must be positive")
         if self.projection not in ("centered_pca", "none"):

@@ -46,10 +46,11 @@ def edge_text(source: Column, predicate: Column, target: Column) -> Column:
 
 
 def json_in_answer(answer: Column) -> Column:
-    """The JSON text in a model's answer: what follows the last output mark; else a fenced block; else from the first to the last brace; else null."""
-    fenced = F.regexp_extract(answer, r"(?s)```json\s*(\{.*?\})\s*```", 1)
-    braces = F.regexp_extract(answer, r"(?s)(\{.*\})", 1)
-    return F.when(F.contains(answer, F.lit("Output:\n")), F.substring_index(answer, "Output:\n", -1)).when(fenced != "", fenced).when(braces != "", braces)
+    """The JSON text in a model's answer. Only what follows the last output mark counts, where there is one; of that a fenced block, tagged or not; else from the first to the last brace; else all of it."""
+    rest = F.substring_index(answer, "Output:\n", -1)
+    fenced = F.regexp_extract(rest, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
+    braces = F.regexp_extract(rest, r"(?s)(\{.*\})", 1)
+    return F.when(fenced != "", fenced).when(braces != "", braces).otherwise(rest)
 
 
 def node_size(degree: Column) -> Column:
@@ -59,3 +60,9 @@ def node_size(degree: Column) -> Column:
 def context_bound(free_mb: float, default: int) -> int:
     """Little free memory bounds a model's context."""
     return min(default, 2000) if 0 < free_mb < 4000 else default
+
+
+def order_key(value: Column, kind) -> Column:
+    """A string that sorts as the value does: a whole number, or a struct of whole numbers."""
+    number = lambda x: F.lpad(F.hex(F.coalesce(x.cast("long"), F.lit(-(2**63))).bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.concat(*(number(value[f.name]) for f in kind.fields)) if hasattr(kind, "fields") else number(value)

@@ -12,9 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import order_key
 from ..storage import stage_table
 from .components import connected_components
-from .embedding import choose_components, close_pairs, project, spectrum, weighted_moments
+from .embedding import choose_by_rows, close_pairs, project, spectra, spectrum, weighted_moments
+from .hypergraph import indexed
 
 MOST_ITEMS = 6_000
 
@@ -82,12 +84,17 @@ def cluster_items(points: DataFrame, threshold: float = 0.15, projection: str =
     cluster. A component of more than `most` items is clustered without a matrix of
     distances; its vectors are still one task's.
     """
-    points = stage_table(points.select("role", "item", "n", "first_ord", "v"), "points")
+    # First appearances may be of any type that sorts; from here on they are strings that sort alike.
+    first = order_key(F.col("first_ord"), points.schema["first_ord"].dataType)
+    points = stage_table(points.select("role", "item", "n", first.alias("first_ord"), "v"), "points")
     if projection == "centered_pca":
+        moments = weighted_moments(points)
+        rows = points.sparkSession.createDataFrame(spectra(moments), "role string, k int, ev double")
+        count = {r["role"]: r["components"] for r in choose_by_rows(rows).collect()}
         bases = {}
-        for role, moments in weighted_moments(points).items():
-            mean, values, vectors = spectrum(*moments)
-            bases[role] = mean, vectors[:, : choose_components(values)]
+        for role, m in moments.items():
+            mean, _, vectors = spectrum(*m)
+            bases[role] = mean, vectors[:, : count[role]]
         points = stage_table(project(points, bases), "projected")
     single = points.groupBy("role").agg(F.max((F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x) <= 1e-24).cast("int")).alias("whole"), F.count(F.lit(1)).alias("items"))
     single = single.select("role", ((F.col("whole") == 1) & (F.col("items") > 1)).alias("whole"))
@@ -107,9 +114,11 @@ def cluster_items(points: DataFrame, threshold: float = 0.15, projection: str =
         first = p["node"].to_numpy()[[int(np.flatnonzero(label == k)[0]) for k in label]]
         return pd.DataFrame({"role": p["role"], "head": first, "item": p["item"], "first_ord": p["first_ord"]})
 
-    out = named.select("role", "part", "whole", "node", "item", "first_ord", "v").groupBy("role", "part").applyInPandas(run, "role string, head string, item string, first_ord bigint")
+    out = named.select("role", "part", "whole", "node", "item", "first_ord", "v").groupBy("role", "part").applyInPandas(run, "role string, head string, item string, first_ord string")
     out = stage_table(out, "clusters")
     heads = out.groupBy("role", "head").agg(F.min(F.struct("first_ord", "item")).alias("first"))
-    heads = heads.select("role", "head", (F.row_number().over(Window.partitionBy("role").orderBy("first")) - 1).alias("cluster_id"))
+    heads = heads.select("role", "head", "first.first_ord", "first.item")
+    number = indexed(heads, ("role", "first_ord", "item"), "cluster_id", by="role")
+    heads = heads.join(number, ["role", "first_ord", "item"]).select("role", "head", F.col("cluster_id").cast("int").alias("cluster_id"))
     at = F.row_number().over(Window.partitionBy("role", "head").orderBy("first_ord", "item")) - 1
     return out.withColumn("item_idx", at).join(heads, ["role", "head"]).select("role", "cluster_id", "item_idx", "item")

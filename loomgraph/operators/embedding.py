@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import importlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DIMENSIONS = 64
@@ -26,14 +29,26 @@ def encode_strings(strings: list[str], dimensions: int = DIMENSIONS) -> np.ndarr
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def encode(items: DataFrame) -> DataFrame:
+@lru_cache(maxsize=2)
+def load_encoder(name: str = "offline") -> Callable[[list[str]], np.ndarray]:
+    """Strings -> unit vectors. `offline` is the encoder above; any other name is `module:factory`, whose factory() loads a model and returns such a function. It is loaded once a worker."""
+    if name == "offline":
+        return encode_strings
+    module, _, factory = name.partition(":")
+    return getattr(importlib.import_module(module), factory or "load")()
+
+
+def encode(items: DataFrame, encoder: str = "offline") -> DataFrame:
     """items(role, item, ...) with a column `v`: each distinct row is encoded once."""
+    at = items.columns.index("item")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.assign(v=list(encode_strings(b["item"].tolist())))
+            v = load_encoder(encoder)(b.column(at).to_pylist()) if len(b) else np.empty((0, 1))
+            v = pa.array(list(np.asarray(v, dtype=np.float64)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*b.columns, v], [*b.schema.names, "v"])
 
-    return items.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in items.dtypes) + ", v array<double>")
+    return items.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in items.dtypes) + ", v array<double>")
 
 
 def weighted_moments(points: DataFrame) -> dict[str, tuple[float, np.ndarray, np.ndarray]]:
@@ -79,12 +94,29 @@ def choose_components(values: np.ndarray) -> int:
 
 def project(points: DataFrame, bases: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """points(..., role, v) with v replaced by its centred coordinates. bases: role -> mean, vectors."""
+    names = points.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.assign(v=[(np.asarray(v) - bases[r][0]) @ bases[r][1] for r, v in zip(b["role"], b["v"])])
+            both = zip(b.column(names.index("role")).to_pylist(), b.column(names.index("v")).to_pylist())
+            v = pa.array([(np.asarray(v) - bases[r][0]) @ bases[r][1] for r, v in both], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([v if n == "v" else c for n, c in zip(names, b.columns)], names)
+
+    return points.mapInArrow(run, points.schema)
+
+
+def choose_by_rows(spectra: DataFrame) -> DataFrame:
+    """spectra(role, k from 1, ev descending) -> role, components: choose_components as a plan."""
+    by = Window.partitionBy("role").orderBy("k")
+    whole = Window.partitionBy("role")
+    w = spectra.withColumns({"gap": F.col("ev") - F.lead("ev").over(by), "cum": F.sum("ev").over(by) / F.nullif(F.sum("ev").over(whole), F.lit(0.0)), "total": F.sum("ev").over(whole)})
+    g = w.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.max("total").alias("total"), F.max_by(F.struct("k", "cum"), F.when(F.col("gap").isNotNull(), F.struct("gap", -F.col("k")))).alias("g"), F.min(F.when(F.col("cum") >= 0.85, F.col("k"))).alias("kc"))
+    return g.select("role", F.when((F.col("n") <= 2) | (F.col("total") <= 0), F.col("n")).when(F.col("g.cum") < 0.5, F.col("kc")).otherwise(F.col("g.k")).cast("int").alias("components"))
+
 
-    return points.mapInPandas(run, points.schema)
+def spectra(moments: dict[str, tuple[float, np.ndarray, np.ndarray]]) -> list[tuple[str, int, float]]:
+    """(role, k, eigenvalue): as many rows as roles times dimensions."""
+    return [(role, k, float(v)) for role, m in moments.items() for k, v in enumerate(spectrum(*m)[1], 1)]
 
 
 def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str = "item") -> DataFrame:

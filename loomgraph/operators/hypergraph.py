@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import theme_or_other
+from ..storage import stage_table
+from .community import detect_communities
 
 
 def memberships(triples: DataFrame) -> DataFrame:
@@ -14,21 +16,21 @@ def memberships(triples: DataFrame) -> DataFrame:
     return triples.select(F.explode(F.array("subject", "object")).alias("entity"), theme.alias("theme")).distinct()
 
 
-def _indexed(values: DataFrame, column: str, name: str) -> DataFrame:
-    """Dense indices in sorted order, without one task holding all rows: ranges are sorted apart and start after the counts of those before."""
-    rows = values.select(column).distinct().repartitionByRange(column)
-    rows = rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(column)))
-    from ..storage import stage_table
-
-    rows = stage_table(rows, "index")
-    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("base"))
-    return rows.join(before, "_part").select(column, (F.col("base") + F.col("_at") - 1).alias(name))
+def indexed(values: DataFrame, columns: tuple[str, ...], name: str, by: str | None = None) -> DataFrame:
+    """The distinct values of the columns with dense indices from 0 in sorted order, by the first column apart if `by` names it. No task holds all rows: ranges are sorted apart and start after the counts of those before."""
+    rows = values.select(*columns).distinct().repartitionByRange(*columns).withColumn("_part", F.spark_partition_id())
+    group = ("_part", by) if by else ("_part",)
+    rows = stage_table(rows.withColumn("_at", F.row_number().over(Window.partitionBy(*group).orderBy(*columns))), "index")
+    # A row a range (and value of `by`): as many as tasks.
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    order = (Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))).orderBy("_part")
+    before = counts.select(*group, (F.sum("n").over(order) - F.col("n")).alias("_base"))
+    return rows.join(before, list(group)).select(*columns, (F.col("_base") + F.col("_at") - 1).alias(name))
 
 
 def incidence(members: DataFrame) -> DataFrame:
     """entity, theme, entity_idx, theme_idx, value = 1.0."""
-    out = members.join(_indexed(members, "entity", "entity_idx"), "entity").join(_indexed(members, "theme", "theme_idx"), "theme")
+    out = members.join(indexed(members, ("entity",), "entity_idx"), "entity").join(indexed(members, ("theme",), "theme_idx"), "theme")
     return out.select("entity", "theme", "entity_idx", "theme_idx", F.lit(1.0).alias("value"))
 
 
@@ -72,3 +74,26 @@ def degree_centrality(members: DataFrame) -> DataFrame:
     both = e.union(t)
     n = both.agg(F.count(F.lit(1)).alias("n"))
     return both.crossJoin(F.broadcast(n)).select("kind", "label", F.when(F.col("n") > 1, F.col("degree") / (F.col("n") - 1)).otherwise(1.0).alias("centrality"))
+
+
+def bipartite_edges(members: DataFrame) -> DataFrame:
+    """src, dst, weight of the bipartite graph: entities and themes as nodes of their own kind, each membership in both directions, so that the directed objective is the undirected one."""
+    entity, theme = F.concat(F.lit("entity:"), F.col("entity")), F.concat(F.lit("theme:"), F.col("theme"))
+    rows = members.select(entity.alias("src"), theme.alias("dst"))
+    return rows.union(rows.select("dst", "src")).select("src", "dst", F.lit(1.0).alias("weight"))
+
+
+def bipartite_communities(members: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """kind, label, community: the communities of entities and themes together."""
+    found = detect_communities(bipartite_edges(members), resolution)
+    cut = F.instr("node", ":")
+    return found.select(F.substring_index("node", ":", 1).alias("kind"), F.col("node").substr(cut + 1, F.length("node")).alias("label"), "community")
+
+
+def counts(triples: DataFrame, members: DataFrame) -> DataFrame:
+    """One row: nodes and collapsed edges of the graph, entities, themes and memberships of the hypergraph."""
+    ends = triples.where("subject <> '' and object <> ''").select("subject", "object").distinct()
+    graph = ends.agg(F.count(F.lit(1)).alias("edges"))
+    nodes = ends.select(F.explode(F.array("subject", "object")).alias("node")).agg(F.countDistinct("node").alias("nodes"))
+    hyper = members.agg(F.countDistinct("entity").alias("entities"), F.countDistinct("theme").alias("themes"), F.count(F.lit(1)).alias("memberships"))
+    return nodes.crossJoin(graph).crossJoin(hyper)

@@ -1,129 +1,199 @@
-"""The model-dependent steps, as Arrow batches around a provider."""
+"""The model-dependent steps, as Arrow batches around a provider.
+
+Each step's answers are kept as a table with ok, payload and error; `errors_of` lists the
+calls that failed, so none vanishes. Ids pass as Arrow arrays, never as floats.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.providers import call
+from ..sources.providers import ask, call
 from .embedding import centroids
+from .hypergraph import indexed
 from .normalize import token_batches
-from .triples import parse_triples
+from .triples import ORD, parse_triples, place
 
 CALL = "ok boolean, payload string, error string"
+AT_ONCE = 3
+
+
+def _fields(rows: DataFrame) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
 
 
-def discover_themes(chunks: DataFrame, provider) -> DataFrame:
-    """chunks(doc_id, chunk_idx, chunk) -> ord, title, description, reasoning; failed calls give nothing."""
+def _asked(rows: DataFrame, keep: tuple[str, ...], method: Callable, arguments: Callable, at_once: int = AT_ONCE) -> DataFrame:
+    """The columns `keep` of rows, and the answer to method(*arguments(row)) for each row, at most at_once calls in flight a task."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            answers = [call(provider.themes, c) for c in b["chunk"]]
-            yield b[["doc_id", "chunk_idx"]].assign(ok=[a[0] for a in answers], payload=[a[1] for a in answers], error=[a[2] for a in answers])
+            rows_ = b.to_pylist()
+            answers = list(ask(method, (arguments(r) for r in rows_), at_once))
+            kept = [b.column(b.schema.get_field_index(c)) for c in keep]
+            told = [pa.array([a[i] for a in answers], t) for i, t in enumerate((pa.bool_(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*kept, *told], [*keep, "ok", "payload", "error"])
+
+    return rows.mapInArrow(run, f"{_fields(rows.select(*keep))}, {CALL}")
+
+
+def errors_of(step: str, answers: DataFrame) -> DataFrame:
+    """(step, error, calls) of the calls that failed."""
+    return answers.where("not ok").groupBy(F.lit(step).alias("step"), "error").agg(F.count(F.lit(1)).alias("calls"))
+
+
+def theme_answers(chunks: DataFrame, provider, at_once: int = AT_ONCE) -> DataFrame:
+    """chunks(doc_id, chunk_idx, chunk) -> doc_id, chunk_idx and the answer."""
+    return _asked(chunks.select("doc_id", "chunk_idx", "chunk"), ("doc_id", "chunk_idx"), provider.themes, lambda r: (r["chunk"],), at_once)
+
 
-    rows = chunks.mapInPandas(run, f"doc_id bigint, chunk_idx int, {CALL}").where("ok")
+def themes_of(answers: DataFrame) -> DataFrame:
+    """ord, title, description, reasoning; failed calls and incomplete themes give nothing."""
     t = F.posexplode(F.from_json("payload", "themes array<struct<title:string,description:string,reasoning:string>>")["themes"]).alias("i", "t")
-    rows = rows.select("doc_id", "chunk_idx", t).where("t.title is not null and t.description is not null and t.reasoning is not null")
-    order = F.col("doc_id") * 1_000_000 + F.col("chunk_idx") * 1_000 + F.col("i")
-    return rows.select(order.alias("ord"), "t.*")
+    rows = answers.where("ok").select("doc_id", "chunk_idx", t).where("t.title is not null and t.description is not null and t.reasoning is not null")
+    return rows.select(place(F.col("doc_id"), F.col("chunk_idx"), F.col("i")).alias("ord"), "t.*")
 
 
-def extract_triples(chunks: DataFrame, provider, domain: str = "General", themes: str = "", registry: int = 100) -> DataFrame:
-    """chunks(doc_id, chunk_idx, chunk) -> doc_id and valid triples with ord.
+def discover_themes(chunks: DataFrame, provider, at_once: int = AT_ONCE) -> DataFrame:
+    return themes_of(theme_answers(chunks, provider, at_once))
+
+
+def consolidate_themes(ranked: DataFrame, blocks: DataFrame, provider, default_domain: str = "General") -> DataFrame:
+    """One row (master_domain, master_themes, ok, payload, error). ranked: the one row of themes.consolidate; blocks: that of theme_blocks. Where the call fails, or its answer has no domain, the ranked titles stay; without themes nobody is asked."""
+    row = ranked.select("master_domain", "master_themes").crossJoin(blocks.select("blocks"))
+    told = _asked(row, ("master_domain", "master_themes"), lambda text, titles: provider.consolidate(text, titles) if titles else {}, lambda r: (r["blocks"] or "", r["master_themes"] or []))
+    got = F.from_json("payload", "master_domain string, master_themes array<string>")
+    told = told.withColumn("g", F.when(F.col("ok"), got))
+    domain = F.coalesce(F.nullif(F.trim("g.master_domain"), F.lit("")), F.col("master_domain"), F.lit(default_domain))
+    return told.select(domain.alias("master_domain"), F.coalesce("g.master_themes", "master_themes").alias("master_themes"), "ok", "payload", "error")
+
+
+def triple_answers(chunks: DataFrame, provider, domain: str = "General", themes: str = "", registry: int = 100) -> DataFrame:
+    """chunks(doc_id, chunk_idx, chunk) -> doc_id, chunk_idx and the answer.
 
     A document's chunks are asked in order, each with the latest `registry` entities of
     the document so far, by first appearance. Chunks stream through a task, so a
-    document may be of any length.
+    document may be of any length; documents run side by side in the tasks.
     """
     parts = max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = chunks.select("doc_id", "chunk_idx", "chunk").repartition(parts, "doc_id").sortWithinPartitions("doc_id", "chunk_idx")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, known = None, {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known = object(), {}
         for b in batches:
-            out = []
-            for doc, idx, chunk in b.itertuples(index=False):
+            answers = []
+            for doc, chunk in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
                 if doc != now:
                     now, known = doc, {}
                 ok, payload, error = call(provider.triples, chunk, domain, themes, list(known)[-registry:])
                 if ok:
-                    found = json.loads(payload).get("triples")
+                    found = json.loads(payload)
+                    found = found.get("triples") if isinstance(found, dict) else None
                     for t in found if isinstance(found, list) else []:
                         for role in ("subject", "object"):
                             if isinstance(t, dict) and isinstance(t.get(role), str) and t[role].strip():
                                 known.setdefault(t[role].strip())
-                out.append((doc, idx, ok, payload, error))
-            yield pd.DataFrame(out, columns=["doc_id", "chunk_idx", "ok", "payload", "error"])
+                answers.append((ok, payload, error))
+            told = [pa.array([a[i] for a in answers], t) for i, t in enumerate((pa.bool_(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *told], ["doc_id", "chunk_idx", "ok", "payload", "error"])
+
+    return rows.mapInArrow(run, f"{_fields(rows.select('doc_id', 'chunk_idx'))}, {CALL}")
 
-    answers = rows.mapInPandas(run, f"doc_id bigint, chunk_idx int, {CALL}").where("ok")
-    t = parse_triples(answers.select("doc_id", "chunk_idx", "payload"))
-    return t.select((F.col("doc_id") * 10_000_000 + F.col("chunk_idx") * 10_000 + F.col("elem_idx")).alias("ord"), "doc_id", "subject", "predicate", "object", "source_quote", "certainty_score", "theme_association")
+
+def triples_of(answers: DataFrame) -> DataFrame:
+    """doc_id and the valid triples with ord."""
+    t = parse_triples(answers.where("ok").select("doc_id", "chunk_idx", "payload"))
+    return t.select(place(F.col("doc_id"), F.col("chunk_idx"), F.col("elem_idx")).alias("ord"), "doc_id", "subject", "predicate", "object", "source_quote", "certainty_score", "theme_association")
+
+
+def extract_triples(chunks: DataFrame, provider, domain: str = "General", themes: str = "", registry: int = 100) -> DataFrame:
+    return triples_of(triple_answers(chunks, provider, domain, themes, registry))
 
 
 def normalize_tokens(items: DataFrame, provider, domain: str, size: int = 50) -> DataFrame:
-    """items(role, item) -> role, original, normalized: one call per batch of distinct items. A failed call leaves its batch as it is, a token missing from the answer too; answers for other strings are ignored, of several the last counts."""
+    """items(role, item) -> role, original, normalized, error: one call per batch of distinct items. A failed call leaves its batch as it is and tells its error with each row; a token missing from the answer stays too; answers for other strings are ignored, of several the last counts."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         tokens = sorted(p["item"])
-        ok, payload, _ = call(provider.normalize, tokens, domain)
-        found = {t["original"]: t["normalized"] for t in json.loads(payload).get("tokens", [])} if ok else {}
-        return pd.DataFrame({"role": [p["role"].iloc[0]] * len(tokens), "original": tokens, "normalized": [found.get(t, t) for t in tokens]})
+        ok, payload, error = call(provider.normalize, tokens, domain)
+        answer = json.loads(payload) if ok else {}
+        found = answer.get("tokens") if isinstance(answer, dict) else None
+        new = {t["original"]: t["normalized"] for t in found or [] if isinstance(t, dict) and isinstance(t.get("original"), str) and isinstance(t.get("normalized"), str)}
+        return pd.DataFrame({"role": [p["role"].iloc[0]] * len(tokens), "original": tokens, "normalized": [new.get(t, t) for t in tokens], "error": [error] * len(tokens)})
 
-    return token_batches(items, size).groupBy("role", "batch").applyInPandas(run, "role string, original string, normalized string")
+    return token_batches(items, size).groupBy("role", "batch").applyInPandas(run, "role string, original string, normalized string, error string")
 
 
 def _per_cluster(clusters: DataFrame) -> DataFrame:
+    """A cluster's members are one call's argument, so their list is bounded by what a model can be asked."""
     item = F.struct("item_idx", "item")
     rows = clusters.groupBy("role", "cluster_id").agg(F.sort_array(F.collect_list(item)).alias("m"))
     return rows.select("role", "cluster_id", F.transform("m", lambda x: x["item"]).alias("members"))
 
 
-def validate_clusters(clusters: DataFrame, provider, domain: str) -> DataFrame:
-    """Clusters whose accuracy a common name would destroy fall apart into single items; others stay, also where the call fails. Single items are not asked about."""
+def validate_answers(clusters: DataFrame, provider, domain: str, at_once: int = AT_ONCE) -> DataFrame:
+    """role, cluster_id and the answer, for clusters of several items."""
+    rows = _per_cluster(clusters).where(F.size("members") > 1)
+    return _asked(rows, ("role", "cluster_id"), provider.validate, lambda r: (r["members"], domain), at_once)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            answers = [call(provider.validate, list(m), domain) for m in b["members"]]
-            yield b[["role", "cluster_id"]].assign(destroyed=[a[0] and bool(json.loads(a[1]).get("accuracy_destroyed")) for a in answers])
 
-    asked = _per_cluster(clusters).where(F.size("members") > 1).mapInPandas(run, "role string, cluster_id int, destroyed boolean")
-    out = clusters.join(asked, ["role", "cluster_id"], "left").withColumn("head", F.struct("cluster_id", F.when(F.coalesce("destroyed", F.lit(False)), F.col("item_idx")).otherwise(F.lit(0)).alias("i")))
-    number = F.dense_rank().over(Window.partitionBy("role").orderBy("head")) - 1
-    at = F.row_number().over(Window.partitionBy("role", "head").orderBy("item_idx")) - 1
-    return out.select("role", number.alias("cluster_id"), at.alias("item_idx"), "item")
+def split_clusters(clusters: DataFrame, answers: DataFrame) -> DataFrame:
+    """Clusters whose accuracy a common name would destroy fall apart into single items; others stay, also where the call failed. Clusters keep their order, numbers close up."""
+    destroyed = F.lower(F.get_json_object("payload", "$.accuracy_destroyed")).isin("true", "1")
+    asked = answers.select("role", "cluster_id", (F.col("ok") & F.coalesce(destroyed, F.lit(False))).alias("destroyed"))
+    out = clusters.join(asked, ["role", "cluster_id"], "left").withColumn("i", F.when(F.coalesce("destroyed", F.lit(False)), F.col("item_idx")).otherwise(F.lit(0)))
+    number = indexed(out, ("role", "cluster_id", "i"), "number", by="role")
+    at = F.row_number().over(Window.partitionBy("role", "cluster_id", "i").orderBy("item_idx")) - 1
+    return out.withColumn("at", at).join(number, ["role", "cluster_id", "i"]).select("role", F.col("number").cast("int").alias("cluster_id"), F.col("at").alias("item_idx"), "item")
 
 
-def taxonomic_lift(clusters: DataFrame, vectors: DataFrame, provider, domain: str) -> DataFrame:
-    """role, member, label: the verified hypernym of a cluster, else its central item; a single item is its own label. vectors(role, item, v) are the raw embeddings."""
+def validate_clusters(clusters: DataFrame, provider, domain: str, at_once: int = AT_ONCE) -> DataFrame:
+    return split_clusters(clusters, validate_answers(clusters, provider, domain, at_once))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            answers = [call(provider.lift, list(m), domain) for m in b["members"]]
-            got = [json.loads(a[1]) if a[0] else {} for a in answers]
-            yield b[["role", "cluster_id"]].assign(hypernym=[g.get("formal_hypernym") if g.get("members_verified") else None for g in got])
-
-    lifted = _per_cluster(clusters).where(F.size("members") > 1).mapInPandas(run, "role string, cluster_id int, hypernym string")
-    many = clusters.join(lifted.select("role", "cluster_id"), ["role", "cluster_id"], "left_semi").join(vectors.select("role", "item", "v"), ["role", "item"])
-    many = many.withColumn("group", F.to_json(F.struct("role", "cluster_id")))
-    center = centroids(many, "group", "item").select(F.from_json("group", "role string, cluster_id int").alias("g"), "center").select("g.*", "center")
-    names = lifted.join(center, ["role", "cluster_id"], "left").select("role", "cluster_id", F.coalesce("hypernym", "center").alias("label"))
+
+def central_items(clusters: DataFrame, vectors: DataFrame) -> DataFrame:
+    """role, cluster_id, center of the clusters of several items. vectors(role, item, v) are the raw embeddings."""
+    many = clusters.groupBy("role", "cluster_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("role", "cluster_id")
+    rows = clusters.join(many, ["role", "cluster_id"], "left_semi").join(vectors.select("role", "item", "v"), ["role", "item"])
+    rows = rows.withColumn("group", F.to_json(F.struct("role", "cluster_id")))
+    return centroids(rows, "group", "item").select(F.from_json("group", "role string, cluster_id int").alias("g"), "center").select("g.*", "center")
+
+
+def lift_answers(clusters: DataFrame, vectors: DataFrame, provider, domain: str, at_once: int = AT_ONCE) -> DataFrame:
+    """role, cluster_id, center and the answer: the model is told the central item with the members."""
+    rows = _per_cluster(clusters).join(central_items(clusters, vectors), ["role", "cluster_id"])
+    return _asked(rows, ("role", "cluster_id", "center"), provider.lift, lambda r: (r["members"], domain, r["center"]), at_once)
+
+
+def labels_of(clusters: DataFrame, answers: DataFrame) -> DataFrame:
+    """role, member, label: the verified hypernym of a cluster, else its central item; a single item is its own label."""
+    g = F.from_json("payload", "formal_hypernym string, members_verified boolean")
+    name = F.when(F.col("ok") & F.coalesce(F.col("g.members_verified"), F.lit(False)), F.col("g.formal_hypernym"))
+    names = answers.withColumn("g", g).select("role", "cluster_id", F.coalesce(name, "center").alias("label"))
     return clusters.join(names, ["role", "cluster_id"], "left").select("role", F.col("item").alias("member"), F.coalesce("label", "item").alias("label"))
 
 
-def synthesize_schemas(tree: DataFrame, provider, domain: str, inheritance: str = "") -> DataFrame:
-    """hierarchy rows -> community and the generated schema; failed calls give nothing."""
-    schema = "title string, summary string, core_theme string, key_learnings array<string>, isolated_facts array<string>, protocols_code string, concrete_models_code string"
+def taxonomic_lift(clusters: DataFrame, vectors: DataFrame, provider, domain: str, at_once: int = AT_ONCE) -> DataFrame:
+    return labels_of(clusters, lift_answers(clusters, vectors, provider, domain, at_once))
+
+
+def schema_answers(tree: DataFrame, provider, domain: str, inheritance: str = "", at_once: int = AT_ONCE) -> DataFrame:
+    """hierarchy rows -> community and the answer. A community's edges are one call's argument."""
     line = lambda e: F.format_string("%s -[%s]-> %s", e["source"], F.coalesce(e["predicate"], F.lit("links")), e["target"])
     rows = tree.select("community", "nodes", F.coalesce(F.transform("edges", line), F.array().cast("array<string>")).alias("lines"))
+    return _asked(rows, ("community",), provider.schema, lambda r: ({"nodes": r["nodes"], "edges": r["lines"]}, domain, inheritance), at_once)
+
+
+def schemas_of(answers: DataFrame) -> DataFrame:
+    """community and the generated schema; failed calls give nothing."""
+    schema = "title string, summary string, core_theme string, key_learnings array<string>, isolated_facts array<string>, protocols_code string, concrete_models_code string"
+    return answers.where("ok").select("community", F.from_json("payload", schema).alias("s")).select("community", "s.*")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            answers = [call(provider.schema, {"nodes": list(n), "edges": list(e)}, domain, inheritance) for n, e in zip(b["nodes"], b["lines"])]
-            yield b[["community"]].assign(ok=[a[0] for a in answers], payload=[a[1] for a in answers], error=[a[2] for a in answers])
 
-    out = rows.mapInPandas(run, f"community {dict(tree.dtypes)['community']}, {CALL}").where("ok")
-    return out.select("community", F.from_json("payload", schema).alias("s")).select("community", "s.*")
+def synthesize_schemas(tree: DataFrame, provider, domain: str, inheritance: str = "", at_once: int = AT_ONCE) -> DataFrame:
+    return schemas_of(schema_answers(tree, provider, domain, inheritance, at_once))

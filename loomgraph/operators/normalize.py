@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import preprocess
+from .hypergraph import indexed
 from .triples import ROLES, role_items
 
 
 def token_batches(items: DataFrame, size: int = 50) -> DataFrame:
-    """Distinct items of each role in sorted order, numbered into batches."""
-    distinct = items.select("role", "item").distinct()
-    rank = F.row_number().over(Window.partitionBy("role").orderBy("item"))
-    return distinct.select("role", "item", F.floor((rank - 1) / size).cast("int").alias("batch"))
+    """Distinct items of each role in sorted order, numbered into batches; by ranges, so no task holds a whole role."""
+    rows = indexed(items, ("role", "item"), "at", by="role")
+    return rows.select("role", "item", F.floor(F.col("at") / size).cast("int").alias("batch"))
 
 
 def normalization_details(triples: DataFrame) -> DataFrame:

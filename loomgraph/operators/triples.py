@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, words
 
 ROLES = ("subject", "predicate", "object")
-TRIPLE = "ord bigint, subject string, predicate string, object string, source_quote string, certainty_score double, theme_association string"
+#: Where a triple stands. Any type that sorts will do as ord; this one never collides, whatever the ids and the lengths of documents.
+ORD = "struct<doc_id:bigint,chunk_idx:int,elem_idx:int>"
+
+
+def place(doc: Column, chunk: Column, elem: Column) -> Column:
+    return F.struct(doc.cast("long").alias("doc_id"), chunk.cast("int").alias("chunk_idx"), elem.cast("int").alias("elem_idx"))
 
 
 def parse_triples(answers: DataFrame, column: str = "payload") -> DataFrame:
@@ -44,7 +49,7 @@ def rule_triples(docs: DataFrame) -> DataFrame:
     s = docs.select("doc_id", "source", F.posexplode(F.split("text", r"[.\n]")).alias("sent_idx", "sentence"))
     s = s.withColumn("w", words(F.col("sentence"))).where(F.size("w") >= 3)
     return s.select(
-        (F.col("doc_id") * 1_000_000 + F.col("sent_idx")).alias("ord"),
+        place(F.col("doc_id"), F.lit(0), F.col("sent_idx")).alias("ord"),
         F.col("w")[0].alias("subject"),
         F.col("w")[1].alias("predicate"),
         F.element_at("w", -1).alias("object"),

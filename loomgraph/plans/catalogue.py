@@ -14,16 +14,13 @@ from pyspark.sql import functions as F
 from ..functions.text import chunk_documents, edge_text, json_in_answer, node_size, preprocess
 from ..operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
 from ..sources.corpus import table
+from ..sources import sinks
 from ..sources.providers import OfflineProvider
 from .pipeline import run_metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-#: An eigenvalue list for each branch of the choice of components.
-SPECTRA = {"gap": [6.0, 3.0, 1.0], "late_gap": [3.0, 2.9, 1.0, 0.9, 0.8], "tie": [4.0, 4.0, 1.0, 1.0], "cumulative": [2.4, 2.0, 2.0, 2.0, 2.0, 2.0], "flat": [2.0, 2.0, 2.0, 2.0], "two": [5.0, 1.0]}
-
-
 def rel(spark: SparkSession, d: str) -> DataFrame:
     o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -42,7 +39,7 @@ REL = "rel as (select o_orderkey ord, c_name subject, o_orderpriority predicate,
 PART = "part_t as (select p_partkey ord, p_brand subject, 'has type' predicate, p_type object, 'size ' || p_size theme from part)"
 DOC = r"""sent as (select doc_id, source, unnest(string_split_regex(text, '[.\n]')) sentence, generate_subscripts(string_split_regex(text, '[.\n]'), 1) - 1 sent_idx from documents),
 sw as (select *, list_filter(string_split_regex(sentence, '\s+'), lambda x: x <> '') w from sent),
-doc as (select doc_id * 1000000 + sent_idx ord, w[1] subject, w[2] predicate, w[len(w)] object, sentence source_quote, source theme from sw where len(w) >= 3)"""
+doc as (select {'d': doc_id, 's': sent_idx} ord, doc_id, sent_idx::int sent_idx, w[1] subject, w[2] predicate, w[len(w)] object, sentence source_quote, source theme from sw where len(w) >= 3)"""
 ITEMS = "items as (select ord, 0 role_pos, 'subject' role, subject item from doc where subject <> '' union all select ord, 1, 'predicate', predicate from doc where predicate <> '' union all select ord, 2, 'object', object from doc where object <> '')"
 CLEAN = r"trim(regexp_replace(lower(regexp_replace(replace({0}, '_', ' '), '[<>/\\|\[\]{{}}]', '', 'g')), '\s+', ' ', 'g'))"
 MEMBERS = "members as (select distinct entity, theme from (select subject entity, theme from part_t union all select object, theme from part_t))"
@@ -74,9 +71,14 @@ def preprocess_text(spark, d):
     return table(spark, d, "documents").select("doc_id", preprocess(F.col("text")).alias("normalized"))
 
 
-@query(f"with {DOC} select ord, subject, predicate, object, source_quote, 1.0::double certainty_score, theme theme_association from doc")
+def _flat(t: DataFrame, ord_: str = "ord", prefix: str = "") -> DataFrame:
+    """A place in a document as two columns."""
+    return t.withColumns({f"{prefix}doc_id": F.col(f"{ord_}.doc_id"), f"{prefix}sent_idx": F.col(f"{ord_}.elem_idx")}).drop(ord_)
+
+
+@query(f"with {DOC} select doc_id, sent_idx, subject, predicate, object, source_quote, 1.0::double certainty_score, theme theme_association from doc")
 def triples_rule_extract(spark, d):
-    return doc(spark, d)
+    return _flat(doc(spark, d))
 
 
 @query(
@@ -117,9 +119,9 @@ def theme_consolidation(spark, d):
     return themes.consolidate(themes.theme_frequency(_themes(spark, d))).withColumn("master_themes", F.array_join("master_themes", "|"))
 
 
-@query(f"with {DOC}, {ITEMS} select role, item original, {CLEAN.format('item')} normalized, min(ord) first_ord, item <> {CLEAN.format('item')} was_changed from items group by role, item")
+@query(f"with {DOC}, {ITEMS} select role, item original, {CLEAN.format('item')} normalized, min(ord).d first_doc_id, min(ord).s::int first_sent_idx, item <> {CLEAN.format('item')} was_changed from items group by role, item")
 def normalization_details(spark, d):
-    return normalize.normalization_details(doc(spark, d))
+    return _flat(normalize.normalization_details(doc(spark, d)), "first_ord", "first_")
 
 
 @query(f"with {DOC}, {ITEMS}, t as (select distinct role, item from items) select role, item, ((row_number() over (partition by role order by item) - 1) // 50)::int batch from t")
@@ -127,17 +129,17 @@ def token_batches(spark, d):
     return normalize.token_batches(triples.role_items(doc(spark, d)))
 
 
-@query(f"with {DOC}, {ITEMS} select role, item, count(*) n, min(ord) first_ord from items group by role, item")
+@query(f"with {DOC}, {ITEMS} select role, item, count(*) n, min(ord).d first_doc_id, min(ord).s::int first_sent_idx from items group by role, item")
 def role_item_counts(spark, d):
-    return triples.item_counts(triples.role_items(doc(spark, d)))
+    return _flat(triples.item_counts(triples.role_items(doc(spark, d))), "first_ord", "first_")
 
 
 @query(
-    f"""with {DOC}, seen as (select doc_id, entity, min(ord * 2 + pos) first from (select ord // 1000000 doc_id, ord, 0 pos, subject entity from doc union all select ord // 1000000, ord, 1, object from doc) group by 1, 2),
+    f"""with {DOC}, seen as (select doc_id, entity, min(sent_idx * 2 + pos) first from (select doc_id, sent_idx, 0 pos, subject entity from doc union all select doc_id, sent_idx, 1, object from doc) group by 1, 2),
 r as (select doc_id, entity, (row_number() over (partition by doc_id order by first desc))::int as rank from seen) select * from r where rank <= 100"""
 )
 def recent_entities(spark, d):
-    return normalize.recent_entities(doc(spark, d).withColumn("doc_id", F.floor(F.col("ord") / 1_000_000)))
+    return normalize.recent_entities(doc(spark, d).withColumn("doc_id", F.col("ord.doc_id")))
 
 
 def _labels(t: DataFrame) -> DataFrame:
@@ -147,12 +149,12 @@ def _labels(t: DataFrame) -> DataFrame:
 
 @query(
     f"""with {DOC}, {ITEMS}, m as (select distinct role, item member, upper(role) || ':' || substr(item, 1, 3) label from items where length(item) % 2 = 0)
-select doc.ord, coalesce(a.label, subject) subject, coalesce(b.label, predicate) predicate, coalesce(c.label, object) object, (a.label is not null or b.label is not null or c.label is not null) hit from doc
+select doc_id, sent_idx, coalesce(a.label, subject) subject, coalesce(b.label, predicate) predicate, coalesce(c.label, object) object, (a.label is not null or b.label is not null or c.label is not null) hit from doc
 left join m a on a.role = 'subject' and a.member = subject left join m b on b.role = 'predicate' and b.member = predicate left join m c on c.role = 'object' and c.member = object"""
 )
 def map_lookup_resolve(spark, d):
     t = triples.rule_triples(table(spark, d, "documents"))
-    return normalize.resolve_names(t, _labels(t)).select("ord", "subject", "predicate", "object", "hit")
+    return _flat(normalize.resolve_names(t, _labels(t)).select("ord", "subject", "predicate", "object", "hit"))
 
 
 EDGE_COLUMNS = "subject src, object dst, count(*)::double weight, arg_min(predicate, ord) predicate, string_agg(distinct predicate, '|' order by predicate) predicates"
@@ -267,27 +269,38 @@ def embedding_centroid(spark, d):
     return embedding.centroids(m, "label", "vec_id").withColumn("distance", F.round("distance", 6))
 
 
-SPECTRUM_ROWS = ", ".join(f"('{n}', {k}, {v}::double)" for n, vs in SPECTRA.items() for k, v in enumerate(vs, 1))
-
-
 @query(
-    f"""with s(role, k, ev) as (values {SPECTRUM_ROWS}), w as (select *, ev - lead(ev) over (partition by role order by k) gap, sum(ev) over (partition by role order by k) / sum(ev) over (partition by role) cum, count(*) over (partition by role) n from s),
-g as (select role, max(n) total, arg_max(k, (gap, -k)) filter (gap is not null) kg, min(case when cum >= 0.85 then k end) kc from w group by 1)
-select g.role, (case when total <= 2 then total when w.cum < 0.5 then kc else kg end)::int components from g join w on w.role = g.role and w.k = g.kg"""
+    """with x as (select label, unnest(embedding::double[]) v, generate_subscripts(embedding, 1) i from embeddings), s as (select label, i, var_samp(v) ev from x group by 1, 2),
+k as (select *, row_number() over (partition by label order by ev desc, i) k from s), w as (select *, ev - lead(ev) over (partition by label order by k) gap, sum(ev) over (partition by label order by k) / sum(ev) over (partition by label) cum, count(*) over (partition by label) n from k),
+g as (select label, max(n) total, arg_max(k, (gap, -k)) filter (gap is not null) kg, min(case when cum >= 0.85 then k end) kc from w group by 1)
+select g.label::varchar as role, (case when total <= 2 then total when w.cum < 0.5 then kc else kg end)::int components from g join w on w.label = g.label and w.k = g.kg"""
 )
 def explained_variance_select(spark, d):
-    rows = spark.createDataFrame([(n, k, v) for n, vs in SPECTRA.items() for k, v in enumerate(vs, 1)], "role string, k int, ev double")
-    by = Window.partitionBy("role").orderBy("k")
-    w = rows.withColumns({"gap": F.col("ev") - F.lead("ev").over(by), "cum": F.sum("ev").over(by) / F.sum("ev").over(Window.partitionBy("role"))})
-    g = w.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.max_by("k", F.when(F.col("gap").isNotNull(), F.struct("gap", -F.col("k")))).alias("kg"), F.min(F.when(F.col("cum") >= 0.85, F.col("k"))).alias("kc"))
-    at = w.select("role", F.col("k").alias("kg"), "cum")
-    return g.join(at, ["role", "kg"]).select("role", F.when(F.col("n") <= 2, F.col("n")).when(F.col("cum") < 0.5, F.col("kc")).otherwise(F.col("kg")).cast("int").alias("components"))
+    """Components by the variances along the axes, for each label."""
+    x = table(spark, d, "embeddings").select(F.col("label").cast("string").alias("role"), F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
+    ev = x.groupBy("role", "i").agg(F.var_samp("v").alias("ev"))
+    return embedding.choose_by_rows(ev.select("role", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("ev"), "i")).alias("k"), "ev"))
 
 
-@query("select doc_id, '{\"id\": ' || doc_id || '}' answer from documents")
+@query("select doc_id, case when doc_id % 8 = 6 then 'no ' || doc_id else '{\"id\": ' || doc_id || '}' end answer from documents")
 def answer_json(spark, d):
-    body = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit("}"))
-    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("so {x} Output:\n"), body)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("here:\n```json\n"), body, F.lit("\n``` done"))).otherwise(F.concat(F.lit("I say "), body, F.lit(" only")))
+    """After an output mark or not; fenced with or without a tag, bare, with prose and braces around, and none."""
+    i = F.col("doc_id")
+    body = F.concat(F.lit('{"id": '), i.cast("string"), F.lit("}"))
+    shapes = (
+        (F.lit("so {x} Output:\n"), F.lit("")),
+        (F.lit("here:\n```json\n"), F.lit("\n``` done")),
+        (F.lit("I say "), F.lit(" only")),
+        (F.lit("{x} Output:\nwell\nOutput:\n```json "), F.lit("``` done {y}")),
+        (F.lit("first\n```\n"), F.lit("\n```\nthen {y}")),
+        (F.lit("{x} Output:\nSure: "), F.lit(" is it")),
+        (None, None),
+        (F.lit("```json\n"), F.lit("\n```\n```json\n{\"id\": 0}\n```")),
+    )
+    raw = F.concat(F.lit("{x} Output:\nno "), i.cast("string"))
+    for k, (before, after) in enumerate(shapes):
+        if before is not None:
+            raw = F.when(i % 8 == k, F.concat(before, body, after)).otherwise(raw)
     return table(spark, d, "documents").select("doc_id", json_in_answer(raw).alias("answer"))
 
 
@@ -323,22 +336,133 @@ def communities_detected(spark, d):
     return community.detect_communities(graph.edges(rel(spark, d)))
 
 
-@query()
+CHUNKS = r"""w as (select doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') ws from documents),
+k as (select doc_id, ws, unnest(generate_series(0, greatest(0, ceil((len(ws) - 200) / 150.0)::bigint))) chunk_idx from w where len(ws) > 0),
+chunks as (select doc_id, chunk_idx::int chunk_idx, array_to_string(ws[chunk_idx * 150 + 1 : chunk_idx * 150 + 200], ' ') chunk from k)"""
+
+
+@query(
+    f"""with {CHUNKS}, s as (select doc_id, chunk_idx, unnest(string_split(chunk, '.')) sentence, generate_subscripts(string_split(chunk, '.'), 1) i from chunks),
+t as (select doc_id, chunk_idx, i, list_filter(string_split_regex(sentence, '\\s+'), lambda x: x <> '') w from s)
+select doc_id, chunk_idx, (row_number() over (partition by doc_id, chunk_idx order by i) - 1)::int elem_idx, w[1] subject, w[2] predicate, w[len(w)] object, 'Other' theme_association from t where len(w) >= 3"""
+)
 def registry_extract(spark, d):
-    return model_calls.extract_triples(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider()).select("ord", "doc_id", "subject", "predicate", "object", "theme_association")
+    """Triples of chunks, each chunk asked about with the entities before it."""
+    t = model_calls.extract_triples(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider())
+    return t.select("ord.*", "subject", "predicate", "object", "theme_association")
 
 
-@query()
+@query(f"with {CHUNKS} select doc_id, chunk_idx, 0 elem_idx, regexp_extract(chunk, '[\\p{{L}}\\p{{N}}_]{{4,}}') title, length(chunk) characters, 'first long word' reasoning from chunks where regexp_matches(chunk, '[\\p{{L}}\\p{{N}}_]{{4,}}')")
+def theme_discovery(spark, d):
+    t = model_calls.discover_themes(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider())
+    return t.select("ord.*", "title", F.length("description").alias("characters"), "reasoning")
+
+
+class Shouting(OfflineProvider):
+    """Normalizes strings of an even length to upper case and says nothing of others."""
+
+    def normalize(self, tokens: list[str], domain: str) -> dict:
+        return {"tokens": [{"original": t, "normalized": t.upper()} for t in tokens if len(t) % 2 == 0]}
+
+
+@query(f"with {PART}, items as (select 'subject' role, subject item from part_t union select 'predicate', predicate from part_t union select 'object', object from part_t) select role, item original, case when length(item) % 2 = 0 then upper(item) else item end normalized from items")
+def token_normalization(spark, d):
+    return model_calls.normalize_tokens(triples.role_items(part(spark, d)), Shouting(), "parts").select("role", "original", "normalized")
+
+
+@query(
+    f"""with {PART}, c as (select ord, {CLEAN.format('subject')} s, {CLEAN.format('predicate')} p, {CLEAN.format('object')} o, subject raw_subject, object raw_object from part_t)
+select ord, case when length(s) % 2 = 0 then upper(s) else s end subject, case when length(p) % 2 = 0 then upper(p) else p end predicate, case when length(o) % 2 = 0 then upper(o) else o end object, raw_subject, raw_object from c"""
+)
+def normalize_with_mapping(spark, d):
+    """Preprocessed strings, then the model's mapping of them."""
+    t = part(spark, d)
+    mapping = model_calls.normalize_tokens(triples.role_items(normalize.normalize_triples(t)), Shouting(), "parts")
+    return normalize.normalize_triples(t, mapping).select("ord", "subject", "predicate", "object", "raw_subject", "raw_object")
+
+
+class Odd(OfflineProvider):
+    """Won't have one name for an odd number of members, and names even ones by their number."""
+
+    def validate(self, members: list[str], domain: str) -> dict:
+        return {"accuracy_destroyed": len(members) % 2 == 1, "condition_detected": "odd"}
+
+    def lift(self, members: list[str], domain: str, center: str) -> dict:
+        return {"members_verified": len(members) % 2 == 0, "formal_hypernym": f"one of {len(members)}"}
+
+
+@query(
+    """with i as (select distinct p_brand role, p_size, p_type item from part), c as (select role, dense_rank() over (partition by role order by p_size) c, row_number() over (partition by role, p_size order by item) - 1 i, count(*) over (partition by role, p_size) n, item from i),
+s as (select *, case when n > 1 and n % 2 = 1 then i else 0 end h from c)
+select role, (dense_rank() over (partition by role order by c, h) - 1)::int cluster_id, (row_number() over (partition by role, c, h order by i) - 1)::int item_idx, item from s"""
+)
+def cluster_validation(spark, d):
+    """Each brand's types clustered by size, odd clusters refused."""
+    items = table(spark, d, "part").select(F.col("p_brand").alias("role"), "p_size", F.col("p_type").alias("item")).distinct()
+    by = Window.partitionBy("role")
+    c = items.select("role", (F.dense_rank().over(by.orderBy("p_size")) - 1).alias("cluster_id"), (F.row_number().over(Window.partitionBy("role", "p_size").orderBy("item")) - 1).alias("item_idx"), "item")
+    return model_calls.validate_clusters(c, Odd(), "parts")
+
+
+@query(
+    """with x as (select label, vec_id, unnest(embedding::double[]) v, generate_subscripts(embedding, 1) i from embeddings), m as (select label, i, avg(v) m from x group by 1, 2),
+s as (select x.label, vec_id, round(1 - sum(v * m) / (sqrt(sum(v * v)) * sqrt(sum(m * m))), 12) dist from x join m using (label, i) group by 1, 2),
+c as (select label, count(*) n, arg_min(vec_id, (dist, vec_id)) center from s group by 1)
+select 'vector' as role, e.vec_id::varchar member, case when n > 1 and n % 2 = 0 then 'one of ' || n else c.center::varchar end label from embeddings e join c using (label)"""
+)
+def hypernym_mapping(spark, d):
+    """Vectors clustered by label: the model's term where it verifies the members, else the central one."""
+    e = table(spark, d, "embeddings").select(F.lit("vector").alias("role"), F.col("label").cast("int").alias("cluster_id"), F.col("vec_id").cast("int").alias("item_idx"), F.col("vec_id").cast("string").alias("item"), F.col("embedding").cast("array<double>").alias("v"))
+    return model_calls.taxonomic_lift(e.drop("v"), e, Odd(), "vectors")
+
+
+TREE = f"{REL}, {EDGES}, {GIVEN}, n as (select community, count(*) n, string_agg(node, '|' order by node) nodes, min(node) first from given group by 1 having count(*) >= 4), f as (select subject src, object dst, min(ord) o, arg_min(predicate, ord) p from rel group by 1, 2), l as (select a.community, count(*) m, string_agg(e.src || ' ' || f.p || ' ' || e.dst || ' ' || e.weight::bigint, '|' order by f.o) edges from edges e join f using (src, dst) join given a on a.node = e.src join given b on b.node = e.dst where a.community = b.community group by 1)"
+
+
+@query(f"with {TREE} select community, nodes, edges from n left join l using (community)")
+def community_hierarchy(spark, d):
+    tree = graph.hierarchy(graph.edges(rel(spark, d)), _given(spark, d), 4)
+    line = lambda e: F.concat_ws(" ", e["source"], e["predicate"], e["target"], e["weight"].cast("long").cast("string"))
+    return tree.select("community", F.array_join("nodes", "|").alias("nodes"), F.array_join(F.transform("edges", line), "|").alias("edges"))
+
+
+@query(f"with {TREE} select community, 'Schema of ' || first title, n || ' entities, ' || coalesce(m, 0) || ' relations in trade' summary, 'trade' core_theme, coalesce(m, 0)::int learnings from n left join l using (community)")
 def schema_synthesis(spark, d):
     e = graph.edges(rel(spark, d))
-    return model_calls.synthesize_schemas(graph.hierarchy(e, _given(spark, d), 4), OfflineProvider(), "trade").select("community", "title", "summary", "core_theme")
+    s = model_calls.synthesize_schemas(graph.hierarchy(e, _given(spark, d), 4), OfflineProvider(), "trade")
+    return s.select("community", "title", "summary", "core_theme", F.size("key_learnings").alias("learnings"))
+
+
+@query(f"with {PART}, {MEMBERS}, g as (select distinct subject, object from part_t where subject <> '' and object <> '') select (select count(*) from (select subject from g union select object from g)) nodes, (select count(*) from g) edges, count(distinct entity) entities, count(distinct theme) themes, count(*) memberships from members")
+def graph_counts(spark, d):
+    t = part(spark, d)
+    return hypergraph.counts(t, hypergraph.memberships(t))
+
+
+COLORS = "[" + ", ".join(f"'{c}'" for c in sinks.PALETTE) + "]"
+
+
+@query(f"with {REL}, {EDGES}, {GIVEN}, g as (select node, count(*) k from (select src node from edges union all select dst from edges) group by 1) select node, community, {COLORS}[community % {len(sinks.PALETTE)} + 1] color, least(greatest(5 * coalesce(k, 0), 15), 50)::bigint size from given left join g using (node)")
+def community_drawing(spark, d):
+    nodes = sinks.community_nodes(graph.node_degree(graph.edges(rel(spark, d))), _given(spark, d))
+    return nodes.withColumn("size", F.col("size").cast("long"))
+
+
+@query(f"with {REL}, {EDGES}, g as (select node, count(*) k from (select src node from edges union all select dst from edges) group by 1), f as (select node, arg_min(role, (ord, pos)) as role from (select ord, 0 pos, 'subject' role, subject node from rel union all select ord, 1, 'object', object from rel) group by 1) select node, role, case when role = 'subject' then '{sinks.PALETTE[0]}' else '{sinks.PALETTE[1]}' end color, least(greatest(5 * k, 15), 50)::bigint size from f join g using (node)")
+def triple_drawing(spark, d):
+    t = rel(spark, d)
+    nodes = sinks.role_nodes(t, graph.node_degree(graph.edges(t)))
+    return nodes.withColumn("size", F.col("size").cast("long"))
+
+
+@query(f"with {REL} select subject src, object dst, count(*)::double weight, string_agg(distinct predicate, ' | ' order by predicate) label from rel where subject <> '' and object <> '' group by 1, 2")
+def edge_drawing(spark, d):
+    return sinks.edge_labels(graph.edges(rel(spark, d)))
 
 
 @query()
-def hypernym_mapping(spark, d):
-    points = _points(spark, d)
-    groups = cluster.cluster_items(points, 0.3, "none")
-    return model_calls.taxonomic_lift(model_calls.validate_clusters(groups, OfflineProvider(), "parts"), points, OfflineProvider(), "parts")
+def hypergraph_communities(spark, d):
+    return hypergraph.bipartite_communities(hypergraph.memberships(part(spark, d)))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

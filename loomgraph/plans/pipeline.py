@@ -6,6 +6,7 @@ import hashlib
 import json
 import time
 from dataclasses import asdict
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,72 +15,112 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.text import chunk_documents, theme_or_other
 from ..operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
-from ..sources.providers import OfflineProvider
-from ..sources.sinks import logger, write_schemas
+from ..sources import sinks
+from ..sources.providers import make_provider
+
+
+def corpus_print(docs: DataFrame) -> list[str]:
+    """What tells a corpus from others, repeated rows included: its count and two sums of row hashes, which no pair of equal rows cancels."""
+    wide = lambda seed: F.coalesce(F.sum(F.xxhash64("doc_id", "text", F.lit(seed)).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return [str(x) for x in docs.agg(F.count(F.lit(1)), wide(0), wide(1)).head()]
 
 
 class Pipeline:
-    """run(docs) -> a dict of DataFrames by stage, or just the metrics of an empty run if no triple was found.
+    """run(docs) -> a dict of DataFrames by stage, or just the metrics and errors of an empty run if no triple was found.
 
     Each stage is a table in folder/<key>/<stage>; the key hashes settings, provider
-    and the documents. A stage whose table is complete is read, not computed.
+    settings and the documents. A stage whose table is complete is read, not computed.
     """
 
     def __init__(self, spark: SparkSession, folder: str, config: Config = Config(), provider=None):
         self.spark, self.folder, self.config = spark, folder.rstrip("/"), config
-        self.provider = provider or OfflineProvider()
-        self.log = logger()
+        self.provider = provider or make_provider(config)
+        self.log = sinks.logger()
 
     def _key(self, docs: DataFrame) -> str:
-        print_ = docs.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("doc_id", "text")), F.lit(0))).head()
-        told = json.dumps([asdict(self.config), self.provider.name, list(print_)], sort_keys=True)
+        told = json.dumps([asdict(self.config), self.provider.settings(), type(self.provider).__qualname__, corpus_print(docs)], sort_keys=True, default=str)
         return hashlib.sha256(told.encode()).hexdigest()[:16]
 
     def _stage(self, name: str, make) -> DataFrame:
         path = f"{self.base}/{name}"
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         if not target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
-            self.log.info("stage %s", name)
+            began = time.time()
             make().write.mode("overwrite").parquet(path)
+            self.log.info("stage %s: %.1f s", name, time.time() - began)
         return self.spark.read.parquet(path)
 
     def run(self, docs: DataFrame) -> dict[str, DataFrame]:
         c, p, began = self.config, self.provider, time.time()
         self.base = f"{self.folder}/{self._key(docs)}"
-        found = self._stage("original_themes", lambda: model_calls.discover_themes(chunk_documents(docs, c.theme_chunk_words, c.overlap_words), p))
-        master = self._stage("distilled_themes", lambda: themes.consolidate(themes.theme_frequency(found), c.default_domain))
+        failed: list[DataFrame] = []
+
+        def answers(name: str, make) -> DataFrame:
+            table = self._stage(f"{name}_answers", make)
+            failed.append(model_calls.errors_of(name, table))
+            return table
+
+        told = answers("themes", lambda: model_calls.theme_answers(chunk_documents(docs, c.theme_chunk_words, c.overlap_words), p, c.max_concurrent))
+        found = self._stage("original_themes", lambda: model_calls.themes_of(told))
+        ranked = themes.theme_frequency(found)
+        master = answers("distilled_themes", lambda: model_calls.consolidate_themes(themes.consolidate(ranked, c.default_domain), themes.theme_blocks(ranked), p, c.default_domain))
+        master = master.select("master_domain", "master_themes")
         first = master.head()
-        domain, titles = first["master_domain"], ", ".join(first["master_themes"])
-        raw = self._stage("original_triplets", lambda: model_calls.extract_triples(chunk_documents(docs, c.triple_chunk_words, c.overlap_words), p, domain, titles, c.registry_entities))
+        domain, titles = first["master_domain"], ", ".join(first["master_themes"] or [])
+        told_triples = answers("triples", lambda: model_calls.triple_answers(chunk_documents(docs, c.triple_chunk_words, c.overlap_words), p, domain, titles, c.registry_entities))
+        raw = self._stage("original_triplets", lambda: model_calls.triples_of(told_triples))
         out = {"original_themes": found, "distilled_themes": master, "original_triplets": raw}
         if not raw.head(1):
-            return out | {"metrics": run_metrics(docs, raw, raw)}
+            return out | {"errors": reduce(DataFrame.unionByName, failed), "metrics": run_metrics(docs, raw, raw)}
         clean = raw
         if c.normalize_text:
             plain = normalize.normalize_triples(raw)
             mapping = self._stage("normalization_mapping_details", lambda: model_calls.normalize_tokens(triples.role_items(plain), p, domain, c.token_batch))
+            failed.append(mapping.where("error is not null").groupBy(F.lit("normalize").alias("step"), "error").agg(F.count(F.lit(1)).alias("calls")))
             clean = self._stage("normalized_triplets", lambda: normalize.normalize_triples(raw, mapping))
             out |= {"normalization_mapping_details": mapping, "normalized_triplets": clean}
-        points = self._stage("embeddings", lambda: embedding.encode(triples.item_counts(triples.role_items(clean, c.compress_fields))))
+        points = self._stage("embeddings", lambda: embedding.encode(triples.item_counts(triples.role_items(clean, c.compress_fields)), c.encoder))
         groups = self._stage("clusters_identified", lambda: cluster.cluster_items(points, c.distance_threshold, c.projection))
-        checked = self._stage("verified_clusters", lambda: model_calls.validate_clusters(groups, p, domain))
-        names = self._stage("hypernym_mapping", lambda: model_calls.taxonomic_lift(checked, points, p, domain))
+        judged = answers("validate", lambda: model_calls.validate_answers(groups, p, domain, c.max_concurrent))
+        checked = self._stage("verified_clusters", lambda: model_calls.split_clusters(groups, judged))
+        lifted = answers("lift", lambda: model_calls.lift_answers(checked, points, p, domain, c.max_concurrent))
+        names = self._stage("hypernym_mapping", lambda: model_calls.labels_of(checked, lifted))
         mapped = self._stage("mapped_triplets", lambda: normalize.resolve_names(clean, names))
         edges = self._stage("edges", lambda: graph.edges(mapped))
         parts = self._stage("modularity_partition", lambda: community.detect_communities(edges, c.resolution))
         tree = self._stage("extracted_hierarchy", lambda: graph.hierarchy(edges, parts, c.min_community_size))
         members = self._stage("memberships", lambda: hypergraph.memberships(mapped))
+        out |= {
+            "incidence": self._stage("incidence", lambda: hypergraph.incidence(members)),
+            "laplacian": self._stage("laplacian", lambda: hypergraph.laplacian(members)),
+            "theme_overlap": self._stage("theme_overlap", lambda: hypergraph.theme_overlap(members)),
+            "centrality": self._stage("centrality", lambda: hypergraph.degree_centrality(members)),
+            "hypergraph_communities": self._stage("hypergraph_communities", lambda: hypergraph.bipartite_communities(members, c.resolution)),
+            "counts": self._stage("counts", lambda: hypergraph.counts(mapped, members)),
+        }
         down = self._stage("theme_inheritance", lambda: hypergraph.theme_inheritance(members, c.overlap_threshold))
-        told = "; ".join(f"{r['child']} is part of {r['parent']}" for r in down.orderBy("parent", "child").collect())
-        schemas = self._stage("schemas", lambda: model_calls.synthesize_schemas(tree, p, domain, told))
-        out |= {"clusters_identified": groups, "verified_clusters": checked, "hypernym_mapping": names, "mapped_triplets": mapped, "edges": edges, "modularity_partition": parts, "extracted_hierarchy": tree, "memberships": members, "theme_inheritance": down, "schemas": schemas, "metrics": run_metrics(docs, raw, mapped)}
-        self.log.info("done in %.1f s", time.time() - began)
+        inherited = "; ".join(f"{r['child']} is part of {r['parent']}" for r in down.orderBy("parent", "child").collect())
+        told_schemas = answers("schemas", lambda: model_calls.schema_answers(tree, p, domain, inherited, c.max_concurrent))
+        schemas = self._stage("schemas_read", lambda: model_calls.schemas_of(told_schemas))
+        errors = self._stage("errors", lambda: reduce(DataFrame.unionByName, failed))
+        out |= {"clusters_identified": groups, "verified_clusters": checked, "hypernym_mapping": names, "mapped_triplets": mapped, "edges": edges, "modularity_partition": parts, "extracted_hierarchy": tree, "memberships": members, "theme_inheritance": down, "schemas": schemas, "errors": errors, "document_lengths": docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("characters")), "metrics": run_metrics(docs, raw, mapped)}
+        self.seconds = time.time() - began
+        self.log.info("done in %.1f s", self.seconds)
         return out
 
     def export(self, stages: dict[str, DataFrame], folder: Path) -> Path:
-        """The schemas as files. Their number is that of the communities of the least size or more."""
+        """The schemas as files, the run log, and pages of the graph, its communities and the hypergraph. What is exported is as large as the graph of communities of the least size or more; draw small graphs only."""
+        folder = Path(folder)
         rows = [r.asDict(recursive=True) for r in stages["schemas"].orderBy("community").collect()]
-        return write_schemas(rows, stages["distilled_themes"].head()["master_domain"], folder)
+        edges, degree = stages["edges"], graph.node_degree(stages["edges"])
+        links = sinks.edge_labels(edges).collect()
+        sinks.graph_page(sinks.role_nodes(stages["mapped_triplets"], degree).collect(), links, folder / "triples.html", "Triples")
+        sinks.graph_page(sinks.community_nodes(degree, stages["modularity_partition"]).collect(), links, folder / "communities.html", "Communities")
+        members = stages["memberships"]
+        sinks.graph_page(sinks.hypergraph_nodes(members, stages["hypergraph_communities"]).collect(), sinks.hypergraph_links(members).collect(), folder / "hypergraph.html", "Hypergraph")
+        told = stages["metrics"].head().asDict() | stages["counts"].head().asDict() | {"seconds": round(getattr(self, "seconds", 0.0), 1), "context": self.provider.context}
+        sinks.run_log(told | {f"errors, {r['step']}": f"{r['calls']} x {r['error']}" for r in stages["errors"].orderBy("step", "error").collect()}, folder / "run.md")
+        return sinks.write_schemas(rows, stages["distilled_themes"].head()["master_domain"], folder)
 
 
 def run_metrics(docs: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:

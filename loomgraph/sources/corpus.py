@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hypergraph import indexed
+
 
 def text_files(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("*.txt", "*.md")) -> DataFrame:
     """A row per whole UTF-8 file of the folder itself: doc_id by pattern and path, text, path."""
@@ -13,7 +15,8 @@ def text_files(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("*
         part = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "false").text(folder, wholetext=True)
         part = part.select(F.lit(i).alias("pattern"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
         rows = part if rows is None else rows.union(part)
-    return rows.select((F.row_number().over(Window.orderBy("pattern", "path")) - 1).cast("long").alias("doc_id"), "text", "path")
+    number = indexed(rows, ("pattern", "path"), "doc_id")  # of the names alone: texts are read once, for the join
+    return rows.join(number, ["pattern", "path"]).select("doc_id", "text", "path")
 
 
 def in_memory(spark: SparkSession, texts: list[str]) -> DataFrame:

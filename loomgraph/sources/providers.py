@@ -1,33 +1,48 @@
 """Model providers: what answers the structured calls of the pipeline.
 
 A provider's method returns plain Python data; `call` turns any failure into a row with
-ok = false, so that no call ever fails a job. The offline provider is a substitute of
-our own, deterministic and without a model.
+ok = false, so that no call ever fails a job, and `ask` keeps several calls in flight at
+once. The offline provider is a substitute of our own, deterministic and without a model.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 import urllib.request
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
+from itertools import islice
+
+from ..config import Config
+from ..functions.text import context_bound
 
 PROMPTS = {
     "themes": "Name the themes of the text below as JSON {{\"themes\": [{{\"title\", \"description\", \"reasoning\"}}]}}.\n\n{text}",
+    "consolidate": "The blocks below are themes found in parts of a corpus, most frequent first. Merge them into master themes and name the corpus's domain, as JSON {{\"master_domain\", \"master_themes\": [string]}}.\n\n{blocks}",
     "triples": "List the facts of the text as JSON {{\"triples\": [{{\"subject\", \"predicate\", \"object\", \"source_quote\", \"certainty_score\", \"theme_association\"}}]}}. Domain: {domain}. Themes: {themes}. Reuse these entity names where they fit: {entities}.\n\n{text}",
     "normalize": "Give each string its standard form in the domain {domain} as JSON {{\"tokens\": [{{\"original\", \"normalized\"}}]}}.\n\n{tokens}",
     "validate": "Would one name for all of these lose accuracy in the domain {domain}? Answer as JSON {{\"accuracy_destroyed\", \"condition_detected\"}}.\n\n{members}",
-    "lift": "Name the common broader term of these in the domain {domain} as JSON {{\"formal_hypernym\", \"hypernym_meaning\", \"excluded_opposite\", \"members_verified\"}}.\n\n{members}",
+    "lift": "Name the common broader term of these in the domain {domain} as JSON {{\"formal_hypernym\", \"hypernym_meaning\", \"excluded_opposite\", \"members_verified\"}}. The member nearest to their centre is {center}.\n\n{members}",
     "schema": "Write a schema for this community of the domain {domain} as JSON {{\"title\", \"summary\", \"core_theme\", \"key_learnings\", \"isolated_facts\", \"protocols_code\", \"concrete_models_code\"}}. Theme inheritance: {inheritance}.\n\n{community}",
 }
 
 
 class OfflineProvider:
     name = "offline"
+    context = 0
+
+    def settings(self) -> dict:
+        return {"provider": self.name}
 
     def themes(self, text: str) -> dict:
         first = next((w for w in re.split(r"\W+", text) if len(w) > 3), "")
-        return {"themes": [{"title": first, "description": text[:80], "reasoning": "first long word"}] if first else []}
+        return {"themes": [{"title": first, "description": text, "reasoning": "first long word"}] if first else []}
+
+    def consolidate(self, blocks: str, titles: list[str]) -> dict:
+        return {"master_domain": titles[0] if titles else "", "master_themes": titles}
 
     def triples(self, text: str, domain: str, themes: str, entities: list[str]) -> dict:
         out = []
@@ -43,33 +58,47 @@ class OfflineProvider:
     def validate(self, members: list[str], domain: str) -> dict:
         return {"accuracy_destroyed": False, "condition_detected": ""}
 
-    def lift(self, members: list[str], domain: str) -> dict:
+    def lift(self, members: list[str], domain: str, center: str) -> dict:
         return {"formal_hypernym": "", "hypernym_meaning": "", "excluded_opposite": "", "members_verified": False}
 
     def schema(self, community: dict, domain: str, inheritance: str) -> dict:
         nodes, edges = community["nodes"], community["edges"]
-        return {"title": f"Schema of {nodes[0]}", "summary": f"{len(nodes)} entities, {len(edges)} relations in {domain}", "core_theme": domain, "key_learnings": edges[:5], "isolated_facts": [], "protocols_code": None, "concrete_models_code": None}
+        return {"title": f"Schema of {nodes[0]}", "summary": f"{len(nodes)} entities, {len(edges)} relations in {domain}", "core_theme": domain, "key_learnings": edges, "isolated_facts": [], "protocols_code": None, "concrete_models_code": None}
 
 
 @dataclass
 class HttpProvider:
-    """An endpoint that speaks the common chat-completions format."""
+    """An endpoint that speaks the common chat-completions format. Sampling is deterministic by default; context is told to servers that take it."""
 
     url: str
     model: str
     key: str = ""
     timeout: float = 120.0
     retries: int = 3
+    temperature: float = 0.0
+    context: int = 0
     name = "http"
 
+    def settings(self) -> dict:
+        """What decides the answers; the key is no part of it."""
+        return {k: v for k, v in asdict(self).items() if k != "key"} | {"provider": self.name}
+
+    def body(self, prompt: str) -> dict:
+        told = {"options": {"num_ctx": self.context}} if self.context else {}
+        return {"model": self.model, "messages": [{"role": "user", "content": prompt or ""}], "temperature": self.temperature, **told}
+
+    def content(self, answer: dict) -> str:
+        return answer["choices"][0]["message"]["content"] or ""
+
+    def headers(self) -> dict[str, str]:
+        return {"Content-Type": "application/json", **({"Authorization": f"Bearer {self.key}"} if self.key else {})}
+
     def _ask(self, prompt: str) -> dict:
-        body = json.dumps({"model": self.model, "messages": [{"role": "user", "content": prompt or ""}]}).encode()
+        data = json.dumps(self.body(prompt)).encode()
         for attempt in range(self.retries):
             try:
-                request = urllib.request.Request(self.url, body, {"Content-Type": "application/json", **({"Authorization": f"Bearer {self.key}"} if self.key else {})})
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    content = json.load(answer)["choices"][0]["message"]["content"] or ""
-                return json.loads(answer_json(content))
+                with urllib.request.urlopen(urllib.request.Request(self.url, data, self.headers()), timeout=self.timeout) as answer:
+                    return json.loads(answer_json(self.content(json.load(answer))))
             except Exception:
                 if attempt + 1 == self.retries:
                     raise
@@ -78,37 +107,84 @@ class HttpProvider:
     def themes(self, text: str) -> dict:
         return self._ask(PROMPTS["themes"].format(text=text))
 
+    def consolidate(self, blocks: str, titles: list[str]) -> dict:
+        return self._ask(PROMPTS["consolidate"].format(blocks=blocks))
+
     def triples(self, text: str, domain: str, themes: str, entities: list[str]) -> dict:
-        return self._ask(PROMPTS["triples"].format(text=text, domain=domain, themes=themes, entities=json.dumps(entities)))
+        return self._ask(PROMPTS["triples"].format(text=text, domain=domain, themes=themes, entities=json.dumps(entities, ensure_ascii=False)))
 
     def normalize(self, tokens: list[str], domain: str) -> dict:
-        return self._ask(PROMPTS["normalize"].format(tokens=json.dumps(tokens), domain=domain))
+        return self._ask(PROMPTS["normalize"].format(tokens=json.dumps(tokens, ensure_ascii=False), domain=domain))
 
     def validate(self, members: list[str], domain: str) -> dict:
-        return self._ask(PROMPTS["validate"].format(members=json.dumps(members), domain=domain))
+        return self._ask(PROMPTS["validate"].format(members=json.dumps(members, ensure_ascii=False), domain=domain))
 
-    def lift(self, members: list[str], domain: str) -> dict:
-        return self._ask(PROMPTS["lift"].format(members=json.dumps(members), domain=domain))
+    def lift(self, members: list[str], domain: str, center: str) -> dict:
+        return self._ask(PROMPTS["lift"].format(members=json.dumps(members, ensure_ascii=False), domain=domain, center=json.dumps(center, ensure_ascii=False)))
 
     def schema(self, community: dict, domain: str, inheritance: str) -> dict:
-        return self._ask(PROMPTS["schema"].format(community=json.dumps(community), domain=domain, inheritance=inheritance))
+        return self._ask(PROMPTS["schema"].format(community=json.dumps(community, ensure_ascii=False), domain=domain, inheritance=inheritance))
+
+
+@dataclass
+class PredictProvider(HttpProvider):
+    """A public endpoint that takes instances and parameters and answers with predictions. The token comes from the environment, where `token_variable` names it, if no key is given."""
+
+    max_tokens: int = 8192
+    temperature: float = 0.1
+    token_variable: str = "ENDPOINT_TOKEN"
+    name = "predict"
+
+    def body(self, prompt: str) -> dict:
+        return {"instances": [{"prompt": prompt or "", "max_tokens": self.max_tokens}], "parameters": {"temperature": self.temperature, "maxOutputTokens": self.max_tokens}}
+
+    def content(self, answer: dict) -> str:
+        found = answer.get("predictions") or [""]
+        return found[0] if isinstance(found[0], str) else str(found[0])
+
+    def headers(self) -> dict[str, str]:
+        token = self.key or os.environ.get(self.token_variable, "")
+        return {"Content-Type": "application/json", **({"Authorization": f"Bearer {token}"} if token else {})}
+
+
+def predict_url(project: str, location: str, endpoint: str, host: str = "") -> str:
+    """The address of a deployed endpoint: on its own host, where the endpoint has one, else on its location's."""
+    host = host.removeprefix("https://").removeprefix("http://").split("/")[0] or f"{location}-aiplatform.googleapis.com"
+    return f"https://{host}/v1/projects/{project}/locations/{location}/endpoints/{endpoint}:predict"
+
+
+def make_provider(config: Config, free_mb: float = 0.0):
+    """The provider that the settings name. For a local server, little free memory bounds the context."""
+    if config.provider == "offline":
+        return OfflineProvider()
+    if config.provider == "predict":
+        url = config.base_url if config.base_url.endswith(":predict") else predict_url(config.project, config.location, config.endpoint, config.base_url)
+        return PredictProvider(url, config.model, timeout=120.0)
+    return HttpProvider(config.base_url, config.model, timeout=200.0, context=context_bound(free_mb, config.context))
 
 
 def answer_json(content: str) -> str:
-    """The JSON text in an answer: after the last output mark, else a fenced block, else between the outer braces."""
-    if "Output:\n" in content:
-        return content.rpartition("Output:\n")[2]
-    if m := re.search(r"```json\s*(\{.*?\})\s*```", content, re.S):
-        return m[1]
-    m = re.search(r"\{.*\}", content, re.S)
-    if not m:
-        raise ValueError("no JSON in the answer")
-    return m[0]
-
-
-def call(method, *args) -> tuple[bool, str | None, str | None]:
+    """As json_in_answer: of what follows the last output mark a fenced block, else what is between the outer braces, else all."""
+    rest = content.rpartition("Output:\n")[2]
+    m = re.search(r"```(?:json)?\s*(\{.*?\})\s*```", rest, re.S) or re.search(r"(\{.*\})", rest, re.S)
+    return m[1] if m else rest
+
+
+def call(method: Callable, *args) -> tuple[bool, str | None, str | None]:
     """(ok, payload, error) of a structured call; never raises."""
     try:
         return True, json.dumps(method(*args), ensure_ascii=False), None
     except Exception as e:  # the contract of structured calls: errors become rows
         return False, None, f"{type(e).__name__}: {e}"
+
+
+def ask(method: Callable, arguments: Iterable[tuple], at_once: int) -> Iterator[tuple[bool, str | None, str | None]]:
+    """The answers to many calls, in order, with at most `at_once` of them in flight in this task."""
+    waiting = iter(arguments)
+    if at_once <= 1:
+        for args in waiting:
+            yield call(method, *args)
+        return
+    with ThreadPoolExecutor(at_once) as pool:
+        while block := list(islice(waiting, 16 * at_once)):
+            yield from pool.map(lambda args: call(method, *args), block)

@@ -61,13 +61,46 @@ def edge_labels(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "weight", F.when(joined != "", joined).otherwise(F.coalesce("predicate", F.lit("associates"))).alias("label"))
 
 
+def role_nodes(triples: DataFrame, degree: DataFrame) -> DataFrame:
+    """node, role, color, size for a drawing of the triples: a node is coloured by the role it has first, subjects before objects of one triple."""
+    cells = F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(r).alias("role"), F.col(r).alias("node")) for i, r in enumerate(("subject", "object"))))
+    seen = triples.select("ord", F.explode(cells).alias("c")).where("c.node <> ''").groupBy(F.col("c.node").alias("node"))
+    first = seen.agg(F.min_by("c.role", F.struct("ord", "c.pos")).alias("role"))
+    color = F.when(F.col("role") == "subject", F.lit(PALETTE[0])).otherwise(F.lit(PALETTE[1]))
+    return first.join(degree, "node", "left").select("node", "role", color.alias("color"), node_size(F.coalesce("degree", F.lit(0))).alias("size"))
+
+
+def hypergraph_nodes(members: DataFrame, communities: DataFrame) -> DataFrame:
+    """node, kind, community, color, size for a drawing of the bipartite graph; communities are those of hypergraph.bipartite_communities."""
+    degree = members.groupBy(F.lit("entity").alias("kind"), F.col("entity").alias("label")).agg(F.count(F.lit(1)).alias("degree"))
+    degree = degree.union(members.groupBy(F.lit("theme"), F.col("theme")).agg(F.count(F.lit(1))))
+    color = F.element_at(F.array(*map(F.lit, PALETTE)), (F.pmod(F.col("community"), F.lit(len(PALETTE))) + 1).cast("int"))
+    rows = communities.join(degree, ["kind", "label"], "left")
+    return rows.select(F.concat_ws(":", "kind", "label").alias("node"), "kind", "community", color.alias("color"), node_size(F.coalesce("degree", F.lit(0))).alias("size"))
+
+
+def hypergraph_links(members: DataFrame) -> DataFrame:
+    return members.select(F.concat(F.lit("entity:"), F.col("entity")).alias("src"), F.concat(F.lit("theme:"), F.col("theme")).alias("dst"), F.lit(1.0).alias("weight"), F.lit("").alias("label"))
+
+
+_DRAW = """const g=JSON.parse(document.getElementById('graph').textContent),c=document.getElementById('c'),x=c.getContext('2d'),p={};
+g.nodes.forEach((n,i)=>{const a=2.39996*i,r=12*Math.sqrt(i+1);p[n.node]={n:n,x:c.width/2+r*Math.cos(a),y:c.height/2+r*Math.sin(a)}});
+for(let t=0;t<200;t++){const v=Object.values(p);for(const a of v){let fx=(c.width/2-a.x)*.002,fy=(c.height/2-a.y)*.002;
+if(v.length<600)for(const b of v){const dx=a.x-b.x,dy=a.y-b.y,d=dx*dx+dy*dy+1;fx+=400*dx/d;fy+=400*dy/d}a.fx=fx;a.fy=fy}
+for(const e of g.edges){const a=p[e.src],b=p[e.dst];if(!a||!b)continue;const dx=(b.x-a.x)*.01,dy=(b.y-a.y)*.01;a.fx+=dx;a.fy+=dy;b.fx-=dx;b.fy-=dy}
+for(const a of v){a.x+=Math.max(-9,Math.min(9,a.fx));a.y+=Math.max(-9,Math.min(9,a.fy))}}
+x.strokeStyle='#bbb';x.font='11px sans-serif';for(const e of g.edges){const a=p[e.src],b=p[e.dst];if(!a||!b)continue;x.beginPath();x.moveTo(a.x,a.y);x.lineTo(b.x,b.y);x.stroke();x.fillStyle='#888';x.fillText(e.label||'',(a.x+b.x)/2,(a.y+b.y)/2)}
+for(const a of Object.values(p)){x.fillStyle=a.n.color||'#4e79a7';x.beginPath();x.arc(a.x,a.y,(a.n.size||15)/4,0,7);x.fill();x.fillStyle='#222';x.fillText(a.n.node,a.x+6,a.y-6)}"""
+
+
 def graph_page(nodes: Iterable, links: Iterable, path: Path, title: str) -> Path:
-    """A page with the nodes and edges of a small graph: tables, and the data as JSON for a drawing tool."""
+    """A page that draws a small graph: nodes (node, color, size, ...), links (src, dst, label, ...). It holds the data as JSON and needs nothing from elsewhere; tables follow the drawing."""
     nodes, links = [n.asDict() for n in nodes], [e.asDict() for e in links]
     row = lambda d: "<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in d.values()) + "</tr>"
-    data = json.dumps({"nodes": nodes, "edges": links}, ensure_ascii=False).replace("</", "<\\/")
+    data = json.dumps({"nodes": nodes, "edges": links}, ensure_ascii=False, default=str).replace("</", "<\\/")
     path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table>{''.join(map(row, nodes))}</table><table>{''.join(map(row, links))}</table><script type=application/json id=graph>{data}</script>", encoding="utf-8")
+    head = f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><canvas id=c width=1400 height=1000></canvas>"
+    path.write_text(f"{head}<table>{''.join(map(row, nodes))}</table><table>{''.join(map(row, links))}</table><script type=application/json id=graph>{data}</script><script>{_DRAW}</script>", encoding="utf-8")
     return path
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from loomgraph.operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
 from loomgraph.operators.components import connected_components
-from loomgraph.sources.providers import OfflineProvider, answer_json, call
+from loomgraph.config import Config
+from loomgraph.sources.providers import HttpProvider, PredictProvider, ask, make_provider, predict_url, OfflineProvider, answer_json, call
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this module
 
@@ -209,7 +210,7 @@ class Failing(OfflineProvider):
     def normalize(self, tokens, domain):
         raise RuntimeError("down")
 
-    validate = lift = lambda self, members, domain: 1 / 0
+    validate = lift = lambda self, members, domain, center=None: 1 / 0
 
 
 class Answering(OfflineProvider):
@@ -219,8 +220,8 @@ class Answering(OfflineProvider):
     def validate(self, members, domain):
         return {"accuracy_destroyed": "b" in members}
 
-    def lift(self, members, domain):
-        return {"members_verified": True, "formal_hypernym": "top"}
+    def lift(self, members, domain, center):
+        return {"members_verified": True, "formal_hypernym": f"top of {center}"}
 
 
 def test_provider_contracts(spark):
@@ -235,16 +236,194 @@ def test_provider_contracts(spark):
     assert _groups(checked) == [["a"], ["b"], ["c", "d"], ["e"]]
     v = embedding.encode(c.select("role", "item"))
     lifted = {r.member: r.label for r in model_calls.taxonomic_lift(checked, v, Answering(), "d").collect()}
-    assert lifted == {"a": "a", "b": "b", "c": "top", "d": "top", "e": "e"}
+    assert lifted["c"] == lifted["d"] and lifted["c"] in ("top of c", "top of d") and {k: lifted[k] for k in "abe"} == {"a": "a", "b": "b", "e": "e"}
+    failed = model_calls.errors_of("lift", model_calls.lift_answers(c, v, Failing(), "d")).collect()
+    assert [(r.step, r.calls, r.error.split(":")[0]) for r in failed] == [("lift", 2, "ZeroDivisionError")]
+    assert {r.error for r in model_calls.normalize_tokens(items, Failing(), "d").collect()} == {"RuntimeError: down"}
     fallen = {r.member: r.label for r in model_calls.taxonomic_lift(c, v, Failing(), "d").collect()}
     assert fallen["e"] == "e" and fallen["a"] in ("a", "b") and fallen["a"] == fallen["b"]
     assert call(Failing().normalize, [], "")[0] is False
 
 
-def test_answer_json():
-    assert answer_json('x\nOutput:\n{"a": 1}') == '{"a": 1}'
-    assert answer_json('```json\n{"a": 1}\n```') == '{"a": 1}'
-    assert answer_json('so {"a": {}} ok') == '{"a": {}}'
+ANSWERS = {
+    'x\nOutput:\n{"a": 1}': '{"a": 1}',
+    '```json\n{"a": 1}\n```': '{"a": 1}',
+    'so {"a": {}} ok': '{"a": {}}',
+    'Output:\n```json {"a": 1}``` done': '{"a": 1}',
+    '{x} Output:\nno Output:\n```\n{"a": 1}\n``` {y}': '{"a": 1}',
+    "nothing": "nothing",
+    "Output:\nnothing": "nothing",
+}
+
+
+def test_answer_json(spark):
+    assert {a: answer_json(a) for a in ANSWERS} == ANSWERS
+    from loomgraph.functions.text import json_in_answer
+
+    rows = spark.createDataFrame(list(ANSWERS.items()), "a string, want string")
+    assert rows.where(json_in_answer(F.col("a")) != F.col("want")).count() == 0
+
+
+def test_calls_go_side_by_side_in_order():
+    import threading
+    import time
+
+    now, most, lock = [0], [0], threading.Lock()
+
+    def slow(i):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.02 if i % 3 else 0.05)
+        with lock:
+            now[0] -= 1
+        if i == 4:
+            raise ValueError("four")
+        return {"i": i}
+
+    got = list(ask(slow, ((i,) for i in range(20)), 3))
+    assert [g[0] for g in got] == [i != 4 for i in range(20)] and got[7][1] == '{"i": 7}' and got[4][2] == "ValueError: four"
+    assert 1 < most[0] <= 3
+
+
+class Endpoint:
+    """A local server that keeps what it was sent and answers with `answers`, one after the other."""
+
+    def __init__(self, answers):
+        import http.server
+        import json
+        import threading
+
+        seen, left = [], list(answers)
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_POST(self):
+                body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                seen.append((self.path, dict(self.headers), body))
+                answer = left.pop(0)
+                self.send_response(200 if answer is not None else 500)
+                self.end_headers()
+                self.wfile.write(json.dumps(answer).encode())
+
+            def log_message(self, *args):
+                pass
+
+        self.seen, self.server = seen, http.server.HTTPServer(("127.0.0.1", 0), Handler)
+        self.url = f"http://127.0.0.1:{self.server.server_port}"
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+
+
+def test_http_provider():
+    say = lambda text: {"choices": [{"message": {"content": text}}]}
+    e = Endpoint([None, say('Output:\n```json\n{"themes": [1]}\n```'), say("no json"), say("no json"), None])
+    p = HttpProvider(e.url, "m", key="secret", retries=2, context=2000)
+    assert p.themes("the text") == {"themes": [1]} and len(e.seen) == 2
+    assert "the text" in e.seen[1][2]["messages"][0]["content"] and e.seen[1][1]["Authorization"] == "Bearer secret" and e.seen[1][2]["options"] == {"num_ctx": 2000}
+    assert call(p.themes, "x")[0] is False and "key" not in p.settings()
+    assert call(HttpProvider(e.url, "m", retries=1).themes, "x")[0] is False
+    e.server.shutdown()
+
+
+def test_predict_provider(monkeypatch):
+    monkeypatch.setenv("ENDPOINT_TOKEN", "tok")
+    e = Endpoint([{"predictions": ['Prompt:\n{x}\nOutput:\n{"tokens": []}']}, {"predictions": []}])
+    p = PredictProvider(e.url, "m", retries=1)
+    assert p.normalize(["a"], "d") == {"tokens": []}
+    path, headers, body = e.seen[0]
+    assert headers["Authorization"] == "Bearer tok" and "a" in body["instances"][0]["prompt"] and body["parameters"] == {"temperature": 0.1, "maxOutputTokens": 8192}
+    assert call(p.normalize, ["a"], "d")[0] is False
+    e.server.shutdown()
+
+
+def test_provider_of_the_settings():
+    assert make_provider(Config()).name == "offline"
+    local = make_provider(Config(provider="http", base_url="http://h/v1", model="m", context=8192), free_mb=3000)
+    assert (local.url, local.context, local.timeout) == ("http://h/v1", 2000, 200.0)
+    far = make_provider(Config(provider="predict", project="p", location="l", endpoint="7"))
+    assert far.url == "https://l-aiplatform.googleapis.com/v1/projects/p/locations/l/endpoints/7:predict"
+    assert predict_url("p", "l", "7", "https://own.host/x") == "https://own.host/v1/projects/p/locations/l/endpoints/7:predict"
+    for bad in ({"provider": "other"}, {"provider": "http"}, {"max_concurrent": 0}):
+        with pytest.raises(ValueError):
+            Config(**bad)
+
+
+def test_consolidation_by_the_provider(spark):
+    t = spark.createDataFrame([(i, x, "d", "r") for i, x in enumerate(["A", "b", " a "])], "ord int, title string, description string, reasoning string")
+
+    class Merging(OfflineProvider):
+        def consolidate(self, blocks, titles):
+            return {"master_domain": blocks.split("\n")[0], "master_themes": ["M", *titles]}
+
+    class Down(OfflineProvider):
+        def consolidate(self, blocks, titles):
+            raise RuntimeError("down")
+
+    f = themes.theme_frequency(t)
+    ask_ = lambda p, f=f: model_calls.consolidate_themes(themes.consolidate(f), themes.theme_blocks(f), p).head()
+    r = ask_(Merging())
+    assert r.master_domain == "Title: A (Frequency: 2)" and r.master_themes == ["M", "A", "b"]
+    r = ask_(Down())
+    assert (r.master_domain, r.master_themes, r.ok, r.error) == ("A", ["A", "b"], False, "RuntimeError: down")
+    assert ask_(Merging(), f.limit(0)).master_domain == "General"
+
+
+def test_places_of_large_ids(spark):
+    """Ids at the end of the range, a null, and many chunks and elements: no two places are one, none overflows."""
+    high = [2**62, 2**62 + 1, None]
+    chunks = spark.createDataFrame([(i, c, ". ".join(f"s{k} knows o{k}" for k in range(3))) for i in high for c in (0, 70_000)], "doc_id long, chunk_idx int, chunk string").coalesce(1)
+    got = [tuple(r.ord) for r in model_calls.extract_triples(chunks, OfflineProvider()).collect()]
+    assert sorted(got, key=str) == sorted(((i, c, k) for i in high for c in (0, 70_000) for k in range(3)), key=str)
+    docs = spark.createDataFrame([(i, "a b c", "s") for i in high], "doc_id long, text string, source string")
+    assert triples.rule_triples(docs).select("ord.doc_id").where("doc_id is not null").count() == 2
+
+
+def test_indexed_is_dense_and_sorted(spark):
+    rows = spark.createDataFrame([(f"r{i % 2}", f"x{(i * 37) % 500:04}") for i in range(1500)], "role string, item string").repartition(9)
+    got = sorted(hypergraph.indexed(rows, ("role", "item"), "i", by="role").collect())
+    want = sorted({(r.role, r.item) for r in rows.collect()})
+    assert [(r.role, r.item) for r in got] == want
+    assert [r.i for r in got if r.role == "r1"] == list(range(sum(a == "r1" for a, _ in want)))
+    assert sorted(r.i for r in hypergraph.indexed(rows, ("item",), "i").collect()) == list(range(len({b for _, b in want})))
+
+
+def test_communities_do_not_depend_on_where_rounds_run(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"é{a}" if a % 7 == 0 else f"n{a}", f"n{b}", float(rng.integers(1, 4))) for a, b in rng.integers(0, 60, (400, 2))]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    far, near = ({r.node: r.community for r in community.detect_communities(edges, local_edges=k).collect()} for k in (0, 10**9))
+    assert far == near and len(far) == len({x for a, b, _ in rows for x in (a, b)})
+
+
+def test_rounds_reach_a_local_best():
+    """No single move gains any more, and the modularity is near that of the planted groups."""
+    rng = np.random.default_rng(9)
+    n = 80
+    src, dst = rng.integers(0, n, 3000), rng.integers(0, n, 3000)
+    keep = (src % 4 == dst % 4) | (rng.random(3000) < 0.1)
+    src, dst = src[keep], dst[keep]
+    w = np.ones(len(src))
+    dice = rng.integers(-(2**62), 2**62, n)
+    c = community.rounds(src, dst, w, dice, 1.0)
+
+    def quality(c):
+        return sum(w[(c[src] == c[dst])]) - sum(w[c[src] == k].sum() * w[c[dst] == k].sum() for k in set(c)) / w.sum()
+
+    assert quality(c) >= 0.8 * quality(np.arange(n) % 4)
+    for i in range(n):
+        for k in set(c):
+            moved = c.copy()
+            moved[i] = k
+            assert quality(moved) <= quality(c) + 1e-6
+
+
+def test_hypergraph_communities_and_counts(spark):
+    t = spark.createDataFrame([(i, f"{g}{i % 3}", "p", f"{g}{(i + 1) % 3}", f"theme {g}") for g in "ab" for i in range(6)], "ord long, subject string, predicate string, object string, theme_association string")
+    members = hypergraph.memberships(t)
+    got = {}
+    for r in hypergraph.bipartite_communities(members).collect():
+        got.setdefault(r.community, set()).add((r.kind, r.label))
+    assert sorted(map(sorted, got.values())) == [sorted({("theme", f"theme {g}"), *(("entity", f"{g}{i}") for i in range(3))}) for g in "ab"]
+    assert hypergraph.counts(t, members).head()[:] == (6, 6, 6, 2, 6)
 
 
 def test_registry(spark):

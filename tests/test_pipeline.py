@@ -1,3 +1,5 @@
+import pytest
+
 from loomgraph.config import Config, load_config
 from loomgraph.plans.pipeline import Pipeline
 from loomgraph.sources import corpus, sinks
@@ -20,6 +22,52 @@ def test_run_and_resume(spark, tmp_path):
     assert sorted(str(f) for f in tmp_path.rglob("*.parquet")) == before
     assert again["schemas"].count() == out["schemas"].count() > 0
     assert p.export(out, tmp_path / "export").exists()
+    pages = {f.name: f.read_text() for f in (tmp_path / "export").iterdir()}
+    assert {"triples.html", "communities.html", "hypergraph.html", "run.md", "schemas.json"} <= set(pages)
+    assert "entity:clinic" in pages["hypergraph.html"] and "theme:Other" in pages["hypergraph.html"] and "| documents | 3 |" in pages["run.md"]
+    assert out["errors"].count() == 0 and out["document_lengths"].count() == 3 and out["counts"].head().entities == out["incidence"].select("entity").distinct().count()
+
+
+def test_stages_are_told_apart(spark, tmp_path):
+    key = lambda texts, **c: Pipeline(spark, f"file://{tmp_path}/k", Config(**c))._key(corpus.in_memory(spark, texts))
+    two = lambda a: spark.createDataFrame([(1, a), (1, a)], "doc_id long, text string")
+    p = Pipeline(spark, f"file://{tmp_path}/k")
+    assert p._key(two("a")) != p._key(two("b")) and p._key(two("a")) == p._key(two("a").repartition(3))
+    http = {"provider": "http", "base_url": "http://h"}
+    assert len({key(TEXTS), key(TEXTS[:2]), key(TEXTS, token_batch=9), key(TEXTS, **http, model="a"), key(TEXTS, **http, model="b")}) == 5
+
+
+def test_failed_calls_are_kept(spark, tmp_path):
+    class Failing(OfflineProvider):
+        name = "failing"
+
+        def validate(self, members, domain):
+            raise RuntimeError("down")
+
+        def schema(self, community, domain, inheritance):
+            raise ValueError("no")
+
+    p = Pipeline(spark, f"file://{tmp_path}/s", Config(min_community_size=1), Failing())
+    out = p.run(corpus.in_memory(spark, [*TEXTS, "patients treat patient. patients see patient. patienta treat patientb"]))
+    errors = {r.step: r.error for r in out["errors"].collect()}
+    assert errors["schemas"] == "ValueError: no" and out["schemas"].count() == 0
+    p.export(out, tmp_path / "export")
+    assert "ValueError: no" in (tmp_path / "export" / "run.md").read_text()
+
+
+def test_clusters_need_a_shared_folder(spark, monkeypatch):
+    from loomgraph import storage
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session())
 
 
 def test_providers_get_all_themes_and_inheritance(spark, tmp_path):
