@@ -203,7 +203,8 @@ def test_neighbours_small_and_edges(spark):
     bad = [(400, None), (500, [0.0] * 8), (600, [float("nan")] * 8), (700, [float("inf")] + [1.0] * 7), (800, [1.0, None] + [1.0] * 6), (900, [1.0, 2.0]), (None, [1.0] * 8)]
     frame = spark.createDataFrame([(i, v, 0) for i, v in rows + bad], "vec_id long, embedding array<float>, rank int")
     got = {}
-    for r in learned_ann.nearest_neighbours(frame).orderBy("query_id", "rank").collect():
+    # A mass above 1 probes all partitions, so the rows are exact.
+    for r in learned_ann.nearest_neighbours(frame, mass=2.0).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.score, r.vec_id))
     want = nearest(rows)
     assert set(got) == set(want)
@@ -214,19 +215,88 @@ def test_neighbours_small_and_edges(spark):
     assert learned_ann.nearest_neighbours(frame.limit(0)).count() == 0
 
 
+def recall(spark, rows, **options):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in learned_ann.nearest_neighbours(frame, **options).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = nearest(rows)
+    assert set(got) == set(want) and all(len(got[q]) == len(want[q]) for q in want)
+    return np.mean([len(got[q] & {i for _, i in want[q]}) / len(want[q]) for q in want])
+
+
+def probed(monkeypatch):
+    """What the routers did: (parts, share of the vectors that a query's partitions hold)."""
+    seen, plain = [], learned_ann.fit_routers
+
+    def fit(points, rows, sample_rows):
+        routers = plain(points, rows, sample_rows)
+        x = learned_ann._matrix(points.select("v").toPandas()["v"])
+        part = routers.place(x)
+        sizes = np.bincount(part, minlength=routers.parts[0] * routers.parts[1])
+        row, some = routers.route(x[:200], 0.95, sizes, 11)
+        seen.append((routers, np.bincount(row, weights=sizes[some]).mean() / len(x)))
+        return routers
+
+    monkeypatch.setattr(learned_ann, "fit_routers", fit)
+    return seen
+
+
 def test_neighbours_of_many_partitions(spark, monkeypatch):
     monkeypatch.setattr(learned_ann, "PART_ROWS", 250)
-    monkeypatch.setattr(learned_ann, "CHUNK_ROWS", 512)
+    monkeypatch.setattr(learned_ann, "CHUNK_ROWS", 200)
+    monkeypatch.setattr(learned_ann, "BLOCK_ROWS", 7)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(10, 16)) * 2
     rows = [(i, (centres[i % 10] + rng.normal(size=16)).tolist()) for i in range(4000)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {}
-    for r in learned_ann.nearest_neighbours(frame).collect():
-        got.setdefault(r.query_id, set()).add(r.vec_id)
-    want = nearest(rows)
-    recall = np.mean([len(got[q] & {i for _, i in want[q]}) / 10 for q in want])
-    assert recall >= 0.9
+    assert recall(spark, rows) >= 0.9
+
+
+def test_neighbours_by_two_networks(spark, monkeypatch):
+    monkeypatch.setattr(learned_ann, "PART_ROWS", 100)
+    monkeypatch.setattr(learned_ann, "MOST_PARTS", 8)
+    seen = probed(monkeypatch)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8)) * 2
+    rows = [(i, (centres[i % 40] + 0.5 * rng.normal(size=8)).tolist()) for i in range(4000)]
+    assert recall(spark, rows, sample_rows=2000) >= 0.9
+    (routers, share), = seen
+    assert routers.parts == (8, 4) and len(routers.second) == 8 and share < 0.6
+
+
+def test_neighbours_of_a_skewed_partition(spark, monkeypatch):
+    """Four of five vectors lie in one spot: their partition is cut into chunks by its own count."""
+    monkeypatch.setattr(learned_ann, "CHUNK_ROWS", 100)
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=8) * (0.01 if i % 5 else 5)).tolist()) for i in range(1500)]
+    assert recall(spark, rows) >= 0.9
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 12, 40])
+def test_neighbours_of_few_rows(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(100 * i, rng.normal(size=3).tolist()) for i in range(n)]
+    if n == 1:
+        assert learned_ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).count() == 0
+    else:
+        assert recall(spark, rows) >= 0.9
+
+
+def test_neighbours_in_doubles(spark):
+    """Components that a float can't tell apart."""
+    rows = [(100 * i, [1.0 + i * 1e-12, 2.0]) for i in range(5)]
+    got = learned_ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).where("query_id = 0").orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [100, 200] and [r.score for r in got] == [abs(rows[i][1][0] - 1.0) for i in (1, 2)]
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_recall_on_the_tables(spark, monkeypatch):
+    """A router of several partitions is fitted, a query doesn't read all of them, and recall holds."""
+    seen = probed(monkeypatch)
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    assert recall(spark, rows) >= 0.9
+    (routers, share), = seen
+    assert routers.first is not None and routers.parts[0] >= 8 and share < 0.9
 
 
 def test_balanced_parts():
