@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_long, durable, mix64, shared_table, windows, word_hashes
-from .components import connected_components
+from ..operators.components import connected_components
+from .common import as_long, durable, mix64, shared_table, whole_row, windows, word_hashes
 
 FLUSH = 1_500_000
 BITMAP_WORDS = 8
@@ -211,7 +211,8 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _split_keys(members: DataFrame) -> DataFrame:
-    return members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    """Keys whose members are of several classes. A table, like every other side that is summed by key before a join by key: such a join reads both sides from shuffles, and a hot key's partition can be split."""
+    return durable(members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"))
 
 
 def _uncompared(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
@@ -234,7 +235,7 @@ def _uncompared(members: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
     most = large.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
     most = most.groupBy("key").agg(F.max(F.struct("m", "root")).alias("b"), F.max("n").alias("n"))
     chunks = lambda n: F.ceil(n / CHUNK).cast("int")
-    most = most.select("key", F.col("b.root").alias("bulk_root"), chunks(F.col("b.m")).alias("bulk_chunks"), chunks(F.col("n") - F.col("b.m")).alias("rest_chunks"))
+    most = durable(most.select("key", F.col("b.root").alias("bulk_root"), chunks(F.col("b.m")).alias("bulk_chunks"), chunks(F.col("n") - F.col("b.m")).alias("rest_chunks")))
     rows = large.select("key", "node", "root").join(most, "key").join(sets.select("node", "size", "bits"), "node")
     rows = rows.withColumn("bulk", F.col("root") == F.col("bulk_root"))
     rows = rows.withColumn("c", F.pmod(F.xxhash64("node"), F.when(F.col("bulk"), F.col("bulk_chunks")).otherwise(F.col("rest_chunks"))).cast("int"))
@@ -314,12 +315,12 @@ def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFr
     bad = done.where("not linked")
     if bad.head(1):
         ends = bad.select(F.col("u").alias("node")).union(bad.select(F.col("v").alias("node"))).distinct()
-        keys = everyone.join(ends, "node", "left_semi").select("key").distinct()
+        keys = durable(everyone.join(ends, "node", "left_semi").select("key").distinct())
         open_ = durable(_labelled(everyone.join(keys, "key", "left_semi"), roots))
         open_ = durable(open_.join(_split_keys(open_), "key", "left_semi"))
         # The member with most links so far becomes the second representative.
         degree = links.union(links.select("v", "u")).groupBy("u").agg(F.count(F.lit(1)).alias("degree")).withColumnRenamed("u", "node")
-        best = open_.join(degree, "node", "left").groupBy("key").agg(F.max_by("node", F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("best"))
+        best = durable(open_.join(degree, "node", "left").groupBy("key").agg(F.max_by("node", F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("best")))
         again = _ordered(open_.join(best, "key"), "node", "best").join(done.select("u", "v"), ["u", "v"], "left_anti")
         more = verify(durable(again), sets, percent)
         done = durable(done.union(more))
@@ -344,7 +345,13 @@ def _finish(docs: DataFrame, nodes: DataFrame, members: DataFrame, pairs: DataFr
 
 
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of docs that stand for their class: of those with its smallest doc_id, one. Rows without doc_id stay, and of rows without shingles one of each doc_id."""
-    first = _classes(docs, width, percent).where("doc_id = component_id").groupBy("doc_id", "root").agg(F.min("text_hash").alias("__text")).select("doc_id", "__text").distinct()
-    kept = docs.withColumn("__text", F.xxhash64("text")).join(first, ["doc_id", "__text"], "left_semi").dropDuplicates(["doc_id", "__text"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The rows of docs that stand for their class, with all their columns: of those with its smallest doc_id, one.
+
+    Rows of one doc_id with texts of different classes stand for their own class each;
+    of repeated rows, or texts of one class, that with the smallest hash of its text
+    stays. Rows without doc_id stay, and of rows without shingles one of each doc_id.
+    """
+    first = _classes(docs, width, percent).where("doc_id = component_id").groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
+    rows = docs.select(whole_row(docs), "doc_id", F.xxhash64("text").alias("text_hash"))
+    kept = rows.join(first, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
