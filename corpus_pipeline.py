@@ -6,8 +6,11 @@ masked in the text. mixing: each document is repeated by its copies, none to thr
 the texts are encoded, decoded and digested.
 
 Each stage takes (spark, docs, sf_dir); all but the last return the columns of
-documents. run() writes each stage's result as Parquet and reads it back. Rows without
-doc_id pass the second stage, as nothing tells them apart.
+documents. run() writes each stage's result as Parquet and reads it back. Null, empty
+and blank texts pass the first three stages and have no copies in the fourth; rows
+without doc_id pass the second, as nothing tells them apart; repeated rows go or stay
+together, but for the second stage, which keeps one. Extra columns pass unread, whatever
+their names. An empty table stays empty.
 """
 
 from __future__ import annotations

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import stage_table
+
 #: The word pattern of every contract, and the bytes it leaves out.
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -22,53 +20,13 @@ _BLOCK = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="loomgraph-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a Parquet table in the shared folder and read it back.
-
-    It cuts the lineage and outlives lost executors like a reliable checkpoint, but is
-    compressed and can be read by columns, and its size is that of its files. A
-    checkpoint hands on the size estimate of its plan instead; in loops with joins the
-    estimates multiply until they are numbers of millions of digits.
-    """
-    spark = df.sparkSession
-    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """A Parquet table in the shared folder, read back."""
+    return stage_table(df, name)
 
 
 def durable(df: DataFrame) -> DataFrame:
-    return shared_table(df, "step")
-
-
-_cleaned: set[str] = set()
-
-
-def own_folder(spark: SparkSession) -> str:
-    """This application's part of the shared folder; it goes when Python ends, if the session still runs then."""
-    sc = spark.sparkContext
-    folder = f"{shared_dir(spark).rstrip('/')}/loomgraph-{sc.applicationId}"
-    if folder not in _cleaned:
-        _cleaned.add(folder)
-
-        def clean() -> None:
-            if sc._jsc is not None:
-                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-
-        atexit.register(clean)
-    return folder
+    return stage_table(df, "step")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,14 +38,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, `row`, beside which any name is free."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
 def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     """At most limit rows, those with the smallest hash of key. A threshold from the number of rows comes first, so that tasks together send little more than the limit, however many they are."""
     space = 1 << 40
-    df = df.withColumn("__h", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(space)))
-    n = df.count()
+    rows = df.select(whole_row(df), F.col(key).alias("key"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(space)).alias("dice"))
+    n = rows.count()
     if n > limit:
-        df = df.where(F.col("__h") < int(space * min(1.0, (1.2 * limit + 100) / n)))
-    return df.orderBy("__h", key).limit(limit).drop("__h")
+        rows = rows.where(F.col("dice") < int(space * min(1.0, (1.2 * limit + 100) / n)))
+    return rows.orderBy("dice", "key").limit(limit).select("row.*")
 
 
 def id_sample(df: DataFrame, key: str, limit: int) -> DataFrame:

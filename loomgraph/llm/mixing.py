@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, durable
+from .common import WORD, durable, whole_row
 
 CAP = 3
 NANO = 1_000_000_000
@@ -58,12 +58,14 @@ def dual(classes: DataFrame, targets: DataFrame, steps: int = 60, tolerance: flo
     state = targets.withColumn("mean", F.greatest(F.lit(1e-9), F.col("source_size") / F.col("docs")))
     open_ = (F.col("target") > 0) & (F.col("target") < CAP * F.col("source_size"))
     state = durable(state.withColumns({"open": open_, "tilt": F.lit(0.0), "lo": F.lit(-1e6), "hi": F.lit(1e6)}))
+    # Sums of doubles depend on the order of their terms in the last digits; those of decimals don't, so reruns agree.
+    exact = lambda term: F.sum(term.cast("decimal(38,9)")).cast("double")
     for _ in range(steps):
         s = state.where("open").alias("s")
         c = classes.where("size > 0").alias("c").join(s, F.col("c.source").eqNullSafe(F.col("s.source")))
         rate = _rate(F.col("s.tilt"), F.col("c.size"), F.col("s.mean"))
         tokens = F.col("c.n") * F.col("c.size")
-        sums = c.groupBy(F.col("s.source").alias("source")).agg(F.sum(tokens * rate).alias("got"), F.sum(tokens * rate * (1 - rate / CAP) * F.col("c.size") / F.col("s.mean")).alias("slope"))
+        sums = c.groupBy(F.col("s.source").alias("source")).agg(exact(tokens * rate).alias("got"), exact(tokens * rate * (1 - rate / CAP) * F.col("c.size") / F.col("s.mean")).alias("slope"))
         j = state.alias("s").join(sums.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")), "left")
         over = F.col("got") > F.col("target")
         lo, hi = F.when(over, F.col("lo")).otherwise(F.col("tilt")), F.when(over, F.col("tilt")).otherwise(F.col("hi"))
@@ -75,8 +77,7 @@ def dual(classes: DataFrame, targets: DataFrame, steps: int = 60, tolerance: flo
         state = durable(j.select("s.source", "source_size", "docs", "target", "mean", (F.col("open") & ~done).alias("open"), F.when(done, F.col("tilt")).when(inside, newton).otherwise(middle).alias("tilt"), F.when(done, F.col("lo")).otherwise(lo).alias("lo"), F.when(done, F.col("hi")).otherwise(hi).alias("hi")))
         if not state.where("open").head(1):
             break
-    # Sums of doubles depend on the order of their terms in the last digits; rounding makes reruns agree.
-    return state.select("source", "source_size", "docs", "target", "mean", F.round("tilt", 6).alias("tilt"))
+    return state.select("source", "source_size", "docs", "target", "mean", "tilt")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -124,9 +125,13 @@ def _settle(k: DataFrame, rounds: int = 3) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """The rows of docs, each repeated by its copies, with their columns."""
+    """The rows of docs, each repeated by its copies, with all their columns, whatever their names.
+
+    Rows without words have no copies and go; null sources are a source of their own;
+    rows without doc_id, and repeated rows, are repeated like others.
+    """
     copies = durable(mix(docs, weights).select("doc_id", "source", "size", "copies").distinct()).where("copies > 0").alias("k")
-    sized = docs.withColumn("__size", word_count(F.col("text"))).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("d.source").eqNullSafe(F.col("k.source")) & (F.col("d.__size") == F.col("k.size"))
-    rows = sized.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("k.copies").cast("int"))))
-    return rows.select(*(F.col(f"d.{c}") for c in docs.columns))
+    sized = docs.select(whole_row(docs), word_count(F.col("text")).alias("size")).alias("d")
+    same = F.col("d.row.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("d.row.source").eqNullSafe(F.col("k.source")) & (F.col("d.size") == F.col("k.size"))
+    rows = sized.join(copies, same).select("row", F.explode(F.sequence(F.lit(1), F.col("k.copies").cast("int"))))
+    return rows.select("row.*")

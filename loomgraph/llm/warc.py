@@ -21,7 +21,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, own_folder, shared_table
+from ..storage import own_folder
+from .common import durable, shared_table
 
 GAP = 1 << 16
 READ = 1 << 23

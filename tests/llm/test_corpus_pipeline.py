@@ -2,13 +2,19 @@
 
 import hashlib
 import os
+import re
 from collections import Counter
 
+import duckdb
+
 import pytest
 
 pytest.importorskip("public_tokenizers")
 import corpus_pipeline as P
-from loomgraph.llm.queries import QUERIES
+from loomgraph.llm.pii import base_spans, mask
+from loomgraph.llm.queries import ORACLE_SQL, QUERIES
+from test_formats import fill
+from test_ngram_join import brute
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -25,14 +31,30 @@ def test_stages(spark):
     rows = [{(r.doc_id): r for r in t.collect()} for t in tables]
     toxic = {r.doc_id for r in QUERIES["op5_toxicity"](spark, FOLDER).where("predicted = 1").collect()}
     assert set(rows[1]) == set(rows[0]) - toxic
-    classes = P.keep_one(tables[1]).select("doc_id").collect()
-    assert set(rows[2]) == {r.doc_id for r in classes} <= set(rows[1])
+    # Of each class that a plain version finds, the smallest doc_id stays, with its text as it was.
+    classes = brute([(i, r.text) for i, r in rows[1].items()])
+    assert set(rows[2]) == {i for i, (_, c) in classes.items() if i == c}
+    assert all(rows[2][i] == rows[1][i] for i in rows[2])
+    # Base spans are masked, and nothing else but what the tagger adds changes.
     assert set(rows[3]) == set(rows[2])
+    for i, r in rows[3].items():
+        old = rows[2][i].text or ""
+        spans = base_spans(old)
+        assert not base_spans(r.text or "") and r.n_chars == len(r.text or "")
+        if not spans:
+            assert r.text == rows[2][i].text or "[" in r.text
+        else:
+            masked = mask(old, spans)
+            assert r.text == masked or len([x for x in ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]") if x in r.text])
     copies = Counter(r.doc_id for r in tables[4].select("doc_id").collect())
     assert set(copies) <= set(rows[3]) and max(copies.values()) <= 3
-    from loomgraph.llm.mixing import mix
-
-    assert copies == Counter({r.doc_id: r.copies for r in mix(tables[3]).collect() if r.copies})
+    sizes, taken = Counter(), Counter()
+    for i, r in rows[3].items():
+        n = len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))
+        sizes[r.source] += n
+        taken[r.source] += n * copies[i]
+    for source, want in fill(dict(sizes)).items():
+        assert taken[source] == pytest.approx(want, rel=0.02, abs=20)
     assert all(r.decoded_sha256 == hashlib.sha256(rows[4][r.doc_id].text.encode()).hexdigest() for r in tables[5].collect())
     final = Counter((r.doc_id, r.ids_sha256) for r in P.run(spark, FOLDER).collect())
     assert final == Counter((r.doc_id, r.ids_sha256) for r in tables[5].collect())
@@ -47,3 +69,75 @@ def test_registered_queries(spark, name):
         assert got.count() == n
     else:
         assert 0 < got.count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    c = duckdb.connect()
+    for file in os.listdir(FOLDER):
+        c.execute(f"create view {file.removesuffix('.parquet')} as select * from '{FOLDER}/{file}'").fetchall()
+    got, want = QUERIES[name](spark, FOLDER).toPandas(), c.execute(ORACLE_SQL[name]).fetchdf()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    plain = lambda f: sorted(tuple("" if v is None or v != v else str(int(v)) if isinstance(v, float) else str(v) for v in r) for r in f[columns].astype(object).values.tolist())
+    assert plain(got) == plain(want)
+
+
+CLASH = ("size", "copies", "row", "dice", "node", "key", "text_hash", "root", "__text", "__size", "__copy", "__h", "toxic", "score", "spans")
+LONG = "many words of one very long text " * 20_000
+EDGES = [
+    (1, None, "en", "a"),
+    (2, "", "en", None),
+    (3, " \n ", None, "a"),
+    (4, LONG, "en", "b"),
+    (None, "the first of two texts without an id", None, None),
+    (None, "the first of two texts without an id", None, None),
+    (5, "a row that stands here twice, write to a.b@c.org", "en", "b"),
+    (5, "a row that stands here twice, write to a.b@c.org", "en", "b"),
+    (2**60 + 1, "one large id with words of its own", "en", "b"),
+    (2**60 + 2, "another large id and quite different words", "en", "a"),
+]
+
+
+@pytest.fixture(scope="module")
+def edge(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("edge"))
+    docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["clash"] * len(CLASH)) for r in EDGES], f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'`{c}` string' for c in CLASH)}").coalesce(1)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, "you nitwit of an author" if i % 2 else "the good author of it", i % 2) for i in range(100, 180)]
+    spark.createDataFrame([(i, None, y) for i, _, y in labels] + [(None, 1, 1), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_stages_at_the_edges(spark, edge):
+    """Null, empty, very long and repeated rows, rows without id, large ids, clashing names: what each stage keeps is defined."""
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+    ids = lambda df: sorted((r.doc_id or 0) for r in df.select("doc_id").collect())
+    every = sorted((r[0] or 0) for r in EDGES)
+    stages = dict(P.STAGES)
+    clean = stages["toxicity"](spark, docs, edge)
+    assert clean.dtypes == docs.dtypes and ids(clean) == every
+    one = P.shared_table(stages["ngram_join"](spark, docs, edge), "edge-one")
+    assert one.dtypes == docs.dtypes and ids(one) == [0, 0, 1, 2, 3, 4, 5, 2**60 + 1, 2**60 + 2]
+    masked = stages["personal_data"](spark, docs, edge)
+    assert masked.dtypes == docs.dtypes and ids(masked) == every
+    texts = {r.doc_id: r.text for r in masked.where("doc_id is not null").collect()}
+    assert texts[1] is None and texts[2] == "" and texts[4] == LONG and texts[5].endswith("[EMAIL]")
+    mixed = stages["mixing"](spark, docs, edge)
+    assert mixed.dtypes == docs.dtypes and set(ids(mixed)) <= set(every) - {1, 2, 3}
+    assert mixed.where("size <> 'clash' or row <> 'clash'").count() == 0
+    coded = stages["bpe"](spark, docs, edge).collect()
+    assert sorted((r.doc_id or 0) for r in coded) == every
+    assert all(r.decoded_sha256 == hashlib.sha256((dict((i, t) for i, t, _, _ in EDGES)[r.doc_id] or "").encode()).hexdigest() for r in coded)
+
+
+def test_stages_of_an_empty_table(spark, edge):
+    docs = spark.read.parquet(f"{edge}/documents.parquet").limit(0)
+    for name, stage in P.STAGES:
+        docs = P.shared_table(stage(spark, docs, edge), f"empty-{name}")
+        assert docs.count() == 0
+
+
+def test_run_at_the_edges(spark, edge):
+    got = {r.doc_id for r in P.run(spark, edge).collect()}
+    assert got <= {r[0] for r in EDGES} and not got & {1, 2, 3}
