@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pandas as pd
 
 import pytest
 
@@ -48,13 +49,15 @@ def test_stages(spark):
             assert r.text == masked or len([x for x in ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]") if x in r.text])
     copies = Counter(r.doc_id for r in tables[4].select("doc_id").collect())
     assert set(copies) <= set(rows[3]) and max(copies.values()) <= 3
-    sizes, taken = Counter(), Counter()
+    sizes, taken, least = Counter(), Counter(), {}
     for i, r in rows[3].items():
         n = len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))
         sizes[r.source] += n
         taken[r.source] += n * copies[i]
+        least[r.source] = min(n or 10**9, least.get(r.source, 10**9))
     for source, want in fill(dict(sizes)).items():
-        assert taken[source] == pytest.approx(want, rel=0.02, abs=20)
+        # Some sources have few documents here: no change of one copy of the smallest would help.
+        assert taken[source] == pytest.approx(want, rel=0.02, abs=least[source])
     assert all(r.decoded_sha256 == hashlib.sha256(rows[4][r.doc_id].text.encode()).hexdigest() for r in tables[5].collect())
     final = Counter((r.doc_id, r.ids_sha256) for r in P.run(spark, FOLDER).collect())
     assert final == Counter((r.doc_id, r.ids_sha256) for r in tables[5].collect())
@@ -79,7 +82,7 @@ def test_same_rows_as_sql(spark, name):
     got, want = QUERIES[name](spark, FOLDER).toPandas(), c.execute(ORACLE_SQL[name]).fetchdf()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
-    plain = lambda f: sorted(tuple("" if v is None or v != v else str(int(v)) if isinstance(v, float) else str(v) for v in r) for r in f[columns].astype(object).values.tolist())
+    plain = lambda f: sorted(tuple("" if pd.isna(v) else str(int(v)) if isinstance(v, float) else str(v) for v in r) for r in f[columns].astype(object).values.tolist())
     assert plain(got) == plain(want)
 
 
