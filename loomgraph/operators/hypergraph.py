@@ -9,6 +9,8 @@ from ..functions.text import theme_or_other
 from ..storage import stage_table
 from .community import detect_communities
 
+HUB = 4_096
+
 
 def memberships(triples: DataFrame) -> DataFrame:
     """Distinct (entity, theme). Empty entities stay."""
@@ -38,18 +40,29 @@ def entity_degree(members: DataFrame) -> DataFrame:
     return members.groupBy("entity").agg(F.count(F.lit(1)).alias("degree"))
 
 
+def _pairs(members: DataFrame, over: str, of: str) -> DataFrame:
+    """(a, b, shared): for values a, b of `of`, in how many values of `over` they are together, a = b included.
+
+    A hub of `over` has as many pairs as its members squared, and they are the result's;
+    but no task makes them alone: its members are dealt to tiles of two blocks each.
+    """
+    sizes = stage_table(members.groupBy(over).agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("n")), "hubs")
+    rows = members.join(sizes, over).withColumn("at", F.pmod(F.xxhash64(of), F.col("n")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    a = rows.select(over, F.col("at").alias("i"), every.alias("j"), F.col(of).alias("a"))
+    b = rows.select(over, every.alias("i"), F.col("at").alias("j"), F.col(of).alias("b"))
+    return a.join(b, [over, "i", "j"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+
+
 def laplacian(members: DataFrame) -> DataFrame:
     """Non-zero entries: -(number of shared themes) for different entities; the diagonal is zero."""
-    a = members.select(F.col("entity").alias("row"), "theme")
-    b = members.select(F.col("entity").alias("col"), "theme")
-    return a.join(b, "theme").where("row <> col").groupBy("row", "col").agg((-F.count(F.lit(1))).cast("double").alias("value"))
+    both = _pairs(members, "theme", "entity").where("a <> b")
+    return both.select(F.col("a").alias("row"), F.col("b").alias("col"), (-F.col("shared")).cast("double").alias("value"))
 
 
 def theme_overlap(members: DataFrame) -> DataFrame:
     """theme_a, theme_b, shared entities; the diagonal holds the themes' sizes."""
-    a = members.select("entity", F.col("theme").alias("theme_a"))
-    b = members.select("entity", F.col("theme").alias("theme_b"))
-    return a.join(b, "entity").groupBy("theme_a", "theme_b").agg(F.count(F.lit(1)).alias("shared"))
+    return _pairs(members, "entity", "theme").select(F.col("a").alias("theme_a"), F.col("b").alias("theme_b"), "shared")
 
 
 def theme_inheritance(members: DataFrame, threshold: float = 0.80) -> DataFrame:

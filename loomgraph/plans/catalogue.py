@@ -189,9 +189,9 @@ def entity_neighborhoods(spark, d):
     return graph.entity_neighborhoods(part(spark, d))
 
 
-@query(f"with {REL} select theme, string_agg(predicate, '|' order by ord, predicate) predicates, count(*) n from rel group by 1")
+@query(f"with {REL} select theme, row_number() over (partition by theme order by ord) - 1 pos, predicate from rel")
 def theme_predicates(spark, d):
-    return graph.theme_predicates(rel(spark, d)).withColumn("predicates", F.array_join("predicates", "|"))
+    return graph.theme_predicates(rel(spark, d))
 
 
 @query(f"with {PART}, {MEMBERS} select entity, theme, (dense_rank() over (order by entity) - 1)::bigint entity_idx, (dense_rank() over (order by theme) - 1)::bigint theme_idx, 1.0::double as value from members")

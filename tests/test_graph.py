@@ -171,6 +171,31 @@ def test_average_linkage_against_naive():
         assert got == _naive(x, 0.4)
 
 
+def test_close_pairs_lose_nothing(spark, monkeypatch):
+    """Clustered and scattered vectors in many small blocks: the pairs of a plain product, and few rows dealt."""
+    monkeypatch.setattr(embedding, "BLOCK", 20)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, 6))
+    x = np.concatenate([centres[rng.integers(0, 12, 300)] + 0.1 * rng.normal(size=(300, 6)), rng.normal(size=(60, 6)), np.zeros((3, 6))])
+    p = spark.createDataFrame([("s" if i % 5 else "o", i, v.tolist()) for i, v in enumerate(x)], "role string, item long, v array<double>")
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    for t in (0.02, 0.3, 1.2):
+        got = sorted((r.a, r.b) for r in embedding.close_pairs(p, t).collect())
+        want = [(i, j) for i in range(360) for j in range(i + 1, 360) if (i % 5 == 0) == (j % 5 == 0) and 1 - unit[i] @ unit[j] < t]
+        assert got == want
+
+
+def test_hubs_are_dealt_to_tiles(spark, monkeypatch):
+    monkeypatch.setattr(hypergraph, "HUB", 3)
+    rows = {(f"e{i}", "hub") for i in range(25)} | {(f"e{i}", f"t{i % 4}") for i in range(25)}
+    m = spark.createDataFrame(sorted(rows), "entity string, theme string")
+    themes_of = {e: {t for x, t in rows if x == e} for e, _ in rows}
+    want = {(a, b): -float(len(themes_of[a] & themes_of[b])) for a in themes_of for b in themes_of if a != b}
+    assert {(r.row, r.col): r.value for r in hypergraph.laplacian(m).collect()} == want
+    sets = {t: {x for x, y in rows if y == t} for _, t in rows}
+    assert {(r.theme_a, r.theme_b): r.shared for r in hypergraph.theme_overlap(m).collect()} == {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if sets[a] & sets[b]}
+
+
 def test_centroid(spark):
     rows = [(0, i, f"m{i}", [float(a) for a in v]) for i, v in enumerate([(1, 0), (0, 1), (0.8, 0.6)])]
     m = spark.createDataFrame(rows, "cluster_id int, item_idx int, item string, v array<double>")
