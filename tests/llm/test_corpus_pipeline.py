@@ -49,15 +49,15 @@ def test_stages(spark):
             assert r.text == masked or len([x for x in ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]") if x in r.text])
     copies = Counter(r.doc_id for r in tables[4].select("doc_id").collect())
     assert set(copies) <= set(rows[3]) and max(copies.values()) <= 3
-    sizes, taken, least = Counter(), Counter(), {}
+    sizes, taken, most = Counter(), Counter(), Counter()
     for i, r in rows[3].items():
         n = len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))
         sizes[r.source] += n
         taken[r.source] += n * copies[i]
-        least[r.source] = min(n or 10**9, least.get(r.source, 10**9))
+        most[r.source] = max(n, most[r.source])
     for source, want in fill(dict(sizes)).items():
-        # Some sources have few documents here: no change of one copy of the smallest would help.
-        assert taken[source] == pytest.approx(want, rel=0.02, abs=least[source])
+        # Some sources have few documents here: whole copies come as near as about half of the largest.
+        assert taken[source] == pytest.approx(want, rel=0.02, abs=0.6 * most[source])
     assert all(r.decoded_sha256 == hashlib.sha256(rows[4][r.doc_id].text.encode()).hexdigest() for r in tables[5].collect())
     final = Counter((r.doc_id, r.ids_sha256) for r in P.run(spark, FOLDER).collect())
     assert final == Counter((r.doc_id, r.ids_sha256) for r in tables[5].collect())
