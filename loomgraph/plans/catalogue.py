@@ -331,8 +331,12 @@ def cluster_centered_pca(spark, d):
     return cluster.cluster_items(_points(spark, d), 0.15)
 
 
-@query()
+@query(
+    """with e as (select distinct c_name, n_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey), s as (select n_name, count(*) size, least(min(c_name), n_name) head from e group by 1),
+r as (select n_name, (row_number() over (order by size desc, head) - 1)::int community from s) select c_name node, community from e join r using (n_name) union all select n_name, community from r"""
+)
 def communities_detected(spark, d):
+    """A customer has one nation, so the best communities are the nations with their customers; SQL numbers these."""
     return community.detect_communities(graph.edges(rel(spark, d)))
 
 

@@ -3,9 +3,11 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from loomgraph.operators.embedding import choose_components, encode_strings
 from loomgraph.plans import catalogue
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -35,6 +37,34 @@ def test_has_rows(spark, name):
     assert catalogue.QUERIES[name](spark, FOLDER).count() > 0
 
 
+@pytest.mark.parametrize("name, threshold, centred", [("cluster_agglomerative", 0.3, False), ("cluster_centered_pca", 0.15, True)])
+def test_clusters_of_the_table_against_naive(spark, name, threshold, centred):
+    """The query's clusters are those of a plain average linkage over the same strings, centred rows repeated by their number."""
+    part = spark.read.parquet(f"{FOLDER}/part.parquet").toPandas()
+    names = part.groupby("p_name")["p_partkey"].agg(["count", "min"]).sort_values("min")
+    x = encode_strings(names.index.tolist())
+    if centred:
+        whole = np.repeat(x, names["count"].to_numpy(), axis=0)
+        mean = whole.mean(axis=0)
+        values, vectors = np.linalg.eigh(np.cov(whole.T))
+        values, vectors = values[::-1], vectors[:, ::-1]
+        k = min(len(whole), len(values))
+        x = (x - mean) @ vectors[:, : choose_components(np.maximum(values[:k], 0))]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    d = 1 - unit @ unit.T
+    groups = [[i] for i in range(len(x))]
+    while len(groups) > 1:
+        best = min((d[np.ix_(a, b)].mean(), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
+        if not best[0] < threshold:
+            break
+        groups[best[1]] += groups.pop(best[2])
+    want = sorted(sorted(names.index[i] for i in g) for g in groups)
+    got = {}
+    for r in catalogue.QUERIES[name](spark, FOLDER).collect():
+        got.setdefault(r.cluster_id, []).append(r.item)
+    assert sorted(map(sorted, got.values())) == want
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(catalogue.QUERIES) <= set(entry.queries())
