@@ -78,6 +78,15 @@ def test_copies_that_link_only_through_their_base(spark):
     check(spark, rows)
 
 
+def test_very_long_texts(spark):
+    """Texts of 40,000 distinct words: near copies link, others that share half don't."""
+    words = [f"l{i}" for i in range(40_000)]
+    near, far = list(words), words[:20_000] + [f"m{i}" for i in range(20_000)]
+    for at in range(0, 40_000, 130):
+        near[at] = f"x{at}"
+    check(spark, [(1, " ".join(far)), (2, " ".join(words)), (3, " ".join(near)), (4, "short text of its own words")])
+
+
 def test_chain(spark):
     words = [f"c{i}" for i in range(400)]
     check(spark, [(50 - i, " ".join(words[5 * i : 5 * i + 200])) for i in range(30)])
