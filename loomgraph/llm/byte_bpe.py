@@ -21,7 +21,8 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-MEMORY = 250_000
+#: At most so many pre-tokens of at most so many characters are remembered by a worker: some 150 MB, 300 at worst.
+MEMORY, REMEMBERED = 600_000, 32
 BLOCK = 100_000
 
 
@@ -104,7 +105,7 @@ class _Memory(dict):
         if len(self) >= MEMORY:
             self.clear()
         ids = self.find(piece)
-        if len(piece) <= 64:
+        if len(piece) <= REMEMBERED:
             self[piece] = ids
         return ids
 
