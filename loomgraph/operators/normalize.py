@@ -24,7 +24,7 @@ def normalization_details(triples: DataFrame) -> DataFrame:
 
 
 def normalize_triples(triples: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
-    """Preprocess the three roles, then look each up in mapping(role, original, normalized); a miss stays. Raw strings stay in raw_ columns."""
+    """Preprocess the three roles, then look each up in mapping(role, original, normalized), unique on (role, original); a miss stays. Raw strings stay in raw_ columns. A frequent string's rows are one partition of the join, which adaptive execution splits, as the mapping's side is not summed."""
     out = triples.select("*", *(F.col(r).alias(f"raw_{r}") for r in ROLES))
     out = out.withColumns({r: preprocess(F.col(r)) for r in ROLES})
     if mapping is None:
