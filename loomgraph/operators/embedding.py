@@ -155,13 +155,13 @@ def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str
     def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b = b.reset_index(drop=True)
-            x = np.array(b["v"].tolist(), dtype=np.float64).reshape(len(b), -1)
-            norm = np.linalg.norm(x, axis=1)
+            norm = np.array([np.linalg.norm(v) for v in b["v"]])  # lengths may differ between values of `by`
             cell, angle = np.zeros(len(b), dtype=np.int32), np.zeros(len(b))
             for value, some in pivots.items():
                 mine = np.flatnonzero((b[by] == value).to_numpy() & (norm > 0))
                 if len(mine):
-                    to = np.arccos(np.clip(x[mine] / norm[mine, None] @ some.T, -1, 1))
+                    x = np.array(b["v"].iloc[mine].tolist(), dtype=np.float64) / norm[mine, None]
+                    to = np.arccos(np.clip(x @ some.T, -1, 1))
                     cell[mine], angle[mine] = to.argmin(axis=1), to.min(axis=1)
             yield b.assign(cell=cell, angle=angle)[norm > 0]
 

@@ -179,7 +179,9 @@ def test_close_pairs_lose_nothing(spark, monkeypatch):
     x = np.concatenate([centres[rng.integers(0, 12, 300)] + 0.1 * rng.normal(size=(300, 6)), rng.normal(size=(60, 6)), np.zeros((3, 6))])
     p = spark.createDataFrame([("s" if i % 5 else "o", i, v.tolist()) for i, v in enumerate(x)], "role string, item long, v array<double>")
     unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    for t in (0.02, 0.3, 1.2):
+    short = spark.createDataFrame([("p", 1000, [1.0, 0.0]), ("p", 1001, [0.0, 1.0])], p.schema)
+    p = p.union(short)  # vectors of another length, of another role
+    for t in (0.02, 0.3, 0.9):
         got = sorted((r.a, r.b) for r in embedding.close_pairs(p, t).collect())
         want = [(i, j) for i in range(360) for j in range(i + 1, 360) if (i % 5 == 0) == (j % 5 == 0) and 1 - unit[i] @ unit[j] < t]
         assert got == want
