@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from .byte_bpe import encode_decode, read_ranks
 from .chat_format import format_turns, read_back, text_turns
 from .common import read_table
+from .filter_audit import audit
+from .itemsets import closed_itemsets
 from .learned_ann import nearest_neighbours
 from .mixing import mix
 from .ngram_join import ngram_classes
+from .packing import pack, read_vocabulary
 from .pii import find_spans
 from .quality_qda import quality_scores
 from .quality_rules import quality_rules
@@ -65,6 +68,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(text_turns(rows.unionByName(extra))))
 
 
+def op11_basket_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read_table(spark, sf_dir, "sale_lines").where("flag is distinct from 'returned'")
+    return closed_itemsets(lines.select(F.col("sale_id").alias("basket"), F.col("item_id").alias("item")), least=12, share=10_000, confidence=30)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(read_table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN, width=2048, end=1)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_join": op2_ngram_join,
@@ -76,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_personal_data": op9_personal_data,
     "op10_chat_format": op10_chat_format,
+    "op11_basket_itemsets": op11_basket_itemsets,
+    "op12_packing": op12_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: The other queries come from models, tokenizers or roundings that SQL can't express; tests hold them against plain versions.
@@ -97,4 +117,28 @@ from q left join f on f.payload_digest = q.payload_digest and payload_bytes >= 1
 f as (select *, length(regexp_replace(t, '([<\[])(\\*)(\|[A-Za-z_]+(?::[0-9]+)?\|>|/?s>|/?INST\]|/?SYS>>)', '\1\\\2\3', 'g')) + length(role) + 8 + 1 + 7 + 1 n from c)
 select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' order by turn)) turns_sha256,
 coalesce(sum(length(t)) filter (role = 'assistant'), 0)::bigint loss_chars, sha256(coalesce(string_agg(t, '' order by turn) filter (role = 'assistant'), '')) loss_sha256, sum(n)::bigint formatted_chars from f group by 1""",
+    "op11_basket_itemsets": """with recursive l as (select distinct sale_id, item_id from sale_lines where flag is distinct from 'returned' and sale_id is not null and item_id is not null),
+b as (select count(distinct sale_id)::bigint b from l), m as (select b, greatest(12, (b + 9999) // 10000) m from b),
+one as (select item_id i, list(sale_id) t, count(*) s from l group by 1 having count(*) >= (select m from m)),
+grown as (select [i] x, t, s from one union all
+  select x, t, len(t) from (select list_append(g.x, one.i) x, list_intersect(g.t, one.t) t from grown g join one on one.i > g.x[-1]) where len(t) >= (select m from m)),
+f as (select x, s::bigint s from grown),
+wider as (select list_filter(f.x, lambda y: y <> f.x[j]) x, f.s from (select x, s, unnest(generate_series(1, len(x))) j from f where len(x) > 1) f),
+closed as (select x, s from f where not exists (select 1 from wider w where w.x = f.x and w.s = f.s)),
+parts as (select x, s, x[j] c, list_filter(x, lambda y: y <> x[j]) rest from (select x, s, unnest(generate_series(1, len(x))) j from closed where len(x) > 1)),
+rules as (select p.x, p.c, f.s a, one.s::bigint sc from parts p join f on f.x = p.rest join one on one.i = p.c, b where 100 * p.s >= 30 * f.s and p.s * b.b > f.s * one.s),
+told as (select x, count(*) n_rules, arg_min(c, (a, c)) best_item, string_agg(c || ':' || a || ':' || sc, ';' order by c) r from rules group by 1)
+select array_to_string(closed.x, ',') items, len(closed.x)::bigint n_items, closed.s support, coalesce(n_rules, 0)::bigint n_rules, best_item, sha256(coalesce(r, '')) rules_sha256 from closed left join told on told.x = closed.x""",
+    "op13_filter_audit": r"""with t as (select doc_id, coalesce(text, '') t, coalesce(lang, '') part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+g as (select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic from labels group by 1),
+x as (select part, coalesce(good, 0) good, coalesce(toxic, 0) toxic, len(w) < 100 a, 100 * len(list_distinct(w)) < 80 * len(w) b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) c,
+  regexp_matches(t, '[#$%&*|]') d, doc_id > min(doc_id) over (partition by t) e from t left join g using (doc_id)),
+k as (select part, good, toxic, case when a then 'A' else '' end || case when b then 'B' else '' end || case when c then 'C' else '' end || case when d then 'D' else '' end || case when coalesce(e, false) then 'E' else '' end fails from x),
+s as (select part, fails, count(*) n, sum(good) good, sum(toxic) toxic from k group by 1, 2),
+o as (select p.f || q.f || r.f || u.f || v.f o from (values ('A'), ('B'), ('C'), ('D'), ('E')) p(f), (values ('A'), ('B'), ('C'), ('D'), ('E')) q(f), (values ('A'), ('B'), ('C'), ('D'), ('E')) r(f), (values ('A'), ('B'), ('C'), ('D'), ('E')) u(f), (values ('A'), ('B'), ('C'), ('D'), ('E')) v(f)
+  where q.f <> p.f and r.f not in (p.f, q.f) and u.f not in (p.f, q.f, r.f) and v.f not in (p.f, q.f, r.f, u.f)),
+h as (select part, o, step, o[step] f, n, good, toxic, fails, contains(fails, o[step]) hit, length(translate(fails, o[1 : step - 1], '')) < length(fails) gone from s, o, generate_series(1, 5) z(step)),
+r as (select part, o, step, f, coalesce(sum(n) filter (not hit and not gone), 0)::bigint kept, coalesce(sum(n) filter (hit and not gone), 0)::bigint removed, coalesce(sum(n) filter (hit and gone), 0)::bigint redundant, coalesce(sum(n) filter (fails = f), 0)::bigint unique_fails,
+  coalesce(sum(good) filter (hit and not gone), 0)::bigint good_lost, coalesce(sum(toxic) filter (hit and not gone), 0)::bigint toxic_lost from h group by 1, 2, 3, 4)
+select part, o filter_order, step::int step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) over (partition by part, f))::bigint shapley from r""",
 }
