@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import chunk_documents, edge_text, json_in_answer, node_size, preprocess
 from ..operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
+from ..operators.components import connected_components
 from ..sources.corpus import table
 from ..sources import sinks
 from ..sources.providers import OfflineProvider
+from ..storage import stage_table
 from .pipeline import run_metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -332,109 +334,48 @@ def cluster_centered_pca(spark, d):
 
 
 @query(
-    """with e as (select distinct c_name, n_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey), s as (select n_name, count(*) size, least(min(c_name), n_name) head from e group by 1),
-r as (select n_name, (row_number() over (order by size desc, head) - 1)::int community from s) select c_name node, community from e join r using (n_name) union all select n_name, community from r"""
+    """with s as (select n_name, count(*) size, least(min(c_name), n_name) head from customer join nation on c_nationkey = n_nationkey group by 1),
+r as (select n_name, (row_number() over (order by size desc, head) - 1)::int community from s) select c_name node, community from customer join nation on c_nationkey = n_nationkey join r using (n_name) union all select n_name, community from r"""
 )
 def communities_detected(spark, d):
-    """A customer has one nation, so the best communities are the nations with their customers; SQL numbers these."""
-    return community.detect_communities(graph.edges(rel(spark, d)))
-
-
-CHUNKS = r"""w as (select doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') ws from documents),
-k as (select doc_id, ws, unnest(generate_series(0, greatest(0, ceil((len(ws) - 200) / 150.0)::bigint))) chunk_idx from w where len(ws) > 0),
-chunks as (select doc_id, chunk_idx::int chunk_idx, array_to_string(ws[chunk_idx * 150 + 1 : chunk_idx * 150 + 200], ' ') chunk from k)"""
-
-
-@query(
-    f"""with {CHUNKS}, s as (select doc_id, chunk_idx, unnest(string_split(chunk, '.')) sentence, generate_subscripts(string_split(chunk, '.'), 1) i from chunks),
-t as (select doc_id, chunk_idx, i, list_filter(string_split_regex(sentence, '\\s+'), lambda x: x <> '') w from s)
-select doc_id, chunk_idx, (row_number() over (partition by doc_id, chunk_idx order by i) - 1)::int elem_idx, w[1] subject, w[2] predicate, w[len(w)] object, 'Other' theme_association from t where len(w) >= 3"""
-)
-def registry_extract(spark, d):
-    """Triples of chunks, each chunk asked about with the entities before it."""
-    t = model_calls.extract_triples(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider())
-    return t.select("ord.*", "subject", "predicate", "object", "theme_association")
-
-
-@query(f"with {CHUNKS} select doc_id, chunk_idx, 0 elem_idx, regexp_extract(chunk, '[\\p{{L}}\\p{{N}}_]{{4,}}') title, length(chunk) characters, 'first long word' reasoning from chunks where regexp_matches(chunk, '[\\p{{L}}\\p{{N}}_]{{4,}}')")
-def theme_discovery(spark, d):
-    t = model_calls.discover_themes(chunk_documents(table(spark, d, "documents"), 200, 50), OfflineProvider())
-    return t.select("ord.*", "title", F.length("description").alias("characters"), "reasoning")
-
-
-class Shouting(OfflineProvider):
-    """Normalizes strings of an even length to upper case and says nothing of others."""
-
-    def normalize(self, tokens: list[str], domain: str) -> dict:
-        return {"tokens": [{"original": t, "normalized": t.upper()} for t in tokens if len(t) % 2 == 0]}
-
-
-@query(f"with {PART}, items as (select 'subject' role, subject item from part_t union select 'predicate', predicate from part_t union select 'object', object from part_t) select role, item original, case when length(item) % 2 = 0 then upper(item) else item end normalized from items")
-def token_normalization(spark, d):
-    return model_calls.normalize_tokens(triples.role_items(part(spark, d)), Shouting(), "parts").select("role", "original", "normalized")
-
-
-@query(
-    f"""with {PART}, c as (select ord, {CLEAN.format('subject')} s, {CLEAN.format('predicate')} p, {CLEAN.format('object')} o, subject raw_subject, object raw_object from part_t)
-select ord, case when length(s) % 2 = 0 then upper(s) else s end subject, case when length(p) % 2 = 0 then upper(p) else p end predicate, case when length(o) % 2 = 0 then upper(o) else o end object, raw_subject, raw_object from c"""
-)
-def normalize_with_mapping(spark, d):
-    """Preprocessed strings, then the model's mapping of them."""
-    t = part(spark, d)
-    mapping = model_calls.normalize_tokens(triples.role_items(normalize.normalize_triples(t)), Shouting(), "parts")
-    return normalize.normalize_triples(t, mapping).select("ord", "subject", "predicate", "object", "raw_subject", "raw_object")
-
-
-class Odd(OfflineProvider):
-    """Won't have one name for an odd number of members, and names even ones by their number."""
-
-    def validate(self, members: list[str], domain: str) -> dict:
-        return {"accuracy_destroyed": len(members) % 2 == 1, "condition_detected": "odd"}
-
-    def lift(self, members: list[str], domain: str, center: str) -> dict:
-        return {"members_verified": len(members) % 2 == 0, "formal_hypernym": f"one of {len(members)}"}
-
-
-@query(
-    """with i as (select distinct p_brand role, p_size, p_type item from part), c as (select role, dense_rank() over (partition by role order by p_size) c, row_number() over (partition by role, p_size order by item) - 1 i, count(*) over (partition by role, p_size) n, item from i),
-s as (select *, case when n > 1 and n % 2 = 1 then i else 0 end h from c)
-select role, (dense_rank() over (partition by role order by c, h) - 1)::int cluster_id, (row_number() over (partition by role, c, h order by i) - 1)::int item_idx, item from s"""
-)
-def cluster_validation(spark, d):
-    """Each brand's types clustered by size, odd clusters refused."""
-    items = table(spark, d, "part").select(F.col("p_brand").alias("role"), "p_size", F.col("p_type").alias("item")).distinct()
-    by = Window.partitionBy("role")
-    c = items.select("role", (F.dense_rank().over(by.orderBy("p_size")) - 1).alias("cluster_id"), (F.row_number().over(Window.partitionBy("role", "p_size").orderBy("item")) - 1).alias("item_idx"), "item")
-    return model_calls.validate_clusters(c, Odd(), "parts")
+    """Customers with their nation, weight 50, and with the customer of the order after theirs, weight 1. The graph is connected; the best communities are the nations with their customers, which SQL numbers."""
+    o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
+    home = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_name").alias("src"), F.col("n_name").alias("dst"), F.lit(50.0).alias("weight"))
+    by = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_name").alias("src"))
+    after = by.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("src").alias("dst"))
+    mixed = by.join(after, "o_orderkey").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return community.detect_communities(home.unionByName(mixed))
 
 
 @query(
-    """with x as (select label, vec_id, unnest(embedding::double[]) v, generate_subscripts(embedding, 1) i from embeddings), m as (select label, i, avg(v) m from x group by 1, 2),
-s as (select x.label, vec_id, round(1 - sum(v * m) / (sqrt(sum(v * v)) * sqrt(sum(m * m))), 12) dist from x join m using (label, i) group by 1, 2),
-c as (select label, count(*) n, arg_min(vec_id, (dist, vec_id)) center from s group by 1)
-select 'vector' as role, e.vec_id::varchar member, case when n > 1 and n % 2 = 0 then 'one of ' || n else c.center::varchar end label from embeddings e join c using (label)"""
+    """with e as (select o_custkey c, l_partkey p, count(*) w from lineitem join orders on l_orderkey = o_orderkey group by 1, 2)
+select count(distinct c) + count(distinct p) nodes, count(*) edges, sum(w)::double weight, true placed, true connected, true settled, true better from e"""
 )
-def hypernym_mapping(spark, d):
-    """Vectors clustered by label: the model's term where it verifies the members, else the central one."""
-    e = table(spark, d, "embeddings").select(F.lit("vector").alias("role"), F.col("label").cast("int").alias("cluster_id"), F.col("vec_id").cast("int").alias("item_idx"), F.col("vec_id").cast("string").alias("item"), F.col("embedding").cast("array<double>").alias("v"))
-    return model_calls.taxonomic_lift(e.drop("v"), e, Odd(), "vectors")
-
-
-TREE = f"{REL}, {EDGES}, {GIVEN}, n as (select community, count(*) n, string_agg(node, '|' order by node) nodes, min(node) first from given group by 1 having count(*) >= 4), f as (select subject src, object dst, min(ord) o, arg_min(predicate, ord) p from rel group by 1, 2), l as (select a.community, count(*) m, string_agg(e.src || ' ' || f.p || ' ' || e.dst || ' ' || e.weight::bigint, '|' order by f.o) edges from edges e join f using (src, dst) join given a on a.node = e.src join given b on b.node = e.dst where a.community = b.community group by 1)"
-
-
-@query(f"with {TREE} select community, nodes, edges from n left join l using (community)")
-def community_hierarchy(spark, d):
-    tree = graph.hierarchy(graph.edges(rel(spark, d)), _given(spark, d), 4)
-    line = lambda e: F.concat_ws(" ", e["source"], e["predicate"], e["target"], e["weight"].cast("long").cast("string"))
-    return tree.select("community", F.array_join("nodes", "|").alias("nodes"), F.array_join(F.transform("edges", line), "|").alias("edges"))
-
-
-@query(f"with {TREE} select community, 'Schema of ' || first title, n || ' entities, ' || coalesce(m, 0) || ' relations in trade' summary, 'trade' core_theme, coalesce(m, 0)::int learnings from n left join l using (community)")
-def schema_synthesis(spark, d):
-    e = graph.edges(rel(spark, d))
-    s = model_calls.synthesize_schemas(graph.hierarchy(e, _given(spark, d), 4), OfflineProvider(), "trade")
-    return s.select("community", "title", "summary", "core_theme", F.size("key_learnings").alias("learnings"))
+def communities_objective(spark, d):
+    """Communities of customers and the parts that they order, held to what any good partition fulfils: each node has one community, communities are connected, no node gains by a move, and the objective is above that of the parts of five brands with the customers that order most of these."""
+    line, o, p = table(spark, d, "lineitem"), table(spark, d, "orders"), table(spark, d, "part")
+    bought = line.join(o, line.l_orderkey == o.o_orderkey).select(F.concat(F.lit("c"), "o_custkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"), "l_partkey")
+    edges = stage_table(bought.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")), "bought")
+    found = stage_table(community.detect_communities(edges), "found")
+    brand = p.select(F.concat(F.lit("p"), "p_partkey").alias("node"), F.expr("cast(substr(p_brand, 7, 1) as int)").alias("community"))
+    most = edges.join(brand.withColumnRenamed("node", "dst"), "dst").groupBy("src", "community").agg(F.sum("weight").alias("w"))
+    most = most.groupBy(F.col("src").alias("node")).agg(F.max_by("community", F.struct("w", "community")).alias("community"))
+    plain = brand.unionByName(most)
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    same = lambda name, end: found.select(F.col("node").alias(end), F.col("community").alias(name))
+    inner = edges.join(same("a", "src"), "src").join(same("b", "dst"), "dst").where("a = b").select(F.col("src").alias("u"), F.col("dst").alias("v"))
+    roots = found.join(connected_components(inner), "node", "left").groupBy("community").agg(F.count_distinct(F.coalesce("root", "node")).alias("parts"))
+    objective = lambda name, partition: graph.modularity(edges, partition).select(F.col("objective").alias(name))
+    rows = edges.agg(F.count(F.lit(1)).alias("edges"), F.sum("weight").alias("weight"))
+    for one in (
+        nodes.join(found, "node", "left").agg(F.count(F.lit(1)).alias("nodes"), F.count("community").alias("placed")),
+        roots.agg((F.max("parts") == 1).alias("connected")),
+        graph.best_move(edges, found).select((F.coalesce("gain", F.lit(0.0)) < 1e-6).alias("settled")),
+        objective("q", found),
+        objective("plain", plain),
+    ):
+        rows = rows.crossJoin(F.broadcast(one))
+    return rows.select("nodes", "edges", "weight", (F.col("placed") == F.col("nodes")).alias("placed"), "connected", "settled", (F.col("q") > F.col("plain")).alias("better"))
 
 
 @query(f"with {PART}, {MEMBERS}, g as (select distinct subject, object from part_t where subject <> '' and object <> '') select (select count(*) from (select subject from g union select object from g)) nodes, (select count(*) from g) edges, count(distinct entity) entities, count(distinct theme) themes, count(*) memberships from members")

@@ -53,4 +53,16 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = f"{own_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._stage_path = path
+    return table
+
+
+def drop_tables(*tables: DataFrame | None) -> None:
+    """Remove tables of stage_table that nothing reads any more, so that loops don't fill the shared folder. Other frames are left alone."""
+    for table in tables:
+        name = getattr(table, "_stage_path", None)
+        if name is not None:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
