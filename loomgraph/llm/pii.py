@@ -302,19 +302,14 @@ def name_end(s: str) -> int:
     return stop + word.end() if stop and word else len(s)
 
 
-MOST_LONGER = 64
-
-
-def widened(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
-    """A found span on whole numbers or names, without signs at its ends but for an opening parenthesis or plus. No plausible span is MOST_LONGER off."""
-    if kind == "email":
-        joined, low, high = LOCAL.__contains__, max(0, a - MOST_LONGER), min(len(text), b + MOST_LONGER)
-    else:
-        joined, low, high = "0123456789".__contains__, max(0, a - MOST_LONGER), min(len(text), b + MOST_LONGER)
-    while a > low and joined(text[a - 1]) and joined(text[a]):
+def widened(text: str, kind: str, a: int, b: int) -> tuple[int, int, int]:
+    """A found span on whole numbers or names, however long, without signs at its ends but for an opening parenthesis or plus; and where what it was widened to ends."""
+    joined = (LOCAL if kind == "email" else "0123456789").__contains__
+    while a and joined(text[a - 1]) and joined(text[a]):
         a -= 1
-    while b < high and joined(text[b]) and joined(text[b - 1]):
+    while b < len(text) and joined(text[b]) and joined(text[b - 1]):
         b += 1
+    reach = b
     while a < b and not (text[a].isalnum() or text[a] in "(+"):
         a += 1
     while b > a and not text[b - 1].isalnum():
@@ -326,7 +321,7 @@ def widened(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
         b = a + name_end(text[a:b])
         while b > a and not text[b - 1].isalnum():
             b -= 1
-    return a, b
+    return a, b, reach
 
 
 def read_off(tags: np.ndarray) -> list[Span]:
@@ -382,9 +377,11 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
         taken = sorted((a, b) for _, a, b in known)
         starts = [a for a, _ in taken]
         furthest = list(accumulate((b for _, b in taken), max))
-        end = 0
+        end, seen = 0, dict.fromkeys(KINDS, 0)
         for kind, a, b in read_off(tags):
-            a, b = widened(text, kind, a, b)
+            if a < seen[kind]:  # it would be widened to what was looked at already
+                continue
+            a, b, seen[kind] = widened(text, kind, a, b)
             if a >= max(b, end) or a < end or not plausible(kind, text[a:b]):
                 continue
             before = bisect_left(starts, b)

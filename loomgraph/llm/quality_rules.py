@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import hash_sample, shared_table
 from .docstats import COUNTS, FEATURES, document_stats, feature_matrix
@@ -106,13 +107,14 @@ def base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """docs(doc_id, text, ...), labels(doc_id, quality, ...) -> doc_id, COUNTS, base_failed, score, kept; a row per row.
 
-    The trees learn from at most train_rows labelled rows, those with the smallest hash
-    of doc_id, none of a held-out document. Without rows of both classes the method
-    keeps everything. Null, empty and blank texts have counts of 0 and fail the base
-    rules.
+    The trees learn from at most train_rows labelled documents, those with the smallest
+    hash of doc_id, none held out; of several rows of a doc_id from the least. Without
+    rows of both classes the method keeps everything. Null, empty and blank texts have
+    counts of 0 and fail the base rules.
     """
     stats = shared_table(document_stats(docs), "stats")
-    sample = hash_sample(labelled(stats, labels, "quality"), "doc_id", train_rows).select("features", "label").toArrow().combine_chunks()
+    known = labelled(stats, labels, "quality").groupBy("doc_id").agg(F.min(F.struct("features", "label")).alias("s")).select("doc_id", "s.*")
+    sample = hash_sample(known, "doc_id", train_rows).select("features", "label").toArrow().combine_chunks()
     x, y = feature_matrix(sample["features"].combine_chunks()), sample["label"].to_numpy().astype(np.float64)
     model = Trees().fit(x, y) if 0 < y.sum() < len(y) else None
 

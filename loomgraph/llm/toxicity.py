@@ -23,6 +23,7 @@ with inserted characters. Every bound on training is a parameter of `Bounds`.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +40,7 @@ DECAY = 0.5
 SPAN = 8
 WIDTH, STRIDE = 24, 8
 WORDS = 2
-BLOCK, OVERLAP = 1 << 20, 256
+BLOCK, MOST, OVERLAP = 1 << 20, 1 << 23, 256
 LETTERS = 34
 BETWEEN, GAP = 31, 33
 
@@ -116,7 +117,7 @@ def spelled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of 1 to WORDS words, with what stands before and after them; of a word longer than WIDTH overlapping stretches that cover all of it. No run leaves its sentence."""
+    """Starts and ends of the runs of 1 to WORDS words, with what stands before and after them. Of a run longer than WIDTH, overlapping stretches that cover all of a word, or with several words all about the first gap between them. No run leaves its sentence."""
     gap = np.flatnonzero(codes == BETWEEN)
     first, last = [], []
     for n in range(1, WORDS + 1):
@@ -125,14 +126,15 @@ def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for i in range(1, n):
             inside &= codes[np.minimum(gap[i : len(gap) - n + i] + 1, len(codes) - 1)] != GAP
         a, b = a[inside & (b - a >= 3)], b[inside & (b - a >= 3)]
-        if n > 1:
-            a, b = a[b - a <= WIDTH], b[b - a <= WIDTH]
-        else:
-            pieces = np.maximum(1, -(-(b - a - WIDTH) // STRIDE) + 1)
-            place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            a, b = np.repeat(a, pieces), np.repeat(b, pieces)
-            a = np.where(b - a > WIDTH, np.minimum(a + STRIDE * place, b - WIDTH), a)
-            b = np.minimum(a + WIDTH, b)
+        pieces = np.maximum(1, -(-(b - a - WIDTH) // STRIDE) + 1)
+        place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        middle = np.repeat(gap[1 : len(gap) - n + 1][inside & (gap[n:] + 1 - gap[:-n] >= 3)], pieces) if n > 1 else None
+        a, b = np.repeat(a, pieces), np.repeat(b, pieces)
+        a = np.where(b - a > WIDTH, np.minimum(a + STRIDE * place, b - WIDTH), a)
+        b = np.minimum(a + WIDTH, b)
+        if n > 1:  # stretches of one word alone are there already
+            both = (a + 1 < middle) & (middle < b - 2)
+            a, b = a[both], b[both]
         first.append(a)
         last.append(b)
     return np.concatenate(first), np.concatenate(last)
@@ -196,6 +198,49 @@ def kernel(pieces: list[np.ndarray], base: np.ndarray) -> np.ndarray:
     return out
 
 
+_ENDS = re.compile(r"[.!?](?=\s)")
+_WORDS = re.compile(r"[^\W_]{2}\s+(?=[^\W_]{2})")
+
+
+def pieces_of(text: str) -> Iterator[str]:
+    """A long text in blocks with the runs of the whole: cut after a sentence, or else between two words of several letters, and the next block starts with the last word again. In a word longer than MOST blocks overlap by OVERLAP characters, which stretches of a word don't reach over."""
+    at = 0
+    while len(text) - at > BLOCK:
+        cut = next((m.end() for m in _last(_ENDS, text, at, at + BLOCK)), None)
+        if cut is not None:
+            yield text[at:cut]
+            at = cut
+            continue
+        m = _WORDS.search(text, at + BLOCK, at + BLOCK + MOST)
+        if m is None:
+            cut = min(at + BLOCK + MOST, len(text))
+            yield text[at:cut]
+            at = cut - OVERLAP if cut < len(text) else cut
+            continue
+        word = m.start() + 1
+        while word > at and not text[word - 1].isspace():
+            word -= 1
+        yield text[at : m.end()]
+        at = word if word > at else m.start() + 2 - OVERLAP
+    if at < len(text):
+        yield text[at:]
+
+
+def _last(pattern: re.Pattern, text: str, low: int, high: int) -> Iterator[re.Match]:
+    """The last match in the stretch, looked for from its end on."""
+    size = 4_096
+    while True:
+        start = max(low, high - size)
+        found = None
+        for found in pattern.finditer(text, start, high):
+            pass
+        if found is not None:
+            yield found
+        if found is not None or start == low:
+            return
+        size *= 8
+
+
 class Machine:
     """table: the folded landmarks; bias; slope and shift turn a document's value into a probability."""
 
@@ -227,8 +272,7 @@ class Machine:
                 np.maximum.at(seen, np.array(own)[owner[last - 1]], self.run_values(codes, first, last))
 
         for i, text in enumerate(texts):
-            for at in range(0, len(text or ""), BLOCK):
-                piece = text[max(0, at - OVERLAP) : at + BLOCK]
+            for piece in pieces_of(text or ""):
                 block.append(piece)
                 own.append(i)
                 size += len(piece)
@@ -266,9 +310,11 @@ def _variants(run: np.ndarray) -> list[np.ndarray]:
     out = []
     for between in (gap, np.full(len(inner), ord("x") - ord("a"), dtype=np.uint8)):
         mixed = np.stack([inner, between], axis=1).ravel()[:-1]
-        out.append(np.concatenate([run[:1], mixed, run[-1:]])[:WIDTH])
+        out.append(np.concatenate([run[:1], mixed, run[-1:]]))
     half = len(run) // 2
-    return [*out, np.concatenate([run[:half], gap[:1], run[half:]])[:WIDTH]]
+    out.append(np.concatenate([run[:half], gap[:1], run[half:]]))
+    # Of a long one, its beginning and its end, which overlap or touch.
+    return [v for w in out for v in ([w] if len(w) <= WIDTH else [w[:WIDTH], w[-WIDTH:]])]
 
 
 def _platt(worst: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -362,8 +408,9 @@ def train(docs: list[tuple[int, str]], bounds: Bounds = Bounds()) -> Machine | N
         base = embed([rows.piece(k) for k in [*positive[:half], *others]])
         val, vec = np.linalg.eigh(base.T @ base + 1e-4 * np.eye(base.shape[1]))
         root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-6))) @ vec.T
-        extra = [v for k in positive[: bounds.variants] for v in _variants(rows.piece(k))]
-        weight = np.concatenate([count, np.repeat(count[: bounds.variants] / 3, 3)])
+        varied = [_variants(rows.piece(k)) for k in positive[: bounds.variants]]
+        extra = [v for some in varied for v in some]
+        weight = np.concatenate([count, *(np.full(len(some), c / len(some)) for some, c in zip(varied, count))])
         x = kernel([*(rows.piece(k) for k in positive), *extra, *(rows.piece(k) for k in negative)], base) @ root
         y = np.concatenate([np.ones(len(weight)), -np.ones(len(negative))])
         against = np.minimum(1 + np.log2(np.maximum(in_clean[negative], 1)), 6.0) * np.where(np.isin(negative, tough), 3, 1)
@@ -383,8 +430,9 @@ def train(docs: list[tuple[int, str]], bounds: Bounds = Bounds()) -> Machine | N
 
 
 def training_docs(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds()) -> list[tuple[int, str]]:
-    """(label, text) of labelled documents, none held out, within the bounds: those with the smallest hash of doc_id. Of a doc_id with several texts the least counts; labels other than 0 and 1 are left out, of several the largest counts. The list of ids that is joined has the bound's size."""
+    """(label, text) of labelled documents, none held out, within the bounds: those with the smallest hash of doc_id. Of a doc_id with several texts the least counts; labels other than 0 and 1 are left out, of several the largest counts. Labels without such a document don't count. The list of ids that is joined has the bound's size."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known.join(docs.where(F.length("text").between(1, bounds.doc_chars)).select("doc_id").distinct(), "doc_id", "left_semi")
     dice = F.xxhash64(F.col("doc_id").cast("string"))
     half = [known.where(f"toxic = {y}").orderBy(dice, "doc_id").limit(bounds.docs // 2) for y in (0, 1)]
     some = half[0].unionByName(half[1])

@@ -165,13 +165,20 @@ def brute_runs(text):
         words = sentence.split()
         for i in range(len(words)):
             for n in (1, 2):
-                if i + n <= len(words) and len(run := " ".join(words[i : i + n])) <= toxicity.WIDTH - 2:
+                run = " ".join(words[i : i + n])
+                if i + n > len(words):
+                    continue
+                if len(run) <= toxicity.WIDTH - 2:
                     out.append(run)
+                elif n == 2:  # stretches about the gap, with what stands before and after
+                    full, gap = f" {run} ", len(words[i]) + 1
+                    starts = [*range(0, len(full) - toxicity.WIDTH, toxicity.STRIDE), len(full) - toxicity.WIDTH]
+                    out += [full[a : a + toxicity.WIDTH][1:-1] for a in starts if a + 1 < gap < a + toxicity.WIDTH - 2]
     return out
 
 
 def test_runs_stay_in_their_sentences():
-    texts = ["You are one. Empty head! yes", "", "x", "...", "aa bb? cc", " \n "]
+    texts = ["You are one. Empty head! yes", "", "x", "...", "aa bb? cc", " \n ", "thirteenlettrs andfourteenmore yes. abcdefghijk lmnopqrstuv wx"]
     codes, owner = toxicity.spelled(texts)
     first, last = toxicity.runs(codes)
     got = sorted((int(owner[b - 1]), "".join(chr(97 + c) if c < 26 else " " for c in codes[a + 1 : b - 1])) for a, b in zip(first, last))
@@ -200,6 +207,86 @@ def test_values_against_landmarks_and_sentences():
         toxicity.BLOCK = kept
 
 
+@pytest.mark.parametrize("shift", [0, 4, 5, 9, 12, 40])
+@pytest.mark.parametrize("ends", [" ", ". ", "  a b c d  "])
+def test_blocks_of_the_real_size_start_at_words(shift, ends):
+    """The value of a long text is that of its words, wherever a block ends: inside a word with an insult at its end, or between two."""
+    machine = toxicity.train([(r[3], r[1]) for r in made_documents(300)])
+    filler = "the ou sting reor an" + ends
+    for tail in ("thereoringnitwit an ing", "reor nit wit", "nitwit", "ing"):
+        head = (filler * (toxicity.BLOCK // len(filler) + 1))[: toxicity.BLOCK - toxicity.OVERLAP - 200] + " an " + "o" * shift + " reor "
+        for text in (head + tail, head + "ou sting " * 40 + tail + " " + filler * 2000):
+            pieces = list(toxicity.pieces_of(text))
+            assert machine.values([text])[0] == pytest.approx(machine.run_values(*_whole(text)).max(), abs=1e-5)
+            assert all(len(p) < toxicity.BLOCK + toxicity.MOST for p in pieces)
+
+
+def _whole(text):
+    codes, _ = toxicity.spelled([text])
+    return codes, *toxicity.runs(codes)
+
+
+def test_blocks_without_spaces_or_with_single_letters():
+    machine = toxicity.train([(r[3], r[1]) for r in made_documents(300)])
+    kept = toxicity.BLOCK, toxicity.MOST
+    try:
+        toxicity.BLOCK, toxicity.MOST = 3_000, 4_000
+        for text in ("x" * 20_000 + "nitwit", "ab " + "y" * 9_000 + " nitwit ou " + "z" * 9_000, "a b c " * 4_000 + " nit wit"):
+            assert "".join(p[-1:] for p in toxicity.pieces_of(text))
+            assert machine.values([text])[0] == pytest.approx(machine.run_values(*_whole(text)).max(), abs=1e-4)
+    finally:
+        toxicity.BLOCK, toxicity.MOST = kept
+
+
+def test_long_pairs_and_variants_are_whole():
+    """Two long words are toxic side by side only."""
+    rng = random.Random(6)
+    syllables = ["the", "an", "re", "ing", "ou", "st", "ed", "or", "al", "si"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    rows = []
+    for i in range(400):
+        words = [word() for _ in range(80)]
+        at = rng.randrange(10, 60)
+        if i % 3 == 0:
+            words[at : at + 2] = ["quarrelsomest", "porcupinelike"]
+        else:
+            words[at], words[at + 7] = "quarrelsomest", "porcupinelike"
+        rows.append((int(i % 3 == 0), " ".join(words)))
+    machine = toxicity.train(rows[:300])
+    p = machine.probability(machine.values([t for _, t in rows[300:]]))
+    truth = np.array([y for y, _ in rows[300:]])
+    assert ((p >= 0.5) == truth).mean() > 0.9
+    long = codes_of("numskullandblock")
+    made = toxicity._variants(long)
+    assert all(len(v) <= toxicity.WIDTH for v in made) and len(made) > 3
+    assert made[1][-2] == long[-2]
+
+
+def test_samples_are_of_documents_that_are_there(spark):
+    """Labels of ids without a document, and many rows of one id, take no place in the sample."""
+    rows = made_documents(300)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], r[3]) for r in rows], "doc_id long, quality int, toxic int")
+    more = labels.unionByName(spark.range(1_000, 40_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")))
+    bounds = toxicity.Bounds(docs=200)
+    got = toxicity.training_docs(docs, more, bounds)
+    assert len(got) > 120 and got == toxicity.training_docs(docs, labels, bounds)
+    many = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(2_000)).drop("id"))
+    one, two = (quality_rules.quality_rules(many, labels, train_rows=150).where("doc_id < 300").distinct().collect() for _ in range(2))
+    assert sorted(one) == sorted(two)
+    assert sorted(one) == sorted(quality_rules.quality_rules(docs, labels, train_rows=150).collect())
+
+
+def test_found_spans_are_widened_however_long():
+    text = "mail " + "x" * 500 + "@example.org, or call " + "7" * 300 + " now"
+    at = text.index("@")
+    a, b, _ = pii.widened(text, "email", at - 3, at + 4)
+    assert text[a:b] == "x" * 500 + "@example.org"
+    seven = text.index("7")
+    a, b, reach = pii.widened(text, "card", seven + 290, seven + 295)
+    assert (a, b, reach) == (seven, seven + 300, seven + 300)
+
+
 def test_inserted_characters_and_gaps():
     rows = made_documents(400)
     machine = toxicity.train([(r[3], r[1]) for r in rows])
