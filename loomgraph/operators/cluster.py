@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.text import order_key
 from ..storage import stage_table
 from .components import connected_components
-from .embedding import choose_by_rows, close_pairs, project, spectra, spectrum, weighted_moments
+from .embedding import choose_by_rows, project, spectra, spectrum, weighted_moments
 from .hypergraph import indexed
+from .metric_tree import close_pairs
 
 MOST_ITEMS = 6_000
 

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from ..storage import stage_table
 
 DIMENSIONS = 64
-BLOCK = 2048
-MOST_PIVOTS = 1024
 
 
 def encode_strings(strings: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -122,92 +120,6 @@ def spectra(moments: dict[str, tuple[float, np.ndarray, np.ndarray]]) -> list[tu
     return [(role, k, float(v)) for role, m in moments.items() for k, v in enumerate(spectrum(*m)[1], 1)]
 
 
-def _pivots(points: DataFrame, by: str, key: str) -> dict[object, np.ndarray]:
-    """Unit vectors of at most MOST_PIVOTS rows, those with the smallest hash of key, dealt evenly to the eight largest values of `by`, if they have more than a block of rows. Other values have no pivots, and all pairs of their blocks are formed."""
-    large = points.groupBy(by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).orderBy(F.desc("n"), by).limit(8).collect()
-    found = {}
-    for r in large:
-        most = min(MOST_PIVOTS // len(large), 2 * -(-r["n"] // BLOCK))
-        rows = points.where(F.col(by).eqNullSafe(F.lit(r[by]))).orderBy(F.xxhash64(key), key).select("v").limit(most).collect()
-        x = np.array([v["v"] for v in rows], dtype=np.float64)
-        norm = np.linalg.norm(x, axis=1)
-        x = np.unique(x[norm > 0] / norm[norm > 0, None], axis=0)
-        if len(x):
-            found[r[by]] = x
-    return found
-
-
-def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str = "item") -> DataFrame:
-    """points(by, key, v) -> by, a, b (a < b), distance for the pairs with cosine distance below the threshold. Zero vectors pair with none.
-
-    Rows fall into cells by the nearest of a bounded number of pivots, and cells into
-    blocks of bounded size; each pair of blocks is one matrix product in one task, and
-    only close pairs leave it. A row goes to the blocks of another cell only if it can
-    be close to one of that cell: angles obey the triangle inequality, so a row whose
-    angle to a cell's pivot exceeds the cell's radius by more than the threshold's
-    angle is far from all of it. This leaves out no pair.
-    """
-    spread = float(np.arccos(np.clip(1 - threshold, -1, 1))) + 1e-6
-    pivots = _pivots(points, by, key)
-    kinds = dict(points.dtypes)
-    cells = f"{by} {kinds[by]}, {key} {kinds[key]}, v array<double>, cell int, angle double"
-
-    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.reset_index(drop=True)
-            norm = np.array([np.linalg.norm(v) for v in b["v"]])  # lengths may differ between values of `by`
-            cell, angle = np.zeros(len(b), dtype=np.int32), np.zeros(len(b))
-            for value, some in pivots.items():
-                mine = np.flatnonzero((b[by] == value).to_numpy() & (norm > 0))
-                if len(mine):
-                    x = np.array(b["v"].iloc[mine].tolist(), dtype=np.float64) / norm[mine, None]
-                    to = np.arccos(np.clip(x @ some.T, -1, 1))
-                    cell[mine], angle[mine] = to.argmin(axis=1), to.min(axis=1)
-            yield b.assign(cell=cell, angle=angle)[norm > 0]
-
-    rows = stage_table(points.select(by, key, "v").mapInPandas(locate, cells), "cells")
-    shape = rows.groupBy(by, "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("angle").alias("radius"))
-    # Where there are pivots, their cells are as few; other values of `by` have one cell, which needs no list.
-    wide = {value: shape.where(F.col(by).eqNullSafe(F.lit(value))).orderBy("cell").collect() for value in pivots}
-    start = {value: dict(zip((r["cell"] for r in found), np.cumsum([0, *(r["blocks"] for r in found)]).tolist())) for value, found in wide.items()}
-    rows = rows.join(shape.select(by, "cell", "blocks"), [by, "cell"]).withColumn("at", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.reset_index(drop=True)
-            own = b["at"].to_numpy().copy()
-            others = [list(range(n)) for n in b["blocks"]]
-            for value, found in wide.items():
-                mine = np.flatnonzero((b[by] == value).to_numpy())
-                if not len(mine):
-                    continue
-                own[mine] += np.array([start[value][c] for c in b["cell"].to_numpy()[mine]])
-                x = np.array(b["v"].iloc[mine].tolist(), dtype=np.float64)
-                to = np.arccos(np.clip(x / np.linalg.norm(x, axis=1, keepdims=True) @ pivots[value].T, -1, 1))
-                near = np.stack([to[:, r["cell"]] <= r["radius"] + spread for r in found], axis=1)
-                spots = [np.arange(start[value][r["cell"]], start[value][r["cell"]] + r["blocks"]) for r in found]
-                for i, row in zip(mine, near):
-                    others[i] = np.concatenate([spots[k] for k in np.flatnonzero(row)]).tolist()
-            yield b[[by, key, "v"]].assign(c=own.astype(np.int32), o=others)
-
-    rows = rows.mapInPandas(deal, f"{by} {kinds[by]}, {key} {kinds[key]}, v array<double>, c int, o array<int>")
-    rows = rows.withColumn("o", F.explode("o")).withColumns({"lo": F.least("c", "o"), "hi": F.greatest("c", "o")})
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(key, kind="stable")
-        x = np.array(p["v"].tolist(), dtype=np.float64)
-        x, c, k = x / np.linalg.norm(x, axis=1, keepdims=True), p["c"].to_numpy(), p[key].to_numpy()
-        d = 1 - x @ x.T
-        near = np.triu(d < threshold, 1)
-        if p["lo"].iloc[0] != p["hi"].iloc[0]:
-            near &= c[:, None] != c[None, :]
-        i, j = np.nonzero(near)
-        out = pd.DataFrame({by: [p[by].iloc[0]] * len(i), "a": k[i], "b": k[j], "distance": d[i, j]})
-        return out if len(out) else p[[by, key, key]].iloc[:0].set_axis([by, "a", "b"], axis=1).assign(distance=pd.Series(dtype="float64"))
-
-    return rows.select(by, key, "v", "c", "lo", "hi").groupBy(by, "lo", "hi").applyInPandas(run, f"{by} {kinds[by]}, a {kinds[key]}, b {kinds[key]}, distance double")
-
-
 def centroids(members: DataFrame, group: str = "cluster_id", key: str = "item") -> DataFrame:
     """members(group, item_idx, key, v) -> group, center: the member nearest by cosine to the mean of the members' vectors; distances are rounded to 12 digits, then the first member wins."""
     flat = members.select(group, "item_idx", F.posexplode("v").alias("i", "x"))

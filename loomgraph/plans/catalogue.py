@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import chunk_documents, edge_text, json_in_answer, node_size, preprocess
-from ..operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
+from ..operators import cluster, community, embedding, graph, hypergraph, metric_tree, model_calls, normalize, themes, triples
 from ..operators.components import connected_components
 from ..sources.corpus import table
 from ..sources import sinks
@@ -258,7 +258,7 @@ def modularity_given_partition(spark, d):
 @query("select a.vec_id a, b.vec_id b, round(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) distance from embeddings a join embeddings b on a.vec_id < b.vec_id where 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) < 0.65")
 def cosine_pairs_below(spark, d):
     p = table(spark, d, "embeddings").select(F.lit("all").alias("role"), "vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    return embedding.close_pairs(p, 0.65, "role", "vec_id").select("a", "b", F.round("distance", 4).alias("distance"))
+    return metric_tree.close_pairs(p, 0.65, "role", "vec_id").select("a", "b", F.round("distance", 4).alias("distance"))
 
 
 @query(

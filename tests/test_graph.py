@@ -6,7 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from loomgraph.operators import cluster, community, embedding, graph, hypergraph, model_calls, normalize, themes, triples
+from loomgraph.operators import cluster, community, embedding, graph, hypergraph, metric_tree, model_calls, normalize, themes, triples
 from loomgraph.operators.components import connected_components
 from loomgraph.config import Config
 from loomgraph.sources.providers import HttpProvider, PredictProvider, ask, make_provider, predict_url, OfflineProvider, answer_json, call
@@ -172,19 +172,41 @@ def test_average_linkage_against_naive():
 
 
 def test_close_pairs_lose_nothing(spark, monkeypatch):
-    """Clustered and scattered vectors in many small blocks: the pairs of a plain product, and few rows dealt."""
-    monkeypatch.setattr(embedding, "BLOCK", 20)
-    rng = np.random.default_rng(11)
+    """Small blocks: the tree has several levels, equal vectors that no pivot splits, and a role with one leaf."""
+    monkeypatch.setattr(metric_tree, "BLOCK", 25)
+    monkeypatch.setattr(metric_tree, "FAN", 4)
+    monkeypatch.setattr(metric_tree, "GROUP", 60)
+    rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 6))
-    x = np.concatenate([centres[rng.integers(0, 12, 300)] + 0.1 * rng.normal(size=(300, 6)), rng.normal(size=(60, 6)), np.zeros((3, 6))])
-    p = spark.createDataFrame([("s" if i % 5 else "o", i, v.tolist()) for i, v in enumerate(x)], "role string, item long, v array<double>")
-    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    short = spark.createDataFrame([("p", 1000, [1.0, 0.0]), ("p", 1001, [0.0, 1.0])], p.schema)
-    p = p.union(short)  # vectors of another length, of another role
-    for t in (0.02, 0.3, 0.9):
-        got = sorted((r.a, r.b) for r in embedding.close_pairs(p, t).collect())
-        want = [(i, j) for i in range(360) for j in range(i + 1, 360) if (i % 5 == 0) == (j % 5 == 0) and 1 - unit[i] @ unit[j] < t]
-        assert got == want
+    rows = [("big", f"b{i:03}", (centres[i % 12] + 0.15 * rng.normal(size=6)).tolist()) for i in range(400)]
+    rows += [("big", f"e{i:02}", centres[0].tolist()) for i in range(60)] + [("big", "zero", [0.0] * 6), ("big", "none", None), ("big", "nan", [float("nan")] * 6)]
+    rows += [("small", f"s{i}", rng.normal(size=3).tolist()) for i in range(20)]
+    points = spark.createDataFrame(rows, "role string, item string, v array<double>")
+    levels = []
+    grow = metric_tree._grow
+    monkeypatch.setattr(metric_tree, "_grow", lambda *a: levels.append(found := grow(*a)) or found)
+    for t in (0.1, 1.2):
+        got = sorted((r.role, r.a, r.b, round(r.distance, 9)) for r in metric_tree.close_pairs(points, t).collect())
+        want = []
+        for role in ("big", "small"):
+            some = [(k, np.array(v) / np.linalg.norm(v)) for r, k, v in rows if r == role and v and 0 < np.linalg.norm(v) < 9]
+            want += [(role, min(a, b), max(a, b), round(float(1 - u @ v), 9)) for (a, u), (b, v) in itertools.combinations(some, 2) if 1 - u @ v < t]
+        assert [g[:3] for g in got] == [w[:3] for w in sorted(want)] and np.allclose([g[3] for g in got], [w[3] for w in sorted(want)])
+    assert len(levels[0][1]) >= 2
+
+
+def test_copies_of_a_row_stay_constant(spark, monkeypatch):
+    """Ten times as many clusters of the same density: a row is a guest about as often."""
+    monkeypatch.setattr(metric_tree, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    guests = []
+    for n in (600, 6_000):
+        centres = rng.normal(size=(n // 30, 24))
+        v = centres[np.arange(n) % len(centres)] + 0.1 * rng.normal(size=(n, 24))
+        points = spark.createDataFrame([("r", i, x.tolist()) for i, x in enumerate(v)], "role string, item long, v array<double>")
+        guests.append(metric_tree.near_groups(points, 0.3, "role", "item").where("guest").count() / n)
+    assert guests[1] < guests[0] + 1
+
 
 
 def test_hubs_are_dealt_to_tiles(spark, monkeypatch):
