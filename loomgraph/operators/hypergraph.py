@@ -65,15 +65,31 @@ def theme_overlap(members: DataFrame) -> DataFrame:
     return _pairs(members, "entity", "theme").select(F.col("a").alias("theme_a"), F.col("b").alias("theme_b"), "shared")
 
 
+def containment_candidates(members: DataFrame, threshold: float) -> DataFrame:
+    """(parent, child) pairs of themes, among them all of which the parent holds the threshold of the child's entities.
+
+    With a child's entities from the rarest on, a parent that holds k of s must hold one
+    of the first s - k + 1. So a child is looked up by these alone, and what many themes
+    share brings few together.
+    """
+    size = members.groupBy("theme").agg(F.count(F.lit(1)).alias("size"))
+    rare = members.join(entity_degree(members), "entity").select("theme", "degree", "entity")
+    ranked = indexed(rare, ("theme", "degree", "entity"), "at", by="theme").join(size, "theme")
+    first = ranked.where(F.col("at") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9))
+    pairs = first.select(F.col("theme").alias("child"), "entity").join(members.select(F.col("theme").alias("parent"), "entity"), "entity")
+    return pairs.where("parent <> child").select("parent", "child").distinct()
+
+
 def theme_inheritance(members: DataFrame, threshold: float = 0.80) -> DataFrame:
-    """(parent, child, shared, share) where the parent holds at least threshold of the child's entities."""
+    """(parent, child, shared, share) where the parent holds at least threshold of the child's entities. Only pairs that rare entities bring together are counted, not all that overlap."""
     if threshold <= 0:
         raise ValueError("the threshold must be positive")
-    overlap = theme_overlap(members)
-    size = members.groupBy("theme").agg(F.count(F.lit(1)).alias("size"))
-    pairs = overlap.where("theme_a <> theme_b").select(F.col("theme_a").alias("parent"), F.col("theme_b").alias("child"), "shared")
-    pairs = pairs.join(size.withColumnRenamed("theme", "child"), "child").withColumn("share", F.col("shared") / F.col("size"))
-    return pairs.where(F.col("share") >= threshold).select("parent", "child", "shared", "share")
+    members = stage_table(members.select("entity", "theme"), "members")
+    pairs = stage_table(containment_candidates(members, threshold), "candidates")
+    held = pairs.join(members.select(F.col("theme").alias("child"), "entity"), "child").join(members.select(F.col("theme").alias("parent"), "entity"), ["parent", "entity"])
+    shared = held.groupBy("parent", "child").agg(F.count(F.lit(1)).alias("shared"))
+    size = members.groupBy(F.col("theme").alias("child")).agg(F.count(F.lit(1)).alias("size"))
+    return shared.join(size, "child").withColumn("share", F.col("shared") / F.col("size")).where(F.col("share") >= threshold).select("parent", "child", "shared", "share")
 
 
 def inheritance_map(inheritance: DataFrame) -> DataFrame:

@@ -62,14 +62,14 @@ def _grow(rows: DataFrame, fields: str) -> tuple[DataFrame, list[DataFrame], Dat
 
     def assign(p: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         if not len(p):
-            return pd.DataFrame({c: [] for c in ("b", "k", "v", "node", "angle")})
+            return pd.DataFrame({c: [] for c in ("b", "k", "v", "node", "angle")}, dtype=object)
         to = _angles(_unit(p["v"]), np.array(pivots["pivots"].iloc[0].tolist()))
         child = [f"{n}/{i}" for n, i in zip(p["node"], to.argmin(axis=1))]
-        return pd.DataFrame({"b": p["b"], "k": p["k"], "v": p["v"], "node": child, "angle": to.min(axis=1)})
+        return pd.DataFrame({c: p[c].to_numpy() for c in ("b", "k", "v")} | {"node": child, "angle": to.min(axis=1)})
 
     def choose(batches):
         for p in batches:
-            yield pd.DataFrame({"node": p["node"], "pivots": [_apart(_unit(v), m).tolist() for v, m in zip(p["some"], p["most"])]})
+            yield pd.DataFrame({"node": p["node"].to_numpy(), "pivots": [_apart(_unit(v), m).tolist() for v, m in zip(p["some"], p["most"])]})
 
     while True:
         big = sizes.where((F.col("n") > BLOCK) & ~F.col("flat"))
@@ -118,12 +118,11 @@ def near_groups(points: DataFrame, angle: float, by: str, key: str) -> DataFrame
 
     def descend(p: pd.DataFrame, below: pd.DataFrame) -> pd.DataFrame:
         if not len(p) or not len(below):
-            return pd.DataFrame({c: [] for c in ("b", "k", "v", "leaf", "at")})
+            return pd.DataFrame({c: [] for c in ("b", "k", "v", "leaf", "at")}, dtype=object)
         below = below.sort_values("child")
         to = _angles(_unit(p["v"]), np.array(below["pivot"].tolist()))
         i, j = np.nonzero((to <= below["radius"].to_numpy() + angle) & (to <= to.min(axis=1, keepdims=True) + 2 * angle))
-        out = p[["b", "k", "v", "leaf"]].iloc[i]
-        return out.assign(at=below["child"].to_numpy()[j])
+        return pd.DataFrame({c: p[c].to_numpy()[i] for c in ("b", "k", "v", "leaf")} | {"at": below["child"].to_numpy()[j]})
 
     arrived = []
     for children in levels:
@@ -169,3 +168,38 @@ def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str
 
     groups = near_groups(points, angle, by, key).groupBy("leaf", "part")
     return groups.applyInPandas(run, f"{by} {kinds[by]}, a {kinds[key]}, b {kinds[key]}, distance double")
+
+
+def close_links(points: DataFrame, threshold: float, by: str = "role", key: str = "item") -> DataFrame:
+    """points(by, key, v) -> by, a, b: some of close_pairs, of the same connected components. A group gives no more links than it has rows, however dense it is."""
+    kinds = dict(points.dtypes)
+    angle = float(np.arccos(np.clip(1 - threshold, -1, 1))) + 1e-6
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        x, k, guest = _unit(p["v"]), p["k"].to_numpy(), p["guest"].to_numpy()
+        home = np.flatnonzero(~guest)
+        near = np.zeros((len(p), len(home)), dtype=bool)
+        for mine in (np.flatnonzero(guest), home if not p["part"].iloc[0] else home[:0]):
+            near[mine] = 1 - x[mine] @ x[home].T < threshold
+        a, b, left = [], [], np.ones(len(p), dtype=bool)
+        for start in home:
+            if not left[start]:
+                continue
+            # What is linked to start, step by step, each by the link that found it.
+            left[start], edge = False, np.array([start])
+            while len(edge):
+                step = []
+                for i in edge:
+                    at = np.flatnonzero(home == i)
+                    new = np.flatnonzero(near[:, at[0]] & left) if len(at) else np.empty(0, dtype=np.int64)
+                    more = home[near[i] & left[home]]
+                    new = np.unique(np.concatenate([new, more]))
+                    left[new] = False
+                    a += [k[i]] * len(new)
+                    b += k[new].tolist()
+                    step.append(new)
+                edge = np.concatenate(step)
+        return pd.DataFrame({by: p["b"].iloc[[0] * len(a)].to_numpy(), "a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
+
+    groups = near_groups(points, angle, by, key).groupBy("leaf", "part")
+    return groups.applyInPandas(run, f"{by} {kinds[by]}, a {kinds[key]}, b {kinds[key]}")

@@ -92,6 +92,21 @@ def test_hypergraph(facts):
     assert hypergraph.theme_inheritance(m, 0.8).count() == 0
 
 
+def test_inheritance_looks_up_rare_entities(spark):
+    """The rows of the full overlap, from fewer pairs: themes that share only common entities never meet."""
+    rng = np.random.default_rng(4)
+    rows = {(f"common{i}", f"t{k:02}") for k in range(40) for i in range(3)} | {(f"e{int(e)}", f"t{k:02}") for k in range(40) for e in rng.integers(0, 120, 6)}
+    rows |= {(e, "whole") for e, t in rows if t < "t04"} | {("alone", "one"), ("alone", "two")}
+    m = spark.createDataFrame(sorted(rows), "entity string, theme string")
+    sets = {t: {e for e, x in rows if x == t} for _, t in rows}
+    for t in (0.3, 0.5, 0.8, 1.0):
+        got = sorted((r.parent, r.child, r.shared, r.share) for r in hypergraph.theme_inheritance(m, t).collect())
+        want = [(a, b, n, n / len(sets[b])) for a in sets for b in sets if a != b and (n := len(sets[a] & sets[b])) / len(sets[b]) >= t]
+        assert got == sorted(want) and len(want) > 2
+    overlapping = sum(bool(sets[a] & sets[b]) for a in sets for b in sets if a != b)
+    assert hypergraph.containment_candidates(m, 0.8).count() < 0.5 * overlapping
+
+
 def test_distributed_rounds_go_on_until_nothing_moves(spark):
     """A ring: pairs and triples of neighbours must be joined again, level by level."""
     n = 60
@@ -133,16 +148,32 @@ def test_two_centred_items_never_merge(spark, counts):
     assert _groups(cluster.cluster_items(_points(spark, [(1, 0), (1, 1e-4)], counts), 0.15)) == [["a"], ["b"]]
 
 
-def test_large_components_are_clustered_alike(spark):
+def test_large_components_are_clustered_alike(spark, monkeypatch):
+    """Rounds of mutual nearest neighbours give the clusters of one matrix, through small groups, with equal vectors and two roles."""
+    monkeypatch.setattr(metric_tree, "BLOCK", 50)
     rng = np.random.default_rng(7)
-    for threshold in (0.1, 0.4, 0.8):
-        x = rng.normal(size=(120, 4))
-        x = np.concatenate([x, x[:20]])
-        want = cluster.average_linkage(x, threshold)
-        assert 1 < want.max() and cluster.average_linkage(x, threshold, 10).tolist() == want.tolist()
-    p = _points(spark, [tuple(v) for v in x[:40].tolist()])
-    whole, parts = (_groups(cluster.cluster_items(p, 0.4, "none", most)) for most in (6_000, 2))
-    assert whole == parts and max(map(len, whole)) > 2
+    x = np.concatenate([x := rng.normal(size=(60, 4)), x[:9]])
+    p = _points(spark, [tuple(v) for v in x.tolist()])
+    p = p.unionByName(p.where("n > 0").withColumn("role", F.lit("object")))
+    whole, rounds = (sorted(map(tuple, cluster.cluster_items(p, 0.5, "none", most).collect())) for most in (6_000, 2))
+    assert whole == rounds and len({r[:2] for r in whole}) < len(whole)
+
+
+def test_linkage_rounds_of_a_long_component(spark, monkeypatch):
+    """A curve of vectors, each near the next: one component that no group holds."""
+    monkeypatch.setattr(metric_tree, "BLOCK", 100)
+    rng = np.random.default_rng(2)
+    t = np.sort(rng.uniform(0, 3, 700))
+    x = np.stack([np.cos(t), np.sin(t), 0.3 * np.cos(7 * t), 0.3 * np.sin(5 * t)], axis=1) + 0.01 * rng.normal(size=(700, 4))
+    points = spark.createDataFrame([("p", f"{i:04}", v.tolist()) for i, v in enumerate(x)], "part string, node string, v array<double>")
+    links = metric_tree.close_links(points, 0.05, "part", "node")
+    assert links.count() < 20 * len(x)
+    assert connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select("root").distinct().count() == 1
+    groups = {}
+    for r in cluster.linkage_rounds(points, 0.05).collect():
+        groups.setdefault(r["head"], []).append(int(r["node"]))
+    label = cluster.average_linkage(x, 0.05)
+    assert sorted(map(sorted, groups.values())) == sorted(np.flatnonzero(label == k).tolist() for k in set(label)) and len(groups) > 5
 
 
 def test_equal_vectors_are_one_cluster(spark):
