@@ -10,6 +10,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import subprocess
+import time
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -77,11 +79,16 @@ class HttpProvider:
     retries: int = 3
     temperature: float = 0.0
     context: int = 0
+    wait: float = 1.0
     name = "http"
 
     def settings(self) -> dict:
-        """What decides the answers; the key is no part of it."""
-        return {k: v for k, v in asdict(self).items() if k != "key"} | {"provider": self.name}
+        """What decides the answers; keys, and how long and how often to try, are no part of it."""
+        return {k: v for k, v in asdict(self).items() if k not in ("key", "credentials", "timeout", "retries", "wait")} | {"provider": self.name}
+
+    def address(self) -> str:
+        """The url itself, or the completions below it if it ends with a version."""
+        return self.url.rstrip("/") + "/chat/completions" if re.search(r"/v\d+/?$", self.url) else self.url
 
     def body(self, prompt: str) -> dict:
         told = {"options": {"num_ctx": self.context}} if self.context else {}
@@ -97,11 +104,12 @@ class HttpProvider:
         data = json.dumps(self.body(prompt)).encode()
         for attempt in range(self.retries):
             try:
-                with urllib.request.urlopen(urllib.request.Request(self.url, data, self.headers()), timeout=self.timeout) as answer:
+                with urllib.request.urlopen(urllib.request.Request(self.address(), data, self.headers()), timeout=self.timeout) as answer:
                     return json.loads(answer_json(self.content(json.load(answer))))
             except Exception:
                 if attempt + 1 == self.retries:
                     raise
+                time.sleep(self.wait * 2**attempt)
         raise RuntimeError("no attempt was allowed")
 
     def themes(self, text: str) -> dict:
@@ -128,11 +136,12 @@ class HttpProvider:
 
 @dataclass
 class PredictProvider(HttpProvider):
-    """A public endpoint that takes instances and parameters and answers with predictions. The token comes from the environment, where `token_variable` names it, if no key is given."""
+    """A public endpoint that takes instances and parameters and answers with predictions. The token is the key, if one is given, or that of the environment variable `token_variable`, or else what the service account in the file `credentials` gets."""
 
     max_tokens: int = 8192
     temperature: float = 0.1
     token_variable: str = "ENDPOINT_TOKEN"
+    credentials: str = ""
     name = "predict"
 
     def body(self, prompt: str) -> dict:
@@ -144,9 +153,36 @@ class PredictProvider(HttpProvider):
 
     def headers(self) -> dict[str, str]:
         token = self.key or os.environ.get(self.token_variable, "")
+        if not token and (path := self.credentials or os.environ.get("GOOGLE_APPLICATION_CREDENTIALS", "")):
+            token = service_token(path)
         return {"Content-Type": "application/json", **({"Authorization": f"Bearer {token}"} if token else {})}
 
 
+_accounts: dict[str, object] = {}
+
+
+def service_token(path: str) -> str:
+    """The current token of a service-account file; a worker renews it when it has run out. It needs the google-auth library; where that is absent the call fails and says so."""
+    from google.auth.transport.requests import Request
+    from google.oauth2 import service_account
+
+    account = _accounts.get(path)
+    if account is None:
+        account = _accounts[path] = service_account.Credentials.from_service_account_file(path, scopes=["https://www.googleapis.com/auth/cloud-platform"])
+    if not account.valid:
+        account.refresh(Request())
+    return account.token
+
+
+def free_memory() -> float:
+    """Free memory in MB of the graphics card with the least of it, on the driver's machine; 0 where there is none to ask."""
+    try:
+        told = subprocess.run(["nvidia-smi", "--query-gpu=memory.free", "--format=csv,noheader,nounits"], capture_output=True, text=True, timeout=10, check=True)
+        return min(float(x) for x in told.stdout.split())
+    except (OSError, subprocess.SubprocessError, ValueError):
+        return 0.0
+
+
 def predict_url(project: str, location: str, endpoint: str, host: str = "") -> str:
     """The address of a deployed endpoint: on its own host, where the endpoint has one, else on its location's."""
     host = host.removeprefix("https://").removeprefix("http://").split("/")[0] or f"{location}-aiplatform.googleapis.com"
@@ -159,8 +195,8 @@ def make_provider(config: Config, free_mb: float = 0.0):
         return OfflineProvider()
     if config.provider == "predict":
         url = config.base_url if config.base_url.endswith(":predict") else predict_url(config.project, config.location, config.endpoint, config.base_url)
-        return PredictProvider(url, config.model, timeout=120.0)
-    return HttpProvider(config.base_url, config.model, timeout=200.0, context=context_bound(free_mb, config.context))
+        return PredictProvider(url, config.model, timeout=120.0, wait=config.retry_wait, credentials=config.credentials)
+    return HttpProvider(config.base_url, config.model, key=config.api_key, timeout=200.0, context=context_bound(free_mb, config.context), wait=config.retry_wait)
 
 
 def answer_json(content: str) -> str:

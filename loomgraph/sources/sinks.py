@@ -15,6 +15,8 @@ from ..functions.text import node_size
 
 #: Colours of communities.
 PALETTE = ("#4e79a7", "#f28e2b", "#e15759", "#76b7b2", "#59a14f", "#edc948", "#b07aa1", "#ff9da7", "#9c755f", "#bab0ac")
+#: Colours of the hypergraph's communities, the twenty of a common qualitative map.
+TWENTY = ("#1f77b4", "#aec7e8", "#ff7f0e", "#ffbb78", "#2ca02c", "#98df8a", "#d62728", "#ff9896", "#9467bd", "#c5b0d5", "#8c564b", "#c49c94", "#e377c2", "#f7b6d2", "#7f7f7f", "#c7c7c7", "#bcbd22", "#dbdb8d", "#17becf", "#9edae5")
 
 
 def logger(name: str = "loomgraph") -> logging.Logger:
@@ -70,13 +72,15 @@ def role_nodes(triples: DataFrame, degree: DataFrame) -> DataFrame:
     return first.join(degree, "node", "left").select("node", "role", color.alias("color"), node_size(F.coalesce("degree", F.lit(0))).alias("size"))
 
 
-def hypergraph_nodes(members: DataFrame, communities: DataFrame) -> DataFrame:
-    """node, kind, community, color, size for a drawing of the bipartite graph; communities are those of hypergraph.bipartite_communities."""
-    degree = members.groupBy(F.lit("entity").alias("kind"), F.col("entity").alias("label")).agg(F.count(F.lit(1)).alias("degree"))
-    degree = degree.union(members.groupBy(F.lit("theme"), F.col("theme")).agg(F.count(F.lit(1))))
-    color = F.element_at(F.array(*map(F.lit, PALETTE)), (F.pmod(F.col("community"), F.lit(len(PALETTE))) + 1).cast("int"))
-    rows = communities.join(degree, ["kind", "label"], "left")
-    return rows.select(F.concat_ws(":", "kind", "label").alias("node"), "kind", "community", color.alias("color"), node_size(F.coalesce("degree", F.lit(0))).alias("size"))
+def hypergraph_nodes(communities: DataFrame, centrality: DataFrame, predicates: DataFrame) -> DataFrame:
+    """node, kind, community, color, shape, size, title for a drawing of the bipartite graph: themes as boxes, entities as dots, larger with their centrality. communities(kind, label, community), centrality(kind, label, centrality), predicates(theme, predicate, ...)."""
+    color = F.element_at(F.array(*map(F.lit, TWENTY)), (F.pmod(F.col("community"), F.lit(len(TWENTY))) + 1).cast("int"))
+    told = predicates.where("predicate <> ''").groupBy(F.lit("theme").alias("kind"), F.col("theme").alias("label")).agg(F.array_join(F.array_sort(F.collect_set("predicate")), ", ").alias("said"))
+    rows = communities.join(centrality, ["kind", "label"], "left").join(told, ["kind", "label"], "left")
+    theme = F.col("kind") == "theme"
+    size = F.coalesce("centrality", F.lit(0.0)) * 200 + F.when(theme, 35).otherwise(15)
+    title = F.concat(F.when(theme, F.lit("Theme")).otherwise(F.lit("Entity")), F.lit(", community "), F.col("community").cast("string"), F.when(theme, F.concat(F.lit(", predicates: "), F.coalesce("said", F.lit("")))).otherwise(F.lit("")))
+    return rows.select(F.concat_ws(":", "kind", "label").alias("node"), "kind", "community", color.alias("color"), F.when(theme, F.lit("box")).otherwise(F.lit("dot")).alias("shape"), size.alias("size"), title.alias("title"))
 
 
 def hypergraph_links(members: DataFrame) -> DataFrame:
@@ -90,7 +94,8 @@ if(v.length<600)for(const b of v){const dx=a.x-b.x,dy=a.y-b.y,d=dx*dx+dy*dy+1;fx
 for(const e of g.edges){const a=p[e.src],b=p[e.dst];if(!a||!b)continue;const dx=(b.x-a.x)*.01,dy=(b.y-a.y)*.01;a.fx+=dx;a.fy+=dy;b.fx-=dx;b.fy-=dy}
 for(const a of v){a.x+=Math.max(-9,Math.min(9,a.fx));a.y+=Math.max(-9,Math.min(9,a.fy))}}
 x.strokeStyle='#bbb';x.font='11px sans-serif';for(const e of g.edges){const a=p[e.src],b=p[e.dst];if(!a||!b)continue;x.beginPath();x.moveTo(a.x,a.y);x.lineTo(b.x,b.y);x.stroke();x.fillStyle='#888';x.fillText(e.label||'',(a.x+b.x)/2,(a.y+b.y)/2)}
-for(const a of Object.values(p)){x.fillStyle=a.n.color||'#4e79a7';x.beginPath();x.arc(a.x,a.y,(a.n.size||15)/4,0,7);x.fill();x.fillStyle='#222';x.fillText(a.n.node,a.x+6,a.y-6)}"""
+for(const a of Object.values(p)){x.fillStyle=a.n.color||'#4e79a7';const s=(a.n.size||15)/4;if(a.n.shape=='box')x.fillRect(a.x-s,a.y-s,2*s,2*s);else{x.beginPath();x.arc(a.x,a.y,s,0,7);x.fill()}x.fillStyle='#222';x.fillText(a.n.node,a.x+6,a.y-6)}
+c.onmousemove=e=>{const m=Object.values(p).find(a=>Math.hypot(a.x-e.offsetX,a.y-e.offsetY)<9);c.title=m?(m.n.title||m.n.node):''}"""
 
 
 def graph_page(nodes: Iterable, links: Iterable, path: Path, title: str) -> Path:
