@@ -18,6 +18,7 @@ from ..operators import cluster, community, embedding, graph, hypergraph, model_
 from ..sources import sinks
 from ..sources.ledger import Ledger
 from ..sources.providers import free_memory, make_provider
+from ..sources.vectors import VectorStore
 
 
 def corpus_print(docs: DataFrame) -> list[str]:
@@ -88,7 +89,7 @@ class Pipeline:
             failed.append(mapping.where("error is not null").groupBy(F.lit("normalize").alias("step"), "error").agg(F.count(F.lit(1)).alias("calls")))
             clean = self._stage("normalized_triplets", lambda: normalize.normalize_triples(raw, mapping))
             out |= {"normalization_mapping_details": mapping, "normalized_triplets": clean}
-        points = self._stage("embeddings", lambda: embedding.encode(triples.item_counts(triples.role_items(clean, c.compress_fields)), c.encoder))
+        points = self._stage("embeddings", lambda: VectorStore(self.spark, f"{self.folder}/vectors", c.encoder).encode(triples.item_counts(triples.role_items(clean, c.compress_fields))))
         groups = self._stage("clusters_identified", lambda: cluster.cluster_items(points, c.distance_threshold, c.projection))
         judged = answers("validate", lambda: model_calls.validate_answers(groups, p, domain, c.max_concurrent, ledger))
         checked = self._stage("verified_clusters", lambda: model_calls.split_clusters(groups, judged))
