@@ -72,10 +72,15 @@ def weighted_moments(points: DataFrame) -> dict[str, tuple[float, np.ndarray, np
     return {r["role"]: (r["total"], np.array(r["sums"]), np.array(r["products"]).reshape(len(r["sums"]), -1)) for r in rows}
 
 
+def covariance(total: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of rows repeated by their weights."""
+    mean = sums / total
+    return mean, (products - total * np.outer(mean, mean)) / max(total - 1, 1.0)
+
+
 def spectrum(total: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mean, eigenvalues (descending, min(N, d) of them) and eigenvectors, their largest component positive."""
-    mean = sums / total
-    cov = (products - total * np.outer(mean, mean)) / max(total - 1, 1.0)
+    mean, cov = covariance(total, sums, products)
     values, vectors = np.linalg.eigh((cov + cov.T) / 2)
     keep = int(min(total, len(values)))
     values, vectors = np.maximum(values[::-1][:keep], 0.0), vectors[:, ::-1][:, :keep]

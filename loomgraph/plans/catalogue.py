@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -323,6 +324,31 @@ def _points(spark, d):
     return embedding.encode(names)
 
 
+@query(
+    """with w as (select o_custkey, count(*) n from orders group by 1),
+x as (select c_mktsegment as role, n, unnest([{'i': 0, 'x': c_nationkey::double}, {'i': 1, 'x': c_acctbal}, {'i': 2, 'x': (c_custkey % 7)::double}], recursive := true), [c_nationkey::double, c_acctbal, (c_custkey % 7)::double] v from customer join w on c_custkey = o_custkey),
+y as (select role, n, i, x, unnest([0, 1, 2]) j, unnest(v) z from x)
+select role, i::int i, j::int j, round((sum(n * x * z) - sum(n * x) * sum(n * z) / sum(n)) / (sum(n) - 1), 3) covariance from y group by 1, 2, 3"""
+)
+def weighted_covariance(spark, d):
+    """Of customers, weighted by their orders, for each market segment."""
+    n = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    v = F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal"), (F.col("c_custkey") % 7).cast("double"))
+    points = table(spark, d, "customer").join(n, "c_custkey").select(F.col("c_mktsegment").alias("role"), "n", v.alias("v"))
+    rows = [(role, i, j, float(x)) for role, m in embedding.weighted_moments(points).items() for (i, j), x in np.ndenumerate(embedding.covariance(*m)[1])]
+    return spark.createDataFrame(rows, "role string, i int, j int, covariance double").withColumn("covariance", F.round("covariance", 3))
+
+
+#: Triples whose theme is null for some rows and empty for others.
+_NO_THEME = "case predicate when '1-URGENT' then null when '2-HIGH' then '' else theme_association end"
+
+
+@query(f"""with {REL}, t as (select subject, object, coalesce(nullif(case predicate when '1-URGENT' then null when '2-HIGH' then '' else theme end, ''), 'Other') theme from rel)
+select distinct entity, theme from (select subject entity, theme from t union all select object, theme from t)""")
+def memberships_default_theme(spark, d):
+    return hypergraph.memberships(rel(spark, d).withColumn("theme_association", F.expr(_NO_THEME))).select("entity", "theme")
+
+
 @query()
 def cluster_agglomerative(spark, d):
     return cluster.cluster_items(_points(spark, d), 0.3, "none")
