@@ -9,10 +9,15 @@ angle asked for, and none whose pivot is farther by twice that angle than the ne
 one. How many leaves a vector visits depends on how many vectors are near it, not on how
 many there are. No pivots go through the driver: they meet their node's vectors in groups
 of some GROUP rows.
+
+Where the pivots would leave a vector more than SAVES of its node to meet, as with
+vectors scattered evenly, a split only copies vectors. Such a node stays whole and its
+blocks meet one another: all pairs, which is what is left to do, in groups as bounded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -26,6 +31,10 @@ BLOCK = 2_048
 FAN = 256
 SAMPLE = 4
 GROUP = 32_768
+SAVES = 0.5
+#: Vectors compared, and pairs told, at a time.
+CELLS = 1 << 21
+PAIRS = 1 << 18
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -55,7 +64,17 @@ def _for_each_salt(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.join(sizes.select("node", "n"), "node").withColumn("salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / GROUP).cast("int") - 1))).drop("n")
 
 
-def _grow(rows: DataFrame, fields: str) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+def _saves(x: np.ndarray, pivots: np.ndarray, angle: float) -> bool:
+    """Whether, by a sample of a node's unit vectors, these pivots spare a vector enough of the others."""
+    to = _angles(x, pivots)
+    home, low = to.argmin(axis=1), to.min(axis=1)
+    size, radius = np.bincount(home, minlength=len(pivots)), np.zeros(len(pivots))
+    np.maximum.at(radius, home, low)
+    visited = (to <= radius + angle) & (to <= low[:, None] + 2 * angle)
+    return float((visited @ size).mean()) <= SAVES * len(x)
+
+
+def _grow(rows: DataFrame, fields: str, angle: float) -> tuple[DataFrame, list[DataFrame], DataFrame]:
     """rows(b, k, v, node) at their leaves, the children(node, child, pivot, radius) of each level, and leaves(node, n)."""
     levels, done, leaves = [], [], []
     sizes = stage_table(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).withColumn("flat", F.lit(False)))
@@ -69,7 +88,13 @@ def _grow(rows: DataFrame, fields: str) -> tuple[DataFrame, list[DataFrame], Dat
 
     def choose(batches):
         for p in batches:
-            yield pd.DataFrame({"node": p["node"].to_numpy(), "pivots": [_apart(_unit(v), m).tolist() for v, m in zip(p["some"], p["most"])]})
+            chosen = []
+            for v, most in zip(p["some"], p["most"]):
+                x = _unit(v)
+                pivots = _apart(x, most)
+                # Equal vectors have one pivot; their node is known as flat by its only child.
+                chosen.append(pivots.tolist() if len(pivots) == 1 or _saves(x, pivots, angle) else [])
+            yield pd.DataFrame({"node": p["node"].to_numpy(), "pivots": chosen})
 
     while True:
         big = sizes.where((F.col("n") > BLOCK) & ~F.col("flat"))
@@ -83,6 +108,11 @@ def _grow(rows: DataFrame, fields: str) -> tuple[DataFrame, list[DataFrame], Dat
         some = rows.join(big.select("node", "n", most), "node").withColumn("dice", dice).where(F.col("dice") < (1 << 30) * (1.2 * SAMPLE * F.col("most") + 20) / F.col("n"))
         some = some.groupBy("node", "most").agg(F.sort_array(F.collect_list(F.struct("dice", "k", "v")))["v"].alias("some"))
         pivots = stage_table(some.mapInPandas(choose, "node string, pivots array<array<double>>"))
+        whole = pivots.where(F.size("pivots") == 0).select("node")
+        leaves.append(big.join(whole, "node", "left_semi").select("node", "n"))
+        done.append(rows.join(whole, "node", "left_semi").select("b", "k", "v", "node"))
+        pivots, big = pivots.where(F.size("pivots") > 0), big.join(whole, "node", "left_anti")
+        rows = rows.join(whole, "node", "left_anti")
         dealt = _salted(rows.select("b", "k", "v", "node"), big, "node").groupBy("node", "salt")
         assigned = dealt.cogroup(_for_each_salt(pivots, big).groupBy("node", "salt")).applyInPandas(assign, f"{fields}, node string, angle double")
         assigned = stage_table(assigned)
@@ -96,21 +126,23 @@ def _grow(rows: DataFrame, fields: str) -> tuple[DataFrame, list[DataFrame], Dat
         sizes = made.select(F.col("child").alias("node"), "n", "flat")
 
 
-def near_groups(points: DataFrame, angle: float, by: str, key: str) -> DataFrame:
+def near_groups(points: DataFrame, angle: float, by: str, key: str, wide: int = 1) -> DataFrame:
     """points(by, key, v) -> b, k, v, leaf, part, guest.
 
     Two rows of one `by` within the angle are in exactly one group (leaf, part) as two
     residents of part 0, or as a guest and a resident; keys are unique in a `by`. Rows
     whose vector is null, zero or not finite are left out. A group has at most BLOCK residents and
-    about as many guests.
+    about as many guests. Nodes that stay whole have blocks of up to `wide` times BLOCK,
+    where 16 blocks are not enough: the wider they are, the fewer copies of a vector.
     """
     kinds = dict(points.dtypes)
     fields = f"b {kinds[by]}, k {kinds[key]}, v array<double>"
     rows = points.select(F.col(by).alias("b"), F.col(key).alias("k"), F.col("v").cast("array<double>").alias("v"))
     rows = rows.withColumn("s", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).where("s > 0 and s < double('infinity')").drop("s")
     rows = stage_table(rows.withColumn("node", F.to_json(F.struct("b"))), "points")
-    placed, levels, sizes = _grow(rows, fields)
-    blocks = sizes.select("node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed, levels, sizes = _grow(rows, fields, angle)
+    size = F.least(F.greatest(F.col("n") / 16, F.lit(float(BLOCK))), F.lit(float(wide * BLOCK)))
+    blocks = sizes.select("node", F.ceil(F.col("n") / size).cast("int").alias("blocks"), F.greatest(size, F.lit(float(BLOCK))).alias("size"))
     name = lambda i: F.concat(F.col("node"), F.lit("#"), i.cast("string"))
     placed = placed.join(blocks, "node").withColumn("leaf", name(F.pmod(F.xxhash64("k", F.lit("block")), F.col("blocks")))).select("b", "k", "v", "leaf")
     placed = stage_table(placed)
@@ -129,15 +161,18 @@ def near_groups(points: DataFrame, angle: float, by: str, key: str) -> DataFrame
         inner = children.select(F.col("node").alias("at")).distinct()
         arrived.append(visits.join(inner, "at", "left_anti"))
         visits = visits.join(inner, "at", "left_semi")
-        here = stage_table(visits.groupBy(F.col("at").alias("node")).agg(F.count(F.lit(1)).alias("n")))
+        # A row may leave for every child: the more children, the smaller the groups.
+        width = children.groupBy("node").agg(F.greatest(F.lit(1.0), F.count(F.lit(1)) / 8).alias("width"))
+        here = visits.groupBy(F.col("at").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+        here = stage_table(here.join(width, "node").select("node", (F.col("n") * F.col("width")).alias("n")))
         both = _salted(visits, here, "at").groupBy("at", "salt").cogroup(_for_each_salt(children, here).withColumnRenamed("node", "at").groupBy("at", "salt"))
         visits = stage_table(both.applyInPandas(descend, f"{fields}, leaf string, at string"))
     visits = reduce(DataFrame.unionByName, [*arrived, visits]).withColumnRenamed("at", "node").join(blocks, "node")
     visits = visits.withColumn("to", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), name)))
-    guests = visits.where("leaf < to").select("b", "k", "v", F.col("to").alias("leaf"))
+    guests = visits.where("leaf < to").select("b", "k", "v", F.col("to").alias("leaf"), "size")
     if levels or sizes.where(F.col("n") > BLOCK).head(1):
         guests = stage_table(guests)
-        parts = stage_table(guests.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")))
+        parts = stage_table(guests.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.first("size")).cast("int").alias("parts")))
         guests = guests.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("k", F.lit("part")), F.col("parts")).cast("int"))
         residents = placed.join(parts, "leaf", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
         tell = lambda r, guest: r.select("b", "k", "v", "leaf", "part", F.lit(guest).alias("guest"))
@@ -151,22 +186,32 @@ def close_pairs(points: DataFrame, threshold: float, by: str = "role", key: str
     kinds = dict(points.dtypes)
     angle = float(np.arccos(np.clip(1 - threshold, -1, 1))) + 1e-6
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("k", kind="stable")
-        x, k, guest = _unit(p["v"]), p["k"].to_numpy(), p["guest"].to_numpy()
-        home = np.flatnonzero(~guest)
-        found = []
-        for mine in (np.flatnonzero(guest), home if not p["part"].iloc[0] else home[:0]):
-            d = 1 - x[mine] @ x[home].T
-            near = d < threshold
-            if len(mine) and not guest[mine[0]]:
-                near = np.triu(near, 1)
-            i, j = np.nonzero(near)
-            found.append((mine[i], home[j], d[i, j]))
-        i, j, d = (np.concatenate(c) for c in zip(*found))
+    def tell(p: pd.DataFrame, found: list) -> pd.DataFrame:
+        k, (i, j, d) = p["k"].to_numpy(), (np.concatenate(c) for c in zip(*found))
         return pd.DataFrame({by: p["b"].iloc[np.zeros(len(i), dtype=int)].to_numpy(), "a": k[np.minimum(i, j)], "b": k[np.maximum(i, j)], "distance": d})
 
-    groups = near_groups(points, angle, by, key).groupBy("leaf", "part")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = pd.concat(list(batches), ignore_index=True).sort_values("k", kind="stable", ignore_index=True)
+        x, guest = _unit(p.pop("v")), p["guest"].to_numpy()
+        home = np.flatnonzero(~guest)
+        xh, step, found, n = x[home], max(1, CELLS // max(1, len(home))), [], 0
+        for mine in (np.flatnonzero(guest), home if not p["part"].iloc[0] else home[:0]):
+            for at in range(0, len(mine), step):
+                some = mine[at : at + step]
+                d = 1 - x[some] @ xh.T
+                near = d < threshold
+                if not guest[some[0]]:
+                    near &= some[:, None] < home
+                i, j = np.nonzero(near)
+                found.append((some[i], home[j], d[i, j]))
+                n += len(i)
+                if n > PAIRS:
+                    yield tell(p, found)
+                    found, n = [], 0
+        if n:
+            yield tell(p, found)
+
+    groups = near_groups(points, angle, by, key, wide=8).groupBy("leaf", "part")
     return groups.applyInPandas(run, f"{by} {kinds[by]}, a {kinds[key]}, b {kinds[key]}, distance double")
 
 

@@ -239,6 +239,20 @@ def test_copies_of_a_row_stay_constant(spark, monkeypatch):
     assert guests[1] < guests[0] + 1
 
 
+def test_scattered_vectors_meet_in_few_copies(spark, monkeypatch):
+    """Pivots spare scattered vectors nothing: the node stays whole, a vector is copied to its few blocks, and no pair is lost."""
+    monkeypatch.setattr(metric_tree, "BLOCK", 16)
+    monkeypatch.setattr(metric_tree, "CELLS", 500)
+    monkeypatch.setattr(metric_tree, "PAIRS", 50)
+    v = np.random.default_rng(8).normal(size=(1_000, 24))
+    points = spark.createDataFrame([("r", i, x.tolist()) for i, x in enumerate(v)], "role string, item long, v array<double>")
+    groups = metric_tree.near_groups(points, np.arccos(0.5), "role", "item", wide=8).groupBy("guest").count()
+    assert {r.guest: r["count"] / 1_000 <= 16 for r in groups.collect()} == {True: True, False: True}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    i, j = np.nonzero(np.triu(1 - u @ u.T < 0.5, 1))
+    assert sorted((r.a, r.b) for r in metric_tree.close_pairs(points, 0.5, "role", "item").collect()) == list(zip(i.tolist(), j.tolist())) and len(i) > 1_000
+
+
 
 def test_hubs_are_dealt_to_tiles(spark, monkeypatch):
     monkeypatch.setattr(hypergraph, "HUB", 3)
