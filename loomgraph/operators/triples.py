@@ -26,8 +26,9 @@ def parse_triples(answers: DataFrame, column: str = "payload") -> DataFrame:
     """
     rest = [c for c in answers.columns if c != column]
     raw = answers.select(*rest, F.from_json(F.col(column), "triples array<string>").alias("p"))
-    items = raw.select(*rest, F.posexplode("p.triples").alias("elem_idx", "e"))
-    items = items.withColumn("v", F.try_parse_json("e")).where("schema_of_variant(v) like 'OBJECT%'")
+    # What an explode gives is there once; conditions on a plain column would go below it and parse again wherever they name it.
+    parsed = F.transform("p.triples", lambda e: F.struct(e.alias("e"), F.try_parse_json(e).alias("v")))
+    items = raw.select(*rest, F.posexplode(parsed).alias("elem_idx", "x")).select(*rest, "elem_idx", "x.e", "x.v")
 
     def text(name: str):
         kind = F.expr(f"schema_of_variant(try_variant_get(v, '$.{name}', 'variant'))")
@@ -36,8 +37,10 @@ def parse_triples(answers: DataFrame, column: str = "payload") -> DataFrame:
     kind = F.expr("schema_of_variant(try_variant_get(v, '$.certainty_score', 'variant'))")
     as_text = F.expr("try_variant_get(v, '$.certainty_score', 'string')")
     score = F.when(kind == "BOOLEAN", F.when(as_text == "true", 1.0).otherwise(0.0)).otherwise(strip(as_text).try_cast("double"))
-    theme = F.when(F.array_contains(F.json_object_keys("e"), "theme_association"), text("theme_association")).otherwise(F.lit("Other"))
-    out = items.select(*rest, "elem_idx", *(strip(text(r)).alias(r) for r in ROLES), text("source_quote").alias("source_quote"), score.alias("certainty_score"), theme.alias("theme_association"))
+    given = text("theme_association")
+    theme = F.when(given.isNull() & ~F.coalesce(F.array_contains(F.json_object_keys("e"), "theme_association"), F.lit(False)), F.lit("Other")).otherwise(given)
+    fields = F.struct(*(strip(text(r)).alias(r) for r in ROLES), text("source_quote").alias("source_quote"), score.alias("certainty_score"), theme.alias("theme_association"))
+    out = items.where("schema_of_variant(v) like 'OBJECT%'").select(*rest, "elem_idx", F.explode(F.array(fields)).alias("f")).select(*rest, "elem_idx", "f.*")
     good = F.col("certainty_score").between(0, 1) & ~F.isnan("certainty_score") & F.col("source_quote").isNotNull()
     for r in ROLES:
         good &= F.length(r) > 0
