@@ -21,10 +21,11 @@ def chunk_documents(docs: DataFrame, max_words: int, overlap_words: int = 50) ->
     if max_words <= 0:
         raise ValueError("max_words must be positive")
     stride = max_words - overlap_words if max_words > overlap_words else max_words
-    w = docs.select("doc_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    w = docs.select("doc_id", words(F.col("text")).alias("w"))
     last = F.greatest(F.lit(0), F.ceil((F.size("w") - max_words) / F.lit(stride))).cast("int")
-    w = w.select("doc_id", "w", F.explode(F.sequence(F.lit(0), last)).alias("chunk_idx"))
-    return w.select("doc_id", "chunk_idx", F.array_join(F.slice("w", F.col("chunk_idx") * stride + 1, F.lit(max_words)), " ").alias("chunk"))
+    # Chunks are made where they are exploded: no row carries all words, and no condition splits them again.
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("w", i * stride + 1, F.lit(max_words)), " "))
+    return w.select("doc_id", F.posexplode(F.when(F.size("w") > 0, cut)).alias("chunk_idx", "chunk"))
 
 
 def preprocess(text: Column) -> Column:

@@ -6,6 +6,7 @@ calls that failed, so none vanishes. Ids pass as Arrow arrays, never as floats.
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterator
 
@@ -89,6 +90,11 @@ def consolidate_themes(ranked: DataFrame, blocks: DataFrame, provider, default_d
     return told.select(domain.alias("master_domain"), F.coalesce("g.master_themes", "master_themes").alias("master_themes"), "ok", "payload", "error")
 
 
+def _latest(entities: dict, registry: int) -> list[str]:
+    """The last `registry` of the entities in their order, without a walk over all of them."""
+    return list(itertools.islice(reversed(entities), registry))[::-1]
+
+
 def triple_answers(chunks: DataFrame, provider, domain: str = "General", themes: str = "", registry: int = 100, ledger: Ledger | None = None) -> DataFrame:
     """chunks(doc_id, chunk_idx, chunk) -> doc_id, chunk_idx and the answer.
 
@@ -114,7 +120,7 @@ def triple_answers(chunks: DataFrame, provider, domain: str = "General", themes:
             for doc, chunk, old in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(4).to_pylist()):
                 if doc != now:
                     now, entities = doc, {}
-                ok, payload, error = call(provider.triples, chunk, domain, themes, list(entities)[-registry:]) if old is None else (True, old, None)
+                ok, payload, error = call(provider.triples, chunk, domain, themes, _latest(entities, registry)) if old is None else (True, old, None)
                 if ok:
                     for name in entities_of(payload):
                         entities.setdefault(name)

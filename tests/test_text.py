@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
+from loomgraph.operators import model_calls, triples
 
 TEN = " ".join(f"w{i}" for i in range(1, 11))
 
@@ -57,3 +58,18 @@ def test_chunks_rebuild_the_words(spark, words, m, o):
     step = m - o if m > o else m
     rebuilt = chunks[0] + [w for c in chunks[1:] for w in c[m - step :]]
     assert rebuilt == words
+
+
+def test_texts_are_split_and_elements_parsed_once(spark):
+    """No condition of the plan repeats what a column costs, however often it is named."""
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, " "), (3, None)], "doc_id long, text string").repartition(2)
+    chunks = T.chunk_documents(docs, 3, 1)
+    plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert sorted(map(tuple, chunks.collect())) == [(1, 0, "a b c"), (1, 1, "c d e")]
+    answers = docs.select("doc_id", F.concat(F.lit('{"triples": ['), "text", F.lit("]}")).alias("payload"))
+    assert triples.parse_triples(answers)._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_latest_entities():
+    assert [model_calls._latest(dict.fromkeys("abcd"), n) for n in (0, 2, 9)] == [[], ["c", "d"], list("abcd")]
