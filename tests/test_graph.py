@@ -488,6 +488,27 @@ def test_communities_do_not_depend_on_where_rounds_run(spark):
     assert far == near and len(far) == len({x for a, b, _ in rows for x in (a, b)})
 
 
+def test_components_run_in_tasks_and_nothing_is_broadcast(spark, monkeypatch):
+    """A graph beyond the limit whose components are below it needs no DataFrame rounds; one that has them sends no table through the driver."""
+    rng = np.random.default_rng(9)
+    rows = [(f"{g}{a:02}", f"{g}{b:02}", 1.0) for g in "pqr" for a, b in rng.integers(0, 20, (60, 2))] + [("x", "x", 1.0), ("y", "z", 1.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    passes = []
+    plain = community._pass
+    monkeypatch.setattr(community, "_pass", lambda *a: passes.append(1) or plain(*a))
+    whole, apart = ({r.node: r.community for r in community.detect_communities(edges, local_edges=k).collect()} for k in (10**9, 80))
+    assert not passes and whole.keys() == apart.keys()
+    gain = lambda part: graph.modularity(edges, spark.createDataFrame(list(part.items()), "node string, community long")).head().modularity
+    assert gain(apart) >= 0.99 * gain(whole)
+    assert all(len({n[0] for n in apart if apart[n] == c}) == 1 for c in set(apart.values()) if c not in (apart["x"], apart["y"]))
+    links, weights = community.links_of(edges), community.weights_of(edges)
+    state = community.move(links, weights.select("node", F.col("node").alias("c"), "o", "i"), 182.0, 1.0, 0)
+    told, stage = [], community.stage_table
+    monkeypatch.setattr(community, "stage_table", lambda df, *a: told.append(df._jdf.queryExecution().executedPlan().toString()) or stage(df, *a))
+    community.move(links, state, 182.0, 1.0, 1)
+    assert told and not any("Broadcast" in plan for plan in told)
+
+
 def planted(n, edges, groups, mixing, seed):
     """Edges of which a share 1 - mixing stays in the group n % groups, and an objective of communities."""
     rng = np.random.default_rng(seed)
