@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 
 #: At most so many pre-tokens of at most so many characters are remembered by a worker, with their ids as bytes: some 120 MB.
 MEMORY, REMEMBERED = 600_000, 32
+#: What a worker keeps of them when a task ends: Spark goes on using it for other work, which needs the room.
+KEPT = 100_000
 BLOCK = 100_000
 
 
@@ -125,6 +127,13 @@ class ByteBPE:
         i = self.ids[self.words.index(b)]
         return np.array([i] if self.tokens[i] == b else merge(b, self.ranks), dtype="<u4").tobytes()
 
+    def forget(self) -> None:
+        """Only the KEPT pieces found first, among them the frequent ones, stay in memory."""
+        if len(self.memory) > KEPT:
+            kept = dict(islice(self.memory.items(), KEPT))
+            self.memory = _Memory(self._find)
+            self.memory.update(kept)
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text as unsigned 32-bit integers; none for null or empty text."""
         if not text:
@@ -165,23 +174,26 @@ def encode_decode(docs: DataFrame, tokens: list[bytes], pattern: str, keep_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _tokenizer(shared.value, pattern)
-        for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.slice(at, 500)
-                n, sha, back, ids_out, decoded_out = [], [], [], [], []
-                for text in part.column(1):
-                    ids = bpe.encode(text.as_py())
-                    decoded = bpe.decode(ids)
-                    n.append(len(ids))
-                    sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                    back.append(hashlib.sha256(decoded).hexdigest())
+        try:
+            for b in batches:
+                for at in range(0, len(b), 500):
+                    part = b.slice(at, 500)
+                    n, sha, back, ids_out, decoded_out = [], [], [], [], []
+                    for text in part.column(1):
+                        ids = bpe.encode(text.as_py())
+                        decoded = bpe.decode(ids)
+                        n.append(len(ids))
+                        sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                        back.append(hashlib.sha256(decoded).hexdigest())
+                        if keep_ids:
+                            ids_out.append(ids.astype(np.int64))
+                            decoded_out.append(decoded)
+                    out = {"doc_id": part.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha, pa.string()), "decoded_sha256": pa.array(back, pa.string())}
                     if keep_ids:
-                        ids_out.append(ids.astype(np.int64))
-                        decoded_out.append(decoded)
-                out = {"doc_id": part.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha, pa.string()), "decoded_sha256": pa.array(back, pa.string())}
-                if keep_ids:
-                    out |= {"ids": pa.array(ids_out, pa.list_(pa.int64())), "decoded": pa.array(decoded_out, pa.binary())}
-                yield pa.RecordBatch.from_pydict(out)
+                        out |= {"ids": pa.array(ids_out, pa.list_(pa.int64())), "decoded": pa.array(decoded_out, pa.binary())}
+                    yield pa.RecordBatch.from_pydict(out)
+        finally:
+            bpe.forget()
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<long>, decoded binary" if keep_ids else ""))

@@ -322,3 +322,14 @@ def test_large_ids_beside_a_null(spark, both):
     assert sorted((r.conv_id or 0, r.n_turns) for r in got) == [(i, 1) for i in ids]
     sources = docs.withColumn("source", F.lit("s"))
     assert sorted(r.doc_id or 0 for r in mixing.mix(sources).collect()) == ids
+
+
+def test_a_task_leaves_little_in_a_worker(both, monkeypatch):
+    """What is remembered goes but for its beginning, and ids stay the same."""
+    monkeypatch.setattr(byte_bpe, "KEPT", 3)
+    encoder, _ = both
+    encoder.memory.clear()
+    text = "one two three four five six"
+    ids = encoder.encode(text).tolist()
+    encoder.forget()
+    assert list(encoder.memory) == ["one", " two", " three"] and encoder.encode(text).tolist() == ids
