@@ -106,21 +106,28 @@ def char_codes(text: str) -> np.ndarray:
     return np.where(points < 0x10000, _CODE[np.minimum(points, 0xFFFF)], _OTHER).astype(np.int16)
 
 
-_F = np.float32
+#: Fixed values of tanh_into, as arrays, which numpy takes faster than numbers.
+_HIGH, _LOW, *_QUOTIENT = (np.array(v, dtype=np.float32) for v in (5.25, -5.25, 12.04095, -195.605263, 22.94797))
+_BY = (np.array(6.360039, dtype=np.float32), np.array(0.050914, dtype=np.float32))
+_HALF = np.array(0.5, dtype=np.float32)
+#: For each gate what its sum and its tangent are multiplied with.
+_GATES = np.array([0.5, 0.5, 0.5, 1.0], dtype=np.float32)[:, None, None]
+_BY_GATE = (_BY[0] * _GATES, _BY[1] * _GATES)
 
 
-def tanh_into(x: np.ndarray, room: np.ndarray) -> None:
-    """The hyperbolic tangent within 6e-5, in place, as a quotient of polynomials fitted on [-5.25, 5.25] and level beyond; room is two arrays of the same shape. It takes half the time of numpy's own where that has no vectors of 512 bits."""
+def tanh_into(x: np.ndarray, room: np.ndarray, out: np.ndarray | None = None, by: tuple[np.ndarray, np.ndarray] = _BY) -> None:
+    """The hyperbolic tangent within 6e-5, in place or into `out`, as a quotient of polynomials fitted on [-5.25, 5.25] and level beyond; room is two arrays of the same shape. `by` is _BY times what the result is to be multiplied with. It takes less than half the time of numpy's own where that has no vectors of 512 bits."""
     y, q = room
-    np.clip(x, _F(-5.25), _F(5.25), out=x)
-    np.multiply(x, x, out=y)
-    np.add(y, _F(12.04095), out=q)
-    np.divide(_F(-195.605263), q, out=q)
-    q += y
-    q += _F(22.94797)
-    np.divide(_F(6.360039), q, out=q)
-    q += _F(0.050914)
-    x *= q
+    out = x if out is None else out
+    np.clip(x, _LOW, _HIGH, out=out)
+    np.multiply(out, out, out=y)
+    np.add(y, _QUOTIENT[0], out=q)
+    np.divide(_QUOTIENT[1], q, out=q)
+    np.add(q, y, out=q)
+    np.add(q, _QUOTIENT[2], out=q)
+    np.divide(by[0], q, out=q)
+    np.add(q, by[1], out=q)
+    np.multiply(out, q, out=out)
 
 
 class Tagger:
@@ -143,47 +150,62 @@ class Tagger:
         """Weights of both directions as (2, 4, rows, hidden), a block for each gate."""
         return np.stack([self.w[d + name].reshape(-1, 4, self.hidden).transpose(1, 0, 2) for d in "fb"])
 
-    def _steps(self, x: np.ndarray, counts: np.ndarray, keep: list | None = None) -> Iterator[np.ndarray]:
-        """x (2, length, batch), the second from each window's end -> for each step the outputs (2, counts[step], hidden). counts says how many windows, the first ones, are longer than each step. What keeps the steps, to learn from them, takes numpy's tangent."""
-        half = np.array([0.5, 0.5, 0.5, 1.0], dtype=np.float32)[:, None, None]
-        table, turn = (self._gates("x") + self._gates("b")) * half, self._gates("h") * half
-        size, n = x.shape[2], self.hidden
-        h, c = (np.zeros((2, size, n), dtype=np.float32) for _ in range(2))
-        space = np.empty((4, 8 * size * n), dtype=np.float32)
-        now = -1
-        for t, m in enumerate(counts.tolist()):
-            if m != now:  # arrays stay whole
-                now = m
-                h, c = h[:, :m].copy(), c[:, :m].copy()
-                a, more = space[:2, : 8 * m * n].reshape(2, 2, 4, m, n)
-                room, small = space[2:, : 8 * m * n].reshape(2, 2, 4, m, n), space[2:, : 2 * m * n].reshape(2, 2, m, n)
-            for d in (0, 1):
-                np.take(table[d], x[d, t, :m], axis=1, out=a[d], mode="clip")
-            a += np.matmul(h[:, None], turn, out=more)
-            if keep is None:
-                tanh_into(a, room)
-            else:
-                np.tanh(a, out=a)
+    def _scaled(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of input codes with the bias, and the weights of the last outputs, both as the tangents take them."""
+        return (self._gates("x") + self._gates("b")) * _GATES, self._gates("h") * _GATES
+
+    def _steps(self, x: np.ndarray, keep: list) -> Iterator[np.ndarray]:
+        """x (2, length, batch), the second from each window's end -> for each step the outputs (2, batch, hidden). Keeps the steps, to learn from them, and takes numpy's tangent."""
+        table, turn = self._scaled()
+        h, c = (np.zeros((2, x.shape[2], self.hidden), dtype=np.float32) for _ in range(2))
+        for codes in x.transpose(1, 0, 2):
+            a = np.stack([table[d][:, codes[d]] for d in (0, 1)])
+            a += np.matmul(h[:, None], turn)
+            np.tanh(a, out=a)
             s = a[:, :3]
             s *= 0.5
             s += 0.5
-            if keep is None:
-                c *= s[:, 1]
-                c += s[:, 0] * a[:, 3]
-                h = c.copy()
-                tanh_into(h, small)
-                h *= s[:, 2]
-            else:
-                keep.append((a.copy(), c, h))
-                c = c * s[:, 1] + s[:, 0] * a[:, 3]
-                h = s[:, 2] * np.tanh(c)
+            keep.append((a, c, h))
+            c = c * s[:, 1] + s[:, 0] * a[:, 3]
+            h = s[:, 2] * np.tanh(c)
             yield h
 
+    def _runs(self, x: np.ndarray, counts: list[int], ends: set[int], run: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """x as for _steps -> start, end, and outputs (2, end - start, windows, hidden) of at most `run` steps. counts says how many windows, the first ones, are longer than each step; it changes at `ends` only. All arrays are used again."""
+        table, turn = self._scaled()
+        length, size, n = len(counts), x.shape[2], self.hidden
+        space, room = np.empty((4, 8 * size * n), dtype=np.float32), np.empty(2 * run * size * n, dtype=np.float32)
+        h, c = (np.zeros((2, size, n), dtype=np.float32) for _ in range(2))
+        cuts = sorted({0, length, *ends, *range(0, length, run)})
+        for low, high in zip(cuts, cuts[1:]):
+            m = counts[low]
+            if not m:
+                return
+            h, c = h[:, :m].copy(), np.ascontiguousarray(c[:, :m])
+            block = room[: 2 * (high - low) * m * n].reshape(2, high - low, m, n)
+            a, more = space[:2, : 8 * m * n].reshape(2, 2, 4, m, n)
+            more_room, small = space[2:, : 8 * m * n].reshape(2, 2, 4, m, n), space[2:, : 2 * m * n].reshape(2, 2, m, n)
+            squashed, i, f, o, g = a[:, :3], *(a[:, k] for k in range(4))
+            for t in range(low, high):
+                for d in (0, 1):
+                    np.take(table[d], x[d, t, :m], axis=1, out=a[d], mode="clip")
+                np.matmul(h[:, None], turn, out=more)
+                np.add(a, more, out=a)
+                tanh_into(a, more_room, by=_BY_GATE)
+                np.add(squashed, _HALF, out=squashed)
+                np.multiply(c, f, out=c)
+                np.multiply(i, g, out=i)
+                np.add(c, i, out=c)
+                h = block[:, t - low]
+                tanh_into(c, small, out=h)
+                np.multiply(h, o, out=h)
+            yield low, high, block
+
     def _lstm(self, x: np.ndarray, keep: list) -> np.ndarray:
         """x (length, batch) -> outputs (2, length, batch, hidden)."""
         length, size = x.shape
         out = np.empty((2, length, size, self.hidden), dtype=np.float32)
-        for t, h in enumerate(self._steps(np.stack([x, x[::-1]]), np.full(length, size), keep)):
+        for t, h in enumerate(self._steps(np.stack([x, x[::-1]]), keep)):
             out[0, t], out[1, length - 1 - t] = h
         return out
 
@@ -211,32 +233,25 @@ class Tagger:
             to[d + "b"] += z.sum(axis=0)
             to[d + "x"] += np.eye(CODES, dtype=np.float32)[codes.ravel()].T @ z
 
-    def emissions(self, x: np.ndarray, lengths: np.ndarray | None = None, run: int = 64) -> np.ndarray:
-        """(TAGS, length, batch), of windows as long as `lengths` says, in falling order; all as long as x where it is None. What lies beyond a window's end means nothing. The outputs of `run` steps at most are in memory."""
+    def emissions(self, x: np.ndarray, lengths: np.ndarray | None = None, run: int = 32, out: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """(TAGS, length, batch), of windows as long as `lengths` says, in falling order; all as long as x where it is None. What lies beyond a window's end means nothing. The outputs of `run` steps at most are in memory. `out` has other weights and biases than those of the tags."""
         n, (length, size) = self.hidden, x.shape
+        weights, bias = (self.w["o"], self.w["ob"]) if out is None else out
         lengths = np.full(size, length) if lengths is None else lengths
-        counts = np.searchsorted(-lengths, -np.arange(length), side="left")
+        counts = np.searchsorted(-lengths, -np.arange(length), side="left").tolist()
         kinds = [(int(k), *(int(np.searchsorted(-lengths, -k, side=side)) for side in ("left", "right"))) for k in np.unique(lengths)]
         turned = np.empty_like(x)
         for k, low, high in kinds:
             turned[:k, low:high] = x[:k, low:high][::-1]
-        e = np.empty((TAGS, length, size), dtype=np.float32)
-        e[:] = self.w["ob"][:, None, None]
-        room, stops = np.empty((2, run * size * n), dtype=np.float32), {k for k, _, _ in kinds}
-        begin = 0
-        for t, now in enumerate(self._steps(np.stack([x, turned]), counts)):
-            if t == begin:
-                m = now.shape[1]
-                h = room[:, : run * m * n].reshape(2, run, m, n)
-            h[:, t - begin] = now
-            if t - begin == run - 1 or t + 1 in stops:
-                took = t + 1 - begin
-                e[:, begin : t + 1, :m] += (self.w["o"][:n].T @ h[0, :took].reshape(-1, n).T).reshape(TAGS, took, m)
-                back = (self.w["o"][n:].T @ h[1, :took].reshape(-1, n).T).reshape(TAGS, took, m)[:, ::-1]
-                for k, low, high in kinds:
-                    if k > t:
-                        e[:, k - 1 - t : k - begin, low:high] += back[:, :, low:high]
-                begin = t + 1
+        e = np.empty((len(bias), length, size), dtype=np.float32)
+        e[:] = bias[:, None, None]
+        for begin, end, h in self._runs(np.stack([x, turned]), counts, {k for k, _, _ in kinds}, run):
+            took, m = h.shape[1:3]
+            e[:, begin:end, :m] += (weights[:n].T @ h[0].reshape(-1, n).T).reshape(-1, took, m)
+            back = (weights[n:].T @ h[1].reshape(-1, n).T).reshape(-1, took, m)[:, ::-1]
+            for k, low, high in kinds:
+                if k >= end:
+                    e[:, k - end : k - begin, low:high] += back[:, :, low:high]
         return e
 
     def loss_and_gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -295,42 +310,58 @@ class Tagger:
         out[0, 1::2] += LEAN
         return out
 
+    def _forward(self, e: np.ndarray, lengths: np.ndarray, way: np.ndarray, second: np.ndarray, leave: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Best scores of the ways to each tag (outside, first tags, later tags) -> at each window's end as (TAGS, batch), and at every place as (length, TAGS, batch) if `keep`, else of two places only. e has the way into a span, or on in it, added."""
+        k, (length, size) = len(KINDS), e.shape[1:]
+        score, last = np.empty((length if keep else 2, TAGS, size), dtype=np.float32), np.empty((TAGS, size), dtype=np.float32)
+        score[0, 0], score[0, 1:] = 0.0, e[:, 0] - way[:, None]
+        counts = [*np.searchsorted(-lengths, -np.arange(length), side="left").tolist(), 0]
+        now, ends = size, np.empty((2 * k, size), dtype=np.float32)
+        for t in range(1, length + 1):
+            before, new = score[(t - 1) % len(score)], score[t % len(score)]
+            if counts[t] != now:
+                last[:, counts[t] : now] = before[:, counts[t] : now]
+                now = counts[t]
+                ends = np.empty((2 * k, now), dtype=np.float32)
+            if not now:
+                break
+            before, new, on = before[:, :now], new[:, :now], ends[:k]
+            np.add(before[0], e[:k, t, :now], out=new[1 : 1 + k])
+            np.add(before[1 : 1 + k], second, out=on)
+            np.maximum(on, before[1 + k :], out=on)
+            np.add(on, e[k:, t, :now], out=new[1 + k :])
+            np.add(before[1:], leave, out=ends)
+            np.maximum(on, ends[k:], out=on)
+            np.maximum.reduce(on, axis=0, out=new[0])
+            np.maximum(new[0], before[0], out=new[0])
+        return last, score
+
     def decode(self, x: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
-        """Most probable tags, the way into a span given LEAN more, as implausible spans go anyway; x and the result are (batch, length), windows as long as `lengths` says, in falling order. Scores are those above the path outside all spans, which so has 0; of ways that score alike the first counts."""
+        """Most probable tags, the way into a span given LEAN more, as implausible spans go anyway; x and the result are (batch, length), windows as long as `lengths` says, in falling order. Scores are those above the path outside all spans, which so has 0; of ways that score alike the first counts. Scores of every place are only kept of windows where another path wins, of 256 at a time."""
         size, length = x.shape
         lengths = np.full(size, length) if lengths is None else lengths
-        e = self.emissions(np.ascontiguousarray(x.T), lengths)
-        e[1:] -= e[0]
         trans = self.ways()
         trans = trans - trans[0, 0]
-        into, on, stay = trans[0, 1::2, None], trans[np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)][:, None], np.diag(trans)[2::2, None]
-        out_first, out_later = trans[1::2, 0, None], trans[2::2, 0, None]
-        score = np.empty((length, TAGS, size), dtype=np.float32)
-        score[0, 0], score[0, 1::2], score[0, 2::2] = 0.0, e[1::2, 0], e[2::2, 0]
-        counts = np.searchsorted(-lengths, -np.arange(length), side="left").tolist()
-        for t in range(1, length):
-            m = counts[t]
-            before, new = score[t - 1, :, :m], score[t, :, :m]
-            first, later = before[1::2], before[2::2]
-            np.add(before[0], into, out=new[1::2])
-            new[1::2] += e[1::2, t, :m]
-            np.maximum(first + on, later + stay, out=new[2::2])
-            new[2::2] += e[2::2, t, :m]
-            ends = np.maximum(first + out_first, later + out_later)
-            best = np.maximum(np.maximum(ends[0], ends[1]), np.maximum(ends[2], ends[3]))
-            np.maximum(before[0], best, out=new[0])
+        order = np.array([*range(1, TAGS, 2), *range(2, TAGS, 2)])
+        first, later = order.reshape(2, -1)
+        way = np.concatenate([trans[0, first], trans[later, later]])
+        steps = way, (trans[first, later] - trans[later, later])[:, None], trans[order, 0][:, None]
+        e = self.emissions(np.ascontiguousarray(x.T), lengths, out=(self.w["o"][:, order] - self.w["o"][:, :1], self.w["ob"][order] - self.w["ob"][0] + way))
+        last, _ = self._forward(e, lengths, *steps, keep=False)
         tags = np.zeros(x.shape, dtype=np.int8)
-        last = score[lengths - 1, :, np.arange(size)]
-        some = np.flatnonzero(last.max(axis=1) > 0)
-        if len(some):
-            end, ways = lengths[some] - 1, np.ascontiguousarray(trans.T)
-            now = last[some].argmax(axis=1)
-            tags[some, end] = now
-            for back in range(1, int(end[0]) + 1):
+        names, ways = np.array([0, *order]), np.ascontiguousarray(trans[[0, *order]][:, [0, *order]].T)
+        won = np.flatnonzero(last.max(axis=0) > 0)
+        for some in np.split(won, range(256, len(won), 256)) if len(won) else ():
+            ends = lengths[some]
+            _, score = self._forward(e[:, : ends[0], some], ends, *steps, keep=True)
+            at, end = np.arange(len(some)), ends - 1
+            now = last[:, some].argmax(axis=0)
+            tags[some, end] = names[now]
+            for back in range(1, int(ends[0])):
                 m = int(np.searchsorted(-end, -back, side="right"))
-                some, end, now = some[:m], end[:m], now[:m]
-                now = (score[end - back, :, some] + ways[now]).argmax(axis=1)
-                tags[some, end - back] = now
+                at, end, now = at[:m], end[:m], now[:m]
+                now = (score[end - back, :, at] + ways[now]).argmax(axis=1)
+                tags[some[:m], end - back] = names[now]
         return tags
 
 
@@ -398,8 +429,8 @@ def read_off(tags: np.ndarray) -> list[Span]:
     return [(KINDS[k], a, b + 1) for k, a, b in zip(kind[starts].tolist(), at[starts].tolist(), at[ends].tolist())]
 
 
-def merged_tags(texts: list[str], tagger: Tagger, batch: int = 512) -> list[np.ndarray]:
-    """A tag for each character of each text, from windows over all of it. Last windows are as long as the rest of their text asks, in sixteenths of a window; a text's tags don't depend on other texts."""
+def merged_tags(texts: list[str], tagger: Tagger, batch: int = 1024) -> list[np.ndarray]:
+    """A tag for each character of each text, from windows over all of it. Last windows are as long as the rest of their text asks, in sixteenths of a window; a text's tags don't depend on other texts. A step costs some fifty calls of numpy however many windows take it, so a batch has many."""
     step, lead = WINDOW // 16, (WINDOW - STRIDE) // 2
     rows: list[np.ndarray] = []
     spot = np.zeros((0, 3), dtype=np.int64)  # text, start, length of each window

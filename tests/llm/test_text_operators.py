@@ -513,6 +513,17 @@ def test_spans_do_not_depend_on_windows_or_neighbours(tagger, monkeypatch):
     assert [pii.added_spans([t], [[]], tagger)[0] for t in texts] == found
 
 
+def test_a_thousand_windows_take_their_steps_together(tagger, monkeypatch):
+    """The calls of a step are the same for few windows and many, so a batch has many; tags are those of small batches, also where hundreds of windows hold spans."""
+    rng = random.Random(4)
+    texts = [f"the ou st {'an re ' * rng.randint(0, 30)}{pii.write_span(rng)[1]} ing or ed" for _ in range(1000)]
+    sizes, decode = [], pii.Tagger.decode
+    monkeypatch.setattr(pii.Tagger, "decode", lambda self, x, lengths=None: sizes.append(len(x)) or decode(self, x, lengths))
+    got = pii.merged_tags(texts, tagger)
+    assert sizes == [1000] and sum(bool(t.any()) for t in got) > 600
+    assert all(np.array_equal(a, b) for a, b in zip(got, pii.merged_tags(texts, tagger, batch=37)))
+
+
 def test_spelt_out_addresses(spark, tagger):
     made = ["JOHN [AT] EXAMPLE.COM", "Jomar (At) Mailer.org", "john [at] example [dot] com", "john.doe (AT) example (DOT) com", "jomar at mailer.org", "john[at]example[dot]com"]
     docs = spark.createDataFrame([(i, f"the an ing or {t} the st ou") for i, t in enumerate(made)], "doc_id long, text string")
