@@ -21,6 +21,8 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
+from .common import lean
+
 #: At most so many pre-tokens of at most so many characters are remembered by a worker, with their ids as bytes: some 120 MB.
 MEMORY, REMEMBERED = 600_000, 32
 #: What a worker keeps of them when a task ends: Spark goes on using it for other work, which needs the room.
@@ -196,4 +198,4 @@ def encode_decode(docs: DataFrame, tokens: list[bytes], pattern: str, keep_ids:
             bpe.forget()
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<long>, decoded binary" if keep_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(lean(run), schema + (", ids array<long>, decoded binary" if keep_ids else ""))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import as_long, durable, mix64, shared_table, whole_row, windows, word_hashes
+from .common import as_long, durable, lean, mix64, shared_table, whole_row, windows, word_hashes
 
 FLUSH = 1_500_000
 BITMAP_WORDS = 8
@@ -119,7 +119,7 @@ def document_nodes(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), b.column(1)], ["doc_id", "n_shingles", "node", "text_hash"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, text_hash long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(lean(run), f"doc_id {kind}, n_shingles long, node long, text_hash long")
 
 
 def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -159,7 +159,7 @@ def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if keys:
             yield from flush(keys, nodes)
 
-    return docs.select("text").mapInArrow(run, "key long, node long, first long")
+    return docs.select("text").mapInArrow(lean(run), "key long, node long, first long")
 
 
 def node_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -173,7 +173,7 @@ def node_sets(docs: DataFrame, width: int) -> DataFrame:
                     continue
                 yield pd.DataFrame({"node": [set_hash(s) for s in sets], "size": [len(s) for s in sets], "bits": [bitmap(s) for s in sets], "shingles": [s.tobytes() for s in sets]}, columns=["node", "size", "bits", "shingles"])
 
-    return docs.select("text").mapInPandas(run, "node long, size long, bits array<long>, shingles binary")
+    return docs.select("text").mapInPandas(lean(run), "node long, size long, bits array<long>, shingles binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -198,7 +198,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(s) + len(t) - both))
             yield pd.DataFrame({"u": p["u"], "v": p["v"], "linked": ok})
 
-    exact = bounded.where("may").join(a, "u").join(b, "v").mapInPandas(run, "u long, v long, linked boolean")
+    exact = bounded.where("may").join(a, "u").join(b, "v").mapInPandas(lean(run), "u long, v long, linked boolean")
     return durable(exact.union(bounded.where("not may").select("u", "v", F.lit(False))))
 
 

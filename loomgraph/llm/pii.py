@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_sample
+from .common import id_sample, lean
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, SAMPLE_PLACES = 600, 8
@@ -616,7 +616,7 @@ def fit_tagger(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, places: int = SA
 
     few = id_sample(docs, "doc_id", sample_docs)
     texts = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    return Tagger().fit(*training_windows(sorted(r["piece"] for r in texts.select("text").mapInArrow(run, "piece string").toLocalIterator())))
+    return Tagger().fit(*training_windows(sorted(r["piece"] for r in texts.select("text").mapInArrow(lean(run), "piece string").toLocalIterator())))
 
 
 def _slices(b: pa.RecordBatch, text: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -654,7 +654,7 @@ def find_spans(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -684,5 +684,5 @@ def mask_documents(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
                 new = pa.array([mask(t, spans) if spans else t for t, spans in zip(old, both)], part.column(text).type)
                 yield pa.RecordBatch.from_arrays([*part.columns[:text], new, *part.columns[text + 1 :]], part.schema.names)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(lean(run), docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) if "n_chars" in docs.columns else out

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, lean
 
 DECAY = 0.5
 SPAN = 8
@@ -470,7 +470,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, bounds: Bounds = Bounds()) -> DataFrame:
@@ -484,4 +484,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, bound
                 part = b.slice(at, 500)
                 yield part.filter(pa.array(_scores(machine, part.column(text)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
