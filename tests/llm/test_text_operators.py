@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -462,6 +463,35 @@ def test_windows_of_many_lengths_in_one_batch():
         assert np.array_equal(t.decode(x[j : j + 1, :n])[0], tags[j, :n])
 
 
+def test_three_gates_held_between_bounds():
+    """Emissions against a walk number by number: three numbers a unit and step, not four, and cells that stay between -1 and 1."""
+    rng = np.random.default_rng(6)
+    n, t = 3, pii.Tagger(hidden=3)
+    assert all(t.w[d + k].shape[-1] == 3 * n for d in "fb" for k in "xhb")
+    t.w = {k: v + rng.normal(0, 1, v.shape).astype(np.float32) for k, v in t.w.items()}
+    x = rng.integers(0, pii.CODES, 90)
+    want, held = np.tile(t.w["ob"].astype(float), (len(x), 1)), 0
+    for k, d in enumerate("fb"):
+        h, c = [0.0] * n, [0.0] * n
+        for at in range(len(x)) if d == "f" else reversed(range(len(x))):
+            z = [float(t.w[d + "x"][x[at], j] + t.w[d + "b"][j] + sum(h[u] * t.w[d + "h"][u, j] for u in range(n))) for j in range(3 * n)]
+            i, o = ([min(1.0, max(0.0, v / 4 + 0.5)) for v in z[j : j + n]] for j in (0, n))
+            c = [(1 - i[u]) * c[u] + i[u] * min(1.0, max(-1.0, z[2 * n + u])) for u in range(n)]
+            h = [o[u] * math.tanh(c[u]) for u in range(n)]
+            held += sum(v in (0.0, 1.0) for v in i + o)
+            assert all(-1 <= v <= 1 for v in c)
+            want[at] += np.array(h) @ t.w["o"][k * n : (k + 1) * n]
+    assert held > 50
+    assert np.abs(t.emissions(x[:, None].astype(np.int16))[:, :, 0].T - want).max() < 1e-3
+
+
+def test_tangent_of_cells():
+    x = np.linspace(-1, 1, 100_001).astype(np.float32)
+    got = np.empty_like(x)
+    pii.tanh_of_cells(x, np.empty_like(x), got)
+    assert np.abs(got - np.tanh(x)).max() < 1e-5
+
+
 def test_tangent():
     x = np.linspace(-20, 20, 100_001).astype(np.float32)
     got = x.copy()
