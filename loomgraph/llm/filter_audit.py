@@ -22,6 +22,10 @@ FIRST_BLOCK, GROWTH = 256, 16
 
 #: A class's documents are dealt to so many tasks before their texts meet, so that a large class of copies is summed up first.
 DEALT = 32
+#: How joins run whose sides grow with the documents: both are shuffled. A broadcast goes through the driver, and a small file may hold a large table.
+SPREAD = "merge"
+#: Bits of the sieve of classes, 64 a row.
+SIEVE = 1 << 22
 
 
 def with_mask(rows: DataFrame) -> DataFrame:
@@ -46,7 +50,8 @@ def block_hashes(text: Column, first: int = FIRST_BLOCK) -> Column:
 def _base(docs: DataFrame, hashes) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.coalesce("lang", F.lit("")).alias("part"))
-    return rows.select("doc_id", "text", "part", F.length("text").alias("length"), hashes(F.col("text")).alias("blocks"))
+    # Exploded, as Spark computes a plain column again for each use of it.
+    return rows.select("doc_id", "text", "part", F.length("text").alias("length"), F.explode(F.array(hashes(F.col("text")))).alias("blocks"))
 
 
 def refine(rows: DataFrame) -> DataFrame:
@@ -59,12 +64,22 @@ def refine(rows: DataFrame) -> DataFrame:
         n = durable(n)
         deep = n.agg(F.max("most")).head()[0]
         if deep is None or at >= deep:
-            return durable(members.join(n.select("length", "class"), ["length", "class"], "left_semi").select("length", "blocks").distinct())
-        members = members.join(n.select("length", "class"), ["length", "class"], "left_semi")
+            return durable(members.join(n.select("length", "class").hint(SPREAD), ["length", "class"], "left_semi").select("length", "blocks").distinct())
+        members = members.join(n.select("length", "class").hint(SPREAD), ["length", "class"], "left_semi")
         members = durable(members.withColumn("class", F.xxhash64("class", F.get("blocks", F.lit(at)))))
         at += 1
 
 
+def sieved(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of these classes, and a few of others, without a shuffle: what is broadcast are the bits that classes set in a field of SIEVE, however many there are."""
+    spot = F.pmod(F.xxhash64("length", "blocks"), F.lit(SIEVE))
+    bit = F.expr("shiftleft(1L, cast(pmod(spot, 64) as int))")
+    word = F.shiftright("spot", 6).alias("word")
+    field = durable(classes.select(spot.alias("spot")).select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    near = rows.withColumn("spot", spot).withColumn("word", word).join(F.broadcast(field), "word")
+    return near.where(F.col("bits").bitwiseAND(bit) != 0).drop("spot", "word", "bits")
+
+
 def failure_masks(docs: DataFrame, hashes=block_hashes) -> DataFrame:
     """docs(doc_id, text, lang) -> doc_id, part, mask, one row a document; bit 16 says that a smaller doc_id has the same text.
 
@@ -76,18 +91,20 @@ def failure_masks(docs: DataFrame, hashes=block_hashes) -> DataFrame:
     rows = _base(docs, hashes)
     flat = durable(with_mask(rows).drop("text"))
     key = ["length", "blocks"]
-    classes = refine(flat.where("doc_id is not null"))
-    dealt = classes.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
-    texts = rows.where("doc_id is not null").withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(DEALT)).cast("int")).join(dealt, [*key, "deal"], "left_semi")
+    # A document of another class that gets through the sieve is a class of one text here, its own.
+    texts = sieved(rows.where("doc_id is not null"), refine(flat.where("doc_id is not null")))
+    texts = texts.withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(DEALT)).cast("int"))
     texts = texts.groupBy(*key, "text", "deal").agg(F.min("doc_id").alias("first")).groupBy(*key, "text").agg(F.min("first").alias("first"))
     firsts = durable(texts.groupBy(*key).agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first")))
     copy = lambda r: r.select("doc_id", "part", (F.col("mask") + F.when(F.col("doc_id") > F.col("first"), 16).otherwise(0)).alias("mask"))
+    sure = copy(flat.join(firsts.hint(SPREAD), key, "left").where("coalesce(texts, 1) = 1"))
     mixed = firsts.where("texts > 1").select(*key)
-    sure = copy(flat.join(firsts.where("texts = 1"), key, "left").join(mixed, key, "left_anti"))
+    if not mixed.head(1):
+        return sure
     # Classes of different texts: hardly any with hashes of 64 bits a block. Their documents are told apart by text.
-    among = with_mask(rows.join(mixed, key, "left_semi"))
+    among = with_mask(sieved(rows, mixed).join(mixed.hint(SPREAD), key, "left_semi"))
     first = among.groupBy(*key, "text").agg(F.min("doc_id").alias("first"))
-    return sure.unionByName(copy(among.join(first, [*key, "text"])))
+    return sure.unionByName(copy(among.join(first.hint(SPREAD), [*key, "text"])))
 
 
 def audit(docs: DataFrame, labels: DataFrame, hashes=block_hashes) -> DataFrame:
@@ -98,7 +115,7 @@ def audit(docs: DataFrame, labels: DataFrame, hashes=block_hashes) -> DataFrame:
     rows count each; no documents give no parts.
     """
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"), F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"))
-    masks = failure_masks(docs, hashes).join(marks, "doc_id", "left")
+    masks = failure_masks(docs, hashes).join(marks.hint(SPREAD), "doc_id", "left")
     # 32 rows a part from here on.
     counts = masks.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
     orders = F.array(*(F.lit("".join(p)) for p in permutations(FILTERS)))

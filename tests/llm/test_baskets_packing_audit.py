@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from loomgraph.llm import filter_audit
 from loomgraph.llm.filter_audit import audit, block_hashes, failure_masks
 from loomgraph.llm.itemsets import closed_itemsets
 from loomgraph.llm.packing import best_fit, joined, pack, powers, read_vocabulary, sequences
@@ -279,3 +280,22 @@ def test_copies_far_into_long_texts(spark):
     docs = [(1, base, "en"), (2, base, "en"), (3, base[:-2] + "x ", "en"), (4, base[:70_000] + "é" + base[70_001:], "en"), (5, base, "de")]
     rows = failure_masks(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
     assert {r["doc_id"] for r in rows if r["mask"] & 16} == {2, 5} and len(rows) == 5
+
+
+def test_audit_broadcasts_nothing_that_grows(spark, monkeypatch):
+    """Beside the bits of the sieve, which are bounded, both sides of each join are shuffled, however small Spark takes them for; a sieve of few bits changes nothing."""
+    docs = audit_docs()
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = [(d[0], 1, 0) for d in docs if d[0] is not None][::3]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    want = sorted(tuple(r) for r in audit(df, marks).select(*AUDIT).collect())
+    told, keep = [], filter_audit.durable
+    monkeypatch.setattr(filter_audit, "durable", lambda df: told.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    monkeypatch.setattr(filter_audit, "SIEVE", 128)
+    assert sorted(tuple(r) for r in audit(df, marks).select(*AUDIT).collect()) == want
+    sides = [line for plan in told for line in plan.splitlines() if "BroadcastExchange" in line]
+    assert len(sides) == 1 and sum("bits" in plan and "BroadcastExchange" in plan for plan in told) == 1
+    rows = spark.createDataFrame([(k, [k, k + 1]) for k in range(500)], "length int, blocks array<long>")
+    assert filter_audit.sieved(rows, rows).count() == 500
+    monkeypatch.setattr(filter_audit, "SIEVE", 1 << 22)
+    assert filter_audit.sieved(rows, rows.where("length < 5")).count() == 5
