@@ -621,6 +621,36 @@ def test_a_round_as_frames_is_the_round_in_numpy(spark):
         last = now
 
 
+def test_blocks_of_a_large_component(spark, monkeypatch):
+    """A component that no task holds: whole communities in groups, or the nodes that gain most, until no node gains."""
+    monkeypatch.setattr(community, "BLOCK_LINKS", 150)
+    calls = []
+    for name in ("wishes", "_blocks", "_front", "move"):
+        monkeypatch.setattr(community, name, lambda *a, name=name, plain=getattr(community, name), **k: calls.append(name) or plain(*a, **k))
+    src, dst, w, _, quality = planted(60, 300, 4, 0.2, 3)
+    edges = spark.createDataFrame([(f"n{a:02}", f"n{b:02}", 1.0) for a, b in zip(src, dst)], "src string, dst string, weight double")
+    edges = edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")).cache()
+    found = community.detect_communities(edges, local_edges=100, passes=1).cache()
+    got = {r.node: r.community for r in found.collect()}
+    assert len(got) == 60 and quality(np.array([got[f"n{v:02}"] for v in range(60)])) >= 0.97 * quality(np.arange(60) % 4)
+    assert (graph.best_move(edges, found).head().gain or 0.0) < 1e-6
+    assert {"_blocks", "_front"} <= set(calls) and "move" not in calls
+
+
+def test_hubs_take_one_round_of_blocks(spark, monkeypatch):
+    """Nodes with a hub each, and loose links between all: the groups are the communities, and no second pass is made."""
+    monkeypatch.setattr(community, "BLOCK_LINKS", 400)
+    calls = []
+    for name in ("wishes", "_pass"):
+        monkeypatch.setattr(community, name, lambda *a, name=name, plain=getattr(community, name), **k: calls.append(name) or plain(*a, **k))
+    rng = np.random.default_rng(2)
+    rows = [(f"c{v:03}", f"hub{v % 5}", 50.0) for v in range(200)] + [(f"c{a:03}", f"c{b:03}", 1.0) for a, b in rng.integers(0, 200, (600, 2))]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    found = {r.node: r.community for r in community.detect_communities(edges, local_edges=100).collect()}
+    assert all(found[f"c{v:03}"] == found[f"hub{v % 5}"] for v in range(200)) and len(set(found.values())) == 5
+    assert calls.count("wishes") <= 4 and calls.count("_pass") == 1
+
+
 def test_hypergraph_communities_and_counts(spark):
     t = spark.createDataFrame([(i, f"{g}{i % 3}", "p", f"{g}{(i + 1) % 3}", f"theme {g}") for g in "ab" for i in range(6)], "ord long, subject string, predicate string, object string, theme_association string")
     members = hypergraph.memberships(t)
